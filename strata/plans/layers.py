@@ -40,6 +40,14 @@ def silver_pos(spark: SparkSession, sf: str) -> DataFrame:
     return silver.clean_transactions(bronze_pos(spark, sf), AS_OF)
 
 
+def silver_pos_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver POS materialised once (reliable checkpoint in the shared
+    folder), as the daily job writes it once: gold queries that read silver
+    several times (facts, dims, calendar) then scan it instead of re-running
+    dedupe and casts per use."""
+    return silver_pos(spark, sf).checkpoint(eager=True)
+
+
 def silver_inventory(spark: SparkSession, sf: str) -> DataFrame:
     return silver.clean_inventory(bronze_inventory(spark, sf), AS_OF)
 

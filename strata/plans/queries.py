@@ -89,7 +89,7 @@ def q_customer_360(spark, sf):
 
 
 def q_customer_360_ext(spark, sf):
-    pos = L.silver_pos(spark, sf)
+    pos = L.silver_pos_table(spark, sf)
     return gold.build_customer_360_ext(pos, L.dim_product(spark, sf, pos))
 
 
@@ -114,7 +114,7 @@ def q_dim_date(spark, sf):
 
 
 def q_fact_sales(spark, sf):
-    return L.fact_sales(spark, sf)
+    return L.fact_sales(spark, sf, L.silver_pos_table(spark, sf))
 
 
 def _customer_history(spark, sf) -> DataFrame:
@@ -133,7 +133,7 @@ def q_fact_sales_asof(spark, sf):
 
 
 def q_sales_summary(spark, sf):
-    pos = L.silver_pos(spark, sf)
+    pos = L.silver_pos_table(spark, sf)
     fact = L.fact_sales(spark, sf, pos)
     return gold.sales_summary(fact, gold.build_dim_date(pos), L.dim_store(spark, sf),
                               L.dim_product(spark, sf, pos))
@@ -144,7 +144,9 @@ def q_customer_360_view(spark, sf):
 
 
 def q_inventory_snapshot(spark, sf):
-    return gold.build_inventory_snapshot(L.silver_inventory(spark, sf), L.dim_product(spark, sf), L.AS_OF)
+    return gold.build_inventory_snapshot(
+        L.silver_inventory(spark, sf), L.dim_product(spark, sf, L.silver_pos_table(spark, sf)), L.AS_OF
+    )
 
 
 # --------------------------------------------------- snapshots and merge
@@ -220,20 +222,21 @@ def q_dq_silver(spark, sf):
 
 
 def q_dq_gold(spark, sf):
-    return quality.run_suite(L.fact_sales(spark, sf), "gold_fact_sales")
+    return quality.run_suite(L.fact_sales(spark, sf, L.silver_pos_table(spark, sf)), "gold_fact_sales")
 
 
 def q_pk_check(spark, sf):
-    pos = L.silver_pos(spark, sf)
+    pos = L.silver_pos_table(spark, sf)
+    dc = L.dim_customer(spark, sf)
     parts = [
         quality.pk_check(pos, "silver_pos_transactions", ["transaction_id"]),
-        quality.pk_check(L.dim_customer(spark, sf), "gold_dim_customer", ["customer_sk"]),
-        quality.pk_check(L.dim_customer(spark, sf), "gold_dim_customer_current_bk",
+        quality.pk_check(dc, "gold_dim_customer", ["customer_sk"]),
+        quality.pk_check(dc, "gold_dim_customer_current_bk",
                          ["customer_bk"], current_col="_is_current"),
         quality.pk_check(L.dim_product(spark, sf, pos), "gold_dim_product", ["product_sk"]),
         quality.pk_check(L.dim_store(spark, sf), "gold_dim_store", ["store_sk"]),
         quality.pk_check(gold.build_dim_date(pos), "gold_dim_date", ["date_sk"]),
-        quality.pk_check(q_customer_360(spark, sf), "gold_agg_customer_360", ["customer_bk"]),
+        quality.pk_check(gold.build_customer_360(pos, L.AS_OF), "gold_agg_customer_360", ["customer_bk"]),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -242,7 +245,7 @@ def q_pk_check(spark, sf):
 
 
 def q_fk_orphans(spark, sf):
-    pos = L.silver_pos(spark, sf)
+    pos = L.silver_pos_table(spark, sf)
     fact = L.fact_sales(spark, sf, pos)
     return (
         quality.fk_orphans(fact, "customer_sk", L.dim_customer(spark, sf), "customer_sk")
