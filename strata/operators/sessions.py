@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import shared_dir
+
 
 def _us_between(a, b):
     return F.timestamp_diff("MICROSECOND", a, b)
@@ -47,6 +49,12 @@ def gap_sessions(
     ev = ev.withColumn("_prev", F.lag(ts).over(in_b)).withColumn(
         "_inner_start", F.col("_prev").isNotNull() & (_us_between(F.col("_prev"), F.col(ts)) > gap_us)
     )
+    # Both the bucket summary and the join back read these rows: materialise
+    # them once (reliable checkpoint in the shared folder) instead of running
+    # the upstream (scan, dedupe, shuffle) twice. The checkpoint keeps its
+    # (user, bucket) hash partitioning, so neither consumer shuffles it again.
+    shared_dir(df.sparkSession)
+    ev = ev.checkpoint(eager=True)
     summ = ev.groupBy(user, "_b").agg(
         F.min(ts).alias("_first"),
         F.max(ts).alias("_last"),
