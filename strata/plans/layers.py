@@ -69,11 +69,22 @@ def dim_store(spark: SparkSession, sf: str) -> DataFrame:
     return gold.build_dim_store(feeds.stores(spark, sf), AS_OF)
 
 
+def star(spark: SparkSession, sf: str, pos: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Silver POS, the three dimensions and the sales fact, each built once
+    (the dimension builds materialise their surrogate keys)."""
+    pos = pos if pos is not None else silver_pos_table(spark, sf)
+    dc, dp, ds = dim_customer(spark, sf), dim_product(spark, sf, pos), dim_store(spark, sf)
+    return {
+        "pos": pos,
+        "dim_customer": dc,
+        "dim_product": dp,
+        "dim_store": ds,
+        "fact_sales": gold.build_fact_sales(pos, dc, dp, ds, AS_OF),
+    }
+
+
 def fact_sales(spark: SparkSession, sf: str, pos: DataFrame | None = None) -> DataFrame:
-    pos = pos if pos is not None else silver_pos(spark, sf)
-    return gold.build_fact_sales(
-        pos, dim_customer(spark, sf), dim_product(spark, sf, pos), dim_store(spark, sf), AS_OF
-    )
+    return star(spark, sf, pos)["fact_sales"]
 
 
 # ---- customer snapshots for the SCD2 scenario ---------------------------

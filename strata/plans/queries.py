@@ -114,7 +114,7 @@ def q_dim_date(spark, sf):
 
 
 def q_fact_sales(spark, sf):
-    return L.fact_sales(spark, sf, L.silver_pos_table(spark, sf))
+    return L.fact_sales(spark, sf)
 
 
 def _customer_history(spark, sf) -> DataFrame:
@@ -133,10 +133,9 @@ def q_fact_sales_asof(spark, sf):
 
 
 def q_sales_summary(spark, sf):
-    pos = L.silver_pos_table(spark, sf)
-    fact = L.fact_sales(spark, sf, pos)
-    return gold.sales_summary(fact, gold.build_dim_date(pos), L.dim_store(spark, sf),
-                              L.dim_product(spark, sf, pos))
+    st = L.star(spark, sf)
+    return gold.sales_summary(st["fact_sales"], gold.build_dim_date(st["pos"]), st["dim_store"],
+                              st["dim_product"])
 
 
 def q_customer_360_view(spark, sf):
@@ -222,7 +221,7 @@ def q_dq_silver(spark, sf):
 
 
 def q_dq_gold(spark, sf):
-    return quality.run_suite(L.fact_sales(spark, sf, L.silver_pos_table(spark, sf)), "gold_fact_sales")
+    return quality.run_suite(L.fact_sales(spark, sf), "gold_fact_sales")
 
 
 def q_pk_check(spark, sf):
@@ -245,13 +244,13 @@ def q_pk_check(spark, sf):
 
 
 def q_fk_orphans(spark, sf):
-    pos = L.silver_pos_table(spark, sf)
-    fact = L.fact_sales(spark, sf, pos)
+    st = L.star(spark, sf)
+    fact = st["fact_sales"]
     return (
-        quality.fk_orphans(fact, "customer_sk", L.dim_customer(spark, sf), "customer_sk")
-        .unionByName(quality.fk_orphans(fact, "product_sk", L.dim_product(spark, sf, pos), "product_sk"))
-        .unionByName(quality.fk_orphans(fact, "store_sk", L.dim_store(spark, sf), "store_sk"))
-        .unionByName(quality.fk_orphans(fact, "date_sk", gold.build_dim_date(pos), "date_sk"))
+        quality.fk_orphans(fact, "customer_sk", st["dim_customer"], "customer_sk")
+        .unionByName(quality.fk_orphans(fact, "product_sk", st["dim_product"], "product_sk"))
+        .unionByName(quality.fk_orphans(fact, "store_sk", st["dim_store"], "store_sk"))
+        .unionByName(quality.fk_orphans(fact, "date_sk", gold.build_dim_date(st["pos"]), "date_sk"))
     )
 
 
