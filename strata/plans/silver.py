@@ -77,14 +77,17 @@ SILVER_POS_COLUMNS = [
 ]
 
 
-def clean_transactions(bronze: DataFrame, as_of) -> DataFrame:
-    """Bronze POS -> silver POS (``silver_pos_transactions`` columns)."""
-    t = pos_typed(pos_deduped(bronze))
-    return (
-        t.filter(F.col("_reject_reason").isNull())
-        .withColumn("_processed_at", _ts_lit(as_of))
-        .select(*SILVER_POS_COLUMNS)
-    )
+def clean_transactions(bronze: DataFrame, as_of, strict: bool = False) -> DataFrame:
+    """Bronze POS -> silver POS (``silver_pos_transactions`` columns).
+
+    Default keeps what the reference job keeps: unknown payment methods and
+    unparsable sale dates stay (the DQ suite reports them). ``strict`` also
+    drops rows whose method is outside VALID_PAYMENT_METHODS or whose sale
+    date is missing, as the registry's NOT NULL / the valid set demand."""
+    t = pos_typed(pos_deduped(bronze)).filter(F.col("_reject_reason").isNull())
+    if strict:
+        t = t.filter(F.col("payment_method").isin(*VALID_PAYMENT_METHODS) & F.col("sale_date").isNotNull())
+    return t.withColumn("_processed_at", _ts_lit(as_of)).select(*SILVER_POS_COLUMNS)
 
 
 def split_rejects(bronze: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:

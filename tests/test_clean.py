@@ -144,3 +144,11 @@ def test_json_corrupt_lines_quarantined(spark, tmp_path):
     good, bad = files.split_corrupt(raw)
     assert good.count() == 1 and [r["_corrupt_record"] for r in bad.collect()] == ["bad"]
     assert "_corrupt_record" not in good.columns
+
+
+def test_strict_mode_drops_invalid_methods_and_dates(spark):
+    data = BASE + [("T8", "S1", "P1", "C1", "1", "1.00", "not-a-date", "CARD", None, "f"),
+                   ("T9", "S1", "P1", "C1", "1", "1.00", "2024-01-01", "CHEQUE", None, "f")]
+    assert silver.clean_transactions(bronze(spark, data), AS_OF).count() == 5
+    strict = silver.clean_transactions(bronze(spark, data), AS_OF, strict=True)
+    assert sorted(r["transaction_id"] for r in strict.collect()) == ["T001", "T002", "T003"]
