@@ -373,6 +373,10 @@ SILVER_COLS = [
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["ingest_pos"] = f"WITH {RAW_POS} SELECT *, {AS_OF} AS _ingested_at FROM raw_pos"
+    q["ingest_inventory"] = (f"WITH {RAW_INV} SELECT movement_id, warehouse_id, product_id, movement_type, "
+                             f"quantity, movement_date, {AS_OF} AS _ingested_at FROM raw_inventory")
+    q["ingest_customers"] = (f"WITH {RAW_CUSTOMERS} SELECT customer_id, name, email, phone, address, city, "
+                             f"country, signup_date, {AS_OF} AS _ingested_at FROM raw_customers")
     q["ingest_clicks"] = (
         "SELECT 'E' || CAST(event_id AS VARCHAR) AS event_id, CAST(NULL AS VARCHAR) AS session_id, "
         "'C' || CAST(user_id AS VARCHAR) AS customer_id, '/' || event_type AS page_url, event_type, "

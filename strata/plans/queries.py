@@ -39,6 +39,21 @@ def q_ingest_pos(spark, sf):
     return _no_meta(files.stamp_ingestion(raw, L.AS_OF))
 
 
+def q_ingest_inventory(spark, sf):
+    land = scratch_path(spark, "landing_inventory")
+    files.write_csv_feed(feeds.raw_inventory(spark, sf), land)
+    raw = files.read_csv_feed(spark, land, files.raw_string_schema("bronze_inventory_movements"),
+                              glob="*.csv")
+    return _no_meta(files.stamp_ingestion(raw, L.AS_OF))
+
+
+def q_ingest_customers(spark, sf):
+    land = scratch_path(spark, "landing_customers")
+    files.write_csv_feed(feeds.raw_customers(spark, sf), land)
+    raw = files.read_csv_feed(spark, land, files.raw_string_schema("bronze_customers"), glob="*.csv")
+    return _no_meta(files.stamp_ingestion(raw, L.AS_OF))
+
+
 def q_ingest_clicks(spark, sf):
     land = scratch_path(spark, "landing_clicks")
     files.write_json_feed(feeds.clickstream_raw(spark, sf).drop("session_id"), land)
@@ -287,6 +302,8 @@ def q_stream_sessions(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "ingest_pos": q_ingest_pos,
+    "ingest_inventory": q_ingest_inventory,
+    "ingest_customers": q_ingest_customers,
     "ingest_clicks": q_ingest_clicks,
     "clean_transactions": q_clean_transactions,
     "clean_inventory": q_clean_inventory,
