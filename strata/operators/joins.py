@@ -7,19 +7,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Default row bound under which a lookup side is broadcast. A dimension row is
-# a few hundred bytes, so this keeps a broadcast well below ~1 GiB.
+# a few hundred bytes, so this keeps a broadcast well below ~1 GiB. The
+# session setting ``strata.maxBroadcastRows`` overrides it (0 = never).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS_CONF = "strata.maxBroadcastRows"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+def broadcast_row_bound(spark) -> int:
+    return int(spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Runs ``limit(max_rows + 1).count()``: it stops reading once the bound is
     passed, so the check costs at most ``max_rows`` rows whatever the size."""
+    if max_rows is None:
+        max_rows = broadcast_row_bound(df.sparkSession)
+    if max_rows <= 0:
+        return False
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
@@ -29,7 +39,7 @@ def lookup_join(
     fact_key: str,
     dim_key: str,
     how: str = "left",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
     null_salt: int = 64,
 ) -> DataFrame:
     """``fact LEFT JOIN dim ON fact_key = dim_key`` without a hot partition.
@@ -44,16 +54,17 @@ def lookup_join(
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], how)
     if how not in ("left", "left_outer"):
         return fact.join(dim, fact[fact_key] == dim[dim_key], how)
-    salted = F.when(
+    # Join on (key, salt): dimension rows carry salt 0, fact rows with a key
+    # too; NULL-key fact rows get salt 1..null_salt from a hash of the row, so
+    # they spread over many reducers (and never match). Key types are kept.
+    salt = F.when(
         F.col(fact_key).isNull(),
-        F.concat(
-            F.lit("\u0000null-"),
-            F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(null_salt)).cast("string"),
-        ),
-    ).otherwise(F.col(fact_key).cast("string"))
-    f2 = fact.withColumn("_jk", salted)
-    d2 = dim.withColumn("_dk", F.col(dim_key).cast("string"))
-    return f2.join(d2, f2["_jk"] == d2["_dk"], "left").drop("_jk", "_dk")
+        F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(null_salt)) + 1,
+    ).otherwise(F.lit(0))
+    f2 = fact.withColumn("_salt", salt.cast("int"))
+    d2 = dim.withColumn("_dsalt", F.lit(0))
+    cond = (f2[fact_key] == d2[dim_key]) & (f2["_salt"] == d2["_dsalt"])
+    return f2.join(d2, cond, "left").drop("_salt", "_dsalt")
 
 
 def point_in_time_join(
@@ -64,7 +75,7 @@ def point_in_time_join(
     fact_ts: str,
     valid_from: str = "_valid_from",
     valid_to: str = "_valid_to",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """SCD2 as-of lookup: the dimension version whose ``[valid_from,
     valid_to)`` holds the fact time. An equi-join on the business key with a

@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 from strata.operators.dedupe import dedupe_latest, duplicate_keys
 from strata.operators.joins import fits_broadcast
 
-# Source key sets up to this many rows are broadcast into the anti-join.
-MERGE_BROADCAST_ROWS = 5_000_000
 
 
 def validate_merge_key(df: DataFrame, merge_key: list[str]) -> None:
@@ -58,7 +56,7 @@ def merge_upsert(
     order: list[Column] | None = None,
     on_duplicate: str = "dedupe",
     allow_missing_columns: bool = False,
-    max_broadcast_rows: int = MERGE_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Upsert ``source`` into ``target`` on ``merge_key``.
 

@@ -119,7 +119,13 @@ def session():
 
 
 if __name__ == "__main__":
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    res = compare(session(), sf, sys.argv[2:] or None)
+    args = sys.argv[1:]
+    s = session()
+    if args and args[0] == "--no-broadcast":  # plan every join as a shuffle join
+        args = args[1:]
+        s.conf.set("strata.maxBroadcastRows", "0")
+        s.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    res = compare(s, sf, args[1:] or None)
     bad = {k: v for k, v in res.items() if v[0] not in ("MATCH", "ROWS_ONLY")}
     print(f"\n{len(res) - len(bad)}/{len(res)} ok; problems: {sorted(bad)}")

@@ -21,3 +21,18 @@ def test_every_query_has_an_oracle_or_is_streaming():
 def test_matches_duckdb(spark, sf, name):
     res = compare(spark, sf, [name], verbose=True)[name]
     assert res[0] == "MATCH", res
+
+
+@pytest.mark.parametrize("name", ["fact_sales", "sales_summary", "fact_sales_asof", "upsert_orders",
+                                  "inventory_snapshot", "fk_orphans", "customer_360_view"])
+def test_matches_duckdb_without_broadcast(spark, sf, name):
+    """The shuffle-join paths (what large dimensions get) give the same rows."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("strata.maxBroadcastRows", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        res = compare(spark, sf, [name], verbose=True)[name]
+    finally:
+        spark.conf.unset("strata.maxBroadcastRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert res[0] == "MATCH", res
