@@ -29,7 +29,10 @@ def dedupe_latest(
     per map task instead of all of its rows."""
     if not keys:
         raise ValueError("dedupe keys must contain at least one column")
-    w = Window.partitionBy(*keys).orderBy(*total_order(df, keys, order))
+    ordering = total_order(df, keys, order)
+    if not ordering:  # every column is a key: duplicates are identical rows
+        return df.dropDuplicates(keys)
+    w = Window.partitionBy(*keys).orderBy(*ordering)
     return (
         df.withColumn("_rn", F.row_number().over(w))
         .filter(F.col("_rn") == 1)

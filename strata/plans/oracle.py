@@ -482,6 +482,7 @@ FROM inv i LEFT JOIN dim_product d ON i.product_id = d.product_bk AND d._is_curr
 WHERE NOT EXISTS (SELECT 1 FROM orders_batch2 s WHERE s.o_orderkey = t.o_orderkey)
 UNION ALL SELECT * FROM orders_batch2"""
     q["upsert_orders"] = f"WITH {ORDERS} {merged_orders}"
+    q["upsert_orders_partitioned"] = f"WITH {ORDERS} {merged_orders}"
     q["time_travel"] = f"WITH {ORDERS} SELECT * FROM orders_day1"
     q["zorder_layout"] = ("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate "
                           "FROM lineitem")

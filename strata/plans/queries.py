@@ -195,6 +195,19 @@ def q_upsert_orders(spark, sf):
     return _orders_table(spark, sf).read()
 
 
+def q_upsert_orders_partitioned(spark, sf):
+    """The same two deliveries, upserted into an orders table partitioned by
+    order month: the second batch rewrites only the months it touches."""
+    from strata.sources.partitioned import upsert_partitions
+
+    path = scratch_path(spark, "orders_by_month")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    for batch in (_orders_day1(spark, sf), _orders_batch2(spark, sf)):
+        upsert_partitions(spark, batch.withColumn("o_month", month), path,
+                          ["o_orderkey", "o_month"], ["o_month"])
+    return spark.read.parquet(path).select(*ORDER_COLS)
+
+
 def q_time_travel(spark, sf):
     """Version 1 read back by timestamp after version 2 was committed."""
     return _orders_table(spark, sf).read(timestamp="2024-01-01T12:00:00")
@@ -327,6 +340,7 @@ QUERIES: dict[str, Query] = {
     "customer_360_view": q_customer_360_view,
     "inventory_snapshot": q_inventory_snapshot,
     "upsert_orders": q_upsert_orders,
+    "upsert_orders_partitioned": q_upsert_orders_partitioned,
     "time_travel": q_time_travel,
     "zorder_layout": q_zorder_layout,
     "incremental_load": q_incremental_load,
