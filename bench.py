@@ -49,8 +49,10 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    from strata.session import ensure_checkpoint_dir
+
     if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-bench-ck-"))
+        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="strata-bench-ck-"))
 
     from strata.plans.queries import QUERIES
 

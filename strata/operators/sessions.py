@@ -4,14 +4,17 @@ inactivity), computed so that one very active user is not one task.
 Plain ``lag(ts) OVER (PARTITION BY user ORDER BY ts)`` puts all events of a
 user in one task. Here the window partition is (user, time bucket):
 
-1. inside each bucket, ``lag`` gives the gap to the previous event;
-2. a per-(user, bucket) summary (first/last time, last in-bucket start) goes
-   through a window over buckets only -- at most one row per bucket, so small
-   even for the busiest user -- giving the previous bucket's last event and
-   the last session start carried over from earlier buckets;
-3. joined back, each event gets its session start as a running "last start"
-   inside its bucket, else the carried start;
-4. session end and size come from a window keyed by (user, session_start).
+1. inside each bucket, ``lag`` gives the gap to the previous event and a
+   running "last start" the latest in-bucket session start (the only pass
+   that sorts event rows);
+2. the events are pre-aggregated into pieces, one per (user, bucket,
+   in-bucket session); per-bucket summaries go through a window over buckets
+   only -- one row per bucket, small even for the busiest user -- giving the
+   previous bucket's last event and the start carried in from earlier buckets;
+3. pieces get their session start, are rolled up per session (end, size) and
+   handed back to each (user, bucket) as a small map, which the events join
+   on (user, bucket). No window or join is keyed by the user or the session
+   alone, so neither one hot user nor one endless session becomes one task.
 
 The result equals the single-window definition; ``gap`` is compared in
 microseconds, and a gap of exactly ``gap`` continues the session (the same
@@ -42,63 +45,81 @@ def gap_sessions(
     ``session_duration_seconds`` to every row with non-NULL ``user``/``ts``."""
     gap_us = gap_seconds * 1_000_000
     tb = [F.col(c) for c in (tiebreak or [])]
+    in_b = Window.partitionBy(user, "_b").orderBy(F.col(ts), *tb)
     ev = df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()).withColumn(
         "_b", F.date_trunc(bucket, F.col(ts))
     )
-    in_b = Window.partitionBy(user, "_b").orderBy(F.col(ts), *tb)
+    # The only pass over the event rows that sorts them: the gap to the
+    # previous event in the bucket, and the latest in-bucket session start at
+    # or before each event (NULL = the event continues the bucket's head
+    # session, which may have started in an earlier bucket).
+    inner = F.col("_prev").isNotNull() & (_us_between(F.col("_prev"), F.col(ts)) > gap_us)
     ev = ev.withColumn("_prev", F.lag(ts).over(in_b)).withColumn(
-        "_inner_start", F.col("_prev").isNotNull() & (_us_between(F.col("_prev"), F.col(ts)) > gap_us)
-    )
-    # Both the bucket summary and the join back read these rows: materialise
-    # them once (reliable checkpoint in the shared folder) instead of running
-    # the upstream (scan, dedupe, shuffle) twice. The checkpoint keeps its
-    # (user, bucket) hash partitioning, so neither consumer shuffles it again.
+        "_ls",
+        F.last(F.when(inner, F.col(ts)), ignorenulls=True).over(
+            in_b.rowsBetween(Window.unboundedPreceding, 0)
+        ),
+    ).drop("_prev")
+    # Read twice below (the summary and the final join): materialise once in
+    # the shared folder instead of running the upstream twice.
     shared_dir(df.sparkSession)
     ev = ev.checkpoint(eager=True)
-    summ = ev.groupBy(user, "_b").agg(
-        F.min(ts).alias("_first"),
-        F.max(ts).alias("_last"),
-        F.max(F.when(F.col("_inner_start"), F.col(ts))).alias("_last_inner_start"),
+    # Everything else works on pieces: one row per (user, bucket, in-bucket
+    # session), pre-aggregated map-side. A bucket of length B holds at most
+    # B / gap + 2 pieces, so no step below grows with a hot user or session.
+    piece = ev.groupBy(user, "_b", "_ls").agg(
+        F.min(ts).alias("_begin"), F.max(ts).alias("_end"), F.count(F.lit(1)).alias("_n")
     )
     by_b = Window.partitionBy(user).orderBy("_b")
-    summ = summ.withColumn("_prev_last", F.lag("_last").over(by_b)).withColumn(
-        "_first_is_start",
-        F.col("_prev_last").isNull() | (_us_between(F.col("_prev_last"), F.col("_first")) > gap_us),
+    head = (
+        piece.groupBy(user, "_b")
+        .agg(F.min("_begin").alias("_first"), F.max("_end").alias("_last"),
+             F.max("_ls").alias("_last_inner"))
+        .withColumn("_prev_last", F.lag("_last").over(by_b))
+        .withColumn(
+            "_first_is_start",
+            F.col("_prev_last").isNull()
+            | (_us_between(F.col("_prev_last"), F.col("_first")) > gap_us),
+        )
+        .withColumn(
+            "_carried",
+            F.last(
+                F.coalesce(F.col("_last_inner"), F.when(F.col("_first_is_start"), F.col("_first"))),
+                ignorenulls=True,
+            ).over(by_b.rowsBetween(Window.unboundedPreceding, -1)),
+        )
+        .select(user, "_b", F.when(F.col("_first_is_start"), F.col("_first"))
+                .otherwise(F.col("_carried")).alias("_head"))
     )
-    summ = summ.withColumn(
-        "_bucket_last_start",
-        F.coalesce(F.col("_last_inner_start"), F.when(F.col("_first_is_start"), F.col("_first"))),
-    ).withColumn(
-        "_carried_start",
-        F.last("_bucket_last_start", ignorenulls=True).over(
-            by_b.rowsBetween(Window.unboundedPreceding, -1)
-        ),
+    piece = piece.join(head, [user, "_b"]).withColumn(
+        "session_start", F.coalesce(F.col("_ls"), F.col("_head"))
     )
-    ev = ev.join(
-        summ.select(user, "_b", "_first_is_start", "_carried_start"), [user, "_b"]
+    whole = piece.groupBy(user, "session_start").agg(
+        F.max("_end").alias("_end"), F.sum("_n").alias("_n")
     )
-    is_start = F.when(F.col("_prev").isNull(), F.col("_first_is_start")).otherwise(
-        F.col("_inner_start")
+    back = (
+        piece.select(user, "_b", "_head", "session_start")
+        .join(whole, [user, "session_start"])
+        .groupBy(user, "_b")
+        .agg(
+            F.first("_head").alias("_head"),
+            F.map_from_entries(F.collect_list(
+                F.struct("session_start", F.struct("_end", "_n"))
+            )).alias("_m"),
+        )
     )
-    ev = ev.withColumn(
-        "session_start",
-        F.coalesce(
-            F.last(F.when(is_start, F.col(ts)), ignorenulls=True).over(
-                in_b.rowsBetween(Window.unboundedPreceding, 0)
-            ),
-            F.col("_carried_start"),
-        ),
-    ).drop("_b", "_prev", "_inner_start", "_first_is_start", "_carried_start")
-    # Session size/end: one window keyed by the session itself (no second
-    # evaluation of the lineage above, unlike an aggregate joined back).
-    per_s = Window.partitionBy(user, "session_start")
+    start = F.coalesce(F.col("_ls"), F.col("_head"))
+    s = F.col("_m")[F.col("session_start")]
     return (
-        ev.withColumn("session_end", F.max(ts).over(per_s))
-        .withColumn("session_events", F.count(F.lit(1)).over(per_s))
+        ev.join(back, [user, "_b"])
+        .withColumn("session_start", start)
+        .withColumn("session_end", s["_end"])
+        .withColumn("session_events", s["_n"].cast("long"))
         .withColumn(
             "session_duration_seconds",
             F.floor(_us_between(F.col("session_start"), F.col("session_end")) / 1_000_000).cast("long"),
         )
+        .drop("_b", "_ls", "_head", "_m")
     )
 
 

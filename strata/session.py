@@ -17,6 +17,10 @@ def shared_dir(spark: SparkSession) -> str:
     an error: a machine-local temp folder is not visible to other executors.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        # Set on the context by the caller (``SparkContext.setCheckpointDir``);
+        # the conf key itself cannot change once the session runs.
+        d = spark.sparkContext.getCheckpointDir()
     if not d:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a folder every executor can read"
@@ -27,6 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
+    """For tests and local runs: keep the session's ``spark.checkpoint.dir``
+    when it has one, else use ``fallback`` (a folder the caller made)."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(fallback)
+    return shared_dir(spark)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared dir for one run's tables."""
     return f"{shared_dir(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"

@@ -60,7 +60,10 @@ def raw_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    # orders grows with the data and has no proven size bound, so it is never
+    # broadcast (an estimate-based auto-broadcast would also pin all per-row
+    # work of this feed into the scan tasks of lineitem): sort-merge join.
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").hint("merge")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "left")
     ok = F.col("l_orderkey")
     return j.select(

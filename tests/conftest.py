@@ -24,8 +24,10 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    from strata.session import ensure_checkpoint_dir
+
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-test-ck-"))
+        ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="strata-test-ck-"))
     yield s
 
 

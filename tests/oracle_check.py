@@ -113,7 +113,9 @@ def session():
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-ck-"))
+        from strata.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="strata-ck-"))
     s.sparkContext.setLogLevel("ERROR")
     return s
 

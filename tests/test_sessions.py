@@ -52,3 +52,6 @@ def test_hot_user_is_split_by_bucket(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(u" in plan and "_b" in plan
     assert out.filter("u = 'hot'").select("session_start").distinct().count() == 1  # 7-min gaps
+    # one session of 3000 events over ~350 hour buckets: size and end are whole
+    hot = out.filter("u = 'hot'").select("session_events", "session_end").distinct().collect()
+    assert [(r[0], r[1]) for r in hot] == [(3000, base + dt.timedelta(minutes=7 * 2999))]
