@@ -54,17 +54,22 @@ def lookup_join(
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], how)
     if how not in ("left", "left_outer"):
         return fact.join(dim, fact[fact_key] == dim[dim_key], how)
-    # Join on (key, salt): dimension rows carry salt 0, fact rows with a key
-    # too; NULL-key fact rows get salt 1..null_salt from a hash of the row, so
-    # they spread over many reducers (and never match). Key types are kept.
+    f2, d2, salted = _spread_null_keys(fact, dim, fact_key, null_salt)
+    return f2.join(d2, (f2[fact_key] == d2[dim_key]) & salted, "left").drop("_salt", "_dsalt")
+
+
+def _spread_null_keys(fact: DataFrame, dim: DataFrame, fact_key: str, null_salt: int):
+    """Join on (key, salt): dimension rows carry salt 0, fact rows with a key
+    too; NULL-key fact rows get salt 1..null_salt from a hash of the row, so
+    they spread over many reducers (and never match). A hash, not a random
+    number, so a retried task routes every row the same way."""
     salt = F.when(
         F.col(fact_key).isNull(),
         F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(null_salt)) + 1,
     ).otherwise(F.lit(0))
     f2 = fact.withColumn("_salt", salt.cast("int"))
     d2 = dim.withColumn("_dsalt", F.lit(0))
-    cond = (f2[fact_key] == d2[dim_key]) & (f2["_salt"] == d2["_dsalt"])
-    return f2.join(d2, cond, "left").drop("_salt", "_dsalt")
+    return f2, d2, f2["_salt"] == d2["_dsalt"]
 
 
 def point_in_time_join(
@@ -76,14 +81,22 @@ def point_in_time_join(
     valid_from: str = "_valid_from",
     valid_to: str = "_valid_to",
     max_broadcast_rows: int | None = None,
+    null_salt: int = 64,
 ) -> DataFrame:
     """SCD2 as-of lookup: the dimension version whose ``[valid_from,
     valid_to)`` holds the fact time. An equi-join on the business key with a
-    range residual, so the work per key is bounded by that key's history."""
-    d = maybe_broadcast(dim, max_broadcast_rows)
+    range residual, so the work per key is bounded by that key's history.
+    Beyond the broadcast bound it is a shuffle join in which NULL fact keys
+    (sales without a customer, possibly a large share) are spread as in
+    ``lookup_join``."""
+    if fits_broadcast(dim, max_broadcast_rows):
+        f, d, salted = fact, F.broadcast(dim), F.lit(True)
+    else:
+        f, d, salted = _spread_null_keys(fact, dim, fact_key, null_salt)
     cond: Column = (
-        (fact[fact_key] == d[dim_key])
-        & (fact[fact_ts] >= d[valid_from])
-        & (d[valid_to].isNull() | (fact[fact_ts] < d[valid_to]))
+        (f[fact_key] == d[dim_key])
+        & salted
+        & (f[fact_ts] >= d[valid_from])
+        & (d[valid_to].isNull() | (f[fact_ts] < d[valid_to]))
     )
-    return fact.join(d, cond, "left")
+    return f.join(d, cond, "left").drop("_salt", "_dsalt")
