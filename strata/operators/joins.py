@@ -3,30 +3,82 @@ SCD2 point-in-time lookup."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-# Default row bound under which a lookup side is broadcast. A dimension row is
-# a few hundred bytes, so this keeps a broadcast well below ~1 GiB. The
-# session setting ``strata.maxBroadcastRows`` overrides it (0 = never).
+from pyspark.sql.types import (
+    ArrayType, BinaryType, BooleanType, ByteType, DateType, DecimalType, FloatType, IntegerType,
+    MapType, ShortType, StringType, StructType,
+)
+
+# Default bounds under which a lookup side is broadcast: rows and bytes, both
+# proven by reading at most the row bound (never assumed from estimates). The
+# session settings ``strata.maxBroadcastRows`` / ``strata.maxBroadcastBytes``
+# override them (0 = never broadcast).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 BROADCAST_ROWS_CONF = "strata.maxBroadcastRows"
+BROADCAST_BYTES_CONF = "strata.maxBroadcastBytes"
 
 
 def broadcast_row_bound(spark) -> int:
     return int(spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Runs ``limit(max_rows + 1).count()``: it stops reading once the bound is
-    passed, so the check costs at most ``max_rows`` rows whatever the size."""
+def broadcast_byte_bound(spark) -> int:
+    return int(spark.conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_BROADCAST_BYTES)))
+
+
+def _fixed_width(t) -> int:
+    if isinstance(t, (BooleanType, ByteType)):
+        return 1
+    if isinstance(t, ShortType):
+        return 2
+    if isinstance(t, (IntegerType, DateType, FloatType)):
+        return 4
+    if isinstance(t, DecimalType):
+        return 8 if t.precision <= 18 else 16
+    return 8 if t.typeName() in ("long", "double", "timestamp", "timestamp_ntz") else 16
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Size of each row measured from its values: fixed-width columns by
+    their width, strings and binaries by their byte length, nested values by
+    the length of their JSON text, plus 8 bytes per field and 16 per row of
+    row overhead (null bits, offsets, hash-table entry)."""
+    parts = []
+    for f in df.schema.fields:
+        c, t = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(t, (StringType, BinaryType)):
+            size = F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(t, (ArrayType, MapType, StructType)):
+            size = F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+        else:
+            size = F.lit(_fixed_width(t))
+        parts.append(size.cast("long") + 8)
+    return reduce(lambda a, b: a + b, parts, F.lit(16).cast("long"))
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
+) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows holding at most
+    ``max_bytes`` bytes.
+
+    One job over ``limit(max_rows + 1)``: it stops reading once the row bound
+    is passed, so the check costs at most ``max_rows`` rows whatever the size,
+    and sums the measured row sizes of what it read (two scalars reach the
+    driver)."""
+    spark = df.sparkSession
     if max_rows is None:
-        max_rows = broadcast_row_bound(df.sparkSession)
-    if max_rows <= 0:
+        max_rows = broadcast_row_bound(spark)
+    if max_bytes is None:
+        max_bytes = broadcast_byte_bound(spark)
+    if max_rows <= 0 or max_bytes <= 0:
         return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    n, b = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+    return n <= max_rows and (b or 0) <= max_bytes
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:

@@ -68,3 +68,13 @@ def test_scan_pruning_and_pushdown(spark, sf):
     p = _orders_batch2(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
     assert "o_orderpriority" not in p  # unused column pruned from ReadSchema
+
+
+def test_broadcast_check_bounds_rows_and_bytes(spark):
+    from strata.operators.joins import fits_broadcast
+
+    wide = spark.range(10).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("s"))
+    assert fits_broadcast(wide, max_rows=10, max_bytes=1_000_000)
+    assert not fits_broadcast(wide, max_rows=9, max_bytes=1_000_000)   # too many rows
+    assert not fits_broadcast(wide, max_rows=10, max_bytes=5_000)      # 10 kB of text
+    assert fits_broadcast(wide.limit(0), max_rows=10, max_bytes=1)
