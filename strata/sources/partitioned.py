@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.joins import maybe_broadcast
 from strata.operators.merge import merge_upsert, prepare_source, validate_merge_key
 from strata.session import shared_dir
 
@@ -56,8 +57,9 @@ def upsert_partitions(
         return
     target = spark.read.parquet(path)
     touched = src.select(*partition_by).distinct()
-    # semi-join on partition columns: planned with dynamic partition pruning
-    target_touched = target.join(F.broadcast(touched), partition_by, "left_semi")
+    # semi-join on partition columns: with the (size-checked) broadcast of the
+    # touched values it is planned with dynamic partition pruning
+    target_touched = target.join(maybe_broadcast(touched), partition_by, "left_semi")
     merged = merge_upsert(
         target_touched.select(*src.columns), src, merge_key, null_safe=null_safe, on_duplicate="keep"
     )
