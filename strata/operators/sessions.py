@@ -8,13 +8,14 @@ user in one task. Here the window partition is (user, time bucket):
    running "last start" the latest in-bucket session start (the only pass
    that sorts event rows);
 2. the events are pre-aggregated into pieces, one per (user, bucket,
-   in-bucket session); per-bucket summaries go through a window over buckets
-   only -- one row per bucket, small even for the busiest user -- giving the
-   previous bucket's last event and the start carried in from earlier buckets;
-3. pieces get their session start, are rolled up per session (end, size) and
-   handed back to each (user, bucket) as a small map, which the events join
-   on (user, bucket). No window or join is keyed by the user or the session
-   alone, so neither one hot user nor one endless session becomes one task.
+   in-bucket session): at most bucket/gap + 2 per bucket, so a user's pieces
+   are bounded by the time span, not by its number of events;
+3. a window over a user's pieces in time order finds the pieces that open a
+   session (gap from the previous piece's end) and gives every piece its
+   session start; a window over a session's pieces gives end and size;
+4. each event joins its piece on (user, bucket, in-bucket start). No window
+   or join over event rows is keyed by the user or the session alone, so
+   neither one hot user nor one endless session becomes one task.
 
 The result equals the single-window definition; ``gap`` is compared in
 microseconds, and a gap of exactly ``gap`` continues the session (the same
@@ -66,60 +67,42 @@ def gap_sessions(
     ev = ev.checkpoint(eager=True)
     # Everything else works on pieces: one row per (user, bucket, in-bucket
     # session), pre-aggregated map-side. A bucket of length B holds at most
-    # B / gap + 2 pieces, so no step below grows with a hot user or session.
+    # B / gap + 2 pieces, so a user has at most that many per bucket of the
+    # time span however many events it has.
     piece = ev.groupBy(user, "_b", "_ls").agg(
         F.min(ts).alias("_begin"), F.max(ts).alias("_end"), F.count(F.lit(1)).alias("_n")
     )
-    by_b = Window.partitionBy(user).orderBy("_b")
-    head = (
-        piece.groupBy(user, "_b")
-        .agg(F.min("_begin").alias("_first"), F.max("_end").alias("_last"),
-             F.max("_ls").alias("_last_inner"))
-        .withColumn("_prev_last", F.lag("_last").over(by_b))
-        .withColumn(
-            "_first_is_start",
-            F.col("_prev_last").isNull()
-            | (_us_between(F.col("_prev_last"), F.col("_first")) > gap_us),
-        )
-        .withColumn(
-            "_carried",
-            F.last(
-                F.coalesce(F.col("_last_inner"), F.when(F.col("_first_is_start"), F.col("_first"))),
-                ignorenulls=True,
-            ).over(by_b.rowsBetween(Window.unboundedPreceding, -1)),
-        )
-        .select(user, "_b", F.when(F.col("_first_is_start"), F.col("_first"))
-                .otherwise(F.col("_carried")).alias("_head"))
-    )
-    piece = piece.join(head, [user, "_b"]).withColumn(
-        "session_start", F.coalesce(F.col("_ls"), F.col("_head"))
+    # In time order a piece opens a session iff the previous piece ended more
+    # than ``gap`` before it began (an in-bucket start by construction; a
+    # bucket's head piece by the gap to the previous bucket's last event).
+    by_user = Window.partitionBy(user).orderBy("_begin")
+    prev_end = F.lag("_end").over(by_user)
+    opens = F.when(prev_end.isNull() | (_us_between(prev_end, F.col("_begin")) > gap_us),
+                   F.col("_begin"))
+    piece = piece.withColumn(
+        "session_start",
+        F.last(opens, ignorenulls=True).over(by_user.rowsBetween(Window.unboundedPreceding, 0)),
     )
-    whole = piece.groupBy(user, "session_start").agg(
-        F.max("_end").alias("_end"), F.sum("_n").alias("_n")
+    per_s = Window.partitionBy(user, "session_start")  # pieces of one session
+    piece = piece.select(
+        F.col(user).alias("_pu"), F.col("_b").alias("_pb"), F.col("_ls").alias("_pls"),
+        "session_start",
+        F.max("_end").over(per_s).alias("session_end"),
+        F.sum("_n").over(per_s).cast("long").alias("session_events"),
     )
-    back = (
-        piece.select(user, "_b", "_head", "session_start")
-        .join(whole, [user, "session_start"])
-        .groupBy(user, "_b")
-        .agg(
-            F.first("_head").alias("_head"),
-            F.map_from_entries(F.collect_list(
-                F.struct("session_start", F.struct("_end", "_n"))
-            )).alias("_m"),
-        )
+    # Each event takes its piece's values: the join key is the piece, so its
+    # largest group is one user's session inside one bucket.
+    cond = (
+        (F.col(user) == F.col("_pu")) & (F.col("_b") == F.col("_pb"))
+        & F.col("_ls").eqNullSafe(F.col("_pls"))
     )
-    start = F.coalesce(F.col("_ls"), F.col("_head"))
-    s = F.col("_m")[F.col("session_start")]
     return (
-        ev.join(back, [user, "_b"])
-        .withColumn("session_start", start)
-        .withColumn("session_end", s["_end"])
-        .withColumn("session_events", s["_n"].cast("long"))
+        ev.join(piece, cond)
         .withColumn(
             "session_duration_seconds",
             F.floor(_us_between(F.col("session_start"), F.col("session_end")) / 1_000_000).cast("long"),
         )
-        .drop("_b", "_ls", "_head", "_m")
+        .drop("_b", "_ls", "_pu", "_pb", "_pls")
     )
 
 
