@@ -78,3 +78,19 @@ def test_broadcast_check_bounds_rows_and_bytes(spark):
     assert not fits_broadcast(wide, max_rows=9, max_bytes=1_000_000)   # too many rows
     assert not fits_broadcast(wide, max_rows=10, max_bytes=5_000)      # 10 kB of text
     assert fits_broadcast(wide.limit(0), max_rows=10, max_bytes=1)
+
+
+def test_point_in_time_join_shuffle_path_spreads_null_keys(spark, sf):
+    from strata.operators.joins import point_in_time_join
+    from strata.plans.queries import _customer_history
+
+    pos = L.silver_pos(spark, sf)
+    hist = _customer_history(spark, sf).select("customer_sk", "customer_bk", "_valid_from", "_valid_to")
+    cols = ["transaction_id", "customer_sk"]
+    a = point_in_time_join(pos, hist, "customer_id", "customer_bk", "sale_date").select(*cols)
+    b = point_in_time_join(pos, hist, "customer_id", "customer_bk", "sale_date",
+                           max_broadcast_rows=0).select(*cols)
+    assert "_salt" in _plan(b)
+    brows = sorted(map(tuple, b.collect()), key=str)
+    assert sorted(map(tuple, a.collect()), key=str) == brows
+    assert len(brows) == pos.count()
