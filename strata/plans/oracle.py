@@ -547,4 +547,31 @@ bronze AS (SELECT *, {AS_OF} AS _ingested_at FROM raw_pos)
 SELECT 'bronze' AS stage, CAST(count(*) AS BIGINT) AS rows FROM raw_pos
 UNION ALL SELECT 'deduped', CAST(count(*) AS BIGINT) FROM pos_dedup
 UNION ALL SELECT 'silver', CAST(count(*) AS BIGINT) FROM pos_silver"""
+    # daily refresh: the row count of every table the job writes
+    daily_steps = [
+        ("bronze.pos_transactions", "raw_pos"),
+        ("bronze.inventory_movements", "raw_inventory"),
+        ("bronze.customers", "raw_customers"),
+        ("bronze.clickstream", "events"),
+        ("silver.pos_transactions", "pos_silver"),
+        ("silver.inventory_movements", "silver_inventory"),
+        ("silver.customers", "silver_customers"),
+        ("silver.clickstream", "ev_sess"),
+        ("gold.dim_customer", "dim_customer"),
+        ("gold.dim_product", "dim_product"),
+        ("gold.dim_store", "dim_store"),
+        ("gold.dim_date", "dim_date"),
+        ("gold.fact_sales", "fact_sales"),
+        ("gold.agg_customer_360", "c360"),
+        ("gold.fact_inventory_snapshot", "inv_snapshot"),
+    ]
+    q["daily_refresh"] = (
+        f"{GOLD},\n{dim_date_cte('pos_silver')},\n{C360},\n{RAW_INV},\n{EVENTS},\n"
+        "inv_snapshot AS (SELECT DISTINCT warehouse_id, product_id, "
+        f"{_date_sk('movement_date')} AS date_sk FROM silver_inventory)\n"
+        + "\nUNION ALL\n".join(
+            f"SELECT '{step}' AS step, CAST(count(*) AS BIGINT) AS rows FROM {rel}"
+            for step, rel in daily_steps
+        )
+    )
     return q
