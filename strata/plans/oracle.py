@@ -484,6 +484,9 @@ UNION ALL SELECT * FROM orders_batch2"""
     q["upsert_orders"] = f"WITH {ORDERS} {merged_orders}"
     q["upsert_orders_partitioned"] = f"WITH {ORDERS} {merged_orders}"
     q["time_travel"] = f"WITH {ORDERS} SELECT * FROM orders_day1"
+    q["vacuum_history"] = f"""WITH {ORDERS}, merged AS ({merged_orders})
+SELECT 2 AS version, 'MERGE' AS operation, CAST(count(*) AS BIGINT) AS rows FROM merged
+UNION ALL SELECT 3, 'OPTIMIZE', CAST(count(*) AS BIGINT) FROM merged"""
     q["zorder_layout"] = ("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate "
                           "FROM lineitem")
     q["incremental_load"] = f"""WITH {RAW_POS},

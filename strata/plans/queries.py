@@ -213,6 +213,24 @@ def q_time_travel(spark, sf):
     return _orders_table(spark, sf).read(timestamp="2024-01-01T12:00:00")
 
 
+def q_vacuum_history(spark, sf):
+    """Versions left after a vacuum: the orders table gets a merge and a
+    compaction; vacuum with the 7-day guard, run 18 days after the merge,
+    drops version 1 (replaced more than 7 days earlier) and keeps the rest.
+    Returns (version, operation, rows) of every version still readable."""
+    t = _orders_table(spark, sf)
+    t.compact(committed_at="2024-01-20T00:00:00")
+    t.vacuum(retention_hours=168, now="2024-01-20T00:00:00")
+    out = None
+    for c in t.commits():
+        part = t.read(version=c["version"]).agg(
+            F.lit(c["version"]).alias("version"), F.lit(c["operation"]).alias("operation"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_zorder_layout(spark, sf):
     """lineitem keys laid out by Z-order on (partkey, suppkey); rows unchanged."""
     t = SnapshotTable(spark, scratch_path(spark, "zorder"))
@@ -366,6 +384,7 @@ QUERIES: dict[str, Query] = {
     "upsert_orders_partitioned": q_upsert_orders_partitioned,
     "time_travel": q_time_travel,
     "zorder_layout": q_zorder_layout,
+    "vacuum_history": q_vacuum_history,
     "incremental_load": q_incremental_load,
     "dq_bronze": q_dq_bronze,
     "dq_silver": q_dq_silver,

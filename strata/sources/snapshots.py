@@ -180,8 +180,10 @@ class SnapshotTable:
         for older, newer in zip(cs, cs[1:]):
             # a version is needed until the next one replaced it
             if _as_dt(newer["committed_at"]) <= cutoff:
-                self._fs.delete(self._Path(self._vdir(older["version"])), True)
+                # commit file first: a crash in between leaves an invisible
+                # folder (replaced or ignored), never a visible empty version
                 self._fs.delete(self._p(self._commit_rel(older["version"])), False)
+                self._fs.delete(self._Path(self._vdir(older["version"])), True)
                 deleted.append(older["version"])
         return deleted
 
