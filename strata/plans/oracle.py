@@ -498,6 +498,7 @@ raw_next AS (SELECT * FROM raw_pos WHERE TRY_CAST(sale_date AS TIMESTAMP) > (SEL
 SELECT t.* FROM d1_silver t
 WHERE NOT EXISTS (SELECT 1 FROM d2_silver s WHERE s.transaction_id = t.transaction_id)
 UNION ALL SELECT * FROM d2_silver"""
+    q["hourly_incremental"] = q["incremental_load"]
     q["dq_bronze"] = f"""{POS},
 bronze AS (SELECT *, {AS_OF} AS _ingested_at FROM raw_pos)
 """ + _suite_rows("bronze_pos_transactions", "bronze", [

@@ -257,6 +257,24 @@ def q_incremental_load(spark, sf):
     return t.read()
 
 
+def q_hourly_incremental(spark, sf):
+    """The hourly job run twice over one POS landing folder: the first hour
+    lands the sales before DAY1_CUTOFF, the second hour the rest; each run
+    loads only raw rows past the silver high-water mark and merges them on
+    the transaction id (the same result as ``incremental_load``)."""
+    from strata.plans.jobs import hourly_incremental
+
+    raw = feeds.raw_pos(spark, sf)
+    ts = F.col("sale_date").try_cast("timestamp_ntz")
+    cut = F.lit(L.DAY1_CUTOFF).cast("timestamp_ntz")
+    land, root = scratch_path(spark, "hourly_landing"), scratch_path(spark, "hourly_lake")
+    files.write_csv_feed(raw.filter(ts < cut), f"{land}/h1")
+    hourly_incremental(spark, land, root, L.AS_OF)
+    files.write_csv_feed(raw.filter(ts >= cut), f"{land}/h2")
+    hourly_incremental(spark, land, root, L.AS_OF)
+    return SnapshotTable(spark, f"{root}/silver/pos_transactions").read()
+
+
 # ------------------------------------------------------------ data quality
 def q_dq_bronze(spark, sf):
     return quality.run_suite(L.bronze_pos(spark, sf), "bronze_pos_transactions")
@@ -386,6 +404,7 @@ QUERIES: dict[str, Query] = {
     "zorder_layout": q_zorder_layout,
     "vacuum_history": q_vacuum_history,
     "incremental_load": q_incremental_load,
+    "hourly_incremental": q_hourly_incremental,
     "dq_bronze": q_dq_bronze,
     "dq_silver": q_dq_silver,
     "dq_gold": q_dq_gold,
