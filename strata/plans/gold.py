@@ -35,7 +35,7 @@ def build_dim_product(silver_pos: DataFrame, products: DataFrame, as_of) -> Data
     """Every product sold, with master attributes where the master has them."""
     sold = silver_pos.select("product_id").distinct()
     attrs = products.select("product_id", *PRODUCT_ATTRS)
-    src = sold.join(attrs, "product_id", "left")
+    src = lookup_join(sold, attrs, "product_id", "product_id").drop(attrs["product_id"])
     return scd2_initial(src, "product_id", "product_sk", PRODUCT_ATTRS, as_of, bk_out="product_bk")
 
 
@@ -221,7 +221,8 @@ def sales_summary(fact: DataFrame, dim_date: DataFrame, dim_store: DataFrame, di
 
 def customer_360_view(dim_customer: DataFrame, c360: DataFrame) -> DataFrame:
     dc = dim_customer.filter(F.col("_is_current")).select("customer_bk", "city", "country", "signup_date")
-    return c360.join(dc, "customer_bk", "inner").select(
+    j = lookup_join(c360, dc, "customer_bk", "customer_bk", how="inner").drop(dc["customer_bk"])
+    return j.select(
         "customer_bk", "total_orders", "total_spend", "avg_order_value", "first_purchase_date",
         "last_purchase_date", "preferred_payment_method", "lifetime_value_tier", "city",
         "country", "signup_date",

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.joins import maybe_broadcast
+
 # Payment method per (l_returnflag || l_linestatus); spacing and
 # case are deliberate dirt, CHEQUE is deliberately outside the valid set.
 PAYMENT_BY_FLAGS: list[tuple[str, str]] = [
@@ -109,8 +111,11 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("o_custkey")
         .agg(F.min("o_orderdate").alias("first_order"))
     )
+    # nation is a small reference table (size checked before it is
+    # broadcast); first orders are customer-sized: sort-merge join.
+    n = maybe_broadcast(n)
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(
-        first, c.c_custkey == first.o_custkey, "left"
+        first.hint("merge"), c.c_custkey == first.o_custkey, "left"
     )
     k = F.col("c_custkey")
     return j.select(
@@ -142,6 +147,7 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
+    n, r = maybe_broadcast(n), maybe_broadcast(r)  # reference tables, size checked
     j = s.join(n, s.s_nationkey == n.n_nationkey, "left").join(
         r, F.col("n_regionkey") == r.r_regionkey, "left"
     )
