@@ -98,8 +98,10 @@ class SnapshotTable:
         return self.spark.read.parquet(self._vdir(v))
 
     # -- writes ----------------------------------------------------------------
-    def publish(self, df: DataFrame, committed_at=None, operation: str = "WRITE") -> int:
-        """Write ``df`` as the next version and commit it."""
+    def publish(self, df: DataFrame, committed_at=None, operation: str = "WRITE",
+                info: dict | None = None) -> int:
+        """Write ``df`` as the next version and commit it; ``info`` adds
+        fields to the commit record (written atomically with it)."""
         prev = self.latest_version()
         v = 1 if prev is None else prev + 1
         vdir = self._Path(self._vdir(v))
@@ -107,7 +109,7 @@ class SnapshotTable:
             self._fs.delete(vdir, True)
         df.write.mode("errorifexists").parquet(self._vdir(v))
         ts = _as_dt(committed_at) if committed_at is not None else _dt.datetime.now()
-        rec = {"version": v, "committed_at": ts.isoformat(), "operation": operation}
+        rec = {**(info or {}), "version": v, "committed_at": ts.isoformat(), "operation": operation}
         tmp = self._p(f"_commits/.{v:08d}.json.tmp")
         out = self._fs.create(tmp, True)
         try:
@@ -127,6 +129,7 @@ class SnapshotTable:
         order: list[Column] | None = None,
         on_duplicate: str = "dedupe",
         allow_missing_columns: bool = False,
+        info: dict | None = None,
     ) -> int:
         """MERGE ``source`` into the latest version (create when absent).
 
@@ -136,13 +139,13 @@ class SnapshotTable:
             from strata.operators.merge import prepare_source
 
             return self.publish(
-                prepare_source(source, merge_key, order, on_duplicate), committed_at, "CREATE"
+                prepare_source(source, merge_key, order, on_duplicate), committed_at, "CREATE", info
             )
         merged = merge_upsert(
             self.read(), source, merge_key, null_safe=null_safe, order=order,
             on_duplicate=on_duplicate, allow_missing_columns=allow_missing_columns,
         )
-        return self.publish(merged, committed_at, "MERGE")
+        return self.publish(merged, committed_at, "MERGE", info)
 
     def size_bytes(self, version: int | None = None) -> int:
         v = version if version is not None else self.latest_version()

@@ -55,9 +55,8 @@ def pos_upsert_stream(spark: SparkSession, landing: str, table_path: str, checkp
         done = {c.get("batch_id") for c in table.commits()}
         if batch_id in done:  # replay of a committed batch
             return
-        table.upsert(cleaned, ["transaction_id"], committed_at=None)
-        # record which micro-batch produced the latest version
-        _tag_last_commit(table, batch_id)
+        # the commit record names the micro-batch, atomically with the version
+        table.upsert(cleaned, ["transaction_id"], committed_at=None, info={"batch_id": batch_id})
 
     q = (
         bronze.writeStream.foreachBatch(apply)
@@ -69,19 +68,6 @@ def pos_upsert_stream(spark: SparkSession, landing: str, table_path: str, checkp
     return table
 
 
-def _tag_last_commit(table: SnapshotTable, batch_id: int) -> None:
-    import json
-
-    cs = table.commits()
-    rec = dict(cs[-1], batch_id=batch_id)
-    p = table._p(table._commit_rel(rec["version"]))
-    out = table._fs.create(p, True)
-    try:
-        out.write(bytearray(json.dumps(rec).encode("utf-8")))
-    finally:
-        out.close()
-
-
 def stream_pos_upsert(spark: SparkSession, sf: str) -> DataFrame:
     land = scratch_path(spark, "stream_pos_landing")
     files.write_csv_feed(feeds.raw_pos(spark, sf), land, files=4)

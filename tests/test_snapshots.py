@@ -50,3 +50,12 @@ def test_compact_and_zorder(spark, tmp_table, sf):
              .agg((F.max("l_partkey") - F.min("l_partkey")).alias("s")).collect())
     full = li.agg(F.max("l_partkey") - F.min("l_partkey")).first()[0]
     assert len(spans) > 1 and sum(r["s"] for r in spans) / len(spans) < 0.75 * full
+
+
+def test_commit_info_written_with_the_version(spark, tmp_table):
+    t = SnapshotTable(spark, tmp_table)
+    df = spark.createDataFrame([("a", 1)], "id string, v int")
+    t.upsert(df, ["id"], committed_at="2024-01-01T00:00:00", info={"batch_id": 7})
+    t.upsert(df, ["id"], committed_at="2024-01-02T00:00:00", info={"batch_id": 8})
+    assert [(c["version"], c["batch_id"], c["operation"]) for c in t.commits()] == [
+        (1, 7, "CREATE"), (2, 8, "MERGE")]
