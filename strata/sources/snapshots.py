@@ -151,6 +151,11 @@ class SnapshotTable:
         v = version if version is not None else self.latest_version()
         return int(self._fs.getContentSummary(self._Path(self._vdir(v))).getLength())
 
+    def _file_count(self, version: int) -> int:
+        """Data files of a version (a metadata listing, no job)."""
+        st = self._fs.listStatus(self._Path(self._vdir(version)))
+        return sum(1 for f in st if f.getPath().getName().endswith(".parquet"))
+
     def _files_for(self, target_file_bytes: int) -> int:
         return max(1, math.ceil(self.size_bytes() / target_file_bytes))
 
@@ -159,7 +164,7 @@ class SnapshotTable:
         (``coalesce`` when shrinking the file count: no shuffle)."""
         df = self.read()
         n = self._files_for(target_file_bytes)
-        cur = df.rdd.getNumPartitions()
+        cur = self._file_count(self.latest_version())
         out = df.coalesce(n) if n < cur else df.repartition(n)
         return self.publish(out, committed_at, "OPTIMIZE")
 
