@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import default_partitions, shared_dir
+from strata.session import shared_dir
 
 
 def with_dense_keys(
@@ -28,9 +28,15 @@ def with_dense_keys(
     new business keys and ``offset = max(existing sk)``."""
     spark = df.sparkSession
     shared_dir(spark)  # checkpoint() below needs the shared folder
-    n = num_partitions or default_partitions(spark)
+    # Without an explicit count AQE may coalesce the range partitions; it only
+    # merges adjacent ones, so partition order is still key order, and the
+    # checkpoint below fixes which rows each partition holds.
+    by_range = (
+        df.repartitionByRange(num_partitions, F.col(key)) if num_partitions
+        else df.repartitionByRange(F.col(key))
+    )
     ranged = (
-        df.repartitionByRange(n, F.col(key))
+        by_range
         .sortWithinPartitions(F.col(key))
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())

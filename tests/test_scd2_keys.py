@@ -18,6 +18,20 @@ def test_dense_keys_equal_global_row_number(spark):
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.collect()))
 
 
+def test_dense_keys_with_coalesced_range_partitions(spark):
+    # no explicit count: AQE may merge adjacent ranges; keys stay the global rank
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        df = spark.range(0, 3000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("bk"))
+        out = with_dense_keys(df, "bk", "sk")
+        got = sorted(map(tuple, out.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    ref = df.withColumn("sk", F.row_number().over(Window.orderBy("bk")))
+    assert got == sorted(map(tuple, ref.collect()))
+
+
 def test_dense_keys_plan_has_no_single_partition_exchange_on_rows(spark):
     df = spark.range(0, 1000).select(F.col("id").cast("string").alias("bk"))
     plan = with_dense_keys(df, "bk", "sk", num_partitions=4)._jdf.queryExecution().executedPlan().toString()
