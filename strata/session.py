@@ -42,7 +42,3 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared dir for one run's tables."""
     return f"{shared_dir(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def default_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
