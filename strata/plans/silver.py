@@ -107,25 +107,26 @@ def split_rejects(bronze: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
 def pos_outcomes(bronze: DataFrame) -> DataFrame:
     """Where every bronze row went: (outcome, rows). Outcomes: accepted, the
     reject reasons, duplicate (lost the dedupe), null_transaction_id. The rows
-    add up to the bronze row count. Three aggregations, each pre-aggregated
-    map-side; no row-level data reaches the driver."""
+    add up to the bronze row count. Two passes over bronze (the dedupe and
+    one grouping by id), each pre-aggregated map-side; no row-level data
+    reaches the driver."""
     per = (
         pos_typed(pos_deduped(bronze))
         .groupBy(F.coalesce(F.col("_reject_reason"), F.lit("accepted")).alias("outcome"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    nulls = bronze.agg(
-        F.lit("null_transaction_id").alias("outcome"),
-        F.count_if(F.col("transaction_id").isNull()).alias("rows"),
-    )
-    dups = (
-        bronze.filter(F.col("transaction_id").isNotNull())
-        .groupBy("transaction_id")
-        .agg(F.count(F.lit(1)).alias("_k"))
-        .agg(F.lit("duplicate").alias("outcome"),
-             F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).alias("rows"))
-    )
-    return per.unionByName(nulls).unionByName(dups).select(
+    # NULL ids and losers of the dedupe from one grouping of bronze by id
+    # (the NULL group, however large, is pre-aggregated map-side).
+    k = F.col("_k")
+    by_id = bronze.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("_k"))
+    other = by_id.agg(
+        F.coalesce(F.sum(F.when(F.col("transaction_id").isNull(), k)), F.lit(0)).alias("_null"),
+        F.coalesce(F.sum(F.when(F.col("transaction_id").isNotNull(), k - 1)), F.lit(0)).alias("_dup"),
+    ).select(F.inline(F.array(
+        F.struct(F.lit("null_transaction_id").alias("outcome"), F.col("_null").alias("rows")),
+        F.struct(F.lit("duplicate").alias("outcome"), F.col("_dup").alias("rows")),
+    )))
+    return per.unionByName(other).select(
         "outcome", F.col("rows").cast("long").alias("rows")
     )
 
