@@ -88,12 +88,12 @@ def fact_sales(spark: SparkSession, sf: str, pos: DataFrame | None = None) -> Da
 
 
 # ---- customer snapshots for the SCD2 scenario ---------------------------
-def customers_day1(spark: SparkSession, sf: str) -> DataFrame:
+def customers_day1(spark: SparkSession, sf: str, silver: DataFrame | None = None) -> DataFrame:
     """The customer snapshot as first delivered: customers who had signed up
     before CHANGE_AT, with the attribute values they had then (dirt rules by
     key: some lived elsewhere, some had no email yet, some had a city that
     was later removed)."""
-    c = silver_customers(spark, sf)
+    c = silver if silver is not None else silver_customers(spark, sf)
     k = F.substring(F.col("customer_id"), 2, 20).cast("long")
     return c.filter(F.col("signup_date") < F.lit(CHANGE_AT).cast("timestamp_ntz")).withColumns(
         {
@@ -105,9 +105,9 @@ def customers_day1(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def customers_day2(spark: SparkSession, sf: str) -> DataFrame:
+def customers_day2(spark: SparkSession, sf: str, silver: DataFrame | None = None) -> DataFrame:
     """The full current snapshot; a few customers lose their city."""
-    c = silver_customers(spark, sf)
+    c = silver if silver is not None else silver_customers(spark, sf)
     k = F.substring(F.col("customer_id"), 2, 20).cast("long")
     return c.withColumn(
         "city", F.when(k % 40 == 1, F.lit(None).cast("string")).otherwise(F.col("city"))

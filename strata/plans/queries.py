@@ -133,9 +133,12 @@ def q_fact_sales(spark, sf):
 
 
 def _customer_history(spark, sf) -> DataFrame:
-    v1 = scd2_initial(L.customers_day1(spark, sf), "customer_id", "customer_sk",
+    # both snapshots derive from silver customers: materialise it once (as
+    # the daily job writes it) rather than re-deriving it for every pass
+    c = L.silver_customers(spark, sf).checkpoint(eager=True)
+    v1 = scd2_initial(L.customers_day1(spark, sf, c), "customer_id", "customer_sk",
                       gold.CUSTOMER_ATTRS, L.HISTORY_START, bk_out="customer_bk")
-    return scd2_merge(v1, L.customers_day2(spark, sf), "customer_bk", "customer_sk",
+    return scd2_merge(v1, L.customers_day2(spark, sf, c), "customer_bk", "customer_sk",
                       gold.CUSTOMER_ATTRS, L.CHANGE_AT, source_bk="customer_id")
 
 
