@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
+from strata.plans import layers as L
 from strata.plans import silver
 from strata.sources import files
 from strata.sources.snapshots import SnapshotTable
@@ -152,3 +153,12 @@ def test_strict_mode_drops_invalid_methods_and_dates(spark):
     assert silver.clean_transactions(bronze(spark, data), AS_OF).count() == 5
     strict = silver.clean_transactions(bronze(spark, data), AS_OF, strict=True)
     assert sorted(r["transaction_id"] for r in strict.collect()) == ["T001", "T002", "T003"]
+
+
+def test_reject_report_reads_bronze_twice(spark, sf):
+    # the dedupe pass and one grouping by id (NULL ids and losers together)
+    out = silver.pos_outcomes(L.bronze_pos(spark, sf))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 2
+    rows = dict(map(tuple, out.collect()))
+    assert sum(rows.values()) == L.bronze_pos(spark, sf).count()
