@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import zlib
+
+from pyspark.sql import functions as F
+
+from strata.llm import language_id as g
+from strata.llm.queries import op9_language_id
+from tests.llm.conftest import SF
+
+
+def test_query_on_the_whole_table(spark, docs):
+    found = {r["doc_id"]: r for r in op9_language_id(spark, SF).collect()}
+    rows = docs.collect()
+    assert len(found) == len(rows)
+    langs = {r["lang"] for r in rows}
+    right = total = 0
+    for r in rows:
+        out = found[r["doc_id"]]
+        assert out["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+        assert 0 <= out["score"] <= 1 and out["lang_pred"] in langs
+        if out["held_out"]:
+            total, right = total + 1, right + (out["lang_pred"] == r["lang"])
+    assert right / total > 0.95
+
+
+def test_held_out_rows_and_other_columns_teach_nothing(spark, docs):
+    a = g.fit(docs)
+    held = g.held_out(F.col("doc_id"))
+    other = docs.withColumn("lang", F.when(held, F.lit("xx")).otherwise(F.col("lang"))).withColumn("source", F.lit("z"))
+    b = g.fit(other)
+    assert a.langs == b.langs and (a.logp == b.logp).all() and (a.prior == b.prior).all()
+    assert g.fit(docs.repartition(7)).predict("the text of the day") == a.predict("the text of the day")
+
+
+def test_sample_of_many_documents_is_bounded(docs):
+    few = g.fit(docs, docs_per_lang=5)
+    assert few.langs == g.fit(docs).langs
+    assert few.predict(docs.filter("lang = 'de'").first()["text"])[0] == "de"
+
+
+def test_edges(spark, edge_docs, no_docs):
+    m = g.fit(edge_docs)
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in g.predicted(edge_docs, m).collect()}
+    from tests.llm.conftest import EDGES
+
+    for i, t in enumerate(EDGES):
+        letters = any(c.isalpha() for c in t or "")
+        assert found[i] == ("en", 1.0) if letters else ("und", 0.0)
+    none = g.fit(no_docs)
+    assert none.langs == [] and none.predict("text") == ("und", 0.0)
+    assert g.predicted(no_docs, m).collect() == []
+
+
+def test_long_texts_are_scored_in_parts(docs, monkeypatch):
+    m = g.fit(docs)
+    text = docs.filter("lang = 'fr'").orderBy(F.length("text").desc()).first()["text"]
+    whole = m.predict(text)
+    monkeypatch.setattr(g, "_CHUNK", 100)
+    assert m.predict(text)[0] == whole[0] == "fr"
+
+
+def test_with_language_keeps_the_rows(docs):
+    m = g.fit(docs)
+    out = g.with_language(docs, m)
+    assert out.count() == docs.count() and out.columns == [*docs.columns, "_lang"]
