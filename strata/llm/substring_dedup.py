@@ -216,9 +216,8 @@ def _packed(doc: np.ndarray, key: np.ndarray, pos: np.ndarray) -> tuple[np.ndarr
 
 
 def repeated_starts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, key (a hash of the text) and ``starts``: lists of int32 bytes,
-    the word numbers at which windows start that also start in a document
-    with a smaller id."""
+    """doc_id, key (a hash of the text) and ``starts``, the word numbers at which
+    windows start that also start in a document with a smaller id."""
     if not 0 < gram <= window:
         raise ValueError("a gram is a part of a window")
     rows = text_bytes(df, id_col, text_col).withColumn("key", F.xxhash64("text"))
@@ -255,7 +254,9 @@ def repeated_starts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             known = b.column("known").is_valid().to_numpy(zero_copy_only=False)
             if known.any():
                 k = b.filter(pa.array(known))
-                yield pa.RecordBatch.from_arrays([k.column("doc_id"), k.column("key"), k.column("known")], names=["doc_id", "key", "starts"])
+                many_ = [len(x) // 4 for x in k.column("known").to_pylist()]
+                pos = np.frombuffer(b"".join(k.column("known").to_pylist()), np.int32)
+                yield _starts([(*(np.repeat(k.column(c).to_numpy(zero_copy_only=False), many_) for c in ("doc_id", "key")), pos)])
                 b = b.filter(pa.array(~known))
                 if not b.num_rows:
                     continue
@@ -278,12 +279,15 @@ def repeated_starts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield _starts(held)
 
     found = rows.mapInArrow(candidates, _WINDOW_ROW).repartition("h1").sortWithinPartitions("h1", "h2", "doc_id")
-    return found.mapInArrow(group, "doc_id long, key long, starts binary").groupBy("doc_id", "key").agg(F.collect_list("starts").alias("starts"))
+    # a row a window; the grouping combines those of a document before its shuffle
+    return found.mapInArrow(group, "doc_id long, key long, pos int").groupBy("doc_id", "key").agg(F.collect_list("pos").alias("starts"))
 
 
 def _starts(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    d, k, packed = _packed(*(np.concatenate(x) for x in zip(*held)))
-    return pa.RecordBatch.from_arrays([pa.array(d), pa.array(k), pa.array(packed, pa.binary())], names=["doc_id", "key", "starts"])
+    """Positions in order of their document, so that equal keys are neighbours."""
+    doc, key, pos = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort((key, doc))
+    return pa.RecordBatch.from_arrays([pa.array(doc[order]), pa.array(key[order]), pa.array(pos[order], pa.int32())], names=["doc_id", "key", "pos"])
 
 
 def removed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, keep_text: bool = False) -> DataFrame:
@@ -300,7 +304,7 @@ def removed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
                 n.append(len(words))
                 if starts:
                     cover = np.zeros(len(words) + 1, np.int64)
-                    at = np.unique(np.frombuffer(b"".join(starts), np.int32))
+                    at = np.unique(np.array(starts, np.int64))
                     cover[at] += 1
                     np.subtract.at(cover, at + window, 1)
                     stay = np.cumsum(cover[:-1]) == 0
