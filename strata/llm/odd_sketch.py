@@ -13,7 +13,11 @@ component of the links.
    population count estimates high similarities precisely. Pairs that share
    a band and whose estimate reaches ``ESTIMATE`` (over five standard
    deviations below the threshold) are checked on their full sets.
-4. Star round: each class is checked against the least class of the bucket
+4. Before that, a second parity bitmap, of the whole set, drops pairs without
+   loss: the population count of the XOR never exceeds |A ^ B|, and linked
+   sets have 9 * |A ^ B| <= |A| + |B|. It has 4 bits a shingle (512 to 65,536
+   in all), so pairs a little below the threshold go here already.
+5. Star round: each class is checked against the least class of the bucket
    that it shares most often; the links found already join most of a group.
    Then only buckets that still hold several components are searched, in
    blocks of bounded size: first the best pair of each class, and at last
@@ -109,6 +113,27 @@ def odd_sketches(mins: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(cell.ravel(), minlength=len(mins) * BITS) & 1).astype(np.uint8)).reshape(len(mins), BITS // 8)
 
 
+def parity_bits(n: int) -> int:
+    """Size of the bitmap of a whole set: a power of two."""
+    return 1 << min(16, max(9, (4 * n - 1).bit_length()))
+
+
+def parity(s: np.ndarray) -> bytes:
+    """The parity of the shingles that hash to each bit. A bitmap folded in
+    half (XOR of the halves) is that of half the size."""
+    n = parity_bits(len(s))
+    bit = (mix64(s ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(n - 1)).astype(np.int64)
+    return np.packbits((np.bincount(bit, minlength=n) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(bitmap: bytes, size: int) -> np.ndarray:
+    """A bitmap as 64-bit words, folded to ``size`` bits."""
+    x = np.frombuffer(bitmap, np.uint64)
+    while len(x) * 64 > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
 def likeness(different_bits) -> float:
     """Estimated Jaccard likeness from the population count of the XOR."""
     x = np.minimum(np.asarray(different_bits, float), BITS / 2 - 0.5)
@@ -173,20 +198,35 @@ def _checked(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _with_parity(rows: DataFrame) -> DataFrame:
+    """(doc_id, text) with the bitmap of the whole set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches):
+            sets, at = shingle_sets(*raw(b.column("text")))
+            bitmaps = [parity(sets[x:y]) for x, y in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bitmaps, pa.binary())], names=["doc_id", "text", "parity"])
+
+    return rows.mapInArrow(run, "doc_id long, text binary, parity binary")
+
+
 def _set(text: bytes) -> np.ndarray:
     data = np.frombuffer(text, np.uint8)
     return shingle_sets(data, np.array([0, len(data)]))[0]
 
 
 def _across(rows: DataFrame, best_only: bool) -> DataFrame:
-    """Pairs across components inside a bucket that the sketches let pass.
+    """Pairs across components inside a bucket that both bitmaps let pass.
     ``rows``: key, own_block, i, j (a pair of blocks), doc_id, component,
-    n_shingles, sketch, dealt and sorted by (key, i, j)."""
+    n_shingles, sketch, parity, dealt and sorted by (key, i, j)."""
 
     def pairs(group: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         t = pa.Table.from_batches(group)
         ids, comp, n = (t.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
         bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(ids), BITS // 64)
+        bitmaps = t.column("parity").to_pylist()
+        size = np.array([8 * len(x) for x in bitmaps])
+        levels: dict[int, np.ndarray] = {}
         side, i, j = t.column("own_block").to_numpy(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
         left = np.flatnonzero(side == i)
         right = left if i == j else np.flatnonzero(side == j)
@@ -198,6 +238,16 @@ def _across(rows: DataFrame, best_only: bool) -> DataFrame:
                 continue
             d = np.bitwise_count(bits[ok] ^ bits[x]).sum(axis=1)
             ok, d = ok[d <= MOST_BITS], d[d <= MOST_BITS]
+            keep = np.zeros(len(ok), bool)
+            common = np.minimum(size[ok], size[x])
+            for n_bits in np.unique(common).tolist():
+                if n_bits not in levels:
+                    zero = np.zeros(n_bits // 64, np.uint64)
+                    levels[n_bits] = np.stack([folded(y, n_bits) if 8 * len(y) >= n_bits else zero for y in bitmaps])
+                at = np.flatnonzero(common == n_bits)
+                apart = np.bitwise_count(levels[n_bits][ok[at]] ^ levels[n_bits][x]).sum(axis=1, dtype=np.int64)
+                keep[at] = apart * (100 + THRESHOLD) <= (100 - THRESHOLD) * (n[ok[at]] + n[x])
+            ok, d = ok[keep], d[keep]
             if not len(ok):
                 continue
             if best_only:
@@ -235,7 +285,7 @@ def _across(rows: DataFrame, best_only: bool) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def _buckets_to_search(members: DataFrame, labels: DataFrame, feats: DataFrame) -> DataFrame:
+def _buckets_to_search(members: DataFrame, labels: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """The rows of buckets with several components, in pairs of blocks. The
     classes of the pivot's component need not meet each other: blocks of
     theirs meet the blocks of the others, and those meet among themselves."""
@@ -260,7 +310,7 @@ def _buckets_to_search(members: DataFrame, labels: DataFrame, feats: DataFrame)
     all_ = F.sequence(F.lit(0).cast("long"), F.col("b1") + F.col("b2") - 1)
     rows = rows.withColumn("with", F.explode(F.when(F.col("is_main"), others).otherwise(all_)))
     rows = rows.select("key", "own_block", F.least("own_block", "with").alias("i"), F.greatest("own_block", "with").alias("j"), "doc_id", "component")
-    rows = rows.join(feats.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    rows = rows.join(bitmaps, "doc_id")
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
@@ -277,8 +327,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = written(buckets.join(pivots, "key"), "near-members")
 
     near = members.select("doc_id").distinct()
-    texts = written(text_bytes(df, id_col, text_col).join(near, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "near-texts")
-    sketches = first.select("doc_id", "n_shingles", "sketch")
+    texts = written(_with_parity(text_bytes(df, id_col, text_col).join(near, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-texts")
+    bitmaps = written(first.select("doc_id", "n_shingles", "sketch").join(texts.select("doc_id", "parity"), "doc_id"), "near-bitmaps")
 
     star = members.filter("doc_id <> pivot").groupBy("doc_id", "pivot").agg(F.count(F.lit(1)).alias("n"))
     star = star.groupBy("doc_id").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("pivot"))
@@ -286,7 +336,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     edges = written(_checked(tested, texts, threshold), "near-edges")
     labels = written(components(edges), "near-labels")
     for best_only in (True, False):
-        rows = _buckets_to_search(members, labels, sketches)
+        rows = _buckets_to_search(members, labels, bitmaps)
         pairs = written(_across(rows, best_only).join(tested, ["a", "b"], "left_anti"), "near-pairs")
         if pairs.take(1):
             found = written(_checked(pairs, texts, threshold), "near-edges")

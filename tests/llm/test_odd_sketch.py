@@ -67,6 +67,20 @@ def test_sketch_estimates_high_likeness():
         assert abs(float(o.likeness(np.unpackbits(s[0] ^ s[1]).sum())) - true) < 0.1
 
 
+def test_whole_set_bitmaps_bound_the_difference_from_below():
+    rng = np.random.default_rng(9)
+    for n in (1, 5, 100, 130, 500, 5000, 30_000):
+        a = np.unique(rng.integers(1, 1 << 62, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: int(0.9 * n)], rng.integers(1, 1 << 62, n // 9 + 1, dtype=np.uint64)]))
+        x, y = o.parity(a), o.parity(b)
+        size = 8 * min(len(x), len(y))
+        apart = int(np.bitwise_count(o.folded(x, size) ^ o.folded(y, size)).sum())
+        true = len(np.setxor1d(a, b))
+        assert apart <= true and (apart - true) % 2 == 0
+        if n <= 5000:
+            assert apart >= 0.8 * true - 2
+
+
 def test_components_of_paths_hubs_and_loops(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(900 + i, 900) for i in range(1, 200)] + [(5, 5), (7, 6), (6, 7), (160, 900)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
