@@ -146,12 +146,16 @@ def predicted(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def with_language(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``df`` with one more column ``_lang`` (struct of lang_pred and score)."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    from pyspark.sql import types as T
 
-    @F.pandas_udf("struct<lang_pred:string,score:double>")
-    def predict(col):
-        import pandas as pd
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
 
-        return pd.DataFrame([shared.value.predict(t) for t in col], columns=["lang_pred", "score"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in pieces(batches, text_col):
+            found = [dict(zip(("lang_pred", "score"), m.predict(t))) for t in b.column(text_col).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, kind)], names=[*b.schema.names, "_lang"])
 
-    return df.withColumn("_lang", predict(F.col(text_col).cast("string")))
+    lang = T.StructType().add("lang_pred", "string").add("score", "double")
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("_lang", lang)]))

@@ -172,10 +172,11 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
 
 def redacted(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with the secrets of ``text_col`` masked; all else is kept."""
-    from pyspark.sql import functions as F
 
-    @F.pandas_udf("string")
-    def mask(col):
-        return col.map(lambda t: t if t is None else redact(t, spans(t)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, text_col):
+            masked = [t if t is None else redact(t, spans(t)) for t in b.column(text_col).to_pylist()]
+            i = b.schema.get_field_index(text_col)
+            yield b.set_column(i, b.schema.field(i), pa.array(masked, b.schema.field(i).type))
 
-    return df.withColumn(text_col, mask(F.col(text_col).cast("string")))
+    return df.mapInArrow(run, df.schema)
