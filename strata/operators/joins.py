@@ -1,120 +1,34 @@
-"""Lookup joins with a checked broadcast and hot-NULL handling, and the
-SCD2 point-in-time lookup."""
+"""Lookup joins with hot-NULL handling, and the SCD2 point-in-time lookup.
 
-from __future__ import annotations
+No side is hinted or measured by a job: Spark broadcasts a side whose size it
+knows (file sizes, or the measured shuffle under adaptive execution) to be
+under ``spark.sql.autoBroadcastJoinThreshold``, and splits hot keys of a
+sort-merge join at run time."""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType, BinaryType, BooleanType, ByteType, DateType, DecimalType, FloatType, IntegerType,
-    MapType, ShortType, StringType, StructType,
-)
-
-# Default bounds under which a lookup side is broadcast: rows and bytes, both
-# proven by reading at most the row bound (never assumed from estimates). The
-# session settings ``strata.maxBroadcastRows`` / ``strata.maxBroadcastBytes``
-# override them (0 = never broadcast).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
-BROADCAST_ROWS_CONF = "strata.maxBroadcastRows"
-BROADCAST_BYTES_CONF = "strata.maxBroadcastBytes"
-
-
-def broadcast_row_bound(spark) -> int:
-    return int(spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
-
-
-def broadcast_byte_bound(spark) -> int:
-    return int(spark.conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_BROADCAST_BYTES)))
-
-
-def _fixed_width(t) -> int:
-    if isinstance(t, (BooleanType, ByteType)):
-        return 1
-    if isinstance(t, ShortType):
-        return 2
-    if isinstance(t, (IntegerType, DateType, FloatType)):
-        return 4
-    if isinstance(t, DecimalType):
-        return 8 if t.precision <= 18 else 16
-    return 8 if t.typeName() in ("long", "double", "timestamp", "timestamp_ntz") else 16
-
-
-def row_bytes(df: DataFrame) -> Column:
-    """Size of each row measured from its values: fixed-width columns by
-    their width, strings and binaries by their byte length, nested values by
-    the length of their JSON text, plus 8 bytes per field and 16 per row of
-    row overhead (null bits, offsets, hash-table entry)."""
-    parts = []
-    for f in df.schema.fields:
-        c, t = F.col(f"`{f.name}`"), f.dataType
-        if isinstance(t, (StringType, BinaryType)):
-            size = F.coalesce(F.octet_length(c), F.lit(0))
-        elif isinstance(t, (ArrayType, MapType, StructType)):
-            size = F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
-        else:
-            size = F.lit(_fixed_width(t))
-        parts.append(size.cast("long") + 8)
-    return reduce(lambda a, b: a + b, parts, F.lit(16).cast("long"))
 
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
-) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows holding at most
-    ``max_bytes`` bytes.
-
-    One job over ``limit(max_rows + 1)``: it stops reading once the row bound
-    is passed, so the check costs at most ``max_rows`` rows whatever the size,
-    and sums the measured row sizes of what it read (two scalars reach the
-    driver)."""
-    spark = df.sparkSession
-    if max_rows is None:
-        max_rows = broadcast_row_bound(spark)
-    if max_bytes is None:
-        max_bytes = broadcast_byte_bound(spark)
-    if max_rows <= 0 or max_bytes <= 0:
-        return False
-    n, b = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
-    return n <= max_rows and (b or 0) <= max_bytes
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    fact_key: str,
-    dim_key: str,
-    how: str = "left",
-    max_broadcast_rows: int | None = None,
-    null_salt: int = 64,
-) -> DataFrame:
+def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "left") -> DataFrame:
     """``fact LEFT JOIN dim ON fact_key = dim_key`` without a hot partition.
 
-    A dimension under ``max_broadcast_rows`` rows is broadcast (size checked,
-    not assumed). Otherwise it is a shuffle join; NULL fact keys cannot match
-    but would all hash to one reducer, so they are spread over ``null_salt``
-    distinct non-matching keys first, chosen by a hash of the row so a retried
-    task routes rows the same way (AQE skew splitting covers hot non-NULL
-    keys)."""
-    if fits_broadcast(dim, max_broadcast_rows):
-        return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], how)
+    NULL fact keys cannot match but would all hash to one reducer, so they
+    are spread over as many distinct non-matching keys as there are shuffle
+    partitions, chosen by a hash of the row so a retried task routes rows the
+    same way."""
     if how not in ("left", "left_outer"):
         return fact.join(dim, fact[fact_key] == dim[dim_key], how)
-    f2, d2, salted = _spread_null_keys(fact, dim, fact_key, null_salt)
+    f2, d2, salted = _spread_null_keys(fact, dim, fact_key)
     return f2.join(d2, (f2[fact_key] == d2[dim_key]) & salted, "left").drop("_salt", "_dsalt")
 
 
-def _spread_null_keys(fact: DataFrame, dim: DataFrame, fact_key: str, null_salt: int):
+def _spread_null_keys(fact: DataFrame, dim: DataFrame, fact_key: str):
     """Join on (key, salt): dimension rows carry salt 0, fact rows with a key
-    too; NULL-key fact rows get salt 1..null_salt from a hash of the row, so
-    they spread over many reducers (and never match). A hash, not a random
-    number, so a retried task routes every row the same way."""
+    too; NULL-key fact rows get salt 1..shuffle partitions from a hash of the
+    row, so they spread over all reducers (and never match)."""
+    null_salt = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.when(
         F.col(fact_key).isNull(),
         F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(null_salt)) + 1,
@@ -132,19 +46,13 @@ def point_in_time_join(
     fact_ts: str,
     valid_from: str = "_valid_from",
     valid_to: str = "_valid_to",
-    max_broadcast_rows: int | None = None,
-    null_salt: int = 64,
 ) -> DataFrame:
     """SCD2 as-of lookup: the dimension version whose ``[valid_from,
     valid_to)`` holds the fact time. An equi-join on the business key with a
     range residual, so the work per key is bounded by that key's history.
-    Beyond the broadcast bound it is a shuffle join in which NULL fact keys
-    (sales without a customer, possibly a large share) are spread as in
-    ``lookup_join``."""
-    if fits_broadcast(dim, max_broadcast_rows):
-        f, d, salted = fact, F.broadcast(dim), F.lit(True)
-    else:
-        f, d, salted = _spread_null_keys(fact, dim, fact_key, null_salt)
+    NULL fact keys (sales without a customer, possibly a large share) are
+    spread as in ``lookup_join``."""
+    f, d, salted = _spread_null_keys(fact, dim, fact_key)
     cond: Column = (
         (f[fact_key] == d[dim_key])
         & salted

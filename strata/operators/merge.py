@@ -18,16 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import dedupe_latest, duplicate_keys
-from strata.operators.joins import fits_broadcast
-
 
 
 def validate_merge_key(df: DataFrame, merge_key: list[str]) -> None:
     if not merge_key:
-        raise ValueError("merge_key must contain at least one column name")
+        raise ValueError("a merge needs one key column or more")
     missing = [c for c in merge_key if c not in df.columns]
     if missing:
-        raise ValueError(f"merge_key columns not in DataFrame: {missing}")
+        raise ValueError(f"no such key columns: {missing}")
 
 
 def prepare_source(
@@ -56,23 +54,33 @@ def merge_upsert(
     order: list[Column] | None = None,
     on_duplicate: str = "dedupe",
     allow_missing_columns: bool = False,
-    max_broadcast_rows: int | None = None,
+    latest: list[Column] | None = None,
 ) -> DataFrame:
     """Upsert ``source`` into ``target`` on ``merge_key``.
 
-    The anti-join only carries the key columns of the source; when the source
-    key set is small (checked) it is broadcast, so the big target is scanned
-    once and never shuffled."""
+    The anti-join only carries the key columns of the source, which Spark
+    broadcasts if it knows them to be small. With ``latest`` a matched key
+    keeps the first of the target's and the source's row under that order
+    (a late delivery does not overwrite a newer row); without it the source
+    wins. The source is read several times: pass a table, not a long plan."""
     validate_merge_key(target, merge_key)
     src = prepare_source(source, merge_key, order, on_duplicate)
     keys = src.select(*merge_key)
-    if fits_broadcast(keys, max_broadcast_rows):
-        keys = F.broadcast(keys)
+    if latest is not None:
+        if null_safe:
+            raise ValueError("latest is for keys without NULLs")
+        some = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in merge_key])
+        keys = keys.filter(some).distinct()
+        rivals = target.join(keys, merge_key, "left_semi").unionByName(src.filter(some), allowMissingColumns=allow_missing_columns)
+        src = dedupe_latest(rivals, merge_key, latest).unionByName(src.filter(~some), allowMissingColumns=allow_missing_columns)
     if null_safe:
         cond = reduce(
             lambda a, b: a & b, [target[k].eqNullSafe(keys[k]) for k in merge_key]
         )
         kept = target.join(keys, cond, "left_anti")
     else:
-        kept = target.join(keys, merge_key, "left_anti")
+        # a NULL key never matches: such rows stay without a shuffle
+        some = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in merge_key])
+        kept = target.filter(some).join(keys, merge_key, "left_anti").select(*target.columns)
+        kept = kept.unionByName(target.filter(~some))
     return kept.unionByName(src, allowMissingColumns=allow_missing_columns)

@@ -1,132 +1,92 @@
 """Gap-based sessions (a new session starts after more than ``gap`` of
 inactivity), computed so that one very active user is not one task.
 
-Plain ``lag(ts) OVER (PARTITION BY user ORDER BY ts)`` puts all events of a
-user in one task. Here the window partition is (user, time bucket):
-
-1. inside each bucket, ``lag`` gives the gap to the previous event and a
-   running "last start" the latest in-bucket session start (the only pass
-   that sorts event rows);
-2. the events are pre-aggregated into pieces, one per (user, bucket,
-   in-bucket session): at most bucket/gap + 2 per bucket, so a user's pieces
-   are bounded by the time span, not by its number of events;
-3. a window over a user's pieces in time order finds the pieces that open a
-   session (gap from the previous piece's end) and gives every piece its
-   session start; a window over a session's pieces gives end and size;
-4. each event joins its piece on (user, bucket, in-bucket start). No window
-   or join over event rows is keyed by the user or the session alone, so
-   neither one hot user nor one endless session becomes one task.
-
-The result equals the single-window definition; ``gap`` is compared in
-microseconds, and a gap of exactly ``gap`` continues the session (the same
-rule as ``session_window``).
+Time is cut into slots of the length of the gap. Two events of a user in one
+slot are less than a gap apart, so a slot never splits:
+
+1. events are pre-aggregated into pieces, one per (user, slot), map-side; a
+   user's pieces are bounded by the time span, not by its number of events;
+2. a window over a user's pieces in time order finds the pieces that open a
+   session (more than the gap after the previous piece's end), a second one
+   gives each session's end and size;
+3. each event joins its piece on (user, slot). Both sides are tables in the
+   shared folder, so the adaptive skew join splits a hot (user, slot).
+
+No window runs over event rows. The result equals the single-window
+definition; ``gap`` is compared in microseconds, and a gap of exactly ``gap``
+continues the session (the same rule as ``session_window``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import shared_dir
+from strata.session import written
+
+SESSION_COLUMNS = {"session_start": "timestamp_ntz", "session_end": "timestamp_ntz", "session_events": "long",
+                   "session_duration_seconds": "long"}
 
 
 def _us_between(a, b):
     return F.timestamp_diff("MICROSECOND", a, b)
 
 
-def gap_sessions(
-    df: DataFrame,
-    user: str,
-    ts: str,
-    gap_seconds: int = 1800,
-    bucket: str = "hour",
-    tiebreak: list[str] | None = None,
-) -> DataFrame:
-    """Add ``session_start``, ``session_end``, ``session_events`` and
-    ``session_duration_seconds`` to every row with non-NULL ``user``/``ts``."""
-    gap_us = gap_seconds * 1_000_000
-    tb = [F.col(c) for c in (tiebreak or [])]
-    in_b = Window.partitionBy(user, "_b").orderBy(F.col(ts), *tb)
-    ev = df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()).withColumn(
-        "_b", F.date_trunc(bucket, F.col(ts))
-    )
-    # The only pass over the event rows that sorts them: the gap to the
-    # previous event in the bucket, and the latest in-bucket session start at
-    # or before each event (NULL = the event continues the bucket's head
-    # session, which may have started in an earlier bucket).
-    inner = F.col("_prev").isNotNull() & (_us_between(F.col("_prev"), F.col(ts)) > gap_us)
-    ev = ev.withColumn("_prev", F.lag(ts).over(in_b)).withColumn(
-        "_ls",
-        F.last(F.when(inner, F.col(ts)), ignorenulls=True).over(
-            in_b.rowsBetween(Window.unboundedPreceding, 0)
-        ),
-    ).drop("_prev")
-    # Read twice below (the summary and the final join): materialise once in
-    # the shared folder instead of running the upstream twice.
-    shared_dir(df.sparkSession)
-    ev = ev.checkpoint(eager=True)
-    # Everything else works on pieces: one row per (user, bucket, in-bucket
-    # session), pre-aggregated map-side. A bucket of length B holds at most
-    # B / gap + 2 pieces, so a user has at most that many per bucket of the
-    # time span however many events it has.
-    piece = ev.groupBy(user, "_b", "_ls").agg(
+def _slot(ts: str, gap_us: int) -> Column:
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
+    return F.floor(micros / gap_us)
+
+
+def _pieces(ev: DataFrame, user: str, ts: str, gap_us: int) -> DataFrame:
+    """(user, slot) pieces with their session's start, end and size."""
+    piece = ev.groupBy(user, "_slot").agg(
         F.min(ts).alias("_begin"), F.max(ts).alias("_end"), F.count(F.lit(1)).alias("_n")
     )
-    # In time order a piece opens a session iff the previous piece ended more
-    # than ``gap`` before it began (an in-bucket start by construction; a
-    # bucket's head piece by the gap to the previous bucket's last event).
     by_user = Window.partitionBy(user).orderBy("_begin")
     prev_end = F.lag("_end").over(by_user)
-    opens = F.when(prev_end.isNull() | (_us_between(prev_end, F.col("_begin")) > gap_us),
-                   F.col("_begin"))
+    opens = F.when(prev_end.isNull() | (_us_between(prev_end, F.col("_begin")) > gap_us), F.col("_begin"))
     piece = piece.withColumn(
         "session_start",
         F.last(opens, ignorenulls=True).over(by_user.rowsBetween(Window.unboundedPreceding, 0)),
     )
-    per_s = Window.partitionBy(user, "session_start")  # pieces of one session
-    piece = piece.select(
-        F.col(user).alias("_pu"), F.col("_b").alias("_pb"), F.col("_ls").alias("_pls"),
-        "session_start",
+    per_s = Window.partitionBy(user, "session_start")
+    return piece.select(
+        user, "_slot", "session_start",
         F.max("_end").over(per_s).alias("session_end"),
         F.sum("_n").over(per_s).cast("long").alias("session_events"),
     )
-    # Each event takes its piece's values: the join key is the piece, so its
-    # largest group is one user's session inside one bucket.
-    cond = (
-        (F.col(user) == F.col("_pu")) & (F.col("_b") == F.col("_pb"))
-        & F.col("_ls").eqNullSafe(F.col("_pls"))
-    )
-    return (
-        ev.join(piece, cond)
-        .withColumn(
-            "session_duration_seconds",
-            F.floor(_us_between(F.col("session_start"), F.col("session_end")) / 1_000_000).cast("long"),
-        )
-        .drop("_b", "_ls", "_pu", "_pb", "_pls")
-    )
 
 
-def sessions_summary(
-    df: DataFrame, user: str, ts: str, gap_seconds: int = 1800, bucket: str = "hour"
-) -> DataFrame:
-    """One row per session, shaped like ``session_window`` output: window
-    start = first event, window end = last event + gap, event count."""
-    s = gap_sessions(df, user, ts, gap_seconds, bucket)
-    return s.groupBy(user, "session_start").agg(
-        F.max("session_end").alias("last_event"), F.count(F.lit(1)).alias("events")
-    ).select(
-        F.col(user),
-        F.col("session_start").alias("window_start"),
-        (F.col("last_event") + F.expr(f"INTERVAL {gap_seconds} SECONDS")).alias("window_end"),
-        F.col("events"),
+def gap_sessions(df: DataFrame, user: str, ts: str, gap_seconds: int = 1800) -> DataFrame:
+    """Add ``session_start``, ``session_end``, ``session_events`` and
+    ``session_duration_seconds`` to every row; they are NULL where ``user`` or
+    ``ts`` is (such rows belong to no session and need no shuffle)."""
+    gap_us = gap_seconds * 1_000_000
+    ev = written(df.withColumn("_slot", F.when(F.col(user).isNotNull(), _slot(ts, gap_us))), "session-events")
+    own = ev.filter(F.col("_slot").isNotNull())
+    piece = written(_pieces(own, user, ts, gap_us), "session-pieces")
+    joined = own.join(piece, [user, "_slot"]).withColumn(
+        "session_duration_seconds",
+        F.floor(_us_between(F.col("session_start"), F.col("session_end")) / 1_000_000).cast("long"),
     )
+    columns = [*df.columns, *SESSION_COLUMNS]
+    types = {**SESSION_COLUMNS, "session_start": df.schema[ts].dataType, "session_end": df.schema[ts].dataType}
+    none = ev.filter(F.col("_slot").isNull()).withColumns({c: F.lit(None).cast(t) for c, t in types.items()})
+    return joined.select(*columns).unionByName(none.select(*columns))
 
 
-def session_window_counts(df: DataFrame, user: str, ts: str, gap: str = "30 minutes") -> DataFrame:
-    """Built-in ``session_window`` grouping (used by the streaming job, where
-    state is kept per key)."""
+def sessions_summary(df: DataFrame, user: str, ts: str, gap_seconds: int = 1800) -> DataFrame:
+    """One row per session, shaped like ``session_window`` output: window
+    start = first event, window end = last event + gap, event count. From the
+    pieces alone; rows without a user or a time have no session."""
+    gap_us = gap_seconds * 1_000_000
+    ev = df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()).withColumn("_slot", _slot(ts, gap_us))
     return (
-        df.groupBy(F.col(user), F.session_window(F.col(ts), gap).alias("w"))
-        .agg(F.count(F.lit(1)).alias("events"))
-        .select(user, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events")
+        _pieces(ev, user, ts, gap_us)
+        .groupBy(user, "session_start")
+        .agg(F.max("session_end").alias("_last"), F.max("session_events").alias("events"))
+        .select(
+            F.col(user), F.col("session_start").alias("window_start"),
+            (F.col("_last") + F.expr(f"INTERVAL {gap_seconds} SECONDS")).alias("window_end"), "events",
+        )
     )

@@ -1,45 +1,67 @@
 """Z-order layout: cluster rows so that files cover small ranges of several
 columns at once (Parquet row-group min/max then skip more files).
 
-Each column is mapped to a quantile bucket (boundaries from
-``approxQuantile``: a few numbers per column reach the driver), the bucket
-bits are interleaved into one long, and the data is range-partitioned and
-sorted by that value. A hash of the row is a secondary range key so one very
-common Z value can still spread over several files.
+Each column is mapped to an order-keeping number (numbers as they are, dates
+and times as microseconds, strings by their first seven bytes), that to a
+quantile bucket (boundaries from ``approxQuantile``: a few numbers a column
+reach the driver), the bucket bits are interleaved into one long, and the data
+is range-partitioned and sorted by that value. There are about four Z cells a
+file, so the layout follows the table's size. A hash of the row is a secondary
+range key, so one very common Z value can still spread over several files.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def order_key(df: DataFrame, name: str) -> Column:
+    """A double that orders (coarsely, for strings) as the column does."""
+    kind, c = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return c.cast("double")
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        origin = F.lit("1970-01-01").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", origin, c.cast("timestamp_ntz")).cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("double")
+    raise TypeError(f"column {name} of type {kind.simpleString()} has no order")
+
+
+def bits_for(num_files: int, columns: int) -> int:
+    """Bits a column, so that there are about four Z cells a file."""
+    return max(1, min(62 // columns, math.ceil((math.log2(max(1, num_files)) + 2) / columns)))
 
 
-def z_value(df: DataFrame, cols: list[str], bits: int = 4, rel_error: float = 0.001) -> Column:
-    nb = 1 << bits
-    probs = [i / nb for i in range(1, nb)]
-    qs = df.approxQuantile(cols, probs, rel_error)
-    buckets = []
-    for c, bounds in zip(cols, qs):
-        b = F.lit(0)
-        for q in sorted(set(bounds)):
-            b = b + F.when(F.col(c) > F.lit(q), 1).otherwise(0)
-        buckets.append(b.cast("long"))
+def z_value(df: DataFrame, cols: list[str], bits: int, rel_error: float | None = None) -> Column:
+    """``df`` holds the order keys as ``_k0``, ``_k1`` ... (NULL: bucket 0)."""
+    n = 1 << bits
+    keys = [f"_k{i}" for i in range(len(cols))]
+    found = df.approxQuantile(keys, [i / n for i in range(1, n)], rel_error or 1 / (4 * n))
     z = F.lit(0).cast("long")
-    k = len(cols)
-    for bit in range(bits):
-        for j, b in enumerate(buckets):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(b, bit).bitwiseAND(1), bit * k + j))
+    for j, (key, bounds) in enumerate(zip(keys, found)):
+        cuts = F.array(*[F.lit(float(q)) for q in sorted(set(bounds))]) if bounds else F.array().cast("array<double>")
+        below = F.filter(cuts, lambda q: q < F.col(key))  # noqa: B023  (built at once)
+        bucket = F.when(F.col(key).isNull(), 0).otherwise(F.size(below)).cast("long")
+        for bit in range(bits):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(bucket, bit).bitwiseAND(1), bit * len(cols) + j))
     return z
 
 
-def zorder_layout(df: DataFrame, cols: list[str], num_files: int, bits: int = 4) -> DataFrame:
+def zorder_layout(df: DataFrame, cols: list[str], num_files: int, bits: int | None = None) -> DataFrame:
     if not cols:
         raise ValueError("zorder needs at least one column")
-    z = z_value(df, cols, bits)
+    bits = bits or bits_for(num_files, len(cols))
+    keyed = df.withColumns({f"_k{i}": order_key(df, c) for i, c in enumerate(cols)})
     return (
-        df.withColumn("_z", z)
+        keyed.withColumn("_z", z_value(keyed, cols, bits))
         .withColumn("_h", F.xxhash64(*[F.col(c) for c in df.columns]))
         .repartitionByRange(num_files, "_z", "_h")
         .sortWithinPartitions("_z", *cols)
-        .drop("_z", "_h")
+        .select(*df.columns)
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.calendar import calendar_columns, date_sk
 from strata.functions.tiers import value_tier
-from strata.operators.joins import lookup_join, maybe_broadcast, point_in_time_join
+from strata.operators.joins import lookup_join, point_in_time_join
 from strata.operators.scd2 import scd2_initial
 
 CUSTOMER_ATTRS = ["name_hash", "email_hash", "city", "country", "signup_date"]
@@ -171,11 +171,7 @@ def preferred_payment(silver_pos: DataFrame) -> DataFrame:
 def build_customer_360_ext(silver_pos: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Purchase frequency (days between first and last dated purchase per
     additional purchase) and preferred product category."""
-    cats = maybe_broadcast(
-        dim_product.filter(F.col("_is_current")).select(
-            F.col("product_bk").alias("product_id"), "category"
-        )
-    )
+    cats = dim_product.filter(F.col("_is_current")).select(F.col("product_bk").alias("product_id"), "category")
     s = silver_pos.filter(F.col("customer_id").isNotNull()).join(cats, "product_id", "left")
     g = s.groupBy(F.col("customer_id").alias("customer_bk")).agg(
         F.count(F.lit(1)).alias("total_orders"),

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from strata.operators import quality
 from strata.plans import gold, silver
+from strata.session import written
 from strata.sources import files
-from strata.sources.incremental import high_water_mark, rows_after
+from strata.sources.partitioned import path_exists
+from strata.sources.incremental import new_files
 from strata.sources.snapshots import SnapshotTable
 
 
@@ -131,16 +133,25 @@ def daily_refresh(
 
 
 def hourly_incremental(spark: SparkSession, landing_pos: str, root: str, as_of) -> dict:
-    """POS bronze -> silver for rows past the silver high-water mark."""
+    """POS landing -> silver -> bronze for the files not loaded yet.
+
+    Every row of a new file is loaded, whatever its sale date; the merge keeps
+    the winner of ``silver_pos_order`` between table and batch. The list of
+    loaded files is extended last: a run that stops before is repeated by the
+    next one, with the same silver table (bronze keeps both deliveries)."""
     lh = Lakehouse(root)
-    raw = files.stamp_ingestion(
-        files.read_csv_feed(spark, landing_pos, files.raw_string_schema("bronze_pos_transactions")), as_of
-    )
+    schema = files.raw_string_schema("bronze_pos_transactions")
     target = lh.table(spark, "silver", "pos_transactions")
-    ts = F.col("sale_date").try_cast("timestamp_ntz")
-    mark = high_water_mark(target.read(), "sale_date") if target.exists() else None
-    batch = silver.clean_transactions(rows_after(raw, ts, mark), as_of)
+    bronze = f"{lh.root.rstrip('/')}/bronze/pos_transactions_log"
+    done = f"{lh.root.rstrip('/')}/bronze/pos_transactions_files"
+    loaded = spark.read.parquet(done) if target.exists() and path_exists(spark, done) else None
+    todo = new_files(files.read_csv_feed(spark, landing_pos, schema), loaded)
+    if not todo:
+        return {"version": target.latest_version(), "files": 0, "rows": 0}
+    batch = written(files.stamp_ingestion(files.read_csv_feed(spark, todo, schema), as_of), "hourly-pos")
     obs = Observation("hourly")
-    v = target.upsert(batch.observe(obs, F.count(F.lit(1)).alias("rows")), ["transaction_id"],
-                      committed_at=as_of)
-    return {"version": v, "high_water_mark": mark, "rows": obs.get["rows"]}
+    cleaned = silver.clean_transactions(batch, as_of).observe(obs, F.count(F.lit(1)).alias("rows"))
+    v = target.upsert(cleaned, ["transaction_id"], committed_at=as_of, on_duplicate="keep", latest=silver.silver_pos_order())
+    batch.write.mode("append").parquet(bronze)
+    spark.createDataFrame([(f,) for f in todo], "_source_file string").coalesce(1).write.mode("append").parquet(done)
+    return {"version": v, "files": len(todo), "rows": obs.get["rows"]}

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.plans import gold, silver
+from strata.session import written
 from strata.sources import feeds
 
 # The processing clock of every layer (injected, not read from
@@ -41,11 +42,10 @@ def silver_pos(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_pos_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Silver POS materialised once (reliable checkpoint in the shared
-    folder), as the daily job writes it once: gold queries that read silver
+    """Silver POS written once (Parquet in the shared folder), as the daily job writes it once: gold queries that read silver
     several times (facts, dims, calendar) then scan it instead of re-running
     dedupe and casts per use."""
-    return silver_pos(spark, sf).checkpoint(eager=True)
+    return written(silver_pos(spark, sf), "silver-pos")
 
 
 def silver_inventory(spark: SparkSession, sf: str) -> DataFrame:

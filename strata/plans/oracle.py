@@ -4,8 +4,8 @@ orders, customer, ...) and replays the whole chain as CTEs, written the
 straightforward way (global windows, plain GROUP BY) so it checks the
 scale-oriented Spark plans independently.
 
-Only the rows-only queries (streaming; the layer counts observed during a
-write are checked too) lack nothing here except the three stream queries.
+An increment or a stream must give what one batch over all rows gives, so
+those queries share the batch's statement.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from strata.plans import layers as L
 from strata.sources.feeds import (
     ANON_CUSTOMER_MOD, BAD_DATE_MOD, BAD_MOVEMENT_MOD, BAD_QTY_MOD, NULL_STORE_MOD,
-    PAYMENT_BY_FLAGS, WAREHOUSES, ZERO_QTY_MOD,
+    ANON_CLICK_MOD, PAYMENT_BY_FLAGS, REPEAT_CLICK_MOD, WAREHOUSES, ZERO_QTY_MOD,
 )
 
 AS_OF = f"TIMESTAMP '{L.AS_OF}'"
@@ -30,10 +30,10 @@ RAW_POS = f"""raw_pos AS (
     CASE WHEN l.l_orderkey % {NULL_STORE_MOD} = 0 THEN NULL ELSE 'S' || {S('l.l_suppkey')} END AS store_id,
     'P' || {S('l.l_partkey')} AS product_id,
     CASE WHEN o.o_custkey % {ANON_CUSTOMER_MOD} = 0 THEN NULL ELSE 'C' || {S('o.o_custkey')} END AS customer_id,
-    CASE WHEN l.l_orderkey % {BAD_QTY_MOD} = 0 THEN 'bad' WHEN l.l_orderkey % {ZERO_QTY_MOD} = 0 THEN '0'
+    CASE WHEN (l.l_orderkey + l.l_partkey) % {BAD_QTY_MOD} = 0 THEN 'bad' WHEN (l.l_orderkey + l.l_partkey) % {ZERO_QTY_MOD} = 0 THEN '0'
          ELSE {S('CAST(l.l_quantity AS BIGINT)')} END AS quantity,
     {S('CAST(l.l_extendedprice AS DECIMAL(12,2))')} AS unit_price,
-    CASE WHEN l.l_orderkey % {BAD_DATE_MOD} = 0 THEN 'not-a-date' ELSE {S('l.l_shipdate')} END AS sale_date,
+    CASE WHEN (l.l_orderkey + l.l_suppkey) % {BAD_DATE_MOD} = 0 THEN 'not-a-date' ELSE {S('l.l_shipdate')} END AS sale_date,
     {_payment_case()} AS payment_method
   FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 )"""
@@ -50,7 +50,12 @@ def silver_pos_ctes(src: str, p: str) -> str:
     return f"""{p}_dedup AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY transaction_id
-      ORDER BY sale_date DESC NULLS LAST, {_order_rest(POS_REST)}) AS rn
+      ORDER BY store_id IS NOT NULL AND product_id IS NOT NULL AND coalesce(TRY_CAST(quantity AS INTEGER) > 0, FALSE)
+          AND coalesce(TRY_CAST(unit_price AS DECIMAL(12,2)) > 0, FALSE) DESC,
+        TRY_CAST(sale_date AS TIMESTAMP) DESC NULLS LAST, store_id ASC NULLS LAST, product_id ASC NULLS LAST,
+        customer_id ASC NULLS LAST, TRY_CAST(quantity AS INTEGER) ASC NULLS LAST,
+        TRY_CAST(unit_price AS DECIMAL(12,2)) ASC NULLS LAST, upper(trim(payment_method)) ASC NULLS LAST,
+        {_order_rest(POS_REST)}) AS rn
     FROM {src} WHERE transaction_id IS NOT NULL) WHERE rn = 1
 ),
 {p}_typed AS (
@@ -94,7 +99,7 @@ RAW_CUSTOMERS = f"""raw_customers AS (
 ),
 cust_dedup AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY signup_date DESC NULLS LAST,
+    SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY TRY_CAST(signup_date AS TIMESTAMP) DESC NULLS LAST,
       {_order_rest(['name', 'email', 'phone', 'address', 'city', 'country', 'signup_date'])}) AS rn
     FROM raw_customers WHERE customer_id IS NOT NULL) WHERE rn = 1
 ),
@@ -205,7 +210,7 @@ RAW_INV = f"""raw_inventory AS (
   SELECT 'M' || {S('l_orderkey')} || '-' || {S('l_linenumber')} AS movement_id,
     'W' || {S(f'l_suppkey % {WAREHOUSES}')} AS warehouse_id,
     'P' || {S('l_partkey')} AS product_id,
-    CASE WHEN l_orderkey % {BAD_MOVEMENT_MOD} = 0 THEN 'XX' WHEN l_returnflag = 'R' THEN 'in ' ELSE 'OUT' END
+    CASE WHEN (l_orderkey + l_partkey) % {BAD_MOVEMENT_MOD} = 0 THEN 'XX' WHEN l_returnflag = 'R' THEN 'in ' ELSE 'OUT' END
       AS movement_type,
     {S('CAST(l_quantity AS BIGINT)')} AS quantity,
     {S('l_shipdate')} AS movement_date
@@ -213,7 +218,10 @@ RAW_INV = f"""raw_inventory AS (
 ),
 inv_dedup AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY movement_id ORDER BY movement_date DESC NULLS LAST,
+    SELECT *, row_number() OVER (PARTITION BY movement_id
+      ORDER BY product_id IS NOT NULL AND warehouse_id IS NOT NULL AND upper(trim(movement_type)) IN ('IN', 'OUT')
+          AND coalesce(TRY_CAST(quantity AS INTEGER) > 0, FALSE) DESC,
+        TRY_CAST(movement_date AS TIMESTAMP) DESC NULLS LAST,
       {_order_rest(['warehouse_id', 'product_id', 'movement_type', 'quantity', 'movement_date'])}) AS rn
     FROM raw_inventory WHERE movement_id IS NOT NULL) WHERE rn = 1
 ),
@@ -226,10 +234,11 @@ silver_inventory AS (
     AND upper(trim(movement_type)) IN ('IN', 'OUT') AND TRY_CAST(quantity AS INTEGER) > 0
 )"""
 
-EVENTS = """ev_raw AS (
-  SELECT 'E' || CAST(event_id AS VARCHAR) AS event_id, 'C' || CAST(user_id AS VARCHAR) AS customer_id,
+EVENTS = f"""ev_raw AS (
+  SELECT 'E' || CAST(event_id AS VARCHAR) AS event_id,
+    CASE WHEN event_id % {ANON_CLICK_MOD} <> 0 THEN 'C' || CAST(user_id AS VARCHAR) END AS customer_id,
     '/' || event_type AS page_url, event_type, ts AS event_timestamp, CAST(NULL AS VARCHAR) AS device_type
-  FROM events
+  FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % {REPEAT_CLICK_MOD} = 0)
 ),
 ev AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -378,10 +387,9 @@ def oracle_sql() -> dict[str, str]:
     q["ingest_customers"] = (f"WITH {RAW_CUSTOMERS} SELECT customer_id, name, email, phone, address, city, "
                              f"country, signup_date, {AS_OF} AS _ingested_at FROM raw_customers")
     q["ingest_clicks"] = (
-        "SELECT 'E' || CAST(event_id AS VARCHAR) AS event_id, CAST(NULL AS VARCHAR) AS session_id, "
-        "'C' || CAST(user_id AS VARCHAR) AS customer_id, '/' || event_type AS page_url, event_type, "
-        "strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, CAST(NULL AS VARCHAR) AS device_type, "
-        f"{AS_OF} AS _ingested_at FROM events"
+        f"WITH {EVENTS} SELECT event_id, CAST(NULL AS VARCHAR) AS session_id, customer_id, page_url, event_type, "
+        "strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, device_type, "
+        f"{AS_OF} AS _ingested_at FROM ev_raw"
     )
     q["clean_transactions"] = f"{POS} SELECT * FROM pos_silver"
     q["dedupe_latest"] = f"{POS} SELECT * FROM pos_dedup"
@@ -404,7 +412,18 @@ SELECT event_id, customer_id, page_url, event_type, event_timestamp, device_type
   session_start, session_end,
   CAST(date_diff('microsecond', session_start, session_end) // 1000000 AS BIGINT) AS session_duration_seconds,
   {AS_OF} AS _processed_at
-FROM ev_sess"""
+FROM ev_sess
+UNION ALL
+SELECT event_id, customer_id, page_url, event_type, event_timestamp, device_type,
+  NULL, NULL, NULL, NULL, {AS_OF} FROM ev WHERE customer_id IS NULL OR event_timestamp IS NULL"""
+    q["stream_dedupe"] = f"WITH {EVENTS} SELECT * FROM ev"
+    q["stream_sessions"] = f"""WITH {EVENTS},
+closed AS (
+  SELECT customer_id, session_start AS window_start, max(event_timestamp) + INTERVAL 1800 SECOND AS window_end,
+    CAST(count(*) AS BIGINT) AS events
+  FROM ev_sess GROUP BY customer_id, session_start
+)
+SELECT * FROM closed WHERE window_end <= (SELECT max(event_timestamp) FROM ev) - INTERVAL 10 MINUTE"""
     q["session_window_counts"] = f"""WITH {EVENTS}
 SELECT customer_id, session_start AS window_start,
   max(event_timestamp) + INTERVAL 1800 SECOND AS window_end, CAST(count(*) AS BIGINT) AS events
@@ -487,18 +506,9 @@ UNION ALL SELECT * FROM orders_batch2"""
     q["vacuum_history"] = f"""WITH {ORDERS}, merged AS ({merged_orders})
 SELECT 2 AS version, 'MERGE' AS operation, CAST(count(*) AS BIGINT) AS rows FROM merged
 UNION ALL SELECT 3, 'OPTIMIZE', CAST(count(*) AS BIGINT) FROM merged"""
-    q["zorder_layout"] = ("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate "
-                          "FROM lineitem")
-    q["incremental_load"] = f"""WITH {RAW_POS},
-raw_day1 AS (SELECT * FROM raw_pos WHERE TRY_CAST(sale_date AS TIMESTAMP) < TIMESTAMP '{L.DAY1_CUTOFF}'),
-{silver_pos_ctes('raw_day1', 'd1')},
-mark AS (SELECT max(sale_date) AS m FROM d1_silver),
-raw_next AS (SELECT * FROM raw_pos WHERE TRY_CAST(sale_date AS TIMESTAMP) > (SELECT m FROM mark)),
-{silver_pos_ctes('raw_next', 'd2')}
-SELECT t.* FROM d1_silver t
-WHERE NOT EXISTS (SELECT 1 FROM d2_silver s WHERE s.transaction_id = t.transaction_id)
-UNION ALL SELECT * FROM d2_silver"""
-    q["hourly_incremental"] = q["incremental_load"]
+    q["zorder_layout"] = "SELECT * FROM lineitem"
+    for same in ("incremental_load", "hourly_incremental", "stream_pos_upsert"):
+        q[same] = q["clean_transactions"]
     q["dq_bronze"] = f"""{POS},
 bronze AS (SELECT *, {AS_OF} AS _ingested_at FROM raw_pos)
 """ + _suite_rows("bronze_pos_transactions", "bronze", [
@@ -556,11 +566,11 @@ UNION ALL SELECT 'silver', CAST(count(*) AS BIGINT) FROM pos_silver"""
         ("bronze.pos_transactions", "raw_pos"),
         ("bronze.inventory_movements", "raw_inventory"),
         ("bronze.customers", "raw_customers"),
-        ("bronze.clickstream", "events"),
+        ("bronze.clickstream", "ev_raw"),
         ("silver.pos_transactions", "pos_silver"),
         ("silver.inventory_movements", "silver_inventory"),
         ("silver.customers", "silver_customers"),
-        ("silver.clickstream", "ev_sess"),
+        ("silver.clickstream", "ev"),
         ("gold.dim_customer", "dim_customer"),
         ("gold.dim_product", "dim_product"),
         ("gold.dim_store", "dim_store"),

@@ -16,7 +16,7 @@ from strata.operators.merge import merge_upsert
 from strata.operators.scd2 import scd2_initial, scd2_merge
 from strata.operators.sessions import sessions_summary
 from strata.plans import gold, layers as L, silver
-from strata.session import scratch_path
+from strata.session import scratch_path, written
 from strata.sources import feeds, files
 from strata.sources.incremental import high_water_mark, rows_after
 from strata.sources.snapshots import SnapshotTable
@@ -94,7 +94,7 @@ def q_sessionise(spark, sf):
 
 
 def q_session_window_counts(spark, sf):
-    ev = feeds.clickstream(spark, sf)
+    ev = feeds.clickstream(spark, sf).dropDuplicates(["event_id"])
     return sessions_summary(ev, "customer_id", "event_timestamp", silver.SESSION_TIMEOUT_SECONDS)
 
 
@@ -135,7 +135,7 @@ def q_fact_sales(spark, sf):
 def _customer_history(spark, sf) -> DataFrame:
     # both snapshots derive from silver customers: materialise it once (as
     # the daily job writes it) rather than re-deriving it for every pass
-    c = L.silver_customers(spark, sf).checkpoint(eager=True)
+    c = written(L.silver_customers(spark, sf), "silver-customers")
     v1 = scd2_initial(L.customers_day1(spark, sf, c), "customer_id", "customer_sk",
                       gold.CUSTOMER_ATTRS, L.HISTORY_START, bk_out="customer_bk")
     return scd2_merge(v1, L.customers_day2(spark, sf, c), "customer_bk", "customer_sk",
@@ -235,46 +235,46 @@ def q_vacuum_history(spark, sf):
 
 
 def q_zorder_layout(spark, sf):
-    """lineitem keys laid out by Z-order on (partkey, suppkey); rows unchanged."""
+    """lineitem (whole rows) laid out by Z-order on ship date, supplier and
+    return flag; rows unchanged."""
     t = SnapshotTable(spark, scratch_path(spark, "zorder"))
-    li = feeds.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
-    )
-    t.publish(li, committed_at="2024-01-01T00:00:00")
-    t.zorder(["l_partkey", "l_suppkey"], num_files=8, committed_at="2024-01-02T00:00:00")
+    t.publish(feeds.table(spark, sf, "lineitem"), committed_at="2024-01-01T00:00:00")
+    t.zorder(["l_shipdate", "l_suppkey", "l_returnflag"], num_files=8, committed_at="2024-01-02T00:00:00")
     return t.read()
 
 
 def q_incremental_load(spark, sf):
-    """Silver POS loaded in two runs: first the sales up to DAY1_CUTOFF, then
-    every raw row after the target's high-water mark, merged on the id."""
-    raw = L.bronze_pos(spark, sf)
-    ts = F.col("sale_date").try_cast("timestamp_ntz")
-    cut = F.lit(L.DAY1_CUTOFF).cast("timestamp_ntz")
+    """Silver POS loaded in two runs over a bronze table that gets two
+    deliveries (every raw row is in one): each run takes the rows that arrived
+    after the last one and merges them. Equal to one run over all rows."""
+    bronze = scratch_path(spark, "bronze_pos_inc")
     t = SnapshotTable(spark, scratch_path(spark, "silver_pos_inc"))
-    t.upsert(silver.clean_transactions(raw.filter(ts < cut), L.AS_OF), ["transaction_id"],
-             committed_at="2024-01-01T00:00:00")
-    mark = high_water_mark(t.read(), "sale_date")
-    batch = silver.clean_transactions(rows_after(raw, ts, mark), L.AS_OF)
-    t.upsert(batch, ["transaction_id"], committed_at="2024-01-02T00:00:00")
+    mark = None
+    for number, part in enumerate(_pos_deliveries(L.bronze_pos(spark, sf)), 1):
+        part.withColumn("_delivery", F.lit(number)).write.mode("append").parquet(bronze)
+        arrived = rows_after(spark.read.parquet(bronze), "_delivery", mark).drop("_delivery")
+        t.upsert(silver.clean_transactions(arrived, L.AS_OF), ["transaction_id"], on_duplicate="keep",
+                 committed_at=f"2024-01-0{number}T00:00:00", latest=silver.silver_pos_order())
+        mark = high_water_mark(spark.read.parquet(bronze), "_delivery")
     return t.read()
 
 
+def _pos_deliveries(raw):
+    """All raw rows in two deliveries, the newer sales first, so the second one
+    is late; rows whose date does not parse come second too."""
+    new = F.coalesce(F.col("sale_date").try_cast("timestamp_ntz") >= F.lit(L.DAY1_CUTOFF).cast("timestamp_ntz"), F.lit(False))
+    return raw.filter(new), raw.filter(~new)
+
+
 def q_hourly_incremental(spark, sf):
-    """The hourly job run twice over one POS landing folder: the first hour
-    lands the sales before DAY1_CUTOFF, the second hour the rest; each run
-    loads only raw rows past the silver high-water mark and merges them on
-    the transaction id (the same result as ``incremental_load``)."""
+    """The hourly job run twice over one POS landing folder that gets all raw
+    rows in two deliveries; each run loads the files that are new."""
     from strata.plans.jobs import hourly_incremental
 
-    raw = feeds.raw_pos(spark, sf)
-    ts = F.col("sale_date").try_cast("timestamp_ntz")
-    cut = F.lit(L.DAY1_CUTOFF).cast("timestamp_ntz")
     land, root = scratch_path(spark, "hourly_landing"), scratch_path(spark, "hourly_lake")
-    files.write_csv_feed(raw.filter(ts < cut), f"{land}/h1")
-    hourly_incremental(spark, land, root, L.AS_OF)
-    files.write_csv_feed(raw.filter(ts >= cut), f"{land}/h2")
-    hourly_incremental(spark, land, root, L.AS_OF)
+    for hour, part in enumerate(_pos_deliveries(feeds.raw_pos(spark, sf)), 1):
+        files.write_csv_feed(part, f"{land}/h{hour}")
+        hourly_incremental(spark, land, root, L.AS_OF)
     return SnapshotTable(spark, f"{root}/silver/pos_transactions").read()
 
 

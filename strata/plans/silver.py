@@ -1,11 +1,12 @@
 """Silver: deduplicated, typed, validated feeds.
 
-Order of steps follows the reference jobs: dedupe on the business key first,
-then NULL-key filters, casts, derived columns and range filters. The dedupe
-winner is deterministic (latest ingestion, latest event time, then a total
-order over the row), and NULL-id rows are dropped before the dedupe, which is
-equivalent (they are dropped right after it anyway) but lets the filter reach
-the scan and keeps the NULL key out of the shuffle.
+One winner rule holds for batch, hourly job and stream: of the rows with one
+business key an accepted row (its values parse and pass the range rules) beats
+a rejected one, then the latest ingestion wins, then the latest *parsed* event
+time (unparsable times last), then a total order over the typed row. So a copy
+that does not parse never hides a good row, and a merge that applies the same
+order between table and batch gives what one batch over all rows gives.
+Rows with a NULL id are dropped first, so the NULL key stays out of the shuffle.
 """
 
 from __future__ import annotations
@@ -30,18 +31,40 @@ def _ts_lit(as_of) -> Column:
     return F.lit(as_of).cast("timestamp_ntz")
 
 
-def _latest_first(df: DataFrame, event_col: str) -> list[Column]:
-    order = []
+def _latest_first(df: DataFrame, event_time: Column, accepted: Column | None = None) -> list[Column]:
+    order = [] if accepted is None else [F.coalesce(accepted, F.lit(False)).desc()]
     if "_ingested_at" in df.columns:
         order.append(F.col("_ingested_at").desc_nulls_last())
-    order.append(F.col(event_col).desc_nulls_last())
-    return order
+    return [*order, event_time.desc_nulls_last()]
 
 
 # --------------------------------------------------------------------- POS
 def pos_deduped(bronze: DataFrame) -> DataFrame:
     b = bronze.filter(F.col("transaction_id").isNotNull())
-    return dedupe_latest(b, ["transaction_id"], _latest_first(b, "sale_date"))
+    order = _latest_first(b, to_ts("sale_date"), _pos_reject_reason(to_int("quantity"), to_decimal("unit_price", 12, 2)).isNull())
+    typed = [F.col("store_id"), F.col("product_id"), F.col("customer_id"), to_int("quantity"),
+             to_decimal("unit_price", 12, 2), norm_upper("payment_method")]
+    return dedupe_latest(b, ["transaction_id"], [*order, *[c.asc_nulls_last() for c in typed]])
+
+
+def silver_pos_order() -> list[Column]:
+    """The same winner between silver rows of one id (all accepted): the
+    later run, then as within a batch."""
+    rest = ["store_id", "product_id", "customer_id", "quantity", "unit_price", "payment_method"]
+    return [F.col("_processed_at").desc_nulls_last(), F.col("sale_date").desc_nulls_last(),
+            *[F.col(c).asc_nulls_last() for c in rest]]
+
+
+def _pos_reject_reason(quantity: Column, unit_price: Column) -> Column:
+    """NULL = accepted."""
+    return (
+        F.when(F.col("store_id").isNull(), "null_store_id")
+        .when(F.col("product_id").isNull(), "null_product_id")
+        .when(quantity.isNull(), "bad_quantity")
+        .when(quantity <= 0, "non_positive_quantity")
+        .when(unit_price.isNull(), "bad_unit_price")
+        .when(unit_price <= 0, "non_positive_unit_price")
+    )
 
 
 def pos_typed(deduped: DataFrame) -> DataFrame:
@@ -60,15 +83,7 @@ def pos_typed(deduped: DataFrame) -> DataFrame:
         "total_amount",
         (F.col("quantity").cast("decimal(12,2)") * F.col("unit_price")).try_cast("decimal(14,2)"),
     )
-    reason = (
-        F.when(F.col("store_id").isNull(), "null_store_id")
-        .when(F.col("product_id").isNull(), "null_product_id")
-        .when(F.col("quantity").isNull(), "bad_quantity")
-        .when(F.col("quantity") <= 0, "non_positive_quantity")
-        .when(F.col("unit_price").isNull(), "bad_unit_price")
-        .when(F.col("unit_price") <= 0, "non_positive_unit_price")
-    )
-    return t.withColumn("_reject_reason", reason)
+    return t.withColumn("_reject_reason", _pos_reject_reason(F.col("quantity"), F.col("unit_price")))
 
 
 SILVER_POS_COLUMNS = [
@@ -80,8 +95,8 @@ SILVER_POS_COLUMNS = [
 def clean_transactions(bronze: DataFrame, as_of, strict: bool = False) -> DataFrame:
     """Bronze POS -> silver POS (``silver_pos_transactions`` columns).
 
-    Default keeps what the reference job keeps: unknown payment methods and
-    unparsable sale dates stay (the DQ suite reports them). ``strict`` also
+    By default unknown payment methods and unparsable sale dates stay (the DQ
+    suite reports them). ``strict`` also
     drops rows whose method is outside VALID_PAYMENT_METHODS or whose sale
     date is missing, as the registry's NOT NULL / the valid set demand."""
     t = pos_typed(pos_deduped(bronze)).filter(F.col("_reject_reason").isNull())
@@ -140,7 +155,11 @@ SILVER_INV_COLUMNS = [
 
 def clean_inventory(bronze: DataFrame, as_of) -> DataFrame:
     b = bronze.filter(F.col("movement_id").isNotNull())
-    d = dedupe_latest(b, ["movement_id"], _latest_first(b, "movement_date"))
+    accepted = (
+        F.col("product_id").isNotNull() & F.col("warehouse_id").isNotNull()
+        & norm_upper("movement_type").isin(*VALID_MOVEMENT_TYPES) & (to_int("quantity") > 0)
+    )
+    d = dedupe_latest(b, ["movement_id"], _latest_first(b, to_ts("movement_date"), accepted))
     return (
         d.filter(F.col("product_id").isNotNull() & F.col("warehouse_id").isNotNull())
         .withColumns(
@@ -167,7 +186,7 @@ SILVER_CUST_COLUMNS = [
 
 def clean_customers(bronze: DataFrame, as_of, salt: str | None = None, normalise: bool = False) -> DataFrame:
     b = bronze.filter(F.col("customer_id").isNotNull())
-    d = dedupe_latest(b, ["customer_id"], _latest_first(b, "signup_date"))
+    d = dedupe_latest(b, ["customer_id"], _latest_first(b, to_ts("signup_date")))
     return (
         hash_pii(d, PII_COLUMNS, salt=salt, normalise=normalise)
         .withColumn("signup_date", to_ts("signup_date"))
@@ -188,15 +207,15 @@ def parse_clicks(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("event_timestamp", to_ts("timestamp")).drop("timestamp")
 
 
-def sessionise(events: DataFrame, as_of, gap_seconds: int = SESSION_TIMEOUT_SECONDS,
-               bucket: str = "hour") -> DataFrame:
+def sessionise(events: DataFrame, as_of, gap_seconds: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
     """Event grain: dedupe on event id, then gap sessions per customer.
 
-    ``session_id`` = customer id + session start (microsecond text)."""
+    ``session_id`` = customer id + session start (microsecond text). Events
+    without a customer or a time stay, with NULL session columns."""
     e = events.filter(F.col("event_id").isNotNull())
-    e = dedupe_latest(e, ["event_id"], _latest_first(e, "event_timestamp"))
+    e = dedupe_latest(e, ["event_id"], _latest_first(e, F.col("event_timestamp")))
     e = e.drop(*[c for c in META + ["session_id"] if c in e.columns])
-    s = gap_sessions(e, "customer_id", "event_timestamp", gap_seconds, bucket)
+    s = gap_sessions(e, "customer_id", "event_timestamp", gap_seconds)
     return s.withColumn(
         "session_id",
         F.concat(F.col("customer_id"), F.lit("-"),

@@ -15,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.joins import maybe_broadcast
-
 # Payment method per (l_returnflag || l_linestatus); spacing and
 # case are deliberate dirt, CHEQUE is deliberately outside the valid set.
 PAYMENT_BY_FLAGS: list[tuple[str, str]] = [
@@ -28,13 +26,16 @@ PAYMENT_BY_FLAGS: list[tuple[str, str]] = [
     ("RO", "CHEQUE"),
 ]
 
-# Dirt moduli on l_orderkey / o_custkey.
+# Dirt moduli on keys. Copies of one transaction differ in part
+# and supplier, so some ids have a good and a rejected or dateless copy.
 NULL_STORE_MOD = 101      # store_id NULL
 BAD_QTY_MOD = 97          # quantity 'bad'
 ZERO_QTY_MOD = 89         # quantity '0'
 BAD_DATE_MOD = 83         # sale_date 'not-a-date'
 ANON_CUSTOMER_MOD = 50    # customer_id NULL (anonymous sale)
 BAD_MOVEMENT_MOD = 79     # movement_type 'XX'
+REPEAT_CLICK_MOD = 23     # events delivered twice
+ANON_CLICK_MOD = 29       # events without a customer
 WAREHOUSES = 5            # warehouse_id = 'W' || (l_suppkey % 5)
 
 
@@ -75,10 +76,10 @@ def raw_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("P"), F.col("l_partkey")).alias("product_id"),
         F.when(F.col("o_custkey") % ANON_CUSTOMER_MOD == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("C"), F.col("o_custkey"))).alias("customer_id"),
-        F.when(ok % BAD_QTY_MOD == 0, "bad").when(ok % ZERO_QTY_MOD == 0, "0")
+        F.when((ok + F.col("l_partkey")) % BAD_QTY_MOD == 0, "bad").when((ok + F.col("l_partkey")) % ZERO_QTY_MOD == 0, "0")
         .otherwise(_whole_str(F.col("l_quantity"))).alias("quantity"),
         F.col("l_extendedprice").cast("decimal(12,2)").cast("string").alias("unit_price"),
-        F.when(ok % BAD_DATE_MOD == 0, "not-a-date")
+        F.when((ok + F.col("l_suppkey")) % BAD_DATE_MOD == 0, "not-a-date")
         .otherwise(F.col("l_shipdate").cast("string")).alias("sale_date"),
         _payment(F.concat(F.col("l_returnflag"), F.col("l_linestatus"))).alias("payment_method"),
     )
@@ -92,7 +93,7 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("M"), ok, F.lit("-"), F.col("l_linenumber")).alias("movement_id"),
         F.concat(F.lit("W"), F.col("l_suppkey") % WAREHOUSES).alias("warehouse_id"),
         F.concat(F.lit("P"), F.col("l_partkey")).alias("product_id"),
-        F.when(ok % BAD_MOVEMENT_MOD == 0, "XX")
+        F.when((ok + F.col("l_partkey")) % BAD_MOVEMENT_MOD == 0, "XX")
         .when(F.col("l_returnflag") == "R", "in ")
         .otherwise("OUT").alias("movement_type"),
         _whole_str(F.col("l_quantity")).alias("quantity"),
@@ -111,9 +112,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("o_custkey")
         .agg(F.min("o_orderdate").alias("first_order"))
     )
-    # nation is a small reference table (size checked before it is
-    # broadcast); first orders are customer-sized: sort-merge join.
-    n = maybe_broadcast(n)
+    # first orders are customer-sized: sort-merge join
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(
         first.hint("merge"), c.c_custkey == first.o_custkey, "left"
     )
@@ -147,7 +146,6 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    n, r = maybe_broadcast(n), maybe_broadcast(r)  # reference tables, size checked
     j = s.join(n, s.s_nationkey == n.n_nationkey, "left").join(
         r, F.col("n_regionkey") == r.r_regionkey, "left"
     )
@@ -161,11 +159,14 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Click events keyed by event id; the timestamp stays typed (NTZ)."""
+    """Click events keyed by event id; the timestamp stays typed (NTZ). Some
+    events are delivered twice, some have no customer."""
     e = table(spark, sf_dir, "events")
+    again = F.when(F.col("event_id") % REPEAT_CLICK_MOD == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    e = e.withColumn("_copy", F.explode(again))
     return e.select(
         F.concat(F.lit("E"), F.col("event_id")).alias("event_id"),
-        F.concat(F.lit("C"), F.col("user_id")).alias("customer_id"),
+        F.when(F.col("event_id") % ANON_CLICK_MOD != 0, F.concat(F.lit("C"), F.col("user_id"))).alias("customer_id"),
         F.concat(F.lit("/"), F.col("event_type")).alias("page_url"),
         F.col("event_type"),
         F.col("ts").alias("event_timestamp"),

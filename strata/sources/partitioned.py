@@ -7,8 +7,8 @@ The table is a plain partitioned Parquet folder. An upsert
    a bounded set);
 2. reads only those partitions of the table: the semi-join on the partition
    columns lets dynamic partition pruning skip every other folder at scan;
-3. merges them with the batch (``merge_upsert``), cuts lineage with a reliable
-   checkpoint (the output path is also an input), and
+3. merges them with the batch (``merge_upsert``), writes the result to the
+   shared folder (the output path is also an input), and
 4. overwrites just those partitions (``partitionOverwriteMode=dynamic``).
 
 Precondition: a key's rows always live in one partition (partition columns
@@ -23,12 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.joins import maybe_broadcast
 from strata.operators.merge import merge_upsert, prepare_source, validate_merge_key
-from strata.session import shared_dir
+from strata.session import written
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -50,21 +49,22 @@ def upsert_partitions(
     missing = [c for c in partition_by if c not in source.columns]
     if missing:
         raise ValueError(f"partition columns not in DataFrame: {missing}")
-    src = prepare_source(source, merge_key, order)
+    src = written(prepare_source(source, merge_key, order), "partition-batch")
     writer_opts = {"partitionOverwriteMode": "dynamic"}
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         src.hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("overwrite").options(**writer_opts).parquet(path)
         return
-    target = spark.read.parquet(path)
+    # the batch's types, also for the partition columns: inferred ones would
+    # turn '01' into 1 and write it to another folder
+    target = spark.read.schema(src.schema).parquet(path)
     touched = src.select(*partition_by).distinct()
-    # semi-join on partition columns: with the (size-checked) broadcast of the
-    # touched values it is planned with dynamic partition pruning
-    target_touched = target.join(maybe_broadcast(touched), partition_by, "left_semi")
+    # semi-join on partition columns: planned with dynamic partition pruning
+    # where the touched values are small enough for Spark to broadcast
+    target_touched = target.join(touched, partition_by, "left_semi")
     merged = merge_upsert(
         target_touched.select(*src.columns), src, merge_key, null_safe=null_safe, on_duplicate="keep"
     )
-    shared_dir(spark)
-    merged = merged.checkpoint(eager=True)  # the output path is also an input
+    merged = written(merged, "partition-merged")  # the output path is also an input
     # REBALANCE on the partition columns: AQE splits a hot partition over
     # several tasks and packs small ones, so files are neither tiny nor huge.
     merged.hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("overwrite").options(**writer_opts).parquet(path)

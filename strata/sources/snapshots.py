@@ -24,6 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from strata.operators.merge import merge_upsert, validate_merge_key
+from strata.session import written
 from strata.operators.zorder import zorder_layout
 
 MIN_RETENTION_HOURS = 168
@@ -79,7 +80,7 @@ class SnapshotTable:
         """Latest committed version, or time travel by ``version`` XOR
         ``timestamp`` (the last version committed at or before it)."""
         if version is not None and timestamp is not None:
-            raise ValueError("Provide either version or timestamp, not both")
+            raise ValueError("version and timestamp exclude each other")
         cs = self.commits()
         if not cs:
             raise FileNotFoundError(f"no committed snapshot at {self.path}")
@@ -130,6 +131,7 @@ class SnapshotTable:
         on_duplicate: str = "dedupe",
         allow_missing_columns: bool = False,
         info: dict | None = None,
+        latest: list[Column] | None = None,
     ) -> int:
         """MERGE ``source`` into the latest version (create when absent).
 
@@ -141,9 +143,13 @@ class SnapshotTable:
             return self.publish(
                 prepare_source(source, merge_key, order, on_duplicate), committed_at, "CREATE", info
             )
+        from strata.operators.merge import prepare_source
+
+        # written once: the merge reads it several times
+        batch = written(prepare_source(source, merge_key, order, on_duplicate), "merge-batch")
         merged = merge_upsert(
-            self.read(), source, merge_key, null_safe=null_safe, order=order,
-            on_duplicate=on_duplicate, allow_missing_columns=allow_missing_columns,
+            self.read(), batch, merge_key, null_safe=null_safe, on_duplicate="keep",
+            allow_missing_columns=allow_missing_columns, latest=latest,
         )
         return self.publish(merged, committed_at, "MERGE", info)
 
@@ -178,7 +184,7 @@ class SnapshotTable:
         """Delete versions superseded more than ``retention_hours`` ago; the
         latest version is never deleted. Returns the deleted versions."""
         if retention_hours < MIN_RETENTION_HOURS:
-            raise ValueError("retention_hours must be >= 168 (7 days) for safety")
+            raise ValueError(f"versions are kept for {MIN_RETENTION_HOURS} hours or more")
         cs = self.commits()
         if not cs:
             return []

@@ -3,7 +3,9 @@
 * T1 ``stream_pos_upsert``: raw POS CSV files -> clean -> keyed MERGE into a
   snapshot table per micro-batch (``foreachBatch``). ``foreachBatch`` is
   at-least-once; a replayed batch re-applies the same keyed merge, which is
-  harmless, and a batch whose commit already exists is skipped.
+  harmless, and a batch whose commit already exists is skipped. The merge
+  keeps the winner of ``silver_pos_order``, so the table equals one batch run
+  over all files, in whatever order they arrive.
 * T2 ``stream_dedupe_clicks``: ``dropDuplicatesWithinWatermark`` on the event
   id (state is bounded by the watermark).
 * T3 ``stream_session_counts``: ``session_window`` per customer with a
@@ -36,7 +38,7 @@ def _run(q) -> None:
 
 
 def pos_upsert_stream(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
-                      as_of=L.AS_OF, files_per_trigger: int = 1) -> SnapshotTable:
+                      as_of=L.AS_OF, files_per_trigger: int = 1000) -> SnapshotTable:
     schema = files.raw_string_schema("bronze_pos_transactions")
     src = (
         spark.readStream.schema(schema)
@@ -56,7 +58,8 @@ def pos_upsert_stream(spark: SparkSession, landing: str, table_path: str, checkp
         if batch_id in done:  # replay of a committed batch
             return
         # the commit record names the micro-batch, atomically with the version
-        table.upsert(cleaned, ["transaction_id"], committed_at=None, info={"batch_id": batch_id})
+        table.upsert(cleaned, ["transaction_id"], committed_at=None, info={"batch_id": batch_id},
+                     on_duplicate="keep", latest=silver.silver_pos_order())
 
     q = (
         bronze.writeStream.foreachBatch(apply)
@@ -72,7 +75,7 @@ def stream_pos_upsert(spark: SparkSession, sf: str) -> DataFrame:
     land = scratch_path(spark, "stream_pos_landing")
     files.write_csv_feed(feeds.raw_pos(spark, sf), land, files=4)
     t = pos_upsert_stream(spark, land, scratch_path(spark, "stream_pos_table"),
-                          scratch_path(spark, "stream_pos_ckpt"))
+                          scratch_path(spark, "stream_pos_ckpt"), files_per_trigger=2)
     return t.read()
 
 
@@ -141,8 +144,11 @@ def stream_dedupe_clicks(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_session_counts(spark: SparkSession, sf: str) -> DataFrame:
     def build(ev):
+        # events delivered twice count once; those without a customer have no session
         return (
             _event_time(ev).withWatermark("_et", WATERMARK)
+            .dropDuplicatesWithinWatermark(["event_id"])
+            .filter(F.col("customer_id").isNotNull())
             .groupBy(F.col("customer_id"), F.session_window("_et", "30 minutes").alias("w"))
             .agg(F.count(F.lit(1)).alias("events"))
             .select("customer_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"),

@@ -125,7 +125,6 @@ if __name__ == "__main__":
     s = session()
     if args and args[0] == "--no-broadcast":  # plan every join as a shuffle join
         args = args[1:]
-        s.conf.set("strata.maxBroadcastRows", "0")
         s.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     sf = args[0] if args else "/root/testdata/sf0.01"
     res = compare(s, sf, args[1:] or None)

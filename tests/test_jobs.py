@@ -1,7 +1,5 @@
 """Daily full refresh and hourly incremental over landed feed files."""
 
-from pyspark.sql import functions as F
-
 from strata.plans import jobs
 from strata.plans import layers as L
 from strata.sources import feeds, files
@@ -35,18 +33,26 @@ def test_daily_refresh_gates_and_writes(spark, sf, tmp_path):
     assert c["bronze.pos_transactions"] == 6000
     assert c["silver.pos_transactions"] == L.silver_pos(spark, sf).count()
     assert c["gold.fact_sales"] == c["silver.pos_transactions"]
-    assert c["gold.agg_customer_360"] > 0 and c["silver.clickstream"] == 1000
+    assert c["gold.agg_customer_360"] > 0 and c["silver.clickstream"] == 1000 and c["bronze.clickstream"] > 1000
     assert {"bronze_pos_transactions", "silver_pos_transactions", "gold_fact_sales"} == set(rep["dq"])
 
 
-def test_hourly_incremental(spark, sf, tmp_path):
-    land = str(tmp_path / "pos")
-    raw = feeds.raw_pos(spark, sf)
-    ts = F.col("sale_date").try_cast("timestamp_ntz")
-    files.write_csv_feed(raw.filter(ts < F.lit("1998-01-01").cast("timestamp_ntz")), land + "/h1")
-    root = str(tmp_path / "lake")
-    r1 = jobs.hourly_incremental(spark, land, root, "2025-01-01 00:00:00")
-    files.write_csv_feed(raw.filter(ts >= F.lit("1998-01-01").cast("timestamp_ntz")), land + "/h2")
-    r2 = jobs.hourly_incremental(spark, land, root, "2025-01-01 01:00:00")
-    assert r1["version"] == 1 and r2["version"] == 2
-    assert r2["high_water_mark"] is not None and r2["rows"] > 0
+def test_hourly_job_loads_every_row_of_new_files_once(spark, tmp_path):
+    """Late, equal, dateless and corrected rows of the second hour all count;
+    a run without new files changes nothing."""
+    cols = "transaction_id string, store_id string, product_id string, customer_id string, quantity string, unit_price string, sale_date string, payment_method string"
+    row = lambda t, day, q="1": (t, "s", "p", "c", q, "1.00", day, "CARD")
+    land, root = str(tmp_path / "pos"), str(tmp_path / "lake")
+
+    def hour(n, rows):
+        if rows:
+            files.write_csv_feed(spark.createDataFrame(rows, cols), f"{land}/h{n}")
+        return jobs.hourly_incremental(spark, land, root, f"2025-01-01 0{n}:00:00")
+
+    r1 = hour(1, [row("t1", "2024-05-01"), row("t2", "2024-05-02")])
+    r2 = hour(2, [row("t3", "2024-06-01"), row("late", "2024-04-30"), row("none", "bad date"), row("equal", "2024-05-02"), row("t1", "2024-05-01", "8")])
+    r3 = hour(3, [])
+    assert (r1["rows"], r2["rows"], r2["files"] > 0, r3["files"]) == (2, 5, True, 0)
+    got = {r["transaction_id"]: r["quantity"] for r in jobs.Lakehouse(root).table(spark, "silver", "pos_transactions").read().collect()}
+    assert got == {"t1": 8, "t2": 1, "t3": 1, "late": 1, "none": 1, "equal": 1}
+    assert spark.read.parquet(f"{root}/bronze/pos_transactions_log").count() == 7

@@ -1,79 +1,73 @@
-"""Upsert: the reference's unit cases, plus NULL-key and duplicate-key rules."""
+"""Keyed merge: what matches, which row stays, NULL keys and repeated keys."""
+
+import random
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from strata.operators.merge import merge_upsert
 from strata.sources.snapshots import SnapshotTable, upsert_to_table
 
-SCHEMA = StructType([StructField("id", StringType(), True), StructField("value", IntegerType(), True)])
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=lambda t: (t[0] is None, t[0] or "", t[1] or 0))
-
+COLS = "city string, degrees int"
 
-def test_create_when_absent(spark, tmp_table):
-    upsert_to_table(spark.createDataFrame([("id_001", 100), ("id_002", 200)], SCHEMA), tmp_table, ["id"])
-    out = SnapshotTable(spark, tmp_table).read()
-    assert out.count() == 2 and set(out.columns) == {"id", "value"}
 
+def frame(spark, *rows):
+    return spark.createDataFrame(list(rows), COLS)
 
-def test_update_matching(spark, tmp_table):
-    upsert_to_table(spark.createDataFrame([("id_001", 100), ("id_002", 200)], SCHEMA), tmp_table, ["id"])
-    upsert_to_table(spark.createDataFrame([("id_001", 999)], SCHEMA), tmp_table, ["id"])
-    assert rows(SnapshotTable(spark, tmp_table).read()) == [("id_001", 999), ("id_002", 200)]
 
-
-def test_insert_and_update(spark, tmp_table):
-    upsert_to_table(spark.createDataFrame([("id_001", 100)], SCHEMA), tmp_table, ["id"])
-    upsert_to_table(spark.createDataFrame([("id_001", 777), ("id_003", 300)], SCHEMA), tmp_table, ["id"])
-    assert rows(SnapshotTable(spark, tmp_table).read()) == [("id_001", 777), ("id_003", 300)]
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_null_value_kept(spark, tmp_table):
-    upsert_to_table(spark.createDataFrame([("id_001", None), ("id_002", 200)], SCHEMA), tmp_table, ["id"])
-    out = SnapshotTable(spark, tmp_table).read()
-    assert out.filter(F.col("id") == "id_001").first()["value"] is None
+def test_against_a_dictionary(spark, tmp_table):
+    """Random deliveries into one table; a dictionary does the same."""
+    r = random.Random(4)
+    want = {}
+    for _ in range(4):
+        batch = {f"c{r.randint(0, 12)}": r.choice([None, r.randint(-20, 40)]) for _ in range(r.randint(1, 9))}
+        upsert_to_table(frame(spark, *batch.items()), tmp_table, ["city"])
+        want.update(batch)
+        assert rows(SnapshotTable(spark, tmp_table).read()) == sorted(want.items(), key=repr)
+    assert SnapshotTable(spark, tmp_table).latest_version() == 4
 
 
-def test_empty_key_raises(spark, tmp_table):
-    with pytest.raises(ValueError, match="merge_key must contain at least one column"):
-        upsert_to_table(spark.createDataFrame([("id_001", 100)], SCHEMA), tmp_table, [])
+def test_a_delivery_twice_changes_nothing(spark, tmp_table):
+    batch = frame(spark, ("oslo", -3), ("rome", 21))
+    for _ in range(2):
+        upsert_to_table(batch, tmp_table, ["city"])
+    assert rows(SnapshotTable(spark, tmp_table).read()) == [("oslo", -3), ("rome", 21)]
 
 
-def test_missing_key_column_raises(spark, tmp_table):
-    with pytest.raises(ValueError, match="merge_key columns not in DataFrame"):
-        upsert_to_table(spark.createDataFrame([("id_001", 100)], SCHEMA), tmp_table, ["nonexistent_column"])
+def test_keys_are_checked(spark, tmp_table):
+    with pytest.raises(ValueError, match="one key column"):
+        upsert_to_table(frame(spark, ("oslo", 1)), tmp_table, [])
+    with pytest.raises(ValueError, match="country"):
+        upsert_to_table(frame(spark, ("oslo", 1)), tmp_table, ["city", "country"])
 
 
-def test_null_key_never_matches(spark):
-    t = spark.createDataFrame([(None, 1), ("x", 1), ("y", 1)], SCHEMA)
-    s = spark.createDataFrame([(None, 9), ("x", None)], SCHEMA)
-    assert rows(merge_upsert(t, s, ["id"])) == [("x", None), ("y", 1), (None, 1), (None, 9)]
+def test_null_keys_match_only_if_asked(spark):
+    t, s = frame(spark, (None, 7), ("oslo", 1), ("rome", 2)), frame(spark, (None, 8), ("oslo", None))
+    assert rows(merge_upsert(t, s, ["city"])) == sorted([("oslo", None), ("rome", 2), (None, 7), (None, 8)], key=repr)
+    assert rows(merge_upsert(t, s, ["city"], null_safe=True)) == sorted([("oslo", None), ("rome", 2), (None, 8)], key=repr)
 
 
-def test_null_safe_matches_null_key(spark):
-    t = spark.createDataFrame([(None, 1), ("x", 1)], SCHEMA)
-    s = spark.createDataFrame([(None, 9)], SCHEMA)
-    assert rows(merge_upsert(t, s, ["id"], null_safe=True)) == [("x", 1), (None, 9)]
+def test_repeated_keys_of_a_delivery(spark):
+    t, s = frame(spark, ("oslo", 0)), frame(spark, ("oslo", 5), ("oslo", 3))
+    assert rows(merge_upsert(t, s, ["city"])) == [("oslo", 3)]  # the total order decides
+    assert rows(merge_upsert(t, s, ["city"], order=[F.col("degrees").desc()])) == [("oslo", 5)]
+    with pytest.raises(ValueError, match="several rows"):
+        merge_upsert(t, s, ["city"], on_duplicate="error")
 
 
-def test_duplicate_source_keys(spark):
-    t = spark.createDataFrame([("x", 0)], SCHEMA)
-    s = spark.createDataFrame([("x", 1), ("x", 2)], SCHEMA)
-    # default: deterministic dedupe (total order: smallest value first)
-    assert rows(merge_upsert(t, s, ["id"])) == [("x", 1)]
-    assert rows(merge_upsert(t, s, ["id"], order=[F.col("value").desc()])) == [("x", 2)]
-    with pytest.raises(ValueError, match="several rows"):
-        merge_upsert(t, s, ["id"], on_duplicate="error")
+def test_latest_lets_the_better_row_stay(spark):
+    """A late delivery does not overwrite; NULL keys are only added."""
+    t, s = frame(spark, ("oslo", 9), ("rome", 1), (None, 1)), frame(spark, ("oslo", 4), ("rome", 6), ("bern", 2), (None, 2))
+    got = merge_upsert(t, s, ["city"], latest=[F.col("degrees").desc_nulls_last()])
+    assert rows(got) == sorted([("oslo", 9), ("rome", 6), ("bern", 2), (None, 1), (None, 2)], key=repr)
 
 
-def test_upsert_idempotent(spark, tmp_table):
-    src = spark.createDataFrame([("a", 1), ("b", 2)], SCHEMA)
-    upsert_to_table(src, tmp_table, ["id"])
-    upsert_to_table(src, tmp_table, ["id"])
-    t = SnapshotTable(spark, tmp_table)
-    assert rows(t.read()) == [("a", 1), ("b", 2)]
-    assert t.latest_version() == 2
+def test_no_side_is_measured_or_gathered(spark):
+    """No job runs while the plan is built, and no rows go to one partition."""
+    t, s = spark.range(10_000).select(F.col("id").alias("k"), F.lit(1).alias("v")), spark.range(5_000).select(F.col("id").alias("k"), F.lit(2).alias("v"))
+    plan = merge_upsert(t, s, ["k"], on_duplicate="keep")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "GlobalLimit" not in plan

@@ -30,3 +30,13 @@ def test_partition_pruned_read_plan(spark, tmp_path):
     assert "dynamicpruning" in plan.lower() or "PartitionFilters: [isnotnull(p" in plan
     upsert_partitions(spark, batch.withColumn("id", F.lit("new")), path, ["id", "p"], ["p"])
     assert spark.read.parquet(path).count() == 1001
+
+
+def test_zero_padded_partition_values_stay_text(spark, tmp_path):
+    from strata.sources.partitioned import upsert_partitions
+
+    path = str(tmp_path / "t")
+    for v in (1, 9):
+        upsert_partitions(spark, spark.createDataFrame([("a", "01", v), ("b", "1", v)], "k string, m string, v int"), path, ["k", "m"], ["m"])
+    got = spark.read.schema("k string, v int, m string").parquet(path).select("k", "m", "v").collect()
+    assert sorted(map(tuple, got)) == [("a", "01", 9), ("b", "1", 9)]

@@ -1,6 +1,8 @@
 """Plan shape and skew: hot keys, the shuffle path of lookup joins, no
 Python evaluation, filters and projections reaching the scan."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import dedupe_latest
@@ -35,24 +37,33 @@ def test_customer_360_single_grouping_shuffle_and_hot_customer(spark, sf):
     assert c.filter(F.col("customer_bk") == "C-hot").first()["total_orders"] == n_hot
 
 
-def test_lookup_join_shuffle_path_equals_broadcast_path(spark, sf):
-    pos = L.silver_pos(spark, sf)
-    dim = L.dim_customer(spark, sf).filter("_is_current").select("customer_sk", "customer_bk")
-    a = lookup_join(pos, dim, "customer_id", "customer_bk").select("transaction_id", "customer_sk")
-    assert "BroadcastHashJoin" in _plan(a)
+def _without_broadcast(spark, build):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the dimension were large
     try:
-        b = lookup_join(pos, dim, "customer_id", "customer_bk", max_broadcast_rows=0).select(
-            "transaction_id", "customer_sk")
-        pb = _plan(b)
-        brows = sorted(map(tuple, b.collect()), key=str)
+        df = build()
+        return _plan(df), sorted(map(tuple, df.collect()), key=str)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "SortMergeJoin" in pb or "ShuffledHashJoin" in pb
-    assert "_salt" in pb  # NULL keys spread by the salt column
-    assert sorted(map(tuple, a.collect()), key=str) == brows
-    assert len(brows) == pos.count()  # NULL customers kept, not matched
+
+
+def test_lookup_join_spreads_null_keys(spark, sf):
+    pos = L.silver_pos(spark, sf)
+    dim = L.dim_customer(spark, sf).filter("_is_current").select("customer_sk", "customer_bk")
+    build = lambda: lookup_join(pos, dim, "customer_id", "customer_bk").select("transaction_id", "customer_sk")
+    plan, rows = _without_broadcast(spark, build)
+    assert "_salt" in plan and "SortMergeJoin" in plan
+    assert rows == sorted(map(tuple, build().collect()), key=str)
+    assert len(rows) == pos.count()  # NULL customers kept, not matched
+
+
+def test_no_table_rows_go_to_one_partition(spark, sf):
+    """Joins are not sized by a limit job, and no plan gathers rows."""
+    for name in ("fact_sales", "sales_summary", "customer_360_ext", "customer_360_view", "upsert_orders", "fact_sales_asof"):
+        p = _plan(QUERIES[name](spark, sf))
+        assert "GlobalLimit" not in p, name
+        # only the partition sizes of the dense keys (a row a partition) are gathered
+        assert all("_pid" in below for below in re.findall(r"Exchange SinglePartition[^\n]*\n([^\n]*)", p)), name
 
 
 def test_no_python_evaluation_in_registered_queries(spark, sf):
@@ -70,27 +81,14 @@ def test_scan_pruning_and_pushdown(spark, sf):
     assert "o_orderpriority" not in p  # unused column pruned from ReadSchema
 
 
-def test_broadcast_check_bounds_rows_and_bytes(spark):
-    from strata.operators.joins import fits_broadcast
-
-    wide = spark.range(10).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("s"))
-    assert fits_broadcast(wide, max_rows=10, max_bytes=1_000_000)
-    assert not fits_broadcast(wide, max_rows=9, max_bytes=1_000_000)   # too many rows
-    assert not fits_broadcast(wide, max_rows=10, max_bytes=5_000)      # 10 kB of text
-    assert fits_broadcast(wide.limit(0), max_rows=10, max_bytes=1)
-
-
-def test_point_in_time_join_shuffle_path_spreads_null_keys(spark, sf):
+def test_point_in_time_join_spreads_null_keys(spark, sf):
     from strata.operators.joins import point_in_time_join
     from strata.plans.queries import _customer_history
 
     pos = L.silver_pos(spark, sf)
     hist = _customer_history(spark, sf).select("customer_sk", "customer_bk", "_valid_from", "_valid_to")
-    cols = ["transaction_id", "customer_sk"]
-    a = point_in_time_join(pos, hist, "customer_id", "customer_bk", "sale_date").select(*cols)
-    b = point_in_time_join(pos, hist, "customer_id", "customer_bk", "sale_date",
-                           max_broadcast_rows=0).select(*cols)
-    assert "_salt" in _plan(b)
-    brows = sorted(map(tuple, b.collect()), key=str)
-    assert sorted(map(tuple, a.collect()), key=str) == brows
-    assert len(brows) == pos.count()
+    build = lambda: point_in_time_join(pos, hist, "customer_id", "customer_bk", "sale_date").select("transaction_id", "customer_sk")
+    plan, rows = _without_broadcast(spark, build)
+    assert "_salt" in plan
+    assert rows == sorted(map(tuple, build().collect()), key=str)
+    assert len(rows) == pos.count()

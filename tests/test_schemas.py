@@ -10,7 +10,7 @@ def test_registry_lists_fifteen_sorted():
 
 
 def test_unknown_table_raises():
-    with pytest.raises(KeyError, match="not found in registry"):
+    with pytest.raises(KeyError, match="no layout is registered"):
         schemas.get_schema("gold_nothing")
 
 

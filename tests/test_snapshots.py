@@ -11,7 +11,7 @@ def test_time_travel_and_guards(spark, tmp_table):
     assert t.read().count() == 5
     assert t.read(version=1).count() == 3
     assert t.read(timestamp="2024-01-01T12:00:00").count() == 3
-    with pytest.raises(ValueError, match="either version or timestamp"):
+    with pytest.raises(ValueError, match="exclude each other"):
         t.read(version=1, timestamp="2024-01-01")
     with pytest.raises(ValueError):
         t.read(timestamp="2023-01-01")
