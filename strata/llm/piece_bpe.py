@@ -36,7 +36,7 @@ from strata.llm.common import pieces, sha256, text_bytes, texts
 
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-_REMEMBER = 200_000
+_REMEMBER = 300_000
 
 
 class PieceModel:
