@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import dedupe_latest
+from strata.session import written
 from strata.operators.keys import max_key, with_dense_keys
 
 VALID_FROM, VALID_TO, IS_CURRENT = "_valid_from", "_valid_to", "_is_current"
@@ -59,10 +60,15 @@ def scd2_merge(
     as_of,
     source_bk: str | None = None,
 ) -> DataFrame:
-    """Apply one snapshot of ``source`` to the type-2 dimension ``dim``."""
+    """Apply one snapshot of ``source`` to the type-2 dimension ``dim``.
+
+    A snapshot older than the dimension's latest version is refused: it would
+    close a version before it began."""
     source_bk = source_bk or bk
     cols = [sk, bk, *attrs, VALID_FROM, VALID_TO, IS_CURRENT]
     ts = _ts(as_of)
+    if dim.agg((F.max(VALID_FROM) > ts).alias("late")).first()["late"]:
+        raise ValueError(f"the dimension has versions that begin after {as_of}")
     hist = dim.filter(~F.col(IS_CURRENT)).select(*cols)
     cur = dim.filter(F.col(IS_CURRENT)).select(*cols)
     src = dedupe_latest(
@@ -98,7 +104,7 @@ def scd2_merge(
     )
     # Materialise once: both the key assignment and the untouched rows read it.
     out = j.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r")).select("r.*")
-    out = out.checkpoint(eager=True)
+    out = written(out, "scd2-rows")
     base = max_key(dim, sk)
     inserts = with_dense_keys(
         out.filter(F.col("_new")).drop(sk, "_new"), bk, sk, offset=base

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from strata.functions.calendar import calendar_columns, date_sk
 from strata.functions.tiers import value_tier
 from strata.operators.joins import lookup_join, point_in_time_join
-from strata.operators.scd2 import scd2_initial
+from strata.operators.scd2 import scd2_initial, scd2_merge
 
 CUSTOMER_ATTRS = ["name_hash", "email_hash", "city", "country", "signup_date"]
 PRODUCT_ATTRS = ["product_name", "category", "sub_category", "unit_cost"]
@@ -25,22 +25,28 @@ def _ts_lit(as_of) -> Column:
 
 
 # ------------------------------------------------------------------ dims
-def build_dim_customer(silver_customers: DataFrame, as_of) -> DataFrame:
-    return scd2_initial(
-        silver_customers, "customer_id", "customer_sk", CUSTOMER_ATTRS, as_of, bk_out="customer_bk"
-    )
+def _dimension(source: DataFrame, bk: str, name: str, attrs: list[str], as_of, existing: DataFrame | None) -> DataFrame:
+    """First load, or the snapshot merged into the dimension as it stands
+    (history and surrogate keys stay)."""
+    if existing is None:
+        return scd2_initial(source, bk, f"{name}_sk", attrs, as_of, bk_out=f"{name}_bk")
+    return scd2_merge(existing, source, f"{name}_bk", f"{name}_sk", attrs, as_of, source_bk=bk)
+
+
+def build_dim_customer(silver_customers: DataFrame, as_of, existing: DataFrame | None = None) -> DataFrame:
+    return _dimension(silver_customers, "customer_id", "customer", CUSTOMER_ATTRS, as_of, existing)
 
 
-def build_dim_product(silver_pos: DataFrame, products: DataFrame, as_of) -> DataFrame:
+def build_dim_product(silver_pos: DataFrame, products: DataFrame, as_of, existing: DataFrame | None = None) -> DataFrame:
     """Every product sold, with master attributes where the master has them."""
     sold = silver_pos.select("product_id").distinct()
     attrs = products.select("product_id", *PRODUCT_ATTRS)
     src = lookup_join(sold, attrs, "product_id", "product_id").drop(attrs["product_id"])
-    return scd2_initial(src, "product_id", "product_sk", PRODUCT_ATTRS, as_of, bk_out="product_bk")
+    return _dimension(src, "product_id", "product", PRODUCT_ATTRS, as_of, existing)
 
 
-def build_dim_store(stores: DataFrame, as_of) -> DataFrame:
-    return scd2_initial(stores, "store_id", "store_sk", STORE_ATTRS, as_of, bk_out="store_bk")
+def build_dim_store(stores: DataFrame, as_of, existing: DataFrame | None = None) -> DataFrame:
+    return _dimension(stores, "store_id", "store", STORE_ATTRS, as_of, existing)
 
 
 def build_dim_date(silver_pos: DataFrame) -> DataFrame:

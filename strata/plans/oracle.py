@@ -507,6 +507,7 @@ UNION ALL SELECT * FROM orders_batch2"""
 SELECT 2 AS version, 'MERGE' AS operation, CAST(count(*) AS BIGINT) AS rows FROM merged
 UNION ALL SELECT 3, 'OPTIMIZE', CAST(count(*) AS BIGINT) FROM merged"""
     q["zorder_layout"] = "SELECT * FROM lineitem"
+    q["daily_two_days"] = q["scd2_merge"]
     for same in ("incremental_load", "hourly_incremental", "stream_pos_upsert"):
         q[same] = q["clean_transactions"]
     q["dq_bronze"] = f"""{POS},

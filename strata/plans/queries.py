@@ -356,6 +356,30 @@ def q_daily_refresh(spark, sf):
     )
 
 
+def q_daily_two_days(spark, sf):
+    """The daily job run on two days over one lake: the customers of day 1
+    as first delivered, on day 2 the full snapshot. Returns the customer
+    dimension: day 1's versions are history, keys are unchanged."""
+    from strata.plans.jobs import daily_refresh
+
+    c = feeds.raw_customers(spark, sf)
+    k = F.substring(F.col("customer_id"), 2, 20).cast("long")
+    day1 = c.filter(F.col("signup_date").try_cast("timestamp_ntz") < F.lit(L.CHANGE_AT).cast("timestamp_ntz")).withColumns({
+        "city": F.when(k % 10 == 3, F.concat(F.lit("OLD/"), "city")).when(k % 25 != 0, F.col("city")),
+        "email": F.when(k % 10 != 7, F.col("email")),
+    })
+    day2 = c.withColumn("city", F.when(k % 40 != 1, F.col("city")))
+    land = {n: scratch_path(spark, f"two_days_{n}") for n in ("pos", "inventory")}
+    files.write_csv_feed(feeds.raw_pos(spark, sf), land["pos"])
+    files.write_csv_feed(feeds.raw_inventory(spark, sf), land["inventory"])
+    root = scratch_path(spark, "two_days_lake")
+    for as_of, customers in ((L.HISTORY_START, day1), (L.CHANGE_AT, day2)):
+        land["customers"] = scratch_path(spark, "two_days_customers")
+        files.write_csv_feed(customers, land["customers"])
+        daily_refresh(spark, land, root, as_of, products=feeds.products(spark, sf), stores=feeds.stores(spark, sf), gate=False)
+    return SnapshotTable(spark, f"{root}/gold/dim_customer").read()
+
+
 # ------------------------------------------------------------- streaming
 def q_stream_pos_upsert(spark, sf):
     from strata.streaming.streams import stream_pos_upsert
@@ -415,6 +439,7 @@ QUERIES: dict[str, Query] = {
     "fk_orphans": q_fk_orphans,
     "layer_counts": q_layer_counts,
     "daily_refresh": q_daily_refresh,
+    "daily_two_days": q_daily_two_days,
     "stream_pos_upsert": q_stream_pos_upsert,
     "stream_dedupe": q_stream_dedupe,
     "stream_sessions": q_stream_sessions,

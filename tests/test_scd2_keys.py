@@ -71,3 +71,14 @@ def test_scd2_cases(spark):
     # idempotent: the same snapshot again changes nothing
     d3 = scd2_merge(d2, v2src, "bk", "sk", ATTRS, "2024-03-01 00:00:00")
     assert sorted(map(tuple, d3.collect())) == sorted(map(tuple, rows))
+
+
+def test_back_dated_snapshot_is_refused(spark):
+    import pytest
+
+    from strata.operators.scd2 import scd2_initial, scd2_merge
+
+    day = lambda v: spark.createDataFrame([("k", v)], "id string, v string")
+    dim = scd2_initial(day("a"), "id", "sk", ["v"], "2024-01-01", bk_out="bk")
+    with pytest.raises(ValueError, match="begin after"):
+        scd2_merge(dim, day("b"), "bk", "sk", ["v"], "2023-01-01", source_bk="id").collect()
