@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from strata.operators import quality
 from strata.plans import gold, silver
-from strata.session import written
 from strata.sources import files
 from strata.sources.partitioned import path_exists
 from strata.sources.incremental import new_files
@@ -90,27 +89,27 @@ def daily_refresh(
         return t.read() if t.exists() else None
 
     def check(suite, df):
-        res = quality.run_suite(df, suite)
+        # stored before the gate, so a stopped run leaves its reasons
+        res = quality.store_results(quality.run_suite(df, suite), f"{lh.root.rstrip('/')}/dq/results", as_of)
         rows = quality.run_checkpoint(res) if gate else res.collect()
         report["dq"][suite] = [r.asDict() for r in rows]
 
     # bronze: land raw rows with ingestion metadata (merge on the event key)
-    pos_raw = files.read_csv_feed(spark, landing["pos"], files.raw_string_schema("bronze_pos_transactions"))
-    inv_raw = files.read_csv_feed(spark, landing["inventory"],
-                                  files.raw_string_schema("bronze_inventory_movements"))
-    cust_raw = files.read_csv_feed(spark, landing["customers"], files.raw_string_schema("bronze_customers"))
-    bronze_pos = write("bronze", "pos_transactions", files.stamp_ingestion(pos_raw, as_of))
-    bronze_inv = write("bronze", "inventory_movements", files.stamp_ingestion(inv_raw, as_of))
-    bronze_cust = write("bronze", "customers", files.stamp_ingestion(cust_raw, as_of))
-    clicks = None
-    if "clicks" in landing:
-        good, _bad = files.split_corrupt(
-            files.read_json_feed(spark, landing["clicks"], files.raw_string_schema("bronze_clickstream"))
-        )
-        clicks = write("bronze", "clickstream", files.stamp_ingestion(good, as_of))
+    def land(feed, name, read=files.read_csv_feed, **options):
+        """Good lines go to bronze, lines that do not parse to quarantine."""
+        raw = read(spark, landing[feed], files.raw_string_schema(f"bronze_{name}"), **options)
+        good, bad = files.split_corrupt(raw)
+        write("quarantine", f"{name}_lines", files.stamp_ingestion(bad, as_of))
+        return write("bronze", name, files.stamp_ingestion(good, as_of))
+
+    bronze_pos = land("pos", "pos_transactions", corrupt=True)
+    bronze_inv = land("inventory", "inventory_movements", corrupt=True)
+    bronze_cust = land("customers", "customers", corrupt=True)
+    clicks = land("clicks", "clickstream", files.read_json_feed) if "clicks" in landing else None
     check("bronze_pos_transactions", bronze_pos)
 
     # silver
+    write("quarantine", "pos_transactions", silver.pos_quarantine(bronze_pos, as_of))
     s_pos = write("silver", "pos_transactions", silver.clean_transactions(bronze_pos, as_of),
                   ["transaction_id"])
     s_inv = write("silver", "inventory_movements", silver.clean_inventory(bronze_inv, as_of),
@@ -144,8 +143,10 @@ def hourly_incremental(spark: SparkSession, landing_pos: str, root: str, as_of)
     Every row of a new file is loaded, whatever its sale date; the merge keeps
     the winner of ``silver_pos_order`` between table and batch. The list of
     loaded files is extended last: a run that stops before is repeated by the
-    next one, with the same silver table (bronze keeps both deliveries)."""
+    next one, with the same silver table (bronze and quarantine keep both
+    deliveries). Lines that do not parse and rejected rows go to quarantine."""
     lh = Lakehouse(root)
+    quarantine = f"{lh.root.rstrip('/')}/quarantine/pos_transactions"
     schema = files.raw_string_schema("bronze_pos_transactions")
     target = lh.table(spark, "silver", "pos_transactions")
     bronze = f"{lh.root.rstrip('/')}/bronze/pos_transactions_log"
@@ -154,10 +155,53 @@ def hourly_incremental(spark: SparkSession, landing_pos: str, root: str, as_of)
     todo = new_files(files.read_csv_feed(spark, landing_pos, schema), loaded)
     if not todo:
         return {"version": target.latest_version(), "files": 0, "rows": 0}
-    batch = written(files.stamp_ingestion(files.read_csv_feed(spark, todo, schema), as_of), "hourly-pos")
+    good, bad = files.split_corrupt(files.read_csv_feed(spark, todo, schema, corrupt=True))  # written once
+    batch = files.stamp_ingestion(good, as_of)
     obs = Observation("hourly")
     cleaned = silver.clean_transactions(batch, as_of).observe(obs, F.count(F.lit(1)).alias("rows"))
     v = target.upsert(cleaned, ["transaction_id"], committed_at=as_of, on_duplicate="keep", latest=silver.silver_pos_order())
     batch.write.mode("append").parquet(bronze)
+    silver.pos_quarantine(batch, as_of).write.mode("append").parquet(f"{quarantine}_log")
+    files.stamp_ingestion(bad, as_of).write.mode("append").parquet(f"{quarantine}_lines_log")
+    spark.createDataFrame([(f,) for f in todo], "_source_file string").coalesce(1).write.mode("append").parquet(done)
+    return {"version": v, "files": len(todo), "rows": obs.get["rows"]}
+
+
+def hourly_clicks(spark: SparkSession, landing: str, root: str, as_of) -> dict:
+    """Clickstream landing -> bronze -> silver sessions for the files not
+    loaded yet.
+
+    New events can open, join or extend sessions of their customers only, so
+    the sessions of the customers in the batch (and of those whose events it
+    delivers again) are cut anew from silver and the batch; other events stay
+    as they are. A run that stops before the list of loaded files is extended
+    is repeated by the next one, with the same silver table."""
+    lh = Lakehouse(root)
+    base = lh.root.rstrip("/")
+    schema = files.raw_string_schema("bronze_clickstream")
+    target = lh.table(spark, "silver", "clickstream")
+    done = f"{base}/bronze/clickstream_files"
+    loaded = spark.read.parquet(done) if target.exists() and path_exists(spark, done) else None
+    todo = new_files(files.read_json_feed(spark, landing, schema), loaded)
+    if not todo:
+        return {"version": target.latest_version(), "files": 0, "rows": 0}
+    good, bad = files.split_corrupt(files.read_json_feed(spark, todo, schema))
+    raw = files.stamp_ingestion(good, as_of)
+    batch = silver.parse_clicks(raw).drop("_source_file", "session_id").filter(F.col("event_id").isNotNull())
+    events = batch
+    if target.exists():
+        kept = target.read().select(
+            *[c for c in batch.columns if c != "_ingested_at"], F.col("_processed_at").alias("_ingested_at")
+        )
+        again = kept.join(batch.select("event_id").distinct(), "event_id", "left_semi")
+        touched = batch.select("customer_id").union(again.select("customer_id")).distinct()
+        # anonymous events match no customer: they belong to no session
+        events = batch.unionByName(kept.join(touched, "customer_id", "left_semi")).unionByName(
+            again.filter(F.col("customer_id").isNull()))
+    obs = Observation("hourly-clicks")
+    out = silver.sessionise(events, as_of).observe(obs, F.count(F.lit(1)).alias("rows"))
+    v = target.upsert(out, ["event_id"], committed_at=as_of, on_duplicate="keep")
+    raw.write.mode("append").parquet(f"{base}/bronze/clickstream_log")
+    files.stamp_ingestion(bad, as_of).write.mode("append").parquet(f"{base}/quarantine/clickstream_lines_log")
     spark.createDataFrame([(f,) for f in todo], "_source_file string").coalesce(1).write.mode("append").parquet(done)
     return {"version": v, "files": len(todo), "rows": obs.get["rows"]}

@@ -379,6 +379,18 @@ SILVER_COLS = [
 ]
 
 
+POS_QUARANTINE = f"""pos_quarantine AS (
+  SELECT d.*, {AS_OF} AS _ingested_at, 'lineitem' AS _source_file, t.reject_reason, {AS_OF} AS _processed_at
+  FROM pos_dedup d JOIN pos_typed t ON d.transaction_id = t.transaction_id WHERE t.reject_reason IS NOT NULL
+  UNION ALL
+  SELECT *, {AS_OF}, 'lineitem', 'null_transaction_id', {AS_OF} FROM raw_pos WHERE transaction_id IS NULL
+)"""
+
+
+def _duck_type(t: str) -> str:
+    return {"string": "VARCHAR", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP"}.get(t, t.upper())
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["ingest_pos"] = f"WITH {RAW_POS} SELECT *, {AS_OF} AS _ingested_at FROM raw_pos"
@@ -404,6 +416,13 @@ UNION ALL SELECT 'duplicate', CAST(COALESCE(sum(k - 1), 0) AS BIGINT) FROM
         f"CAST(0 AS BIGINT) AS cast_failures FROM pos_silver"
         for c, t, n in SILVER_COLS
     )
+    q["conform_raw"] = f"WITH {RAW_POS}, raw_all AS (SELECT *, NULL AS total_amount, '{L.AS_OF}' AS _processed_at FROM raw_pos)\n" + "\nUNION ALL\n".join(
+        f"SELECT 'silver_pos_transactions' AS table_name, '{c}' AS column_name, '{t}' AS data_type, {'TRUE' if n else 'FALSE'} AS nullable, "
+        f"CAST(count_if(TRY_CAST({c} AS {_duck_type(t)}) IS NULL) AS BIGINT) AS null_count, "
+        f"CAST(count_if({c} IS NOT NULL AND TRY_CAST({c} AS {_duck_type(t)}) IS NULL) AS BIGINT) AS cast_failures FROM raw_all"
+        for c, t, n in SILVER_COLS
+    )
+    q["quarantine_rows"] = f"{POS},\n{POS_QUARANTINE} SELECT * FROM pos_quarantine"
     q["clean_inventory"] = f"WITH {RAW_INV} SELECT * FROM silver_inventory"
     q["clean_customers"] = f"WITH {RAW_CUSTOMERS} SELECT * FROM silver_customers"
     q["sessionise"] = f"""WITH {EVENTS}
@@ -416,6 +435,7 @@ FROM ev_sess
 UNION ALL
 SELECT event_id, customer_id, page_url, event_type, event_timestamp, device_type,
   NULL, NULL, NULL, NULL, {AS_OF} FROM ev WHERE customer_id IS NULL OR event_timestamp IS NULL"""
+    q["hourly_clicks"] = q["sessionise"]
     q["stream_dedupe"] = f"WITH {EVENTS} SELECT * FROM ev"
     q["stream_sessions"] = f"""WITH {EVENTS},
 closed AS (
@@ -541,8 +561,17 @@ bronze AS (SELECT *, {AS_OF} AS _ingested_at FROM raw_pos)
         (6, "expect_column_values_to_be_between", "total_amount", "between", ("0.01", 10000000)),
         (7, "expect_column_values_to_not_be_null", "_processed_at", "notnull", None),
     ])
-    q["pk_check"] = f"""{GOLD},\n{dim_date_cte('pos_silver')},\n{C360}
+    q["dq_results"] = "\nUNION ALL\n".join(
+        f"SELECT *, {AS_OF} AS run_at FROM ({q[suite]})" for suite in ("dq_bronze", "dq_silver", "dq_gold"))
+    q["pk_check"] = f"""{GOLD},\n{dim_date_cte('pos_silver')},\n{C360},\n{RAW_INV},\n{EVENTS},
+inv_keys AS (SELECT concat_ws('|', warehouse_id, product_id, COALESCE(CAST(date_sk AS VARCHAR), 'none')) AS snapshot_id FROM (
+  SELECT warehouse_id, product_id, {_date_sk('movement_date')} AS date_sk FROM silver_inventory GROUP BY ALL))
 """ + "\nUNION ALL\n".join([
+        _pk("silver_inventory_movements", "silver_inventory", "movement_id"),
+        _pk("silver_customers", "silver_customers", "customer_id"),
+        _pk("silver_clickstream", "ev", "event_id"),
+        _pk("gold_fact_sales", "fact_sales", "transaction_id"),
+        _pk("gold_fact_inventory_snapshot", "inv_keys", "snapshot_id"),
         _pk("silver_pos_transactions", "pos_silver", "transaction_id"),
         _pk("gold_dim_customer", "dim_customer", "customer_sk"),
         _pk("gold_dim_customer_current_bk", "dim_customer", "customer_bk", "_is_current"),
@@ -572,6 +601,9 @@ UNION ALL SELECT 'silver', CAST(count(*) AS BIGINT) FROM pos_silver"""
         ("silver.inventory_movements", "silver_inventory"),
         ("silver.customers", "silver_customers"),
         ("silver.clickstream", "ev"),
+        ("quarantine.pos_transactions", "pos_quarantine"),
+        *[(f"quarantine.{t}_lines", "(SELECT 1 WHERE FALSE)")
+          for t in ("pos_transactions", "inventory_movements", "customers", "clickstream")],
         ("gold.dim_customer", "dim_customer"),
         ("gold.dim_product", "dim_product"),
         ("gold.dim_store", "dim_store"),
@@ -581,7 +613,7 @@ UNION ALL SELECT 'silver', CAST(count(*) AS BIGINT) FROM pos_silver"""
         ("gold.fact_inventory_snapshot", "inv_snapshot"),
     ]
     q["daily_refresh"] = (
-        f"{GOLD},\n{dim_date_cte('pos_silver')},\n{C360},\n{RAW_INV},\n{EVENTS},\n"
+        f"{GOLD},\n{dim_date_cte('pos_silver')},\n{C360},\n{RAW_INV},\n{EVENTS},\n{POS_QUARANTINE},\n"
         "inv_snapshot AS (SELECT DISTINCT warehouse_id, product_id, "
         f"{_date_sk('movement_date')} AS date_sk FROM silver_inventory)\n"
         + "\nUNION ALL\n".join(

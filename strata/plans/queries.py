@@ -89,6 +89,17 @@ def q_conform_schema(spark, sf):
     return schemas.schema_violations(L.silver_pos(spark, sf), "silver_pos_transactions")
 
 
+def q_quarantine_rows(spark, sf):
+    return silver.pos_quarantine(L.bronze_pos(spark, sf), L.AS_OF)
+
+
+def q_conform_raw(spark, sf):
+    """What casting the raw POS text to the silver layout would lose."""
+    raw = feeds.raw_pos(spark, sf).withColumns({
+        "total_amount": F.lit(None).cast("string"), "_processed_at": F.lit(L.AS_OF)})
+    return schemas.schema_violations(raw, "silver_pos_transactions")
+
+
 def q_sessionise(spark, sf):
     return silver.sessionise(feeds.clickstream(spark, sf), L.AS_OF)
 
@@ -278,6 +289,21 @@ def q_hourly_incremental(spark, sf):
     return SnapshotTable(spark, f"{root}/silver/pos_transactions").read()
 
 
+def q_hourly_clicks(spark, sf):
+    """The hourly click job run twice: the events of the second delivery lie
+    between those of the first, so most sessions are cut anew. Equal to the
+    sessions of one batch over all events."""
+    from strata.plans.jobs import hourly_clicks
+
+    land, root = scratch_path(spark, "hourly_clicks_landing"), scratch_path(spark, "hourly_clicks_lake")
+    raw = feeds.clickstream_raw(spark, sf).drop("session_id")
+    second = F.crc32("event_id") % 2 == 1
+    for hour, part in enumerate((raw.filter(~second), raw.filter(second)), 1):
+        files.write_json_feed(part, f"{land}/h{hour}")
+        hourly_clicks(spark, land, root, L.AS_OF)
+    return SnapshotTable(spark, f"{root}/silver/clickstream").read()
+
+
 # ------------------------------------------------------------ data quality
 def q_dq_bronze(spark, sf):
     return quality.run_suite(L.bronze_pos(spark, sf), "bronze_pos_transactions")
@@ -291,16 +317,31 @@ def q_dq_gold(spark, sf):
     return quality.run_suite(L.fact_sales(spark, sf), "gold_fact_sales")
 
 
+def q_dq_results(spark, sf):
+    """The result table after the three suites of one run were stored."""
+    path, st = scratch_path(spark, "dq_results"), L.star(spark, sf)
+    for suite, df in (("bronze_pos_transactions", L.bronze_pos(spark, sf)), ("silver_pos_transactions", st["pos"]),
+                      ("gold_fact_sales", st["fact_sales"])):
+        quality.store_results(quality.run_suite(df, suite), path, L.AS_OF)
+    return spark.read.parquet(path)
+
+
 def q_pk_check(spark, sf):
-    pos = L.silver_pos_table(spark, sf)
-    dc = L.dim_customer(spark, sf)
+    st = L.star(spark, sf)
+    pos, dc = st["pos"], st["dim_customer"]
     parts = [
+        quality.pk_check(L.silver_inventory(spark, sf), "silver_inventory_movements", ["movement_id"]),
+        quality.pk_check(L.silver_customers(spark, sf), "silver_customers", ["customer_id"]),
+        quality.pk_check(silver.sessionise(feeds.clickstream(spark, sf), L.AS_OF), "silver_clickstream", ["event_id"]),
+        quality.pk_check(st["fact_sales"], "gold_fact_sales", ["transaction_id"]),
+        quality.pk_check(gold.build_inventory_snapshot(L.silver_inventory(spark, sf), st["dim_product"], L.AS_OF),
+                         "gold_fact_inventory_snapshot", ["snapshot_id"]),
         quality.pk_check(pos, "silver_pos_transactions", ["transaction_id"]),
         quality.pk_check(dc, "gold_dim_customer", ["customer_sk"]),
         quality.pk_check(dc, "gold_dim_customer_current_bk",
                          ["customer_bk"], current_col="_is_current"),
-        quality.pk_check(L.dim_product(spark, sf, pos), "gold_dim_product", ["product_sk"]),
-        quality.pk_check(L.dim_store(spark, sf), "gold_dim_store", ["store_sk"]),
+        quality.pk_check(st["dim_product"], "gold_dim_product", ["product_sk"]),
+        quality.pk_check(st["dim_store"], "gold_dim_store", ["store_sk"]),
         quality.pk_check(gold.build_dim_date(pos), "gold_dim_date", ["date_sk"]),
         quality.pk_check(gold.build_customer_360(pos, L.AS_OF), "gold_agg_customer_360", ["customer_bk"]),
     ]
@@ -410,6 +451,8 @@ QUERIES: dict[str, Query] = {
     "dedupe_latest": q_dedupe_latest,
     "rejects_by_reason": q_rejects_by_reason,
     "conform_schema": q_conform_schema,
+    "conform_raw": q_conform_raw,
+    "quarantine_rows": q_quarantine_rows,
     "sessionise": q_sessionise,
     "session_window_counts": q_session_window_counts,
     "customer_360": q_customer_360,
@@ -432,9 +475,11 @@ QUERIES: dict[str, Query] = {
     "vacuum_history": q_vacuum_history,
     "incremental_load": q_incremental_load,
     "hourly_incremental": q_hourly_incremental,
+    "hourly_clicks": q_hourly_clicks,
     "dq_bronze": q_dq_bronze,
     "dq_silver": q_dq_silver,
     "dq_gold": q_dq_gold,
+    "dq_results": q_dq_results,
     "pk_check": q_pk_check,
     "fk_orphans": q_fk_orphans,
     "layer_counts": q_layer_counts,

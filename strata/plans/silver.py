@@ -119,6 +119,17 @@ def split_rejects(bronze: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def pos_quarantine(bronze: DataFrame, as_of) -> DataFrame:
+    """The rows that are kept out of silver, as they were delivered (all raw
+    columns and the ingestion metadata), with ``reject_reason``: rows without
+    an id and ids whose best copy is rejected. (Copies that lose the dedupe
+    are counted by ``pos_outcomes``; bronze keeps them.)"""
+    reason = _pos_reject_reason(to_int("quantity"), to_decimal("unit_price", 12, 2))
+    bad = pos_deduped(bronze).withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
+    none = bronze.filter(F.col("transaction_id").isNull()).withColumn("reject_reason", F.lit("null_transaction_id"))
+    return bad.unionByName(none).withColumn("_processed_at", _ts_lit(as_of))
+
+
 def pos_outcomes(bronze: DataFrame) -> DataFrame:
     """Where every bronze row went: (outcome, rows). Outcomes: accepted, the
     reject reasons, duplicate (lost the dedupe), null_transaction_id. The rows
