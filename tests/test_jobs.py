@@ -27,6 +27,8 @@ def test_daily_refresh_gates_and_writes(spark, sf, tmp_path):
     except Exception as e:  # noqa: BLE001
         raised = "silver_pos_transactions" in str(e)
     assert raised
+    stored = spark.read.parquet(root + "/dq/results")  # the reasons of the stop are kept
+    assert {r["suite"] for r in stored.filter("not success").collect()} == {"silver_pos_transactions"}
     rep = jobs.daily_refresh(spark, land, root + "2", L.AS_OF, products=feeds.products(spark, sf),
                              stores=feeds.stores(spark, sf), gate=False)
     c = rep["counts"]
@@ -56,3 +58,46 @@ def test_hourly_job_loads_every_row_of_new_files_once(spark, tmp_path):
     got = {r["transaction_id"]: r["quantity"] for r in jobs.Lakehouse(root).table(spark, "silver", "pos_transactions").read().collect()}
     assert got == {"t1": 8, "t2": 1, "t3": 1, "late": 1, "none": 1, "equal": 1}
     assert spark.read.parquet(f"{root}/bronze/pos_transactions_log").count() == 7
+
+
+def test_hourly_clicks_recut_the_sessions_they_touch(spark, tmp_path):
+    """A late event joins two sessions, an event moves to another customer,
+    anonymous events stay, a broken line is quarantined."""
+    cols = "event_id string, customer_id string, page_url string, event_type string, timestamp string, device_type string"
+    row = lambda e, c, minute: (e, c, "/", "view", f"2024-05-01 10:{minute:02d}:00.000000", None)
+    land, root = str(tmp_path / "clicks"), str(tmp_path / "lake")
+    hours = [
+        [row("a1", "ann", 0), row("a2", "ann", 45), row("b1", "bob", 5), row("m", "ann", 50), row("n", None, 7)],
+        [row("a3", "ann", 25), row("m", "cy", 50), row("n", None, 8)],
+    ]
+    got = []
+    for n, rows in enumerate(hours, 1):
+        files.write_json_feed(spark.createDataFrame(rows, cols), f"{land}/h{n}")
+        if n == 2:
+            (tmp_path / "clicks" / "h2" / "broken.json").write_text('{"event_id": "x", \n')
+        got.append(jobs.hourly_clicks(spark, land, root, f"2025-01-01 0{n}:00:00"))
+    assert jobs.hourly_clicks(spark, land, root, "2025-01-01 03:00:00")["files"] == 0
+    out = {r["event_id"]: r for r in jobs.Lakehouse(root).table(spark, "silver", "clickstream").read().collect()}
+    assert len(out) == 6 and {e for e in out if out[e]["session_id"] is None} == {"n"}
+    assert out["a1"]["session_id"] == out["a2"]["session_id"] == out["a3"]["session_id"]
+    assert (out["a1"]["session_duration_seconds"], out["m"]["customer_id"], out["m"]["session_duration_seconds"]) == (2700, "cy", 0)
+    assert str(out["b1"]["_processed_at"]) == "2025-01-01 01:00:00"  # untouched
+    assert spark.read.parquet(f"{root}/quarantine/clickstream_lines_log").count() == 1
+
+
+def test_bad_lines_and_rejected_rows_are_quarantined(spark, tmp_path):
+    land, root = tmp_path / "pos", str(tmp_path / "lake")
+    land.mkdir()
+    (land / "d.csv").write_text(
+        "transaction_id,store_id,product_id,customer_id,quantity,unit_price,sale_date,payment_method\n"
+        "ok,s,p,c,1,2.00,2024-05-01,CARD\nshort,s,p\nlong,s,p,c,1,2.00,2024-05-01,CARD,more\n"
+        "neg,s,p,c,-1,2.00,whenever,card \n,s,p,c,1,2.00,2024-05-01,CARD\n"
+    )
+    assert jobs.hourly_incremental(spark, str(land), root, L.AS_OF)["rows"] == 1
+    lines = spark.read.parquet(f"{root}/quarantine/pos_transactions_lines_log").collect()
+    assert sorted(r["_corrupt_record"].split(",")[0] for r in lines) == ["long", "short"]
+    assert all(r["_source_file"].endswith("d.csv") for r in lines)
+    bad = {r["reject_reason"]: r for r in spark.read.parquet(f"{root}/quarantine/pos_transactions_log").collect()}
+    assert set(bad) == {"non_positive_quantity", "null_transaction_id"}
+    r = bad["non_positive_quantity"]
+    assert (r["quantity"], r["sale_date"], r["payment_method"]) == ("-1", "whenever", "card ")
