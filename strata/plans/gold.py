@@ -1,9 +1,9 @@
 """Gold: star schema (dimensions with stable surrogate keys, facts), the
 customer-360 aggregate and the reporting views.
 
-Join rules: dimension lookups broadcast only after a row-count check
-(``lookup_join``), else shuffle with NULL keys spread; aggregates are
-computed before joins to dimensions (pre-aggregate, then enrich)."""
+Join rules: dimension lookups carry no hint (``lookup_join``; NULL keys are
+spread); aggregates are computed before joins to dimensions (pre-aggregate,
+then enrich)."""
 
 from __future__ import annotations
 
@@ -50,11 +50,16 @@ def build_dim_store(stores: DataFrame, as_of, existing: DataFrame | None = None)
 
 
 def build_dim_date(silver_pos: DataFrame) -> DataFrame:
-    """One row per day from the first to the last sale date. The day list is
-    generated from two scalars and is bounded by the calendar span."""
-    days = silver_pos.agg(
+    """One row per day from the first to the last sale date. The days come
+    from two scalars, a row a year first, so a stray date far away makes more
+    rows but no longer array than a year."""
+    span = silver_pos.agg(
         F.to_date(F.min("sale_date")).alias("lo"), F.to_date(F.max("sale_date")).alias("hi")
-    ).select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("d"))
+    ).filter(F.col("lo").isNotNull())
+    years = span.select("lo", "hi", F.explode(F.sequence(F.year("lo"), F.year("hi"))).alias("y"))
+    first, last = (F.make_date("y", F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
+    days = years.select(
+        F.explode(F.sequence(F.greatest("lo", first), F.least("hi", last), F.expr("INTERVAL 1 DAY"))).alias("d"))
     return days.select(*[c.alias(n) for n, c in calendar_columns(F.col("d")).items()])
 
 
@@ -121,26 +126,43 @@ def build_inventory_snapshot(silver_inv: DataFrame, dim_product: DataFrame, as_o
 
 
 # ------------------------------------------------------------ aggregates
+def _most_frequent(value: str) -> Column:
+    """Over rows counted per ``value`` in ``_k``: the value with the largest
+    count, ties to the smallest value; NULLs do not count."""
+    ranked = F.struct((-F.col("_k")).alias("neg"), F.col(value).alias("v"))
+    return F.min(F.when(F.col(value).isNotNull(), ranked))["v"]
+
+
 def build_customer_360(silver_pos: DataFrame, as_of) -> DataFrame:
     """Per customer: orders, spend, average order value, first/last purchase,
-    preferred payment method and value tier, in ONE grouping pass.
-
-    The preferred method is ``mode`` with ties to the smallest method (NULL
-    methods do not count); it aggregates partially map-side like the rest,
-    so a customer with a huge share of rows costs one partial row per task.
-    Anonymous sales (NULL customer) are filtered before the shuffle."""
-    g = (
+    preferred payment method and value tier.
+
+    Rows are grouped by (customer, method) first, in a hash aggregation that
+    combines map-side, so a customer with a huge share of rows costs a row a
+    method and task; the second grouping sees a row a method. (The built-in
+    ``mode`` sorts its raw input once a task holds many customers.) Ties of the
+    preferred method go to the smallest, NULL methods do not count. Anonymous
+    sales (NULL customer) are filtered before the shuffle."""
+    per_method = (
         silver_pos.filter(F.col("customer_id").isNotNull())
-        .groupBy(F.col("customer_id").alias("customer_bk"))
+        .groupBy(F.col("customer_id").alias("customer_bk"), "payment_method")
         .agg(
-            F.count("transaction_id").alias("total_orders"),
+            F.count("transaction_id").alias("_orders"),
             F.sum("total_amount").alias("_sum"),
             F.count("total_amount").alias("_n"),
-            F.min("sale_date").alias("first_purchase_date"),
-            F.max("sale_date").alias("last_purchase_date"),
-            F.mode("payment_method", deterministic=True).alias("preferred_payment_method"),
+            F.min("sale_date").alias("_first"),
+            F.max("sale_date").alias("_last"),
+            F.count(F.lit(1)).alias("_k"),
         )
     )
+    g = per_method.groupBy("customer_bk").agg(
+        F.sum("_orders").alias("total_orders"),
+        F.sum("_sum").alias("_sum"),
+        F.sum("_n").alias("_n"),
+        F.min("_first").alias("first_purchase_date"),
+        F.max("_last").alias("last_purchase_date"),
+        _most_frequent("payment_method").alias("preferred_payment_method"),
+    )
     spend = F.col("_sum").cast("decimal(16,2)")
     return g.select(
         "customer_bk",
@@ -179,11 +201,17 @@ def build_customer_360_ext(silver_pos: DataFrame, dim_product: DataFrame) -> Dat
     additional purchase) and preferred product category."""
     cats = dim_product.filter(F.col("_is_current")).select(F.col("product_bk").alias("product_id"), "category")
     s = silver_pos.filter(F.col("customer_id").isNotNull()).join(cats, "product_id", "left")
-    g = s.groupBy(F.col("customer_id").alias("customer_bk")).agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        F.count("sale_date").alias("dated"),
-        F.datediff(F.to_date(F.max("sale_date")), F.to_date(F.min("sale_date"))).alias("span_days"),
-        F.mode("category", deterministic=True).alias("preferred_category"),
+    per_category = s.groupBy(F.col("customer_id").alias("customer_bk"), "category").agg(
+        F.count(F.lit(1)).alias("_k"),
+        F.count("sale_date").alias("_dated"),
+        F.min("sale_date").alias("_first"),
+        F.max("sale_date").alias("_last"),
+    )
+    g = per_category.groupBy("customer_bk").agg(
+        F.sum("_k").alias("total_orders"),
+        F.sum("_dated").alias("dated"),
+        F.datediff(F.to_date(F.max("_last")), F.to_date(F.min("_first"))).alias("span_days"),
+        _most_frequent("category").alias("preferred_category"),
     )
     freq = F.when(
         F.col("dated") >= 2,

@@ -310,18 +310,18 @@ def q_dq_bronze(spark, sf):
 
 
 def q_dq_silver(spark, sf):
-    return quality.run_suite(L.silver_pos(spark, sf), "silver_pos_transactions")
+    return quality.run_suite(L.silver_pos_table(spark, sf), "silver_pos_transactions")
 
 
 def q_dq_gold(spark, sf):
-    return quality.run_suite(L.fact_sales(spark, sf), "gold_fact_sales")
+    return quality.run_suite(written(L.fact_sales(spark, sf), "fact-sales"), "gold_fact_sales")
 
 
 def q_dq_results(spark, sf):
     """The result table after the three suites of one run were stored."""
     path, st = scratch_path(spark, "dq_results"), L.star(spark, sf)
     for suite, df in (("bronze_pos_transactions", L.bronze_pos(spark, sf)), ("silver_pos_transactions", st["pos"]),
-                      ("gold_fact_sales", st["fact_sales"])):
+                      ("gold_fact_sales", written(st["fact_sales"], "fact-sales"))):
         quality.store_results(quality.run_suite(df, suite), path, L.AS_OF)
     return spark.read.parquet(path)
 

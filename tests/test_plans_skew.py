@@ -26,17 +26,35 @@ def test_dedupe_uses_partial_group_limit_and_survives_hot_key(spark):
     assert len(got) == 20001 and got["hot"] == 29997
 
 
-def test_customer_360_single_grouping_shuffle_and_hot_customer(spark, sf):
+def test_customer_360_hash_aggregates_its_rows_and_survives_a_hot_customer(spark, sf):
     pos = L.silver_pos(spark, sf)
     hot = pos.withColumn("customer_id", F.when(F.col("quantity") % 3 == 0, "C-hot").otherwise(F.col("customer_id")))
     c = gold.build_customer_360(hot, L.AS_OF)
     p = _plan(c)
-    assert p.count("hashpartitioning(customer_id") == 1
+    assert "ObjectHashAggregate" not in p
+    # rows are combined by (customer, method) before the first of two shuffles
+    assert re.search(r"hashpartitioning\(customer_id#\d+, payment_method#\d+[^\n]*\n[^\n]*HashAggregate\(keys=\[customer_id", p)
     assert "BroadcastExchange" not in p.split("hashpartitioning(customer_id")[0]
     n_hot = hot.filter(F.col("customer_id") == "C-hot").count()
     assert c.filter(F.col("customer_bk") == "C-hot").first()["total_orders"] == n_hot
 
 
+def test_preferred_method_ignores_nulls_and_breaks_ties_downwards(spark, sf):
+    pos = L.silver_pos(spark, sf).limit(1)
+    rows = [("a", "X"), ("a", "B"), ("a", None), ("a", None), ("b", None), ("c", "Z"), ("c", "Z"), ("c", "A")]
+    made = spark.createDataFrame(rows, "customer_id string, payment_method string").withColumns(
+        {f.name: F.lit(None).cast(f.dataType) for f in pos.schema if f.name not in ("customer_id", "payment_method")})
+    got = {r["customer_bk"]: r["preferred_payment_method"] for r in gold.build_customer_360(made, L.AS_OF).collect()}
+    assert got == {"a": "B", "b": None, "c": "Z"}
+
+
+def test_calendar_of_stray_dates_has_no_long_array(spark):
+    pos = spark.sql("select to_timestamp_ntz(d) sale_date from values ('0001-01-01'), ('9999-12-31'), (null) t(d)")
+    days = gold.build_dim_date(pos)
+    assert days.count() == 3652059 and days.select("full_date").distinct().count() == 3652059
+    assert gold.build_dim_date(pos.limit(0)).count() == 0
+
+
 def _without_broadcast(spark, build):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the dimension were large
