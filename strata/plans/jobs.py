@@ -7,6 +7,7 @@ next layer (``QualityGateError`` stops the run)."""
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -137,22 +138,50 @@ def daily_refresh(
     return report
 
 
+def _next_batch(spark: SparkSession, bronze: str, target: SnapshotTable, listing: DataFrame) -> tuple[str, list[str]]:
+    """(batch id, files) to load next. The list of a batch is stored before
+    its work starts and its files join the loaded ones when all is written, so
+    a run that stopped is repeated with the same files, under the same id;
+    files that landed since then wait for the run after it."""
+    plan, done = f"{bronze}_batches", f"{bronze}_files"
+    loaded = spark.read.parquet(done) if target.exists() and path_exists(spark, done) else None
+    todo = []
+    if path_exists(spark, plan):
+        planned = spark.read.parquet(plan).distinct()
+        stopped = planned if loaded is None else planned.join(loaded, "_source_file", "left_anti")
+        todo = sorted(r[0] for r in stopped.collect())  # a row a file of one batch
+    if not todo:
+        todo = new_files(listing, loaded)
+        if todo:
+            _append_files(spark, todo, plan)
+    return "b" + hashlib.sha256("\n".join(todo).encode()).hexdigest()[:16], todo
+
+
+def _append_files(spark: SparkSession, names: list[str], path: str) -> None:
+    spark.createDataFrame([(f,) for f in names], "_source_file string").coalesce(1).write.mode("append").parquet(path)
+
+
+def _log(df: DataFrame, path: str, batch: str) -> None:
+    """The rows of a batch in a folder of their own, which a repeated run
+    replaces (column ``batch`` when the log is read)."""
+    df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
 def hourly_incremental(spark: SparkSession, landing_pos: str, root: str, as_of) -> dict:
     """POS landing -> silver -> bronze for the files not loaded yet.
 
     Every row of a new file is loaded, whatever its sale date; the merge keeps
     the winner of ``silver_pos_order`` between table and batch. The list of
     loaded files is extended last: a run that stops before is repeated by the
-    next one, with the same silver table (bronze and quarantine keep both
-    deliveries). Lines that do not parse and rejected rows go to quarantine."""
+    next one, with the same silver, bronze and quarantine rows
+    (``_next_batch``). Lines that do not parse and rejected rows go to
+    quarantine."""
     lh = Lakehouse(root)
     quarantine = f"{lh.root.rstrip('/')}/quarantine/pos_transactions"
     schema = files.raw_string_schema("bronze_pos_transactions")
     target = lh.table(spark, "silver", "pos_transactions")
-    bronze = f"{lh.root.rstrip('/')}/bronze/pos_transactions_log"
-    done = f"{lh.root.rstrip('/')}/bronze/pos_transactions_files"
-    loaded = spark.read.parquet(done) if target.exists() and path_exists(spark, done) else None
-    todo = new_files(files.read_csv_feed(spark, landing_pos, schema), loaded)
+    feed = f"{lh.root.rstrip('/')}/bronze/pos_transactions"
+    this, todo = _next_batch(spark, feed, target, files.read_csv_feed(spark, landing_pos, schema))
     if not todo:
         return {"version": target.latest_version(), "files": 0, "rows": 0}
     good, bad = files.split_corrupt(files.read_csv_feed(spark, todo, schema, corrupt=True))  # written once
@@ -160,10 +189,10 @@ def hourly_incremental(spark: SparkSession, landing_pos: str, root: str, as_of)
     obs = Observation("hourly")
     cleaned = silver.clean_transactions(batch, as_of).observe(obs, F.count(F.lit(1)).alias("rows"))
     v = target.upsert(cleaned, ["transaction_id"], committed_at=as_of, on_duplicate="keep", latest=silver.silver_pos_order())
-    batch.write.mode("append").parquet(bronze)
-    silver.pos_quarantine(batch, as_of).write.mode("append").parquet(f"{quarantine}_log")
-    files.stamp_ingestion(bad, as_of).write.mode("append").parquet(f"{quarantine}_lines_log")
-    spark.createDataFrame([(f,) for f in todo], "_source_file string").coalesce(1).write.mode("append").parquet(done)
+    _log(batch, f"{feed}_log", this)
+    _log(silver.pos_quarantine(batch, as_of), f"{quarantine}_log", this)
+    _log(files.stamp_ingestion(bad, as_of), f"{quarantine}_lines_log", this)
+    _append_files(spark, todo, f"{feed}_files")
     return {"version": v, "files": len(todo), "rows": obs.get["rows"]}
 
 
@@ -175,14 +204,13 @@ def hourly_clicks(spark: SparkSession, landing: str, root: str, as_of) -> dict:
     the sessions of the customers in the batch (and of those whose events it
     delivers again) are cut anew from silver and the batch; other events stay
     as they are. A run that stops before the list of loaded files is extended
-    is repeated by the next one, with the same silver table."""
+    is repeated by the next one, with the same rows everywhere."""
     lh = Lakehouse(root)
     base = lh.root.rstrip("/")
     schema = files.raw_string_schema("bronze_clickstream")
     target = lh.table(spark, "silver", "clickstream")
-    done = f"{base}/bronze/clickstream_files"
-    loaded = spark.read.parquet(done) if target.exists() and path_exists(spark, done) else None
-    todo = new_files(files.read_json_feed(spark, landing, schema), loaded)
+    feed = f"{base}/bronze/clickstream"
+    this, todo = _next_batch(spark, feed, target, files.read_json_feed(spark, landing, schema))
     if not todo:
         return {"version": target.latest_version(), "files": 0, "rows": 0}
     good, bad = files.split_corrupt(files.read_json_feed(spark, todo, schema))
@@ -201,7 +229,7 @@ def hourly_clicks(spark: SparkSession, landing: str, root: str, as_of) -> dict:
     obs = Observation("hourly-clicks")
     out = silver.sessionise(events, as_of).observe(obs, F.count(F.lit(1)).alias("rows"))
     v = target.upsert(out, ["event_id"], committed_at=as_of, on_duplicate="keep")
-    raw.write.mode("append").parquet(f"{base}/bronze/clickstream_log")
-    files.stamp_ingestion(bad, as_of).write.mode("append").parquet(f"{base}/quarantine/clickstream_lines_log")
-    spark.createDataFrame([(f,) for f in todo], "_source_file string").coalesce(1).write.mode("append").parquet(done)
+    _log(raw, f"{feed}_log", this)
+    _log(files.stamp_ingestion(bad, as_of), f"{base}/quarantine/clickstream_lines_log", this)
+    _append_files(spark, todo, f"{feed}_files")
     return {"version": v, "files": len(todo), "rows": obs.get["rows"]}

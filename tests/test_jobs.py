@@ -1,5 +1,7 @@
 """Daily full refresh and hourly incremental over landed feed files."""
 
+import pytest
+
 from strata.plans import jobs
 from strata.plans import layers as L
 from strata.sources import feeds, files
@@ -101,3 +103,30 @@ def test_bad_lines_and_rejected_rows_are_quarantined(spark, tmp_path):
     assert set(bad) == {"non_positive_quantity", "null_transaction_id"}
     r = bad["non_positive_quantity"]
     assert (r["quantity"], r["sale_date"], r["payment_method"]) == ("-1", "whenever", "card ")
+
+
+def test_a_stopped_hour_is_repeated_without_second_copies(spark, tmp_path, monkeypatch):
+    """The run stops after it wrote silver and bronze; a file lands before the
+    next run, which repeats the stopped batch alone."""
+    cols = "transaction_id string, store_id string, product_id string, customer_id string, quantity string, unit_price string, sale_date string, payment_method string"
+    land, root = str(tmp_path / "pos"), str(tmp_path / "lake")
+
+    def deliver(hour, *rows):
+        made = [(t, "s", "p", "c", q, "1.00", "2024-05-01", "CARD") for t, q in rows]
+        files.write_csv_feed(spark.createDataFrame(made, cols), f"{land}/h{hour}")
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    deliver(1, ("t1", "1"), ("bad", "-1"))
+    with monkeypatch.context() as m:
+        m.setattr(jobs.silver, "pos_quarantine", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            jobs.hourly_incremental(spark, land, root, L.AS_OF)
+    deliver(2, ("t2", "1"))
+    rows = [jobs.hourly_incremental(spark, land, root, L.AS_OF)["rows"] for _ in range(3)]
+    assert rows == [1, 1, 0]
+    ids = lambda path: sorted(r["transaction_id"] for r in spark.read.parquet(f"{root}/{path}").collect())
+    assert ids("bronze/pos_transactions_log") == ["bad", "t1", "t2"]
+    assert ids("quarantine/pos_transactions_log") == ["bad"]
+    assert jobs.Lakehouse(root).table(spark, "silver", "pos_transactions").read().count() == 2
