@@ -10,8 +10,11 @@ of a table are aligned in columns.
 
 Not visible: ``head``, scripts, styles, templates, ``noscript``, comments,
 elements with ``hidden`` or ``display:none`` / ``visibility:hidden`` (in their
-style, or by a tag, class or id rule of a ``style`` element), closed
-``details`` but for their summary, and replaced content.
+style, or by a tag, class or id rule of a ``style`` element, the winning one by
+importance, specificity and order), closed ``details`` but for their summary,
+and replaced content. Rules for other media than screens never count. Rules
+under a condition (a width, ``@supports`` ...) never hide, but they show: what
+some screen shows is kept. Rules with other selectors are not applied.
 
 Edge cases: null or empty html gives the empty text; unclosed markup runs to
 the end of the page; elements nested deeper than 200 become siblings (their
@@ -54,8 +57,15 @@ CLOSES["tbody"] = CLOSES["tfoot"] = CLOSES["thead"]
 _DEPTH = 200
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+#: What structures style text: comments and wrappers (skipped), strings, URLs and escapes (kept whole), braces and semicolons.
+_CSS = re.compile(r"""(/\*.*?(?:\*/|\Z)|<!--|-->|<!\[CDATA\[|\]\]>)|"(?:[^"\\\n]|\\.)*"?|'(?:[^'\\\n]|\\.)*'?|url\(\s*[^"')\s][^)]*\)?|\\.|([{};])""", re.S | re.I)
+_DECLARED = re.compile(r"\s*(display|visibility|content-visibility)\s*:\s*([\w-]+)[^!]*(!\s*important\b)?", re.I)
+_HIDES = frozenset([("display", "none"), ("visibility", "hidden"), ("visibility", "collapse"), ("content-visibility", "hidden")])
+_SELECTOR = re.compile(r"([.#]?)((?:[\w-]|\\[0-9a-fA-F]{1,6}\s?|\\.)+)", re.S)
+_INNER = re.compile(r"\([^()]*\)|\[[^\[\]]*\]")
+_AT = re.compile(r"@([\w-]+)\s*(.*)", re.S)
+_MAY_HIDE = re.compile(r"display|visibility", re.I)
+_ESCAPE = re.compile(r"\\(?:([0-9a-fA-F]{1,6})\s?|(.))", re.S)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -146,25 +156,112 @@ def _walk(node: Node) -> Iterator[Node]:
         todo += [y for y in reversed(x.inside) if isinstance(y, Node)]
 
 
+def on_screen(query: str) -> bool | None:
+    """Whether a media query list holds on a screen: True (on each), False
+    (on some: it has conditions) or None (on none)."""
+    out = None
+    for part in query.lower().split(",") if query.strip() else ["all"]:
+        words = part.split("(")[0].split()
+        negated = words[:1] == ["not"]
+        kind = next((w for w in words if w not in ("not", "only", "and")), "all")
+        if kind not in ("all", "screen"):
+            holds = True if negated else None
+        else:
+            holds = False if "(" in part else None if negated else True
+        out = holds if out is None else out or bool(holds)
+    return out
+
+
+def _selectors(prelude: str) -> list[str]:
+    """The tag, class and id selectors of a list; others are left out."""
+    n = 1 if "(" in prelude or "[" in prelude else 0
+    while n:  # commas in :not(...) and the like part no selectors
+        prelude, n = _INNER.subn(":", prelude)
+    out = []
+    for x in prelude.split(","):
+        if m := _SELECTOR.fullmatch(x.strip()):
+            name = _ESCAPE.sub(lambda e: e[2] or chr(min(int(e[1], 16), 0x10FFFF)), m[2])
+            out.append(m[1] + (name if m[1] else name.lower()))
+    return out
+
+
+def declared(css: str, media: str = "", own: list[str] | None = None) -> Iterator[tuple[list[str], str, bool, bool, bool]]:
+    """What style text declares for screens: (selectors, property, hides,
+    important, in a layer), blocks read with their nesting. ``own``: the
+    selectors of declarations outside blocks (a style attribute)."""
+    if not _MAY_HIDE.search(css):
+        return
+    # open blocks: selectors (None: of a list of rules), whether they hold (as on_screen), in a layer
+    blocks: list[tuple[list[str] | None, bool | None, bool]] = [(own, on_screen(media), False)]
+    text: list[str] = []
+    at = 0
+
+    def ended() -> Iterator[tuple[list[str], str, bool, bool, bool]]:
+        selectors, holds, layer = blocks[-1]
+        m = _DECLARED.match("".join(text)) if selectors and holds is not None else None
+        text.clear()
+        if m:
+            hides = (m[1].lower(), m[2].lower()) in _HIDES
+            if holds or not hides:
+                yield selectors, m[1].lower(), hides, bool(m[3]), layer
+
+    for m in _CSS.finditer(css):
+        text.append(css[at : m.start()])
+        at = m.end()
+        if m[2] is None:
+            text.append("" if m[1] else m[0])
+        elif m[2] == "{":
+            selectors, holds, layer = blocks[-1]
+            prelude = "".join(text).strip()
+            text.clear()
+            if rule := _AT.match(prelude):
+                name = rule[1].lower()
+                layer = layer or name == "layer"
+                here = on_screen(rule[2]) if name == "media" else True if name == "layer" else False if name in ("supports", "container", "scope") else None
+                holds = None if holds is None or here is None else holds and here
+            elif selectors is None:
+                selectors = _selectors(prelude)
+            elif prelude != "&":  # of elements inside the outer rule's
+                selectors = []
+            blocks.append((selectors, holds, layer))
+        else:
+            yield from ended()
+            if m[2] == "}" and len(blocks) > 1:
+                blocks.pop()
+    text.append(css[at:])
+    yield from ended()
+
+
 class Renderer:
     def __init__(self, root: Node):
-        self.hidden: set[str] = set()
-        for node in _walk(root):
-            if node.tag == "style":
-                for selectors, body in _RULE.findall("".join(x for x in node.inside if isinstance(x, str))):
-                    if _HIDES.search(body):
-                        self.hidden.update(s for s in (x.strip() for x in selectors.split(",")) if re.fullmatch(r"[.#]?[\w-]+", s))
+        #: selector -> (property, hides, its rank among declarations)
+        self.rules: dict[str, list[tuple[str, bool, tuple]]] = {}
+        todo, order = [root], 0
+        while todo:
+            node = todo.pop()
+            if node.tag == "style" and node.attrs.get("type", "").strip().lower() in ("", "text/css"):
+                for selectors, what, hides, important, layer in declared("".join(x for x in node.inside if isinstance(x, str)), node.attrs.get("media", "")):
+                    order += 1
+                    for x in selectors:
+                        rank = important, layer == important, 0, ".#".find(x[0]), order
+                        self.rules.setdefault(x, []).append((what, hides, rank))
+            elif node.tag not in ("noscript", "template"):
+                todo += [y for y in reversed(node.inside) if isinstance(y, Node)]
 
     def seen(self, node: Node) -> bool:
         a = node.attrs
         if node.tag in UNSEEN or "hidden" in a or node.tag == "input":
             return False
-        if "style" in a and _HIDES.search(a["style"]):
-            return False
-        if self.hidden:
-            names = {node.tag, "#" + a.get("id", ""), *("." + c for c in a.get("class", "").split())}
-            return not (names & self.hidden)
-        return True
+        if not self.rules and "style" not in a:
+            return True
+        best: dict[str, tuple[tuple, bool]] = {}
+        found = [r for x in {node.tag, "#" + a.get("id", ""), *("." + c for c in a.get("class", "").split())} for r in self.rules.get(x, ())]
+        for _, what, hides, important, _ in declared(a["style"], own=["style"]) if "style" in a else ():
+            found.append((what, hides, (important, True, 1, 0, len(found))))
+        for what, hides, rank in found:
+            if what not in best or rank > best[what][0]:
+                best[what] = rank, hides
+        return not any(hides for _, hides in best.values())
 
     def lines(self, nodes: list, pre: bool = False) -> list[str]:
         """Nodes laid out as lines; an empty line separates spaced blocks."""

@@ -81,5 +81,26 @@ def test_visibility():
     assert h.render(html) == "5\n\ns\n\n<9>".replace("\n\n<9>", "\n<9>")
 
 
+def test_rules_of_other_media_and_conditions_do_not_hide():
+    body = "<p class=a>a<p class=b>b<p id=c>c<p class='d:e'>d"
+    shown = lambda css, attrs="": "".join(h.render(f"<style{attrs}>{css}</style>{body}").split())
+    for css in (
+        "@media print{.a,.b{display:none}}", "@media (max-width:600px){.a{display:none}}", "@media print, screen and (max-width: 9em) {#c{display:none}}",
+        "@supports (display:grid){@media screen{.a{display:none}}}", "@media not screen{.a{display:none}}", "/* .a{display:none} */", "@media print{@layer x{.a{display:none}}}",
+        ".a{color:red;@media print{display:none}}", ".a{color:red;.b{display:none}}", ".q:not(.x,.a,.y){display:none}", "@font-face{src:url(data:x;b}c)}@media print{p{x:'}'}.a{display:none}}",
+        ".a{display:none}@media (min-width:600px){.a{display:block}}", ".a{display:none}.a{display:block}", "p{display:none}p{display:block!important}p{display:none}",
+    ):
+        assert shown(css) == "abcd", css
+    assert shown(".a{display:none}", " media=print") == "abcd" == shown(".a{display:none}", " type=text/plain")
+    for css in (
+        "@media print{.b{display:none}}.a{display:none}", "@media screen{.a{display:none}}", "@media all , print{.a{display:none}}", "@media not print{.a{display:none}}", "@import url(x);.a{display:none}",
+        "@layer u{.a{display:none}}", ".q::before{content:'}'}.a{display:none", "/* { */.a{display:none}", "<!-- .a{ display : none } -->", ".a{@media screen{display:none}}",
+        ".a{display:none}p{display:block}", "@media(min-width:1px){.a{display:block}}.a{display:none}",
+    ):
+        assert shown(css) == "bcd", css
+    assert shown(".d\\:e{display:none}") == "abc" and shown("@media print{}.a,#c{visibility:hidden}") == "bd"
+    assert shown("</style><noscript><style>.a{display:none}</style></noscript><style>") == "abcd"
+
+
 def test_title():
     assert h.title("<title> a &amp;\n b </title>") == "a & b" and h.title("<p>") is None
