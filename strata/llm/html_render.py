@@ -12,7 +12,11 @@ Not visible: ``head``, scripts, styles, templates, ``noscript``, comments,
 elements with ``hidden`` or ``display:none`` / ``visibility:hidden`` (in their
 style, or by a tag, class or id rule of a ``style`` element, the winning one by
 importance, specificity and order), closed ``details`` but for their summary,
-and replaced content. Rules for other media than screens never count. Rules
+and replaced content. Of formulas (``math``) all but annotations and phantoms
+is visible; parts that stand above or below each other are set apart by a
+space. Of drawings (``svg``) the ``text`` and ``foreignObject`` elements are,
+outside definitions and descriptions, a space around each placed piece; what
+``use`` repeats of a definition is not. Rules for other media than screens never count. Rules
 under a condition (a width, ``@supports`` ...) never hide, but they show: what
 some screen shows is kept. Rules with other selectors are not applied.
 
@@ -36,7 +40,7 @@ from strata.llm.common import pieces, texts
 # Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript iframe noembed noframes object video audio canvas svg math datalist title meta link param source track".split())
+UNSEEN = frozenset("head script style template noscript iframe noembed noframes object video audio canvas datalist title meta link param source track".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul caption".split())
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 hr ol p pre table ul".split())
 ENDS_P = BLOCK - frozenset("body html legend caption tbody td tfoot th thead tr option optgroup".split())
@@ -54,6 +58,15 @@ CLOSES = {
     "body": ({"head"}, {"html"}),
 }
 CLOSES["tbody"] = CLOSES["tfoot"] = CLOSES["thead"]
+#: Parts of drawings and formulas that are not shown where they stand.
+UNDRAWN = {"svg": frozenset("defs metadata desc title symbol clippath mask pattern marker filter".split()), "math": frozenset("annotation annotation-xml mphantom".split())}
+#: Elements inside them whose content is HTML again.
+INTEGRATES = {"svg": frozenset(["foreignobject"]), "math": frozenset("mi mo mn ms mtext annotation-xml".split())}
+KEEPS_P = frozenset(["table", "td", "th", "button", "object"]).union(*INTEGRATES.values())
+#: HTML elements that end an open drawing or formula.
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+#: Formula elements that lay out their children above each other or in cells.
+STACKS = frozenset("mfrac mroot munder mover munderover mtable mtr mlabeledtr".split())
 _DEPTH = 200
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
@@ -70,10 +83,21 @@ _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "inside")
+    #: ``space``: what the content is ("" HTML, "svg", "text" of a drawing, "math"); ``apart``: a placed piece of those; ``undrawn``: never shown there
+    __slots__ = ("tag", "attrs", "inside", "space", "apart", "undrawn")
 
-    def __init__(self, tag: str, attrs: dict[str, str] | None = None):
+    def __init__(self, tag: str, attrs: dict[str, str] | None = None, outer: Node | None = None):
         self.tag, self.attrs, self.inside = tag, attrs or {}, []
+        self.space, self.apart, self.undrawn = "", False, False
+        around = outer.space if outer else ""
+        if tag in UNDRAWN:
+            self.space = tag
+        elif around:
+            kind = "math" if around == "math" else "svg"
+            a = self.attrs
+            self.undrawn = tag in UNDRAWN[kind] or a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse")
+            self.space = "" if tag in INTEGRATES[kind] else "text" if kind == "svg" and tag in ("text", "title", "desc", "style") else around
+            self.apart = outer.tag in STACKS if kind == "math" else tag in ("text", "foreignobject") or tag == "tspan" and ("x" in a or "y" in a)
 
 
 def _attrs(source: str) -> dict[str, str]:
@@ -97,7 +121,8 @@ def parse(html: str) -> Node:
                 return close(names, limits)
 
     def add(text: str) -> None:
-        if text:
+        # a drawing shows no text but that of its text elements
+        if text and (open_[-1].space != "svg" or len(open_) >= _DEPTH):
             open_[-1].inside.append(text)
 
     at, n = 0, len(html)
@@ -128,15 +153,18 @@ def parse(html: str) -> Node:
                     open_[-1].inside.append(Node("p"))
         elif start is not None:
             tag = start.lower()
+            while tag in BREAKS_OUT and open_[-1].space:
+                open_.pop()
             if tag in ENDS_P:
-                close({"p"}, {"table", "td", "th", "button", "object"})
+                close({"p"}, KEEPS_P)
             if tag in CLOSES:
                 close(*CLOSES[tag])
             elif tag not in UNSEEN and tag != "html" and open_[-1].tag == "head":
                 open_.pop()
-            node = Node(tag, _attrs(attrs) if attrs and attrs.strip() else None)
+            around = open_[-1].space
+            node = Node(tag, _attrs(attrs) if attrs and attrs.strip() else None, open_[-1])
             open_[-1].inside.append(node)
-            if tag in RAW:
+            if tag in RAW and not (around and (tag not in ("script", "style") or attrs.rstrip().endswith("/"))):
                 stop = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", re.I).search(html, at)
                 text = html[at : stop.start() if stop else n]
                 at = stop.end() if stop else n
@@ -250,7 +278,7 @@ class Renderer:
 
     def seen(self, node: Node) -> bool:
         a = node.attrs
-        if node.tag in UNSEEN or "hidden" in a or node.tag == "input":
+        if node.tag in UNSEEN or node.undrawn or "hidden" in a or node.tag == "input":
             return False
         if not self.rules and "style" not in a:
             return True
@@ -315,7 +343,13 @@ class Renderer:
                         self.lead = self.trail = False
                     put(block, self.lead, self.trail)
                 else:
+                    apart(x)
                     inline(x.inside)
+                    apart(x)
+
+        def apart(x: Node) -> None:
+            if x.apart and line and not line[-1].endswith(" "):
+                line.append(" ")
 
         inline(nodes)
         flush()

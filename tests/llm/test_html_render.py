@@ -102,5 +102,20 @@ def test_rules_of_other_media_and_conditions_do_not_hide():
     assert shown("</style><noscript><style>.a{display:none}</style></noscript><style>") == "abcd"
 
 
+def test_formulas():
+    math = "<math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></mrow><annotation encoding='x'>E=mc^2</annotation><annotation-xml><ci>no</ci></annotation-xml></semantics></math>"
+    assert h.render(f"<p>So {math}, as shown") == "So E=mc2, as shown"
+    assert h.render("<math><mfrac><mn>1</mn><mn>23</mn></mfrac><mtext>if <b>x</b></mtext><mphantom><mi>z</mi></mphantom></math>") == "1 23 if x"
+    assert h.render("<math><mtable><mtr><mtd>a</mtd><mtd>b</mtd></mtr><mtr><mtd>c</mtd><mtd>d</mtd></mtr></mtable></math>") == "a b c d"
+
+
+def test_text_of_drawings():
+    svg = "<svg width=9><title>T</title><desc>D</desc><metadata>M</metadata><defs><text>no</text></defs><style>.h{display:none}</style>raw<g><text x=1>Start</text><text><tspan x=0>one</tspan><tspan x=0 dy=9>t<tspan>wo</tspan></tspan></text></g><path d='M0 0'/><text class=h>no</text><text display=none>no</text><symbol><text>no</text></symbol><foreignObject><div>box</div></foreignObject></svg>"
+    assert h.render(f"<p>See{svg}here") == "See Start one two\nbox\nhere"
+    assert h.render("<p>a<svg><title/><text>b</text></svg>c<desc>d</desc><text>e</text>") == "a b cde"
+    assert h.render("<svg><g><rect><p>out<p>side") == "out\n\nside"  # HTML ends an open drawing
+    assert h.render("<div>" * 150 + "<svg>" + "<g>" * 100 + "<text>deep") == "deep"
+
+
 def test_title():
     assert h.title("<title> a &amp;\n b </title>") == "a & b" and h.title("<p>") is None
