@@ -7,18 +7,22 @@ equals a template window and meets it in every band. Each window's set of
 2-word shingles has ``BANDS`` bands of ``ROWS`` MinHash values: windows of
 likeness s meet with probability 1 - (1 - s**ROWS)**BANDS, over 0.99 from
 s = 0.6 on. Every window that meets one proposes its template at that place;
-a match is reported where at least ``CONTAINED`` of the template's distinct
+a place is a match where at least ``CONTAINED`` of the template's distinct
 shingles are in the document's words from there on (as many as the template
-has, and a margin on both sides).
+has, and a margin on both sides). Of each template all places are reported
+that do not overlap a better one (equal containment: one that has more of the
+shingles without the margin, then an earlier one). Copies with words left
+out may stand closer than the template is long: a place that overlaps others
+by the margin at most is cut to the words between them.
 
 Words are runs of letters and digits, A-Z lower-cased. Templates need five
 words or more. Edge cases: null, empty and short texts have no match;
-repeated rows give repeated results; extra columns are not read; equal
-containment: the earlier place is reported.
+repeated rows give repeated results; extra columns are not read.
 """
 
 from __future__ import annotations
 
+from bisect import bisect, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,9 +137,35 @@ def _candidates(templates: Templates, s: np.ndarray, first: np.ndarray) -> set[t
     return out
 
 
+def _margin(n: int) -> int:
+    return max(1, n // 10)
+
+
+def _apart(found: list[tuple[float, float, int, int]], margin: int) -> list[tuple[float, int, int]]:
+    """Of (share, share without margin, start, end) the (share, start, end)
+    that do not overlap, best first, then earlier."""
+    out: list[tuple[float, int, int]] = []
+    taken: list[tuple[int, int]] = []  # by start, disjoint
+    rest = [(share, start, end) for share, _, start, end in sorted(found, key=lambda x: (-x[0], -x[1], x[2]))]
+    for most in (0, margin):
+        left = []
+        for share, start, end in rest:
+            i = bisect(taken, (start, start))
+            a = max(start, taken[i - 1][1]) if i else start
+            b = min(end, taken[i][0]) if i < len(taken) else end
+            if a < b and a - start <= most and end - b <= most:
+                insort(taken, (a, b))
+                out.append((share, a, b))
+            else:
+                left.append((share, start, end))
+        rest = left
+    return sorted(out, key=lambda x: (-x[0], x[1]))
+
+
 def scan(df: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text", contained: float = CONTAINED) -> DataFrame:
     """A row a document: n_words and ``licenses``, a list of (name, start,
-    end, containment) with word numbers, the best place of each template."""
+    end, containment) with word numbers: by template, its places that do not
+    overlap, best first, then earlier."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Templates(templates)
@@ -144,15 +174,17 @@ def scan(df: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "do
             data, off = raw(b.column("text"))
             starts, ends, first = word_spans(data, off, WORDS)
             s = shingle_hashes(word_hashes(data, starts, ends, lower=True)) if len(starts) > 1 else np.zeros(0, np.uint64)
-            best: list[dict[int, tuple[float, int, int]]] = [{} for _ in range(b.num_rows)]
+            places: list[dict[int, list[tuple[float, float, int, int]]]] = [{} for _ in range(b.num_rows)]
             for row, t, at in sorted(_candidates(known, s, first)):
                 n = known.n_words[t]
-                margin = max(1, n // 10)
+                margin = _margin(n)
                 lo, hi = max(at - margin, int(first[row])), min(at + n + margin, int(first[row + 1]))
                 share = float(np.isin(known.shingles[t], s[lo : hi - 1]).mean())
-                if share >= contained and share > best[row].get(t, (0.0,))[0]:
-                    best[row][t] = (share, max(at, int(first[row])) - int(first[row]), min(at + n, int(first[row + 1])) - int(first[row]))
-            found = [[{"name": known.names[t], "start": a, "end": e, "containment": c} for t, (c, a, e) in sorted(x.items())] for x in best]
+                if share >= contained:
+                    start, end = max(at, int(first[row])), min(at + n, int(first[row + 1]))
+                    own = float(np.isin(known.shingles[t], s[start : end - 1]).mean())
+                    places[row].setdefault(t, []).append((share, own, start - int(first[row]), end - int(first[row])))
+            found = [[{"name": known.names[t], "start": a, "end": e, "containment": c} for t, f in sorted(x.items()) for c, a, e in _apart(f, _margin(known.n_words[t]))] for x in places]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(first), pa.int64()), pa.array(found, kind)], names=["doc_id", "n_words", "licenses"])
 
     return text_bytes(df, id_col, text_col).mapInArrow(run, "doc_id long, n_words long, licenses array<struct<name:string,start:long,end:long,containment:double>>")

@@ -64,6 +64,28 @@ def test_recall_on_edited_copies(spark):
     assert all(want[d] <= set(got[d]) for d in range(0, 600, 2))  # unchanged copies
 
 
+def test_every_place_of_a_repeated_notice(spark, tmp_path):
+    notice, other = (li.TEMPLATES[x].split() for x in ("BSD notice", "MIT"))
+    n = len(brute.BENCH.findall(" ".join(notice)))
+    changed = ["changed" if i == 9 else w for i, w in enumerate(notice)]
+    filler = lambda k: [f"w{k}x{i}" for i in range(k)]
+    rows = [
+        (0, " ".join(filler(13) + notice + filler(31) + notice + filler(7) + notice)),
+        (1, " ".join(notice * 3 + filler(5) + other)),  # back to back
+        (2, " ".join(filler(3) + changed + filler(40) + notice)),
+        (3, " ".join(notice[:10] + notice[11:] + notice)),  # a word left out
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [(m["name"], m["start"], m["end"]) for m in r["licenses"]] for r in li.scan(df).collect()}
+    assert got[0] == [("BSD notice", a, a + n) for a in (13, 44 + n, 51 + 2 * n)]
+    assert sorted(got[1]) == [("BSD notice", a, a + n) for a in (0, n, 2 * n)] + [("MIT", 3 * n + 5, 3 * n + 10)]
+    assert got[2] == [("BSD notice", 43 + n, 43 + 2 * n), ("BSD notice", 3, 3 + n)]  # best first
+    assert len(got[3]) == 2 and got[3][0] == ("BSD notice", n - 1, 2 * n - 1) and got[3][1][1:] == (0, n - 1)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    query = {r["doc_id"]: (r["n_licenses"], r["licenses"].count("BSD notice:")) for r in op2_license_scan(spark, str(tmp_path)).collect()}
+    assert query == {0: (1, 3), 1: (2, 3), 2: (1, 2), 3: (1, 2)}
+
+
 def test_short_templates_are_refused(docs):
     import pytest
 
