@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -67,6 +68,25 @@ def test_sketch_estimates_high_likeness():
         assert abs(float(o.likeness(np.unpackbits(s[0] ^ s[1]).sum())) - true) < 0.1
 
 
+def loss(likeness):
+    """The probability that a pair misses all bands or is dropped by its sketch."""
+    odd = np.zeros(o.BITS + 2)  # by the number of odd cells
+    odd[0] = 1
+    n = np.arange(o.BITS + 2)
+    dropped = [0.0]
+    for _ in range(o.SAMPLES):
+        for _ in range(2):  # each sample that differs sets a bit in both
+            up, down = odd * np.clip(o.BITS - n, 0, None) / o.BITS, odd * n / o.BITS
+            odd = np.append(0, up[:-1]) + np.append(down[1:], 0)
+        dropped.append(odd[o.MOST_BITS + 1 :].sum())
+    differ = [math.comb(o.SAMPLES, d) * (1 - likeness) ** d * likeness ** (o.SAMPLES - d) for d in range(o.SAMPLES + 1)]
+    return (1 - likeness**o.ROWS) ** o.BANDS + float(np.dot(differ, dropped))
+
+
+def test_a_pair_at_the_threshold_is_hardly_ever_lost():
+    assert loss(o.THRESHOLD / 100) < 1e-9
+
+
 def test_whole_set_bitmaps_bound_the_difference_from_below():
     rng = np.random.default_rng(9)
     for n in (1, 5, 100, 130, 500, 5000, 30_000):
