@@ -22,17 +22,20 @@ from strata.llm.queries import PIECE_MODEL, vocabulary
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A language is rejected if its posterior is below this.
 LEAST_SCORE = 0.5
+#: And if the text fits the language worse (``language_id``): it is of none that was learned.
+LEAST_FIT = -1.0
 #: SQL can't learn a classifier or encode by a model file.
 ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (``und``: no letters) or without a likely
-    one go. The classifier is learned from the raw documents."""
+    one go, and so do those that fit it badly (another language, letter junk).
+    The classifier is learned from the raw documents."""
     prepare(spark)
     model = language_id.fit(table(spark, sf_dir, "documents"))
     out = language_id.with_language(docs.select(*COLUMNS), model)
-    return out.filter((F.col("_lang.lang_pred") != "und") & (F.col("_lang.score") >= LEAST_SCORE)).select(*COLUMNS)
+    return out.filter((F.col("_lang.lang_pred") != "und") & (F.col("_lang.score") >= LEAST_SCORE) & (F.col("_lang.fit") >= LEAST_FIT)).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

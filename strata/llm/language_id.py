@@ -3,7 +3,11 @@
 Training counts the n-grams (1 to 3 code points of the lower-cased text, runs
 of other than letters as one space) by language, in 2**15 buckets. The matrix
 of log probabilities (languages x buckets) is broadcast, and texts are scored
-in numpy by summing the columns of their n-grams.
+in numpy by summing the columns of their n-grams. The score is the posterior;
+it is near 1 after a few words, whatever they are. How well a text fits its
+language is told by ``fit``: its mean log probability per n-gram less what the
+n-grams of the training rows reach (each without its own count), in standard
+deviations of theirs, with ``SHORT / sqrt(n)`` added for a text of n n-grams.
 
 The classifier is fitted on a bounded sample: of each language
 ``docs_per_lang`` training documents are expected, chosen by a hash of their
@@ -30,6 +34,7 @@ from strata.llm.common import pieces, text_bytes, texts
 BUCKETS = 1 << 15
 NGRAMS = 3
 DOCS_PER_LANG = 4000
+SHORT = 5.0
 _CHUNK = 1 << 18
 _SHIFT = np.uint32(32 - 15)
 _LETTER: list[np.ndarray] = []
@@ -76,10 +81,18 @@ class Model:
         self.prior = np.log(n / n.sum()) if len(langs) else n
         smooth = counts + 0.5
         self.logp = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
+        held = np.log(np.maximum(counts - 0.5, 0.5) / smooth.sum(axis=1, keepdims=True))
+        share = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+        self.mean = (share * held).sum(axis=1)
+        self.spread = np.sqrt(np.maximum((share * held**2).sum(axis=1) - self.mean**2, 1e-12))
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, float | None]:
+        """The language, its score and the text's fit (none for ``und``)."""
         if not text or not self.langs:
-            return "und", 0.0
+            return "und", 0.0, None
         total, seen = self.prior.copy(), 0
         for part in _parts(text):
             g = grams(part)
@@ -87,9 +100,10 @@ class Model:
             for i, row in enumerate(self.logp):
                 total[i] += row.take(g).sum(dtype=np.float64)
         if not seen:
-            return "und", 0.0
+            return "und", 0.0, None
         best = int(total.argmax())
-        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+        fit_ = ((total[best] - self.prior[best]) / seen - self.mean[best]) / self.spread[best] + SHORT / np.sqrt(seen)
+        return self.langs[best], float(1 / np.exp(total - total[best]).sum()), float(fit_)
 
 
 def held_out(doc_id) -> F.Column:
@@ -145,17 +159,17 @@ def predicted(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def with_language(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``df`` with one more column ``_lang`` (struct of lang_pred and score)."""
+    """``df`` with one more column ``_lang`` (struct of lang_pred, score and fit)."""
     from pyspark.sql import types as T
 
     shared = df.sparkSession.sparkContext.broadcast(model)
-    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("fit", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in pieces(batches, text_col):
-            found = [dict(zip(("lang_pred", "score"), m.predict(t))) for t in b.column(text_col).to_pylist()]
+            found = [dict(zip(("lang_pred", "score", "fit"), m.judge(t))) for t in b.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, kind)], names=[*b.schema.names, "_lang"])
 
-    lang = T.StructType().add("lang_pred", "string").add("score", "double")
+    lang = T.StructType().add("lang_pred", "string").add("score", "double").add("fit", "double")
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("_lang", lang)]))

@@ -48,6 +48,18 @@ def test_pipeline_equals_brute_force(spark, docs):
         assert found[d]["ids"] == ids and found[d]["decoded"] == library.decode(ids) == masked
 
 
+def test_unlearned_languages_and_junk_go_and_clean_documents_stay(spark, docs):
+    import random
+
+    r = random.Random(4)
+    junk = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(80))
+    bad = ["今天天气很好，我们去公园散步。" * 5, "Сегодня хорошая погода, и мы идем гулять в парк. " * 4, "Η γρήγορη καφέ αλεπού πηδάει πάνω από το σκυλί", junk]
+    rows = [(10**9 + i, t, "en", "s", len(t)) for i, t in enumerate(bad)]
+    df = docs.select(*cp.COLUMNS).unionByName(spark.createDataFrame(rows, docs.select(*cp.COLUMNS).schema))
+    kept = {r["doc_id"] for r in cp.identify_language(spark, df, SF).select("doc_id").collect()}
+    assert kept == {d for d, t in pairs_of(docs) if any(c.isalpha() for c in t or "")}
+
+
 def test_stages_take_edge_cases_and_empty_tables(spark, edge_docs, no_docs):
     for name, stage in cp.STAGES:
         for df in (edge_docs, no_docs):
