@@ -47,6 +47,9 @@ DUMMY = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|example|none|null|nil|true|fals
 
 _OPERATOR = re.compile(r"(?<![=!<>:+\-*/%&|^~])(?::=|=>|=(?![=~])|:(?![:/\\]))")
 _TARGET = re.compile(r"""(?:^|[\s,;{(\[<&?$@.-]|--)["'`]?([A-Za-z_$][\w$.-]*)["'`]?(?:\[["']([\w.-]+)["']\])?(?:\s*:\s*[A-Za-z_][\w.\[\], ]*)?[ \t]*$""", re.ASCII)
+#: The same read backwards from the operator: blanks, annotation, index, name, up to the delimiter or line start.
+_TARGET_BACK = re.compile(r"""[ \t]*+(?:[\w.\[\], ]*[A-Za-z_][^\S\n]*:[^\S\n]*)?(?:\]["']([\w.-]+)["']\[)?["'`]?([\w$.-]*[A-Za-z_$])["'`]?(?=[\s,;{(\[<&?$@.-]|\Z)""", re.ASCII)
+_NEAR = 160
 _LITERAL = re.compile(r'''[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([^\s"'`,;(){}\[\]<>]+))''')
 _NAME = re.compile(r"[A-Za-z_$][\w$.]*\Z", re.ASCII)
 _PLUS = re.compile(r"[ \t]*\+")
@@ -77,10 +80,18 @@ def literal_weight(text: str) -> float:
 
 def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int, bool]]]]:
     """(target name, its right side as (start, end, quoted)) in text order."""
+    back = ""
     for m in _OPERATOR.finditer(text):
         i = m.start()
-        line = max(text.rfind("\n", max(0, i - 160), i) + 1, i - 160, 0)
+        line = max(text.rfind("\n", max(0, i - _NEAR), i) + 1, i - _NEAR, 0)
         target = _TARGET.search(text[line:i])
+        if target:
+            name = target[2] or target[1]
+        if (not target or not target.start()) and line and text[line - 1] != "\n":
+            back = back or text[::-1]
+            target = _TARGET_BACK.match(back, len(text) - i)
+            if target:
+                name = (target[1] or target[2])[::-1]
         if not target:
             continue
         right, at = [], m.end()
@@ -96,7 +107,7 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int, bool]]]]:
                 break
             at = more.end()
         if right:
-            yield target[2] or target[1], right
+            yield name, right
 
 
 def literals(text: str) -> list[tuple[int, int]]:

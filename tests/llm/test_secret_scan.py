@@ -49,6 +49,14 @@ def test_lexer_binds_literals_to_sensitive_names():
     assert values('config["auth_token_value"] = "p0Q-9s8R7t6U"') == ["p0Q-9s8R7t6U"]
 
 
+def test_targets_far_from_the_operator():
+    value = "Zx81-kfQ0-93nf"
+    for target in ("clientCredential: Dict[" + "str, " * 60 + "str]", "db.pwd" + " " * 400, "x, clientCredential" + "\t" * 200, "pwd_" + "x" * 155, 'config["auth_token_value"]' + " " * 300, "a" * 170 + "_pwd", '"pwd"' + " " * 155):
+        for before in ("", "y = 1\n", "z = [1]; ", "word " * 50 + ";"):
+            assert values(f'{before}{target} = "{value}"') == [value], (before, target)
+    assert values("other" + " " * 300 + f'= "{value}"') == [] == values("pwd\n" + " " * 300 + f'= "{value}"')
+
+
 def test_constants_propagate_and_parts_join():
     assert values('base = "aB3dE6gH9jK2"\nalias = base\nself.passphrase = alias') == ["aB3dE6gH9jK2"]
     assert values('signing_key = "aB3dE6gH" + "9jK2mN5pQ8"') == ["aB3dE6gH", "9jK2mN5pQ8"]
