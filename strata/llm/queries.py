@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators, with production parameters."""
+"""The registered queries of the operators, with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import html_render, language_id, licenses, odd_sketch, piece_bpe, secret_scan, substring_dedup, token_counts, winnowing, wu_manber
+from strata.llm import exact_dedup, html_render, language_id, licenses, odd_sketch, piece_bpe, secret_scan, substring_dedup, token_counts, winnowing, wu_manber
 from strata.llm.common import table
 
 #: Vocabulary files of public tokenizers: the name of a file in the package that carries them.
@@ -74,7 +74,13 @@ def op10_html_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_render.rendered(table(spark, sf_dir, "pages"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts over all documents."""
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_winnowing, op2_license_scan, op3_odd_sketch, op4_piece_bpe, op5_wu_manber,
     op6_substring_dedup, op7_token_counts, op8_secret_scan, op9_language_id, op10_html_render,
+    op11_exact_dedup,
 )}

@@ -71,4 +71,10 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kep
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
 
-ORACLE_SQL = {"op3_odd_sketch": NEAR, "op5_wu_manber": BENCH, "op6_substring_dedup": REPEATS}
+EQUAL = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
+FROM t WINDOW g AS (PARTITION BY norm)
+"""
+
+ORACLE_SQL = {"op3_odd_sketch": NEAR, "op5_wu_manber": BENCH, "op6_substring_dedup": REPEATS, "op11_exact_dedup": EQUAL}
