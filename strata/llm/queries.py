@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import exact_dedup, html_render, language_id, licenses, odd_sketch, piece_bpe, prefix_trie, secret_scan, substring_dedup, token_counts, winnowing, wu_manber
+from strata.llm import exact_dedup, html_render, language_id, lexical_search, licenses, odd_sketch, piece_bpe, prefix_trie, secret_scan, substring_dedup, token_counts, winnowing, wu_manber
 from strata.llm.common import table
 
 #: Vocabulary files of public tokenizers: the name of a file in the package that carries them.
@@ -84,8 +84,13 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_winnowing, op2_license_scan, op3_odd_sketch, op4_piece_bpe, op5_wu_manber,
     op6_substring_dedup, op7_token_counts, op8_secret_scan, op9_language_id, op10_html_render,
-    op11_exact_dedup, op12_prefix_trie,
+    op11_exact_dedup, op12_prefix_trie, op13_lexical_search,
 )}

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACE_WORDS = r"[^\x20\x09-\x0D]+"
+TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BENCH_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 NEAR = f"""
@@ -113,4 +114,17 @@ FROM node n JOIN below ON below.d = n.d AND below.k = n.k LEFT JOIN node p ON p.
 LEFT JOIN child ON child.d = n.d AND child.k = n.k LEFT JOIN final ON final.d = n.d AND final.k = n.k
 """
 
-ORACLE_SQL = {"op3_odd_sketch": NEAR, "op5_wu_manber": BENCH, "op6_substring_dedup": REPEATS, "op11_exact_dedup": EQUAL, "op12_prefix_trie": TRIE}
+RANKED = rf"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all({LOWER}, '{TERMS}'), []) AS ws FROM documents),
+g AS (SELECT count(*) FILTER (len(ws) > 0) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM w),
+items AS (SELECT DISTINCT item_id, unnest(coalesce(regexp_extract_all({LOWER}, '{TERMS}'), [])) AS t FROM benchmark),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(ws) AS t FROM w) WHERE t IN (SELECT t FROM items) GROUP BY ALL),
+weight AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, g GROUP BY t),
+m AS (SELECT doc_id, 10 + (90 * len(ws) * n_docs) // n_terms AS m FROM w, g),
+part AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * m)) AS x FROM tf JOIN weight USING (t) JOIN m USING (doc_id)),
+scored AS (SELECT item_id, doc_id, CAST(sum(x) AS BIGINT) AS score FROM items JOIN part USING (t) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10
+"""
+
+ORACLE_SQL = {"op3_odd_sketch": NEAR, "op5_wu_manber": BENCH, "op6_substring_dedup": REPEATS, "op11_exact_dedup": EQUAL, "op12_prefix_trie": TRIE, "op13_lexical_search": RANKED}

@@ -167,3 +167,29 @@ def trie(rows):
         (min(m), len(u), min(members[u[:-1]]) if u else None, len(m), len(children[u]), leaves[u], saved[u], sha(",".join(map(str, sorted(ends[u])))))
         for u, m in members.items()
     ]
+
+
+def ranked(rows, items, k=10):
+    """(doc_id, text), (item_id, text) -> {(item_id, rank, doc_id, score)}."""
+    import math
+    from collections import Counter
+
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    docs = [(d, Counter(term.findall(lower(t or "")))) for d, t in rows]
+    docs = [(d, c, c.total()) for d, c in docs if c]
+    n_docs, n_terms = len(docs), sum(n for _, _, n in docs)
+    df = Counter(t for _, c, _ in docs for t in c)
+    wanted = defaultdict(set)
+    for i, t in items:
+        wanted[i] |= {x for x in term.findall(lower(t or "")) if x in df}
+    w = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * n + 1))) for t, n in df.items()}
+    out = set()
+    for i, ts in wanted.items():
+        scored = []
+        for d, c, n in docs:
+            m = 10 + 90 * n * n_docs // n_terms
+            s = sum(w[t] * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m)) for t in ts if t in c)
+            if s:
+                scored.append((-s, d is None, d))
+        out |= {(i, r, d, -s) for r, (s, _, d) in enumerate(sorted(scored, key=lambda x: (x[0], x[1], x[2] or 0))[:k], 1)}
+    return out
