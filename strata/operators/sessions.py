@@ -90,3 +90,29 @@ def sessions_summary(df: DataFrame, user: str, ts: str, gap_seconds: int = 1800)
             (F.col("_last") + F.expr(f"INTERVAL {gap_seconds} SECONDS")).alias("window_end"), "events",
         )
     )
+
+
+def session_days(sessions: DataFrame, user: str) -> DataFrame:
+    """A row for each day that a session covers: what touching sessions are looked up by."""
+    days = F.sequence(F.to_date("session_start"), F.to_date("session_end"), F.expr("interval 1 day"))
+    return sessions.select(user, "session_start", "session_end", F.explode(F.transform(days, lambda d: F.date_format(d, "yyyy-MM-dd"))).alias("day"))
+
+
+def reach_of(events: DataFrame, user: str, ts: str, gap_seconds: int = 1800) -> DataFrame:
+    """(user, lo, hi, day): the time that new events reach, the gap included,
+    a row for each day in it. Events of a slot reach as one, so a user has a
+    bounded number of rows a day."""
+    gap = F.expr(f"INTERVAL {gap_seconds} SECONDS")
+    ev = events.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()).withColumn("_slot", _slot(ts, gap_seconds * 1_000_000))
+    piece = ev.groupBy(user, "_slot").agg((F.min(ts) - gap).alias("lo"), (F.max(ts) + gap).alias("hi"))
+    days = F.sequence(F.to_date("lo"), F.to_date("hi"), F.expr("interval 1 day"))
+    return piece.select(user, "lo", "hi", F.explode(F.transform(days, lambda d: F.date_format(d, "yyyy-MM-dd"))).alias("day"))
+
+
+def touched_sessions(stored: DataFrame, reach: DataFrame, user: str) -> DataFrame:
+    """The sessions of ``stored`` (as by ``session_days``) that new events may
+    join. One round is enough: stored sessions are more than the gap apart, so
+    whatever a session grown by new events meets is met by a new event itself."""
+    r = reach.select(F.col(user).alias("_u"), "lo", "hi", F.col("day").alias("_d"))
+    meets = (F.col(user) == F.col("_u")) & (F.col("day") == F.col("_d")) & (F.col("session_start") <= F.col("hi")) & (F.col("session_end") >= F.col("lo"))
+    return stored.join(r, meets, "left_semi").select(user, "session_start", "session_end").distinct()

@@ -1,13 +1,12 @@
 """Job drivers: the daily full refresh and the hourly incremental load.
 
-A job is a plain function over one SparkSession: each layer is written once
-as a snapshot version, row counts come from ``DataFrame.observe`` on the
+A job is a plain function over one SparkSession: bronze and gold are written
+as a snapshot version, silver is merged partition by partition, row counts come from ``DataFrame.observe`` on the
 write itself (no extra counting jobs), and the data-quality suites gate the
 next layer (``QualityGateError`` stops the run)."""
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,10 +15,13 @@ from pyspark.sql import functions as F
 from strata.operators import quality
 from strata.plans import gold, silver
 from strata.sources import files
-from strata.sources.partitioned import path_exists
-from strata.sources.incremental import new_files
+from strata.plans.clicks import SessionTable
+from strata.sources.partitioned import KeyedTable
 from strata.sources.snapshots import SnapshotTable
 
+#: Silver tables that are merged: key, and the time whose month is the partition.
+KEYED = {"pos_transactions": ("transaction_id", "sale_date"), "inventory_movements": ("movement_id", "movement_date"), "customers": ("customer_id", "signup_date")}
+
 
 def observed_clean_transactions(bronze: DataFrame, path: str, as_of) -> dict[str, int]:
     """Write silver POS to a new snapshot at ``path`` and return the row
@@ -47,12 +49,21 @@ class Lakehouse:
     """Table locations of one lakehouse root."""
 
     root: str
-    tables: dict[str, SnapshotTable] = field(default_factory=dict)
+    tables: dict = field(default_factory=dict)
 
-    def table(self, spark: SparkSession, layer: str, name: str) -> SnapshotTable:
+    def table(self, spark: SparkSession, layer: str, name: str) -> SnapshotTable | KeyedTable | SessionTable:
+        """Merged silver tables are partitioned, the others are published whole."""
         key = f"{layer}/{name}"
         if key not in self.tables:
-            self.tables[key] = SnapshotTable(spark, f"{self.root.rstrip('/')}/{key}")
+            path = f"{self.root.rstrip('/')}/{key}"
+            if layer == "silver" and name in KEYED:
+                own, time = KEYED[name]
+                month = F.coalesce(F.date_format(time, "yyyy-MM"), F.lit("undated"))
+                self.tables[key] = KeyedTable(spark, path, [own], month)
+            elif key == "silver/clickstream":
+                self.tables[key] = SessionTable(spark, path)
+            else:
+                self.tables[key] = SnapshotTable(spark, path)
         return self.tables[key]
 
 
@@ -73,16 +84,16 @@ def daily_refresh(
     lh = Lakehouse(root)
     report: dict = {"counts": {}, "dq": {}}
 
-    def write(layer, name, df, keys=None):
-        obs = Observation(f"{layer}_{name}")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    def write(layer, name, df):
         t = lh.table(spark, layer, name)
-        if keys:
-            t.upsert(df, keys, committed_at=as_of)
+        if isinstance(t, SnapshotTable):
+            obs = Observation(f"{layer}_{name}")
+            t.publish(df.observe(obs, F.count(F.lit(1)).alias("rows")), committed_at=as_of)
+            report["counts"][f"{layer}.{name}"] = obs.get["rows"]
         else:
-            t.publish(df, committed_at=as_of)
-        # a merged table is counted as it stands (from its Parquet footers)
-        report["counts"][f"{layer}.{name}"] = t.read().count() if keys else obs.get["rows"]
+            t.load(df, as_of) if isinstance(t, SessionTable) else t.merge(df)
+            # a merged table is counted as it stands (from its Parquet footers)
+            report["counts"][f"{layer}.{name}"] = t.read().count()
         return t.read()
 
     def before(name) -> DataFrame | None:
@@ -95,7 +106,7 @@ def daily_refresh(
         rows = quality.run_checkpoint(res) if gate else res.collect()
         report["dq"][suite] = [r.asDict() for r in rows]
 
-    # bronze: land raw rows with ingestion metadata (merge on the event key)
+    # bronze: the landed rows of this run with ingestion metadata
     def land(feed, name, read=files.read_csv_feed, **options):
         """Good lines go to bronze, lines that do not parse to quarantine."""
         raw = read(spark, landing[feed], files.raw_string_schema(f"bronze_{name}"), **options)
@@ -111,13 +122,11 @@ def daily_refresh(
 
     # silver
     write("quarantine", "pos_transactions", silver.pos_quarantine(bronze_pos, as_of))
-    s_pos = write("silver", "pos_transactions", silver.clean_transactions(bronze_pos, as_of),
-                  ["transaction_id"])
-    s_inv = write("silver", "inventory_movements", silver.clean_inventory(bronze_inv, as_of),
-                  ["movement_id"])
-    s_cust = write("silver", "customers", silver.clean_customers(bronze_cust, as_of), ["customer_id"])
+    s_pos = write("silver", "pos_transactions", silver.clean_transactions(bronze_pos, as_of))
+    s_inv = write("silver", "inventory_movements", silver.clean_inventory(bronze_inv, as_of))
+    s_cust = write("silver", "customers", silver.clean_customers(bronze_cust, as_of))
     if clicks is not None:
-        write("silver", "clickstream", silver.sessionise(silver.parse_clicks(clicks), as_of), ["event_id"])
+        write("silver", "clickstream", silver.parse_clicks(clicks))
     check("silver_pos_transactions", s_pos)
 
     # gold
@@ -138,27 +147,14 @@ def daily_refresh(
     return report
 
 
-def _next_batch(spark: SparkSession, bronze: str, target: SnapshotTable, listing: DataFrame) -> tuple[str, list[str]]:
-    """(batch id, files) to load next. The list of a batch is stored before
-    its work starts and its files join the loaded ones when all is written, so
-    a run that stopped is repeated with the same files, under the same id;
-    files that landed since then wait for the run after it."""
-    plan, done = f"{bronze}_batches", f"{bronze}_files"
-    loaded = spark.read.parquet(done) if target.exists() and path_exists(spark, done) else None
-    todo = []
-    if path_exists(spark, plan):
-        planned = spark.read.parquet(plan).distinct()
-        stopped = planned if loaded is None else planned.join(loaded, "_source_file", "left_anti")
-        todo = sorted(r[0] for r in stopped.collect())  # a row a file of one batch
-    if not todo:
-        todo = new_files(listing, loaded)
-        if todo:
-            _append_files(spark, todo, plan)
-    return "b" + hashlib.sha256("\n".join(todo).encode()).hexdigest()[:16], todo
-
-
-def _append_files(spark: SparkSession, names: list[str], path: str) -> None:
-    spark.createDataFrame([(f,) for f in names], "_source_file string").coalesce(1).write.mode("append").parquet(path)
+def _available_now(stream: DataFrame, load, checkpoint: str) -> None:
+    """Runs ``load(batch, batch id)`` for what landed since the last run. The
+    stream's checkpoint holds the files of each batch; a batch that did not
+    end is repeated with the same files and the same id."""
+    q = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
 
 
 def _log(df: DataFrame, path: str, batch: str) -> None:
@@ -167,69 +163,61 @@ def _log(df: DataFrame, path: str, batch: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
-def hourly_incremental(spark: SparkSession, landing_pos: str, root: str, as_of) -> dict:
-    """POS landing -> silver -> bronze for the files not loaded yet.
+def _landed(batch: DataFrame, report: dict) -> tuple[DataFrame, DataFrame]:
+    """(good rows, lines that do not parse) of a batch; its files are counted."""
+    good, bad = files.split_corrupt(batch)
+    report["files"] += good.select("_source_file").union(bad.select("_source_file")).distinct().count()
+    return good, bad
+
+
+def hourly_incremental(spark: SparkSession, landing_pos: str, root: str, as_of, files_per_batch: int = 1000) -> dict:
+    """POS landing -> silver, bronze, customer 360 for the files not loaded yet.
 
     Every row of a new file is loaded, whatever its sale date; the merge keeps
-    the winner of ``silver_pos_order`` between table and batch. The list of
-    loaded files is extended last: a run that stops before is repeated by the
-    next one, with the same silver, bronze and quarantine rows
-    (``_next_batch``). Lines that do not parse and rejected rows go to
-    quarantine."""
+    the winner of ``silver_pos_order`` between table and batch and rewrites the
+    months that the batch touches. A run that stops is repeated by the next
+    one (``_available_now``), with the same silver, bronze and quarantine rows.
+    Lines that do not parse and rejected rows go to quarantine."""
     lh = Lakehouse(root)
-    quarantine = f"{lh.root.rstrip('/')}/quarantine/pos_transactions"
-    schema = files.raw_string_schema("bronze_pos_transactions")
+    base = lh.root.rstrip("/")
     target = lh.table(spark, "silver", "pos_transactions")
-    feed = f"{lh.root.rstrip('/')}/bronze/pos_transactions"
-    this, todo = _next_batch(spark, feed, target, files.read_csv_feed(spark, landing_pos, schema))
-    if not todo:
-        return {"version": target.latest_version(), "files": 0, "rows": 0}
-    good, bad = files.split_corrupt(files.read_csv_feed(spark, todo, schema, corrupt=True))  # written once
-    batch = files.stamp_ingestion(good, as_of)
-    obs = Observation("hourly")
-    cleaned = silver.clean_transactions(batch, as_of).observe(obs, F.count(F.lit(1)).alias("rows"))
-    v = target.upsert(cleaned, ["transaction_id"], committed_at=as_of, on_duplicate="keep", latest=silver.silver_pos_order())
-    _log(batch, f"{feed}_log", this)
-    _log(silver.pos_quarantine(batch, as_of), f"{quarantine}_log", this)
-    _log(files.stamp_ingestion(bad, as_of), f"{quarantine}_lines_log", this)
-    _append_files(spark, todo, f"{feed}_files")
-    return {"version": v, "files": len(todo), "rows": obs.get["rows"]}
-
-
-def hourly_clicks(spark: SparkSession, landing: str, root: str, as_of) -> dict:
-    """Clickstream landing -> bronze -> silver sessions for the files not
-    loaded yet.
+    report = {"files": 0, "rows": 0, "batches": 0}
+
+    def load(raw: DataFrame, batch_id: int) -> None:
+        good, bad = _landed(raw, report)
+        batch, obs = files.stamp_ingestion(good, as_of), Observation("hourly")
+        cleaned = silver.clean_transactions(batch, as_of).observe(obs, F.count(F.lit(1)).alias("rows"))
+        target.merge(cleaned, latest=silver.silver_pos_order())
+        _log(batch, f"{base}/bronze/pos_transactions_log", str(batch_id))
+        _log(silver.pos_quarantine(batch, as_of), f"{base}/quarantine/pos_transactions_log", str(batch_id))
+        _log(files.stamp_ingestion(bad, as_of), f"{base}/quarantine/pos_transactions_lines_log", str(batch_id))
+        report["rows"] += obs.get["rows"]
+        report["batches"] += 1
+
+    schema = files.raw_string_schema("bronze_pos_transactions")
+    _available_now(files.stream_feed(spark, landing_pos, schema, "csv", files_per_batch=files_per_batch), load, f"{base}/checkpoints/hourly_pos")
+    return report
+
 
-    New events can open, join or extend sessions of their customers only, so
-    the sessions of the customers in the batch (and of those whose events it
-    delivers again) are cut anew from silver and the batch; other events stay
-    as they are. A run that stops before the list of loaded files is extended
-    is repeated by the next one, with the same rows everywhere."""
+def hourly_clicks(spark: SparkSession, landing: str, root: str, as_of, files_per_batch: int = 1000) -> dict:
+    """Clickstream landing -> bronze -> silver sessions for the files not
+    loaded yet; only the sessions that the new events reach or change are cut
+    anew (``clicks.SessionTable``). A run that stops is repeated by the next
+    one, with the same rows everywhere."""
     lh = Lakehouse(root)
     base = lh.root.rstrip("/")
-    schema = files.raw_string_schema("bronze_clickstream")
     target = lh.table(spark, "silver", "clickstream")
-    feed = f"{base}/bronze/clickstream"
-    this, todo = _next_batch(spark, feed, target, files.read_json_feed(spark, landing, schema))
-    if not todo:
-        return {"version": target.latest_version(), "files": 0, "rows": 0}
-    good, bad = files.split_corrupt(files.read_json_feed(spark, todo, schema))
-    raw = files.stamp_ingestion(good, as_of)
-    batch = silver.parse_clicks(raw).drop("_source_file", "session_id").filter(F.col("event_id").isNotNull())
-    events = batch
-    if target.exists():
-        kept = target.read().select(
-            *[c for c in batch.columns if c != "_ingested_at"], F.col("_processed_at").alias("_ingested_at")
-        )
-        again = kept.join(batch.select("event_id").distinct(), "event_id", "left_semi")
-        touched = batch.select("customer_id").union(again.select("customer_id")).distinct()
-        # anonymous events match no customer: they belong to no session
-        events = batch.unionByName(kept.join(touched, "customer_id", "left_semi")).unionByName(
-            again.filter(F.col("customer_id").isNull()))
-    obs = Observation("hourly-clicks")
-    out = silver.sessionise(events, as_of).observe(obs, F.count(F.lit(1)).alias("rows"))
-    v = target.upsert(out, ["event_id"], committed_at=as_of, on_duplicate="keep")
-    _log(raw, f"{feed}_log", this)
-    _log(files.stamp_ingestion(bad, as_of), f"{base}/quarantine/clickstream_lines_log", this)
-    _append_files(spark, todo, f"{feed}_files")
-    return {"version": v, "files": len(todo), "rows": obs.get["rows"]}
+    report = {"files": 0, "rows": 0, "batches": 0}
+
+    def load(lines: DataFrame, batch_id: int) -> None:
+        good, bad = _landed(lines, report)
+        raw = files.stamp_ingestion(good, as_of)
+        out = target.load(silver.parse_clicks(raw), as_of, f"hourly-{batch_id}")
+        _log(raw, f"{base}/bronze/clickstream_log", str(batch_id))
+        _log(files.stamp_ingestion(bad, as_of), f"{base}/quarantine/clickstream_lines_log", str(batch_id))
+        report["rows"] += out.count()
+        report["batches"] += 1
+
+    schema = files.raw_string_schema("bronze_clickstream")
+    _available_now(files.stream_feed(spark, landing, schema, "json", files_per_batch=files_per_batch), load, f"{base}/checkpoints/hourly_clicks")
+    return report

@@ -280,20 +280,20 @@ def _pos_deliveries(raw):
 def q_hourly_incremental(spark, sf):
     """The hourly job run twice over one POS landing folder that gets all raw
     rows in two deliveries; each run loads the files that are new."""
-    from strata.plans.jobs import hourly_incremental
+    from strata.plans.jobs import Lakehouse, hourly_incremental
 
     land, root = scratch_path(spark, "hourly_landing"), scratch_path(spark, "hourly_lake")
     for hour, part in enumerate(_pos_deliveries(feeds.raw_pos(spark, sf)), 1):
         files.write_csv_feed(part, f"{land}/h{hour}")
         hourly_incremental(spark, land, root, L.AS_OF)
-    return SnapshotTable(spark, f"{root}/silver/pos_transactions").read()
+    return Lakehouse(root).table(spark, "silver", "pos_transactions").read()
 
 
 def q_hourly_clicks(spark, sf):
     """The hourly click job run twice: the events of the second delivery lie
     between those of the first, so most sessions are cut anew. Equal to the
     sessions of one batch over all events."""
-    from strata.plans.jobs import hourly_clicks
+    from strata.plans.jobs import Lakehouse, hourly_clicks
 
     land, root = scratch_path(spark, "hourly_clicks_landing"), scratch_path(spark, "hourly_clicks_lake")
     raw = feeds.clickstream_raw(spark, sf).drop("session_id")
@@ -301,7 +301,7 @@ def q_hourly_clicks(spark, sf):
     for hour, part in enumerate((raw.filter(~second), raw.filter(second)), 1):
         files.write_json_feed(part, f"{land}/h{hour}")
         hourly_clicks(spark, land, root, L.AS_OF)
-    return SnapshotTable(spark, f"{root}/silver/clickstream").read()
+    return Lakehouse(root).table(spark, "silver", "clickstream").read()
 
 
 # ------------------------------------------------------------ data quality

@@ -1,7 +1,9 @@
-"""Partition-scoped upsert for large tables: O(touched partitions), not
+"""Partition-scoped writes for large tables: O(touched partitions), not
 O(table).
 
-The table is a plain partitioned Parquet folder. An upsert
+``KeyedTable`` (below) is what the jobs and streams merge into: its rows may
+move between partitions. ``upsert_partitions`` is the smaller tool for tables
+whose partition the key determines. Its table is a plain partitioned Parquet folder. An upsert
 
 1. takes the distinct partition values of the batch (one row per partition,
    a bounded set);
@@ -20,17 +22,23 @@ travel and partitions are replaced one by one (not atomically as a set); use
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.merge import merge_upsert, prepare_source, validate_merge_key
 from strata.session import written
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _hadoop(spark, path)
     return fs.exists(p)
 
 
@@ -68,3 +76,121 @@ def upsert_partitions(
     # REBALANCE on the partition columns: AQE splits a hot partition over
     # several tasks and packs small ones, so files are neither tiny nor huge.
     merged.hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("overwrite").options(**writer_opts).parquet(path)
+
+
+#: The partition column of a keyed table, and the one of its index.
+PART, BUCKET = "table_part", "key_bucket"
+
+
+class PartitionedFolder:
+    """Parquet under ``path``, partitioned by one text column, written a set of
+    partitions at a time. Partitions are replaced one by one, so a reader may
+    see some before others; a writer that stops is repeated as a whole."""
+
+    def __init__(self, spark: SparkSession, path: str, column: str = PART):
+        self.spark, self.path, self.column = spark, path.rstrip("/"), column
+
+    def exists(self) -> bool:
+        return path_exists(self.spark, self.path)
+
+    def read(self, parts: list[str] | None = None) -> DataFrame:
+        """All rows, or those of ``parts`` alone (pruned when planned)."""
+        found = self.spark.read.parquet(self.path).schema
+        # inferred types would turn '01' into 1 and days into dates
+        kept = [f for f in found if f.name != self.column]
+        df = self.spark.read.schema(StructType([*kept, StructField(self.column, StringType())])).parquet(self.path)
+        return df if parts is None else df.filter(F.col(self.column).isin(parts))
+
+    def replace(self, parts: list[str], rows: DataFrame) -> None:
+        """The rows of ``parts`` become ``rows`` (a table that does not read
+        this folder); partitions left without rows are removed."""
+        old = []
+        if self.exists() and parts:
+            left = [r[0] for r in rows.select(self.column).distinct().collect()]  # a row a partition
+            gone = sorted(set(parts) - set(left))
+            if gone:
+                folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+                old = [r[0] for r in self.read(gone).select(folder).distinct().collect()]
+        # REBALANCE: AQE splits a hot partition over several tasks and packs small ones
+        rows.hint("rebalance", self.column).write.partitionBy(self.column).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path)
+        for folder in old:
+            fs, p = _hadoop(self.spark, folder)
+            fs.delete(p, True)
+
+
+class KeyedTable:
+    """One row per key in partitions by ``part`` (a text expression over the
+    row, never NULL), merged in O(touched partitions).
+
+    A compact index (``path/keys``: key and partition, in ``buckets`` folders by
+    the key's hash) tells in which partition a key lives now, so a row whose
+    partition changes leaves its old one. A merge reads and rewrites
+
+    * the index buckets of the batch's keys, and
+    * the partitions that the batch's rows have or that its keys lived in;
+
+    their names go through the driver: a row a partition, not a row a key.
+
+    A merge that stops half way is repeated with the same batch: the index is
+    written last, so the old places of its keys are still found, and rows of a
+    key in two partitions are rivals like any other. Keys are not NULL."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], part: Column, buckets: int = 64):
+        self.spark, self.keys, self.part, self.buckets = spark, list(keys), part, buckets
+        self.data = PartitionedFolder(spark, f"{path.rstrip('/')}/data")
+        self.index = PartitionedFolder(spark, f"{path.rstrip('/')}/keys", BUCKET)
+
+    def exists(self) -> bool:
+        return self.index.exists()
+
+    def read(self) -> DataFrame:
+        return self.data.read().drop(PART)
+
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("string"))
+
+    def _places(self, keys: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
+        """Of ``keys``: the known ones with their partition, these partitions, and all index buckets."""
+        keys = self._bucketed(keys.select(*self.keys))
+        buckets = [r[0] for r in keys.select(BUCKET).distinct().collect()]
+        known = written(self.index.read(buckets).join(keys.drop(BUCKET), self.keys, "left_semi").drop(BUCKET), "merge-known")
+        return known, [r[0] for r in known.select(PART).distinct().collect()], buckets
+
+    def lookup(self, keys: DataFrame) -> DataFrame:
+        """The table's rows of ``keys``, from the partitions that hold them."""
+        _, parts, _ = self._places(keys)
+        return self.data.read(parts).join(keys.select(*self.keys), self.keys, "left_semi").drop(PART)
+
+    def merge(self, source: DataFrame, latest: list[Column] | None = None, deletes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """Upserts ``source`` (one row per key) and removes the keys of
+        ``deletes``. With ``latest`` a key keeps the first of the table's and the
+        batch's row under that order, else the batch wins. Returns the rows of
+        all these keys before and after (tables of their own)."""
+        validate_merge_key(source, self.keys)
+        src = written(source.withColumn(PART, self.part), "merge-batch")
+        null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in self.keys])
+        sizes = src.groupBy(PART).agg(F.count_if(null).alias("nulls")).collect()
+        if any(r["nulls"] for r in sizes):
+            raise ValueError(f"NULL in the key {self.keys}")
+        keys = src.select(*self.keys)
+        if deletes is not None:
+            keys = written(keys.union(deletes.select(*self.keys)).distinct(), "merge-keys")
+        if self.exists():
+            known, parts, buckets = self._places(keys)
+            parts = sorted({r[PART] for r in sizes} | set(parts))
+            target = self.data.read(parts).select(*src.columns) if self.data.exists() else src.limit(0)
+            old = written(target.join(keys, self.keys, "left_semi"), "merge-old")
+            merged = merge_upsert(target, src, self.keys, on_duplicate="keep", latest=latest)
+        else:
+            # also after a first merge that stopped before its index was written: all data is the batch's
+            parts, buckets, old, merged = [r[PART] for r in sizes], [], src.limit(0), src
+        if deletes is not None:
+            merged = merged.join(deletes.select(*self.keys), self.keys, "left_anti")
+        merged = written(merged, "merge-merged")
+        new = written(merged.join(keys, self.keys, "left_semi"), "merge-new")
+        self.data.replace(parts, merged)
+        places = self._bucketed(new.select(*self.keys, PART))
+        if buckets:
+            places = self.index.read(buckets).join(keys, self.keys, "left_anti").unionByName(places)
+        self.index.replace(buckets, written(places, "merge-index"))
+        return old.drop(PART), new.drop(PART)

@@ -1,11 +1,11 @@
 """Structured Streaming jobs.
 
-* T1 ``stream_pos_upsert``: raw POS CSV files -> clean -> keyed MERGE into a
-  snapshot table per micro-batch (``foreachBatch``). ``foreachBatch`` is
-  at-least-once; a replayed batch re-applies the same keyed merge, which is
-  harmless, and a batch whose commit already exists is skipped. The merge
-  keeps the winner of ``silver_pos_order``, so the table equals one batch run
-  over all files, in whatever order they arrive.
+* T1 ``stream_pos_upsert``: raw POS CSV files -> clean -> keyed merge into a
+  partitioned table per micro-batch (``foreachBatch``), which rewrites the
+  partitions that the batch touches. ``foreachBatch`` is at-least-once; a
+  replayed batch applies the same merge again, which changes nothing. The
+  merge keeps the winner of ``silver_pos_order``, so the table equals one
+  batch run over all files, in whatever order they arrive.
 * T2 ``stream_dedupe_clicks``: ``dropDuplicatesWithinWatermark`` on the event
   id (state is bounded by the watermark).
 * T3 ``stream_session_counts``: ``session_window`` per customer with a
@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.plans import layers as L
-from strata.plans import silver
+from strata.plans.jobs import Lakehouse, hourly_incremental
 from strata.session import scratch_path
 from strata.sources import feeds, files
-from strata.sources.snapshots import SnapshotTable
+from strata.sources.partitioned import KeyedTable
 
 WATERMARK = "10 minutes"
 
@@ -37,46 +37,16 @@ def _run(q) -> None:
         raise q.exception()
 
 
-def pos_upsert_stream(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
-                      as_of=L.AS_OF, files_per_trigger: int = 1000) -> SnapshotTable:
-    schema = files.raw_string_schema("bronze_pos_transactions")
-    src = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("pathGlobFilter", "*.csv")
-        .csv(landing)
-    )
-    table = SnapshotTable(spark, table_path)
-    bronze = files.stamp_ingestion(src, as_of)
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        cleaned = silver.clean_transactions(batch, as_of)
-        done = {c.get("batch_id") for c in table.commits()}
-        if batch_id in done:  # replay of a committed batch
-            return
-        # the commit record names the micro-batch, atomically with the version
-        table.upsert(cleaned, ["transaction_id"], committed_at=None, info={"batch_id": batch_id},
-                     on_duplicate="keep", latest=silver.silver_pos_order())
-
-    q = (
-        bronze.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    _run(q)
-    return table
+def pos_upsert_stream(spark: SparkSession, landing: str, root: str, as_of=L.AS_OF, files_per_trigger: int = 1000) -> KeyedTable:
+    """The hourly job's stream, a few files a micro-batch."""
+    hourly_incremental(spark, landing, root, as_of, files_per_trigger)
+    return Lakehouse(root).table(spark, "silver", "pos_transactions")
 
 
 def stream_pos_upsert(spark: SparkSession, sf: str) -> DataFrame:
     land = scratch_path(spark, "stream_pos_landing")
     files.write_csv_feed(feeds.raw_pos(spark, sf), land, files=4)
-    t = pos_upsert_stream(spark, land, scratch_path(spark, "stream_pos_table"),
-                          scratch_path(spark, "stream_pos_ckpt"), files_per_trigger=2)
-    return t.read()
+    return pos_upsert_stream(spark, land, scratch_path(spark, "stream_pos_lake"), files_per_trigger=2).read()
 
 
 SLICES = 4
