@@ -23,6 +23,7 @@ repeated rows; extra columns are not read.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +50,23 @@ def coding(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
     return _CODINGS[path]
 
 
+#: What the pattern takes for white space (fixed values: Unicode White_Space).
+_LONG_BLANK = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{4096,}")
+
+
+def encode(bpe: tiktoken.Encoding, text: str) -> list[int]:
+    """The ids of a text. The splitter can't take very long runs of white
+    space, so these are cut off first, by the pattern's own rule: a run is a
+    piece of its own, without its last character if more text follows."""
+    ids, at = [], 0
+    for m in _LONG_BLANK.finditer(text):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        ids += bpe.encode_ordinary(text[at : m.start()])
+        ids += bpe._encode_single_piece(text[m.start() : end])
+        at = end
+    return ids + bpe.encode_ordinary(text[at:])
+
+
 def _kind(line: str) -> str:
     s = line.lstrip()
     if s.startswith("#"):
@@ -107,7 +125,7 @@ def section_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 found = sections(text)
                 if not found:
                     continue
-                ends = np.cumsum(size[np.array(bpe.encode_ordinary(text), np.int64)])
+                ends = np.cumsum(size[np.array(encode(bpe, text), np.int64)])
                 cuts = [0, *(e for _, _, e in found)]
                 if len(text) == ends[-1]:
                     bounds = np.array(cuts)

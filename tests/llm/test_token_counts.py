@@ -67,3 +67,20 @@ def test_rules_conserve_the_tokens():
         cuts = np.unique(np.concatenate([[0, ends[-1]], rng.integers(0, ends[-1] + 1, 5)]))
         for x in t.attribute(ends, cuts):
             assert abs(x.sum() - len(ends)) < 1e-9
+
+
+def test_long_white_space_is_cut_by_the_patterns_own_rule(spark, monkeypatch):
+    import random
+    import re
+
+    coding, _ = t.coding(vocabulary(BYTE_RANKS))
+    texts = [" " * 5_000_000 + "x", "\n" * 2_000_000, "a b" + " \t\r\n\u3000" * 300_000 + "z"]
+    for x in texts:
+        assert coding.decode(t.encode(coding, x)) == x
+    rows = t.section_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vocabulary(BYTE_RANKS)).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in rows if r["section"] == 0} == {i: len(t.encode(coding, x)) for i, x in enumerate(texts)}
+    monkeypatch.setattr(t, "_LONG_BLANK", re.compile(t._LONG_BLANK.pattern.replace("4096", "3")))
+    r = random.Random(1)
+    for _ in range(3000):
+        x = "".join(r.choice([" ", "  ", "\t", "\n", "\n\n", "a", "B1", "é", "!", "'s", "\u3000", "\x1f", "\x85"]) for _ in range(r.randint(0, 20)))
+        assert t.encode(coding, x) == coding.encode_ordinary(x), repr(x)
