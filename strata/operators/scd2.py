@@ -13,6 +13,9 @@ on the business key classifies each key:
 New versions get new surrogate keys (``max(sk)`` + dense rank by business
 key) so facts keep pointing at the version that was current when they
 happened. Expired history rows pass through untouched.
+
+``scd2_apply`` takes full snapshots in any order and with deletions: a
+back-dated one is put into the middle of the histories that it changes.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from __future__ import annotations
 import datetime as _dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import dedupe_latest
@@ -111,3 +114,71 @@ def scd2_merge(
     ).select(*cols)
     kept = out.filter(~F.col("_new")).select(*cols)
     return hist.unionByName(kept).unionByName(inserts)
+
+
+def scd2_apply(
+    dim: DataFrame,
+    source: DataFrame,
+    bk: str,
+    sk: str,
+    attrs: list[str],
+    as_of,
+    snapshots: list,
+    source_bk: str | None = None,
+) -> DataFrame:
+    """Applies the full snapshot ``source``, as it was at ``as_of``, whatever
+    the order: the versions are those of all snapshots in the order of time.
+    ``snapshots`` are the times of the ones applied before (one value a run).
+
+    A version says what all snapshots within it said. So a snapshot that says
+    something else holds up to the next one only, and what the version said
+    goes on from there. A key that the snapshot lacks is deleted from then to
+    the next snapshot. Only histories that change are cut anew, each with a row
+    a version: into the points in time at which its state is known, of which
+    equal neighbours join. A version that goes on to begin where it did, or
+    that joins an earlier part, keeps its surrogate key; other new parts get
+    new ones."""
+    source_bk = source_bk or bk
+    cols = [sk, bk, *attrs, VALID_FROM, VALID_TO, IS_CURRENT]
+    as_time = lambda x: _dt.datetime.fromisoformat(x) if isinstance(x, str) else x
+    later = sorted(as_time(s) for s in snapshots if as_time(s) > as_time(as_of))
+    ts, nxt = _ts(as_of), _ts(later[0]) if later else None
+    state = lambda of="": F.struct(*[F.col(of + a).alias(a) for a in attrs])
+    src = dedupe_latest(source.select(F.col(source_bk).alias(bk), *attrs).filter(F.col(bk).isNotNull()), [bk])
+    src = src.select(bk, state().alias("said"))
+
+    def at(time):
+        return (F.col(VALID_FROM) <= time) & (F.col(VALID_TO).isNull() | (F.col(VALID_TO) > time))
+
+    held = dim.filter(at(ts)).select(bk, state().alias("held"))
+    changed = held.join(src, bk, "full_outer").filter(~F.col("held").eqNullSafe(F.col("said"))).select(bk, "said")
+    changed = written(changed, "scd2-changed")
+    own = written(dim.join(changed.select(bk), bk, "left_semi").select(*cols), "scd2-histories")
+
+    def point(df, time, what, key, rank):
+        return df.select(bk, time.alias("t"), what.alias("state"), key.cast("long").alias(sk), F.lit(rank).alias("rank"))
+
+    none, gone = F.lit(None), F.lit(None).cast(changed.schema["said"].dataType)
+    points = [
+        point(changed, ts, F.col("said"), none, 3),
+        point(own, F.col(VALID_FROM), state(), F.col(sk), 2),
+        point(own.filter(F.col(VALID_TO).isNotNull()), F.col(VALID_TO), gone, none, 0),
+    ]
+    if nxt is not None:  # what the next snapshot said
+        points += [point(own.filter(at(nxt)), nxt, state(), none, 1), point(changed, nxt, gone, none, 0)]
+    known = points[0]
+    for p in points[1:]:
+        known = known.unionByName(p)
+    # the best source of each time; a version that begins there lends its key
+    known = known.groupBy(bk, "t").agg(F.max_by("state", "rank").alias("state"), F.max(sk).alias(sk))
+    by_key = Window.partitionBy(bk).orderBy("t")
+    known = known.withColumn("first", ~F.col("state").eqNullSafe(F.lag("state").over(by_key)))
+    known = known.withColumn("run", F.sum(F.col("first").cast("int")).over(by_key))
+    key = F.min_by(sk, F.when(F.col(sk).isNotNull(), F.col("t")))
+    runs = known.groupBy(bk, "run").agg(F.min("t").alias(VALID_FROM), F.min_by("state", "t").alias("state"), key.alias(sk))
+    runs = runs.withColumn(VALID_TO, F.lead(VALID_FROM).over(Window.partitionBy(bk).orderBy("run"))).filter("state is not null")
+    runs = written(runs.select(sk, bk, "state.*", VALID_FROM, VALID_TO, F.col(VALID_TO).isNull().alias(IS_CURRENT)), "scd2-runs")
+    new = runs.filter(F.col(sk).isNull()).drop(sk).withColumn("_at", F.struct(bk, VALID_FROM))
+    new = with_dense_keys(new, "_at", sk, offset=max_key(dim, sk))
+    rest = dim.join(changed.select(bk), bk, "left_anti")
+    return rest.select(*cols).unionByName(runs.filter(F.col(sk).isNotNull()).select(*cols)).unionByName(new.select(*cols))

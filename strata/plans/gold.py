@@ -155,6 +155,12 @@ def build_customer_360(silver_pos: DataFrame, as_of) -> DataFrame:
             F.count(F.lit(1)).alias("_k"),
         )
     )
+    return customer_360_of(per_method, as_of)
+
+
+def customer_360_of(per_method: DataFrame, as_of) -> DataFrame:
+    """The 360 rows from a row a customer and method (``_orders``, ``_sum`` and
+    ``_n`` of the amounts, ``_first``, ``_last``, ``_k`` rows)."""
     g = per_method.groupBy("customer_bk").agg(
         F.sum("_orders").alias("total_orders"),
         F.sum("_sum").alias("_sum"),

@@ -16,6 +16,8 @@ from strata.operators import quality
 from strata.plans import gold, silver
 from strata.sources import files
 from strata.plans.clicks import SessionTable
+from strata.plans.customer_state import CustomerState, merge_sales
+from strata.session import written
 from strata.sources.partitioned import KeyedTable
 from strata.sources.snapshots import SnapshotTable
 
@@ -170,24 +172,41 @@ def _landed(batch: DataFrame, report: dict) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def hourly_incremental(spark: SparkSession, landing_pos: str, root: str, as_of, files_per_batch: int = 1000) -> dict:
-    """POS landing -> silver, bronze, customer 360 for the files not loaded yet.
+def customer_state(spark: SparkSession, root: str) -> CustomerState:
+    return CustomerState(spark, f"{root.rstrip('/')}/gold/customer_state")
+
+
+def remove_sales(spark: SparkSession, root: str, ids: DataFrame, as_of, name: str) -> None:
+    """Takes the sales with these ``transaction_id`` out of silver and of the
+    customer 360 table; ``name`` is what a repeated removal is known by."""
+    target = Lakehouse(root).table(spark, "silver", "pos_transactions")
+    merge_sales(target, customer_state(spark, root), target.read().limit(0), as_of, f"removed-{name}", deletes=ids)
+
+
+def hourly_incremental(spark: SparkSession, landing_pos: str, root: str, as_of, files_per_batch: int = 1000, with_360: bool = False) -> dict:
+    """POS landing -> silver -> bronze for the files not loaded yet.
 
     Every row of a new file is loaded, whatever its sale date; the merge keeps
     the winner of ``silver_pos_order`` between table and batch and rewrites the
-    months that the batch touches. A run that stops is repeated by the next
+    months that the batch touches. ``with_360`` keeps the customer 360 table up
+    to date as well (``customer_state``). A run that stops is repeated by the next
     one (``_available_now``), with the same silver, bronze and quarantine rows.
     Lines that do not parse and rejected rows go to quarantine."""
     lh = Lakehouse(root)
     base = lh.root.rstrip("/")
-    target = lh.table(spark, "silver", "pos_transactions")
+    target, state = lh.table(spark, "silver", "pos_transactions"), customer_state(spark, base)
     report = {"files": 0, "rows": 0, "batches": 0}
 
     def load(raw: DataFrame, batch_id: int) -> None:
         good, bad = _landed(raw, report)
         batch, obs = files.stamp_ingestion(good, as_of), Observation("hourly")
         cleaned = silver.clean_transactions(batch, as_of).observe(obs, F.count(F.lit(1)).alias("rows"))
-        target.merge(cleaned, latest=silver.silver_pos_order())
+        if with_360:
+            cleaned = written(cleaned, "hourly-cleaned")  # read several times
+            merge_sales(target, state, cleaned, as_of, f"hourly-{batch_id}", latest=silver.silver_pos_order())
+            state.compact(f"hourly-{batch_id}")
+        else:
+            target.merge(cleaned, latest=silver.silver_pos_order())
         _log(batch, f"{base}/bronze/pos_transactions_log", str(batch_id))
         _log(silver.pos_quarantine(batch, as_of), f"{base}/quarantine/pos_transactions_log", str(batch_id))
         _log(files.stamp_ingestion(bad, as_of), f"{base}/quarantine/pos_transactions_lines_log", str(batch_id))

@@ -14,6 +14,7 @@ from strata.sources import feeds
 # the wall clock, so reruns and the SQL oracle agree) and the scenario dates.
 AS_OF = "2025-01-01 00:00:00"
 HISTORY_START = "1900-01-01 00:00:00"   # valid_from of first dimension versions
+BETWEEN = "1998-09-01 00:00:00"         # a snapshot between them, delivered last
 CHANGE_AT = "1999-01-01 00:00:00"       # second customer snapshot takes effect
 DAY1_CUTOFF = "1998-01-01 00:00:00"     # orders first loaded up to here ...
 DAY2_START = "1997-07-01 00:00:00"      # ... the next batch re-delivers from here
@@ -112,3 +113,12 @@ def customers_day2(spark: SparkSession, sf: str, silver: DataFrame | None = None
     return c.withColumn(
         "city", F.when(k % 40 == 1, F.lit(None).cast("string")).otherwise(F.col("city"))
     )
+
+
+def customers_between(spark: SparkSession, sf: str, silver: DataFrame | None = None) -> DataFrame:
+    """A snapshot between the two: day 1 without some customers, of whom others
+    lived somewhere else and others already where day 2 has them."""
+    c = silver if silver is not None else silver_customers(spark, sf)
+    k = F.substring(F.col("customer_id"), 2, 20).cast("long")
+    day1 = customers_day1(spark, sf, c).filter(k % 17 != 0)
+    return day1.withColumn("city", F.when(k % 6 == 1, F.concat(F.lit("MID/"), F.col("city"))).when(k % 10 == 3, F.regexp_replace("city", "^OLD/", "")).otherwise(F.col("city")))

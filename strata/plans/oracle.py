@@ -307,6 +307,32 @@ customer_history AS (
   FROM hj WHERE s_bk IS NOT NULL AND (customer_bk IS NULL OR changed)
 )"""
 
+# the history of three snapshots, from all that they say, in the order of time
+_SAID = f"SELECT customer_id AS bk, TIMESTAMP '{{at}}' AS moment, TRUE AS there, {', '.join(ATTRS)} FROM {{rel}}"
+ANY_ORDER = f"""{_customers_day(1)},
+{_customers_day(2)},
+cust_between AS (
+  SELECT customer_id, name_hash, email_hash,
+    CASE WHEN k % 6 = 1 THEN 'MID/' || city WHEN k % 10 = 3 THEN regexp_replace(city, '^OLD/', '') ELSE city END AS city, country, signup_date
+  FROM (SELECT *, CAST(substring(customer_id, 2, 20) AS BIGINT) AS k FROM cust_day1) WHERE k % 17 <> 0
+),
+said AS (
+  {_SAID.format(at=L.HISTORY_START, rel="cust_day1")} UNION ALL
+  {_SAID.format(at=L.BETWEEN, rel="cust_between")} UNION ALL
+  {_SAID.format(at=L.CHANGE_AT, rel="cust_day2")}
+),
+every AS (
+  SELECT b.bk, t.moment, coalesce(s.there, FALSE) AS there, {', '.join(f's.{a}' for a in ATTRS)}
+  FROM (SELECT DISTINCT bk FROM said) b CROSS JOIN (SELECT DISTINCT moment FROM said) t LEFT JOIN said s ON s.bk = b.bk AND s.moment = t.moment
+),
+steps AS (
+  SELECT *, lag(there) OVER w AS was, {', '.join(f'lag({a}) OVER w AS was_{a}' for a in ATTRS)} FROM every WINDOW w AS (PARTITION BY bk ORDER BY moment)
+),
+changes AS (
+  SELECT *, lead(moment) OVER (PARTITION BY bk ORDER BY moment) AS until FROM steps
+  WHERE there IS DISTINCT FROM was OR there AND ({' OR '.join(f'{a} IS DISTINCT FROM was_{a}' for a in ATTRS)})
+)"""
+
 ORDERS = f"""orders_day1 AS (
   SELECT o_orderkey, o_custkey,
     CASE WHEN o_orderdate >= TIMESTAMP '{L.DAY2_START}' THEN 'O' ELSE o_orderstatus END AS o_orderstatus,
@@ -365,6 +391,19 @@ def _pk(name: str, rel: str, key: str, where: str = "TRUE") -> str:
             f"GROUP BY {key} HAVING count(*) > 1)) AS BIGINT) AS duplicate_keys FROM {rel} WHERE {where}")
 
 
+def _constraints(table: str, query: str, schemas) -> str:
+    key = schemas.PRIMARY_KEYS[table][0]
+    again = "(SELECT count(*) FROM (SELECT {k} FROM t WHERE {k} IS NOT NULL AND {c} GROUP BY {k} HAVING count(*) > 1))"
+    rows = [("primary_key", key, f"count_if({key} IS NULL) + {again.format(k=key, c='TRUE')}")]
+    rows += [("unique", n, again.format(k=k[0], c=c)) for n, k, c in schemas.CONDITIONAL_KEYS.get(table, [])]
+    rows += [("not_null", f.name, f"count_if({f.name} IS NULL)") for f in schemas.SCHEMAS[table] if not f.nullable]
+    rows += [("check", rule, f"count_if(NOT ({rule}))") for _, rule in schemas.CHECKS.get(table, [])]
+    text = " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{kind}' AS kind, '{name.replace(chr(39), chr(39) * 2)}' AS name, count(*) AS rows, CAST({v} AS BIGINT) AS violations FROM t"
+        for kind, name, v in rows)
+    return f"SELECT * FROM (WITH t AS MATERIALIZED (SELECT * FROM ({query})) {text})"
+
+
 def _fk(fk: str, dim: str, pk: str) -> str:
     return (f"SELECT '{fk}' AS fk_name, CAST(count_if(f.{fk} IS NULL) AS BIGINT) AS null_refs, "
             f"CAST(count_if(f.{fk} IS NOT NULL AND f.{fk} NOT IN (SELECT {pk} FROM {dim} WHERE {pk} IS NOT NULL)) "
@@ -521,13 +560,36 @@ FROM inv i LEFT JOIN dim_product d ON i.product_id = d.product_bk AND d._is_curr
 WHERE NOT EXISTS (SELECT 1 FROM orders_batch2 s WHERE s.o_orderkey = t.o_orderkey)
 UNION ALL SELECT * FROM orders_batch2"""
     q["upsert_orders"] = f"WITH {ORDERS} {merged_orders}"
-    q["upsert_orders_partitioned"] = f"WITH {ORDERS} {merged_orders}"
+    for same in ("upsert_orders_partitioned", "upsert_orders_bucketed"):
+        q[same] = q["upsert_orders"]
     q["time_travel"] = f"WITH {ORDERS} SELECT * FROM orders_day1"
     q["vacuum_history"] = f"""WITH {ORDERS}, merged AS ({merged_orders})
 SELECT 2 AS version, 'MERGE' AS operation, CAST(count(*) AS BIGINT) AS rows FROM merged
 UNION ALL SELECT 3, 'OPTIMIZE', CAST(count(*) AS BIGINT) FROM merged"""
     q["zorder_layout"] = "SELECT * FROM lineitem"
     q["daily_two_days"] = q["scd2_merge"]
+    q["scd2_any_order"] = f"""WITH {RAW_CUSTOMERS},\n{ANY_ORDER}
+SELECT bk AS customer_bk, {', '.join(ATTRS)}, moment AS _valid_from, until AS _valid_to, until IS NULL AS _is_current FROM changes WHERE there"""
+    q["late_sessions"] = q["sessionise"]
+    q["late_events"] = f"""WITH {EVENTS},
+ends AS (SELECT min(ts) AS lo, (max(ts) - min(ts)) / 4 AS step FROM events),
+-- the feed in four slices of time, every tenth event one slice late
+came AS (
+  SELECT event_id, event_timestamp, CASE WHEN event_timestamp < lo + step THEN 1 WHEN event_timestamp < lo + step * 2 THEN 2 WHEN event_timestamp < lo + step * 3 THEN 3 ELSE 4 END
+    + CASE WHEN CAST(substring(event_id, 2) AS BIGINT) % 10 = 3 THEN 1 ELSE 0 END AS slice
+  FROM ev_raw, ends
+),
+marks AS (SELECT slice, max(max(event_timestamp)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 MINUTE AS mark FROM came GROUP BY slice)
+SELECT DISTINCT event_id, coalesce(event_timestamp < mark, FALSE) AS late FROM came JOIN marks USING (slice)"""
+    from strata import schemas
+
+    held = {
+        "silver_pos_transactions": "clean_transactions", "silver_inventory_movements": "clean_inventory", "silver_customers": "clean_customers",
+        "silver_clickstream": "sessionise", "gold_dim_customer": "dim_customer", "gold_dim_product": "dim_product", "gold_dim_store": "dim_store",
+        "gold_dim_date": "dim_date", "gold_fact_sales": "fact_sales", "gold_fact_inventory_snapshot": "inventory_snapshot", "gold_agg_customer_360": "customer_360",
+    }
+    q["check_constraints"] = "\nUNION ALL\n".join(_constraints(t, q[name], schemas) for t, name in held.items())
+    q["hourly_customer_360"] = q["customer_360"]
     for same in ("incremental_load", "hourly_incremental", "stream_pos_upsert"):
         q[same] = q["clean_transactions"]
     q["dq_bronze"] = f"""{POS},

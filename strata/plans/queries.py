@@ -157,6 +157,24 @@ def q_scd2_merge(spark, sf):
     return _customer_history(spark, sf)
 
 
+def q_scd2_any_order(spark, sf):
+    """The customer history of three full snapshots that come out of order, the
+    newest first: day 2, day 1, and one between them that lacks some
+    customers and has others elsewhere. (Surrogate keys depend on the order.)"""
+    from strata.operators.scd2 import scd2_apply
+
+    c = written(L.silver_customers(spark, sf), "silver-customers")
+    day = {L.CHANGE_AT: L.customers_day2(spark, sf, c), L.HISTORY_START: L.customers_day1(spark, sf, c), L.BETWEEN: L.customers_between(spark, sf, c)}
+    dim, done = None, []
+    for at, snapshot in day.items():
+        if dim is None:
+            dim = scd2_initial(snapshot, "customer_id", "customer_sk", gold.CUSTOMER_ATTRS, at, bk_out="customer_bk")
+        else:
+            dim = scd2_apply(dim, snapshot, "customer_bk", "customer_sk", gold.CUSTOMER_ATTRS, at, done, source_bk="customer_id")
+        dim, done = written(dim, "scd2-any-order"), [*done, at]
+    return dim.drop("customer_sk")
+
+
 def q_fact_sales_asof(spark, sf):
     return gold.build_fact_sales_asof(L.silver_pos(spark, sf), _customer_history(spark, sf), L.AS_OF)
 
@@ -222,6 +240,19 @@ def q_upsert_orders_partitioned(spark, sf):
     return spark.read.parquet(path).select(*ORDER_COLS)
 
 
+def q_upsert_orders_bucketed(spark, sf):
+    """The same two deliveries, merged into a table bucketed by order key: the
+    merge shuffles the second delivery alone."""
+    import uuid
+
+    from strata.sources.bucketed import BucketedTable
+
+    t = BucketedTable(spark, f"orders_{uuid.uuid4().hex[:8]}", scratch_path(spark, "orders_bucketed"), ["o_orderkey"], 8)
+    t.create(_orders_day1(spark, sf))
+    t.merge(_orders_batch2(spark, sf))
+    return t.read()
+
+
 def q_time_travel(spark, sf):
     """Version 1 read back by timestamp after version 2 was committed."""
     return _orders_table(spark, sf).read(timestamp="2024-01-01T12:00:00")
@@ -289,6 +320,30 @@ def q_hourly_incremental(spark, sf):
     return Lakehouse(root).table(spark, "silver", "pos_transactions").read()
 
 
+def q_hourly_customer_360(spark, sf):
+    """Customer 360 from two hourly deliveries, a correction and a removal. The
+    first delivery gives a part of the sales to other customers and methods and
+    holds sales that never were; the second brings the true rows of the former,
+    then the latter are removed. Equal to one build over the true sales."""
+    from strata.plans import jobs
+
+    land, root = scratch_path(spark, "hourly_360_landing"), scratch_path(spark, "hourly_360_lake")
+    raw = feeds.raw_pos(spark, sf)
+    wrong = F.crc32("transaction_id") % 7 == 0
+    first = raw.withColumns({
+        "customer_id": F.when(wrong, F.concat(F.lit("C"), F.crc32("transaction_id") % 50)).otherwise(F.col("customer_id")),
+        "payment_method": F.when(wrong, F.lit("CASH")).otherwise(F.col("payment_method")),
+    })
+    never = raw.filter(F.crc32("transaction_id") % 13 == 0).withColumn("transaction_id", F.concat(F.lit("X"), "transaction_id"))
+    for hour, (part, as_of) in enumerate(((first.unionByName(never), L.CHANGE_AT), (raw.filter(wrong), L.AS_OF)), 1):
+        files.write_csv_feed(part, f"{land}/h{hour}")
+        jobs.hourly_incremental(spark, land, root, as_of, with_360=True)
+    jobs.remove_sales(spark, root, never.select("transaction_id").distinct(), L.AS_OF, "never")
+    out = jobs.customer_state(spark, root).table.read().drop("customer_bucket")
+    # each row has the time of the run that last built it
+    return out.withColumn("_processed_at", F.lit(L.AS_OF).cast("timestamp_ntz"))
+
+
 def q_hourly_clicks(spark, sf):
     """The hourly click job run twice: the events of the second delivery lie
     between those of the first, so most sessions are cut anew. Equal to the
@@ -351,6 +406,32 @@ def q_pk_check(spark, sf):
     return out
 
 
+def q_check_constraints(spark, sf):
+    """Every constraint of the registry (primary and conditional keys, NOT NULL,
+    CHECK) on every table that has some, each table read once."""
+    st = L.star(spark, sf)
+    pos = st["pos"]
+    tables = {
+        "silver_pos_transactions": pos,
+        "silver_inventory_movements": L.silver_inventory(spark, sf),
+        "silver_customers": L.silver_customers(spark, sf),
+        "silver_clickstream": silver.sessionise(feeds.clickstream(spark, sf), L.AS_OF),
+        "gold_dim_customer": st["dim_customer"],
+        "gold_dim_product": st["dim_product"],
+        "gold_dim_store": st["dim_store"],
+        "gold_dim_date": gold.build_dim_date(pos),
+        "gold_fact_sales": st["fact_sales"],
+        "gold_fact_inventory_snapshot": gold.build_inventory_snapshot(L.silver_inventory(spark, sf), st["dim_product"], L.AS_OF),
+        "gold_agg_customer_360": gold.build_customer_360(pos, L.AS_OF),
+    }
+    assert set(tables) == set(schemas.PRIMARY_KEYS)
+    out = None
+    for name, df in tables.items():
+        part = quality.check_constraints(df, name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_fk_orphans(spark, sf):
     st = L.star(spark, sf)
     fact = st["fact_sales"]
@@ -440,6 +521,18 @@ def q_stream_sessions(spark, sf):
     return stream_session_counts(spark, sf)
 
 
+def q_late_events(spark, sf):
+    from strata.streaming.streams import late_events
+
+    return late_events(spark, sf)
+
+
+def q_late_sessions(spark, sf):
+    from strata.streaming.streams import late_sessions
+
+    return late_sessions(spark, sf)
+
+
 QUERIES: dict[str, Query] = {
     "ingest_pos": q_ingest_pos,
     "ingest_inventory": q_ingest_inventory,
@@ -465,22 +558,26 @@ QUERIES: dict[str, Query] = {
     "fact_sales": q_fact_sales,
     "fact_sales_asof": q_fact_sales_asof,
     "scd2_merge": q_scd2_merge,
+    "scd2_any_order": q_scd2_any_order,
     "sales_summary": q_sales_summary,
     "customer_360_view": q_customer_360_view,
     "inventory_snapshot": q_inventory_snapshot,
     "upsert_orders": q_upsert_orders,
     "upsert_orders_partitioned": q_upsert_orders_partitioned,
+    "upsert_orders_bucketed": q_upsert_orders_bucketed,
     "time_travel": q_time_travel,
     "zorder_layout": q_zorder_layout,
     "vacuum_history": q_vacuum_history,
     "incremental_load": q_incremental_load,
     "hourly_incremental": q_hourly_incremental,
+    "hourly_customer_360": q_hourly_customer_360,
     "hourly_clicks": q_hourly_clicks,
     "dq_bronze": q_dq_bronze,
     "dq_silver": q_dq_silver,
     "dq_gold": q_dq_gold,
     "dq_results": q_dq_results,
     "pk_check": q_pk_check,
+    "check_constraints": q_check_constraints,
     "fk_orphans": q_fk_orphans,
     "layer_counts": q_layer_counts,
     "daily_refresh": q_daily_refresh,
@@ -488,4 +585,6 @@ QUERIES: dict[str, Query] = {
     "stream_pos_upsert": q_stream_pos_upsert,
     "stream_dedupe": q_stream_dedupe,
     "stream_sessions": q_stream_sessions,
+    "late_events": q_late_events,
+    "late_sessions": q_late_sessions,
 }

@@ -136,6 +136,24 @@ PRIMARY_KEYS: dict[str, list[str]] = {
 }
 
 
+# Keys that are unique under a condition: (name, columns, condition).
+CONDITIONAL_KEYS: dict[str, list[tuple[str, list[str], str]]] = {
+    t: [(f"{c}_current", [c], "_is_current")]
+    for t, c in (("gold_dim_customer", "customer_bk"), ("gold_dim_product", "product_bk"), ("gold_dim_store", "store_bk"))
+}
+
+# CHECK rules (fixed values, as declared for the tables): column and what holds for its non-NULL values.
+CHECKS: dict[str, list[tuple[str, str]]] = {
+    "silver_pos_transactions": [("quantity", "quantity > 0"), ("unit_price", "unit_price > 0")],
+    "silver_inventory_movements": [("movement_type", "movement_type IN ('IN', 'OUT')"), ("quantity", "quantity > 0")],
+    "gold_dim_date": [
+        ("quarter", "quarter BETWEEN 1 AND 4"), ("month", "month BETWEEN 1 AND 12"),
+        ("day", "day BETWEEN 1 AND 31"), ("day_of_week", "day_of_week BETWEEN 1 AND 7"),
+    ],
+    "gold_fact_sales": [("quantity", "quantity > 0")],
+}
+
+
 def get_schema(table_name: str) -> StructType:
     """The registered layout of a table; ``KeyError`` if it has none."""
     try:

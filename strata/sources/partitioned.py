@@ -186,8 +186,10 @@ class KeyedTable:
             parts, buckets, old, merged = [r[PART] for r in sizes], [], src.limit(0), src
         if deletes is not None:
             merged = merged.join(deletes.select(*self.keys), self.keys, "left_anti")
-        merged = written(merged, "merge-merged")
-        new = written(merged.join(keys, self.keys, "left_semi"), "merge-new")
+        new = src
+        if buckets or deletes is not None:
+            merged = written(merged, "merge-merged")  # the output path is also an input
+            new = written(merged.join(keys, self.keys, "left_semi"), "merge-new")
         self.data.replace(parts, merged)
         places = self._bucketed(new.select(*self.keys, PART))
         if buckets:

@@ -11,7 +11,8 @@
 * T3 ``stream_session_counts``: ``session_window`` per customer with a
   watermark, append mode (a session is emitted once it is closed).
 * T4 late rows: rows older than the watermark are dropped by the stateful
-  operators (T2, T3); the keyed merge (T1) keeps them.
+  operators (T2, T3); the keyed merge (T1) keeps them, and ``late`` splits them
+  off as data and applies them to closed sessions.
 
 All run with ``Trigger.AvailableNow``: process what is there, then stop.
 The checkpoint location lives under the shared ``spark.checkpoint.dir``.
@@ -126,3 +127,35 @@ def stream_session_counts(spark: SparkSession, sf: str) -> DataFrame:
         )
 
     return _run_in_arrivals(spark, sf, build, "stream_sessions")
+
+
+def _late_arrivals(spark: SparkSession, sf: str, name: str):
+    """The click feed landed in slices, every tenth event one slice late; the
+    late-row stream run after each. Returns its session table and split."""
+    from strata.streaming.late import click_stream
+
+    land, root = scratch_path(spark, f"{name}_landing"), scratch_path(spark, f"{name}_lake")
+    slices = _click_slices(spark, sf)
+    tenth = F.substring("event_id", 2, 20).cast("long") % 10 == 3
+    none = slices[0].limit(0)
+    for sl, before in zip([*slices, none], [none, *slices]):
+        sl.filter(~tenth).unionByName(before.filter(tenth)).coalesce(1).write.mode("append").parquet(land)
+        out = click_stream(spark, spark.readStream.schema(sl.schema).parquet(land), root, L.AS_OF)
+    return out
+
+
+def late_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Every delivered event and whether it came behind the watermark."""
+    sessions, split = _late_arrivals(spark, sf, "late_events")
+    late = split.late().select("event_id").distinct().withColumn("late", F.lit(True))
+    on_time = sessions.read().select("event_id").distinct().withColumn("late", F.lit(False))
+    return late.unionByName(on_time)
+
+
+def late_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """The sessions after the late events were applied: as if none had been late."""
+    from strata.streaming.late import apply_late
+
+    sessions, split = _late_arrivals(spark, sf, "late_sessions")
+    apply_late(sessions, split, L.AS_OF)
+    return sessions.read()
