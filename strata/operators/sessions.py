@@ -92,21 +92,25 @@ def sessions_summary(df: DataFrame, user: str, ts: str, gap_seconds: int = 1800)
     )
 
 
-def session_days(sessions: DataFrame, user: str) -> DataFrame:
+def _days(lo: str, hi: str, by: str) -> Column:
+    """The days (or months, as ``by`` formats them) from ``lo`` to ``hi``, one a row."""
+    days = F.sequence(F.to_date(lo), F.to_date(hi), F.expr("interval 1 day"))
+    return F.explode(F.array_distinct(F.transform(days, lambda d: F.date_format(d, by)))).alias("day")
+
+
+def session_days(sessions: DataFrame, user: str, by: str = "yyyy-MM-dd") -> DataFrame:
     """A row for each day that a session covers: what touching sessions are looked up by."""
-    days = F.sequence(F.to_date("session_start"), F.to_date("session_end"), F.expr("interval 1 day"))
-    return sessions.select(user, "session_start", "session_end", F.explode(F.transform(days, lambda d: F.date_format(d, "yyyy-MM-dd"))).alias("day"))
+    return sessions.select(user, "session_start", "session_end", _days("session_start", "session_end", by))
 
 
-def reach_of(events: DataFrame, user: str, ts: str, gap_seconds: int = 1800) -> DataFrame:
+def reach_of(events: DataFrame, user: str, ts: str, gap_seconds: int = 1800, by: str = "yyyy-MM-dd") -> DataFrame:
     """(user, lo, hi, day): the time that new events reach, the gap included,
     a row for each day in it. Events of a slot reach as one, so a user has a
     bounded number of rows a day."""
     gap = F.expr(f"INTERVAL {gap_seconds} SECONDS")
     ev = events.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()).withColumn("_slot", _slot(ts, gap_seconds * 1_000_000))
     piece = ev.groupBy(user, "_slot").agg((F.min(ts) - gap).alias("lo"), (F.max(ts) + gap).alias("hi"))
-    days = F.sequence(F.to_date("lo"), F.to_date("hi"), F.expr("interval 1 day"))
-    return piece.select(user, "lo", "hi", F.explode(F.transform(days, lambda d: F.date_format(d, "yyyy-MM-dd"))).alias("day"))
+    return piece.select(user, "lo", "hi", _days("lo", "hi", by))
 
 
 def touched_sessions(stored: DataFrame, reach: DataFrame, user: str) -> DataFrame:

@@ -51,7 +51,7 @@ def customer_360(state: DataFrame, as_of) -> DataFrame:
 
 
 class CustomerState:
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
         self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
         self.table = PartitionedFolder(spark, f"{self.path}/customer_360", BUCKET)
 
@@ -86,7 +86,7 @@ class CustomerState:
         """Sales ``old`` become ``new``; ``batch`` names the change."""
         change = added(states(old, -1).unionByName(states(new, 1)))
         path = f"{self.path}/states/{self._generation():06d}-batch-{batch}"
-        self._bucketed(change).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        self._bucketed(change).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
     def refresh(self, customers: DataFrame, as_of) -> None:
         """Builds the 360 rows of ``customers`` (column customer_id) anew."""
@@ -116,7 +116,7 @@ class CustomerState:
         # the last batch moves first: the new generation counts from its base on
         for f in mine:
             self.spark.read.parquet(f).withColumn(BUCKET, F.col(BUCKET).cast("string")).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/states/{g:06d}-batch-{last}")
-        self._bucketed(added(out)).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/states/{g:06d}-base")
+        self._bucketed(added(out)).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/states/{g:06d}-base")
         for f in folders:
             fs, p = _hadoop(self.spark, f)
             fs.delete(p, True)

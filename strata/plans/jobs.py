@@ -51,6 +51,7 @@ class Lakehouse:
     """Table locations of one lakehouse root."""
 
     root: str
+    clicks_by: str = "yyyy-MM-dd"  # partition of the click events
     tables: dict = field(default_factory=dict)
 
     def table(self, spark: SparkSession, layer: str, name: str) -> SnapshotTable | KeyedTable | SessionTable:
@@ -63,7 +64,7 @@ class Lakehouse:
                 month = F.coalesce(F.date_format(time, "yyyy-MM"), F.lit("undated"))
                 self.tables[key] = KeyedTable(spark, path, [own], month)
             elif key == "silver/clickstream":
-                self.tables[key] = SessionTable(spark, path)
+                self.tables[key] = SessionTable(spark, path, by=self.clicks_by)
             else:
                 self.tables[key] = SnapshotTable(spark, path)
         return self.tables[key]
@@ -77,13 +78,14 @@ def daily_refresh(
     products: DataFrame | None = None,
     stores: DataFrame | None = None,
     gate: bool = True,
+    clicks_by: str = "yyyy-MM-dd",
 ) -> dict:
     """bronze x4 -> DQ -> silver x4 -> DQ -> dims, 360 -> fact -> DQ. Over an
     existing lake silver is merged and the dimensions keep history and keys.
 
     ``landing`` maps feed name (pos, inventory, customers, clicks) to a folder
     of raw files. Returns per-step row counts and the DQ results."""
-    lh = Lakehouse(root)
+    lh = Lakehouse(root, clicks_by)
     report: dict = {"counts": {}, "dq": {}}
 
     def write(layer, name, df):
@@ -218,12 +220,12 @@ def hourly_incremental(spark: SparkSession, landing_pos: str, root: str, as_of,
     return report
 
 
-def hourly_clicks(spark: SparkSession, landing: str, root: str, as_of, files_per_batch: int = 1000) -> dict:
+def hourly_clicks(spark: SparkSession, landing: str, root: str, as_of, files_per_batch: int = 1000, clicks_by: str = "yyyy-MM-dd") -> dict:
     """Clickstream landing -> bronze -> silver sessions for the files not
     loaded yet; only the sessions that the new events reach or change are cut
     anew (``clicks.SessionTable``). A run that stops is repeated by the next
     one, with the same rows everywhere."""
-    lh = Lakehouse(root)
+    lh = Lakehouse(root, clicks_by)
     base = lh.root.rstrip("/")
     target = lh.table(spark, "silver", "clickstream")
     report = {"files": 0, "rows": 0, "batches": 0}

@@ -355,8 +355,8 @@ def q_hourly_clicks(spark, sf):
     second = F.crc32("event_id") % 2 == 1
     for hour, part in enumerate((raw.filter(~second), raw.filter(second)), 1):
         files.write_json_feed(part, f"{land}/h{hour}")
-        hourly_clicks(spark, land, root, L.AS_OF)
-    return Lakehouse(root).table(spark, "silver", "clickstream").read()
+        hourly_clicks(spark, land, root, L.AS_OF, clicks_by="yyyy-MM")  # the test events lie far apart
+    return Lakehouse(root, "yyyy-MM").table(spark, "silver", "clickstream").read()
 
 
 # ------------------------------------------------------------ data quality
@@ -472,7 +472,7 @@ def q_daily_refresh(spark, sf):
         land[name] = scratch_path(spark, f"daily_landing_{name}")
         write(df, land[name])
     rep = daily_refresh(spark, land, scratch_path(spark, "daily_lake"), L.AS_OF,
-                        products=feeds.products(spark, sf), stores=feeds.stores(spark, sf), gate=False)
+                        products=feeds.products(spark, sf), stores=feeds.stores(spark, sf), gate=False, clicks_by="yyyy-MM")
     return spark.createDataFrame(
         [(k, int(v)) for k, v in rep["counts"].items()], "step string, rows long"
     )

@@ -89,16 +89,18 @@ class PartitionedFolder:
 
     def __init__(self, spark: SparkSession, path: str, column: str = PART):
         self.spark, self.path, self.column = spark, path.rstrip("/"), column
+        self._schema: StructType | None = None  # of the first read: later ones need no look into the files
 
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
 
     def read(self, parts: list[str] | None = None) -> DataFrame:
         """All rows, or those of ``parts`` alone (pruned when planned)."""
-        found = self.spark.read.parquet(self.path).schema
-        # inferred types would turn '01' into 1 and days into dates
-        kept = [f for f in found if f.name != self.column]
-        df = self.spark.read.schema(StructType([*kept, StructField(self.column, StringType())])).parquet(self.path)
+        if self._schema is None:
+            # inferred types would turn '01' into 1 and days into dates
+            kept = [f for f in self.spark.read.parquet(self.path).schema if f.name != self.column]
+            self._schema = StructType([*kept, StructField(self.column, StringType())])
+        df = self.spark.read.schema(self._schema).parquet(self.path)
         return df if parts is None else df.filter(F.col(self.column).isin(parts))
 
     def replace(self, parts: list[str], rows: DataFrame) -> None:
@@ -135,7 +137,7 @@ class KeyedTable:
     written last, so the old places of its keys are still found, and rows of a
     key in two partitions are rivals like any other. Keys are not NULL."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], part: Column, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], part: Column, buckets: int = 16):
         self.spark, self.keys, self.part, self.buckets = spark, list(keys), part, buckets
         self.data = PartitionedFolder(spark, f"{path.rstrip('/')}/data")
         self.index = PartitionedFolder(spark, f"{path.rstrip('/')}/keys", BUCKET)

@@ -44,13 +44,13 @@ class LateSplit:
         return self.spark.read.parquet(f"{self.path}/late")
 
 
-def click_stream(spark: SparkSession, stream: DataFrame, root: str, as_of) -> tuple[SessionTable, LateSplit]:
+def click_stream(spark: SparkSession, stream: DataFrame, root: str, as_of, by: str = "yyyy-MM-dd") -> tuple[SessionTable, LateSplit]:
     """Typed click events into the session table under ``root``, the late ones
     beside it; whatever landed since the last run."""
     from strata.plans.jobs import _available_now
 
     base = root.rstrip("/")
-    sessions, split = SessionTable(spark, f"{base}/sessions"), LateSplit(spark, f"{base}/late")
+    sessions, split = SessionTable(spark, f"{base}/sessions", by=by), LateSplit(spark, f"{base}/late")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         on_time, _ = split.split(batch, batch_id)

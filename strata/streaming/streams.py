@@ -140,7 +140,7 @@ def _late_arrivals(spark: SparkSession, sf: str, name: str):
     none = slices[0].limit(0)
     for sl, before in zip([*slices, none], [none, *slices]):
         sl.filter(~tenth).unionByName(before.filter(tenth)).coalesce(1).write.mode("append").parquet(land)
-        out = click_stream(spark, spark.readStream.schema(sl.schema).parquet(land), root, L.AS_OF)
+        out = click_stream(spark, spark.readStream.schema(sl.schema).parquet(land), root, L.AS_OF, by="yyyy-MM")
     return out
 
 
