@@ -7,7 +7,7 @@ sort-merge join at run time."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -60,3 +60,49 @@ def point_in_time_join(
         & (d[valid_to].isNull() | (f[fact_ts] < d[valid_to]))
     )
     return f.join(d, cond, "left").drop("_salt", "_dsalt")
+
+
+def point_in_time_sliced(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    fact_ts: str,
+    slice_by: str = "month",
+    valid_from: str = "_valid_from",
+    valid_to: str = "_valid_to",
+) -> DataFrame:
+    """``point_in_time_join`` for keys with very many versions and facts: work
+    per key is not facts x versions but one merge by time, cut into slices.
+
+    1. Versions and facts are dealt to slices of time; of each (key, slice) the
+       last version is kept in an aggregate, a row a slice.
+    2. A window over a key's slices (not its versions) carries the version in
+       force at the start of each slice that has facts.
+    3. Within a (key, slice), carried version, versions and facts are one
+       sequence in time, and each fact takes the last version before it.
+
+    A hot key is as many tasks' work as it has slices. Versions of a key must
+    not overlap; facts without a key or a time get none and are not shuffled."""
+    payload = [c for c in dim.columns if c not in (dim_key,)]
+    some = F.col(fact_key).isNotNull() & F.col(fact_ts).isNotNull()
+    at = lambda c: F.date_trunc(slice_by, F.col(c).cast("timestamp_ntz"))
+    f = fact.filter(some).select(F.struct(*fact.columns).alias("_fact"), F.col(fact_key).alias("_k"), F.col(fact_ts).alias("_t"), at(fact_ts).alias("_slice"))
+    v = dim.filter(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("_k"), F.col(valid_from).alias("_t"), F.struct(*payload).alias("_v"), at(valid_from).alias("_slice"))
+    ends = v.groupBy("_k", "_slice").agg(F.max_by("_v", "_t").alias("_last"))
+    marks = f.groupBy("_k", "_slice").agg(F.lit(True).alias("_mark"))
+    by_slice = Window.partitionBy("_k").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    grid = ends.join(marks, ["_k", "_slice"], "full_outer").withColumn("_v", F.last("_last", ignorenulls=True).over(by_slice))
+    carried = grid.filter("_mark and _v is not null").select("_k", "_slice", "_v", F.lit(0).alias("_rank"), F.lit(None).cast(f.schema["_t"].dataType).alias("_t"))
+    kind = f.schema["_fact"].dataType
+    versions = v.join(marks.select("_k", "_slice"), ["_k", "_slice"], "left_semi").select("_k", "_slice", "_v", F.lit(1).alias("_rank"), "_t")
+    rows = carried.unionByName(versions).withColumn("_fact", F.lit(None).cast(kind))
+    rows = rows.unionByName(f.select("_k", "_slice", F.lit(None).cast(v.schema["_v"].dataType).alias("_v"), F.lit(2).alias("_rank"), "_t", "_fact"))
+    # carried first (no time), then by time; a version that begins with a fact comes before it
+    by_time = Window.partitionBy("_k", "_slice").orderBy(F.col("_t").asc_nulls_first(), "_rank").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_v", F.last("_v", ignorenulls=True).over(by_time)).filter("_rank = 2")
+    held = F.col(f"_v.{valid_to}").isNull() | (F.col("_t") < F.col(f"_v.{valid_to}"))
+    found = rows.select("_fact.*", F.col("_k").alias(dim_key), *[F.when(held, F.col(f"_v.{c}")).alias(c) for c in payload])
+    found = found.withColumn(dim_key, F.when(F.col(valid_from).isNotNull(), F.col(dim_key)))
+    none = fact.filter(~some).select(*fact.columns, F.lit(None).cast(dim.schema[dim_key].dataType).alias(dim_key), *[F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in payload])
+    return found.unionByName(none)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.calendar import calendar_columns, date_sk
 from strata.functions.tiers import value_tier
-from strata.operators.joins import lookup_join, point_in_time_join
+from strata.operators.joins import lookup_join, point_in_time_join, point_in_time_sliced
 from strata.operators.scd2 import scd2_initial, scd2_merge
 
 CUSTOMER_ATTRS = ["name_hash", "email_hash", "city", "country", "signup_date"]
@@ -90,11 +90,12 @@ def build_fact_sales(
     ).select(*FACT_SALES_COLUMNS)
 
 
-def build_fact_sales_asof(silver_pos: DataFrame, dim_customer_history: DataFrame, as_of) -> DataFrame:
+def build_fact_sales_asof(silver_pos: DataFrame, dim_customer_history: DataFrame, as_of, sliced: bool = False) -> DataFrame:
     """Facts keyed to the customer version valid at the sale time (SCD2
-    point-in-time lookup); sales without a date or version get NULL."""
+    point-in-time lookup); sales without a date or version get NULL.
+    ``sliced`` is for customers with very many versions and sales."""
     d = dim_customer_history.select("customer_sk", "customer_bk", "_valid_from", "_valid_to")
-    f = point_in_time_join(silver_pos, d, "customer_id", "customer_bk", "sale_date")
+    f = (point_in_time_sliced if sliced else point_in_time_join)(silver_pos, d, "customer_id", "customer_bk", "sale_date")
     return f.select(
         "transaction_id", "customer_id", "customer_sk", "sale_date",
         date_sk(F.col("sale_date")).alias("date_sk"), "total_amount",

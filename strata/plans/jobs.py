@@ -24,6 +24,13 @@ from strata.sources.snapshots import SnapshotTable
 #: Silver tables that are merged: key, and the time whose month is the partition.
 KEYED = {"pos_transactions": ("transaction_id", "sale_date"), "inventory_movements": ("movement_id", "movement_date"), "customers": ("customer_id", "signup_date")}
 
+#: The tables of a daily run without clicks, by the gate that lets them be written: none, bronze, silver.
+TABLES = {
+    "bronze": ["pos_transactions", "inventory_movements", "customers"],
+    "silver": ["pos_transactions", "inventory_movements", "customers"],
+    "gold": ["dim_customer", "dim_product", "dim_store", "dim_date", "fact_sales", "agg_customer_360", "fact_inventory_snapshot"],
+}
+
 
 def observed_clean_transactions(bronze: DataFrame, path: str, as_of) -> dict[str, int]:
     """Write silver POS to a new snapshot at ``path`` and return the row
@@ -125,7 +132,10 @@ def daily_refresh(
     check("bronze_pos_transactions", bronze_pos)
 
     # silver
-    write("quarantine", "pos_transactions", silver.pos_quarantine(bronze_pos, as_of))
+    landed = {"pos_transactions": bronze_pos, "inventory_movements": bronze_inv, "customers": bronze_cust, "clickstream": clicks}
+    for feed, bronze in landed.items():
+        if bronze is not None:
+            write("quarantine", feed, silver.quarantine(bronze, feed, as_of))
     s_pos = write("silver", "pos_transactions", silver.clean_transactions(bronze_pos, as_of))
     s_inv = write("silver", "inventory_movements", silver.clean_inventory(bronze_inv, as_of))
     s_cust = write("silver", "customers", silver.clean_customers(bronze_cust, as_of))
@@ -178,6 +188,17 @@ def customer_state(spark: SparkSession, root: str) -> CustomerState:
     return CustomerState(spark, f"{root.rstrip('/')}/gold/customer_state")
 
 
+def replay_sales(spark: SparkSession, root: str, repaired: DataFrame, as_of, name: str) -> DataFrame:
+    """Loads repaired rows of the POS quarantine (bronze columns) as a later
+    delivery; returns what of them is still refused, with its reasons."""
+    target = Lakehouse(root).table(spark, "silver", "pos_transactions")
+    columns = [f.name for f in files.raw_string_schema("bronze_pos_transactions")]
+    rows = written(files.stamp_ingestion(repaired.select(*columns).withColumn("_source_file", F.lit(f"replay-{name}")), as_of), "replay")
+    cleaned = written(silver.clean_transactions(rows, as_of), "replay-cleaned")
+    merge_sales(target, customer_state(spark, root), cleaned, as_of, f"replay-{name}", latest=silver.silver_pos_order())
+    return silver.quarantine(rows, "pos_transactions", as_of)
+
+
 def remove_sales(spark: SparkSession, root: str, ids: DataFrame, as_of, name: str) -> None:
     """Takes the sales with these ``transaction_id`` out of silver and of the
     customer 360 table; ``name`` is what a repeated removal is known by."""

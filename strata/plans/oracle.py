@@ -404,6 +404,36 @@ def _constraints(table: str, query: str, schemas) -> str:
     return f"SELECT * FROM (WITH t AS MATERIALIZED (SELECT * FROM ({query})) {text})"
 
 
+def _quarantine_reasons() -> str:
+    """Each feed's copies ranked as its dedupe ranks them, and all rules that a copy breaks."""
+    def positive(c: str, v: str) -> list[tuple[str, str]]:
+        return [(f"bad_{c}", f"{v} IS NULL"), (f"non_positive_{c}", f"{v} <= 0")]
+
+    quantity, price = "TRY_CAST(quantity AS INTEGER)", "TRY_CAST(unit_price AS DECIMAL(12,2))"
+    pos_ok = f"store_id IS NOT NULL AND product_id IS NOT NULL AND coalesce({quantity} > 0, FALSE) AND coalesce({price} > 0, FALSE)"
+    kind = "coalesce(upper(trim(movement_type)) IN ('IN', 'OUT'), FALSE)"
+    inv_ok = f"product_id IS NOT NULL AND warehouse_id IS NOT NULL AND {kind} AND coalesce({quantity} > 0, FALSE)"
+    null = lambda *cs: [(f"null_{c}", f"{c} IS NULL") for c in cs]
+    feeds = [
+        ("pos_transactions", "raw_pos", "transaction_id", f"{pos_ok} DESC, TRY_CAST(sale_date AS TIMESTAMP) DESC NULLS LAST, store_id ASC NULLS LAST, product_id ASC NULLS LAST, "
+         f"customer_id ASC NULLS LAST, {quantity} ASC NULLS LAST, {price} ASC NULLS LAST, upper(trim(payment_method)) ASC NULLS LAST, {_order_rest(POS_REST)}",
+         null("transaction_id", "store_id", "product_id") + positive("quantity", quantity) + positive("unit_price", price)),
+        ("inventory_movements", "raw_inventory", "movement_id", f"{inv_ok} DESC, TRY_CAST(movement_date AS TIMESTAMP) DESC NULLS LAST, "
+         + _order_rest(["warehouse_id", "product_id", "movement_type", "quantity", "movement_date"]),
+         null("movement_id", "warehouse_id", "product_id") + [("bad_movement_type", f"NOT {kind}")] + positive("quantity", quantity)),
+        ("customers", "raw_customers", "customer_id", "TRY_CAST(signup_date AS TIMESTAMP) DESC NULLS LAST, name", null("customer_id")),
+        ("clickstream", "ev_raw", "event_id", "event_timestamp DESC NULLS LAST, customer_id ASC NULLS LAST", null("event_id")),
+    ]
+    parts = []
+    for feed, rel, key, order, rules in feeds:
+        reasons = ", ".join(f"CASE WHEN {bad} THEN '{r}' END" for r, bad in rules)
+        parts.append(
+            f"SELECT '{feed}' AS feed, concat_ws(',', {reasons}, CASE WHEN {key} IS NOT NULL AND rn > 1 THEN 'duplicate' END) AS reasons, {key} IS NOT NULL AND rn > 1 AS lost "
+            f"FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn FROM {rel})")
+    return (f"WITH {RAW_POS},\n{RAW_INV},\n{RAW_CUSTOMERS},\n{EVENTS}\nSELECT feed, reasons, count(*) AS rows, count_if(lost) AS with_winner FROM ("
+            + "\nUNION ALL\n".join(parts) + ") GROUP BY feed, reasons")
+
+
 def _fk(fk: str, dim: str, pk: str) -> str:
     return (f"SELECT '{fk}' AS fk_name, CAST(count_if(f.{fk} IS NULL) AS BIGINT) AS null_refs, "
             f"CAST(count_if(f.{fk} IS NOT NULL AND f.{fk} NOT IN (SELECT {pk} FROM {dim} WHERE {pk} IS NOT NULL)) "
@@ -568,6 +598,8 @@ SELECT 2 AS version, 'MERGE' AS operation, CAST(count(*) AS BIGINT) AS rows FROM
 UNION ALL SELECT 3, 'OPTIMIZE', CAST(count(*) AS BIGINT) FROM merged"""
     q["zorder_layout"] = "SELECT * FROM lineitem"
     q["daily_two_days"] = q["scd2_merge"]
+    q["fact_sales_asof_sliced"] = q["fact_sales_asof"]
+    q["quarantine_reasons"] = _quarantine_reasons()
     q["scd2_any_order"] = f"""WITH {RAW_CUSTOMERS},\n{ANY_ORDER}
 SELECT bk AS customer_bk, {', '.join(ATTRS)}, moment AS _valid_from, until AS _valid_to, until IS NULL AS _is_current FROM changes WHERE there"""
     q["late_sessions"] = q["sessionise"]
@@ -623,6 +655,11 @@ bronze AS (SELECT *, {AS_OF} AS _ingested_at FROM raw_pos)
         (6, "expect_column_values_to_be_between", "total_amount", "between", ("0.01", 10000000)),
         (7, "expect_column_values_to_not_be_null", "_processed_at", "notnull", None),
     ])
+    gates = {"bronze": "TRUE", "silver": "(SELECT b FROM ok)", "gold": "(SELECT b AND s FROM ok)"}
+    from strata.plans.jobs import TABLES
+
+    q["dq_gate"] = f"""WITH ok AS (SELECT (SELECT bool_and(success) FROM ({q['dq_bronze']})) AS b, (SELECT bool_and(success) FROM ({q['dq_silver']})) AS s, (SELECT bool_and(success) FROM ({q['dq_gold']})) AS g)
+""" + " UNION ALL ".join(f"SELECT '{layer}.{name}' AS step, {gates[layer]} AS written, (SELECT NOT (b AND s AND g) FROM ok) AS stopped" for layer, names in TABLES.items() for name in names)
     q["dq_results"] = "\nUNION ALL\n".join(
         f"SELECT *, {AS_OF} AS run_at FROM ({q[suite]})" for suite in ("dq_bronze", "dq_silver", "dq_gold"))
     q["pk_check"] = f"""{GOLD},\n{dim_date_cte('pos_silver')},\n{C360},\n{RAW_INV},\n{EVENTS},
@@ -663,7 +700,8 @@ UNION ALL SELECT 'silver', CAST(count(*) AS BIGINT) FROM pos_silver"""
         ("silver.inventory_movements", "silver_inventory"),
         ("silver.customers", "silver_customers"),
         ("silver.clickstream", "ev"),
-        ("quarantine.pos_transactions", "pos_quarantine"),
+        *[(f"quarantine.{t}", f"(SELECT unnest(range(CAST(rows AS BIGINT))) FROM ({_quarantine_reasons()}) WHERE feed = '{t}' AND reasons <> '')")
+          for t in ("pos_transactions", "inventory_movements", "customers", "clickstream")],
         *[(f"quarantine.{t}_lines", "(SELECT 1 WHERE FALSE)")
           for t in ("pos_transactions", "inventory_movements", "customers", "clickstream")],
         ("gold.dim_customer", "dim_customer"),

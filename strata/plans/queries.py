@@ -93,6 +93,22 @@ def q_quarantine_rows(spark, sf):
     return silver.pos_quarantine(L.bronze_pos(spark, sf), L.AS_OF)
 
 
+def q_quarantine_reasons(spark, sf):
+    """Where every row of the four feeds went, with all reasons of those that
+    silver does not take; the rows of a feed add up to those delivered."""
+    meta = {"_ingested_at": F.lit(L.AS_OF).cast("timestamp_ntz"), "_source_file": F.lit("events")}
+    feeds_of = {
+        "pos_transactions": L.bronze_pos(spark, sf), "inventory_movements": L.bronze_inventory(spark, sf),
+        "customers": L.bronze_customers(spark, sf), "clickstream": feeds.clickstream_raw(spark, sf).withColumns(meta),
+    }
+    out = None
+    for feed, df in feeds_of.items():
+        part = silver.judged(df, feed, L.AS_OF).groupBy(F.lit(feed).alias("feed"), F.array_join("reasons", ",").alias("reasons")).agg(
+            F.count(F.lit(1)).alias("rows"), F.count("winner").alias("with_winner"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_conform_raw(spark, sf):
     """What casting the raw POS text to the silver layout would lose."""
     raw = feeds.raw_pos(spark, sf).withColumns({
@@ -179,6 +195,11 @@ def q_fact_sales_asof(spark, sf):
     return gold.build_fact_sales_asof(L.silver_pos(spark, sf), _customer_history(spark, sf), L.AS_OF)
 
 
+def q_fact_sales_asof_sliced(spark, sf):
+    """The same lookup by slices of time, for keys with many versions and sales."""
+    return gold.build_fact_sales_asof(L.silver_pos(spark, sf), _customer_history(spark, sf), L.AS_OF, sliced=True)
+
+
 def q_sales_summary(spark, sf):
     st = L.star(spark, sf)
     return gold.sales_summary(st["fact_sales"], gold.build_dim_date(st["pos"]), st["dim_store"],
@@ -478,6 +499,28 @@ def q_daily_refresh(spark, sf):
     )
 
 
+def q_dq_gate(spark, sf):
+    """The daily job with its gates on: the silver suite fails on the test data,
+    so the run stops there. Returns for every table whether it was written."""
+    from strata.plans import jobs
+
+    land = {}
+    for name, df in (("pos", feeds.raw_pos(spark, sf)), ("inventory", feeds.raw_inventory(spark, sf)), ("customers", feeds.raw_customers(spark, sf))):
+        land[name] = scratch_path(spark, f"gate_landing_{name}")
+        files.write_csv_feed(df, land[name])
+    root = scratch_path(spark, "gate_lake")
+    try:
+        jobs.daily_refresh(spark, land, root, L.AS_OF, products=feeds.products(spark, sf), stores=feeds.stores(spark, sf))
+        stopped = None
+    except quality.QualityGateError as e:
+        stopped = str(e)
+    lake = jobs.Lakehouse(root)
+    return spark.createDataFrame(
+        [(f"{layer}.{name}", lake.table(spark, layer, name).exists(), stopped is not None) for layer, names in jobs.TABLES.items() for name in names],
+        "step string, written boolean, stopped boolean",
+    )
+
+
 def q_daily_two_days(spark, sf):
     """The daily job run on two days over one lake: the customers of day 1
     as first delivered, on day 2 the full snapshot. Returns the customer
@@ -546,6 +589,7 @@ QUERIES: dict[str, Query] = {
     "conform_schema": q_conform_schema,
     "conform_raw": q_conform_raw,
     "quarantine_rows": q_quarantine_rows,
+    "quarantine_reasons": q_quarantine_reasons,
     "sessionise": q_sessionise,
     "session_window_counts": q_session_window_counts,
     "customer_360": q_customer_360,
@@ -558,6 +602,7 @@ QUERIES: dict[str, Query] = {
     "fact_sales": q_fact_sales,
     "fact_sales_asof": q_fact_sales_asof,
     "scd2_merge": q_scd2_merge,
+    "fact_sales_asof_sliced": q_fact_sales_asof_sliced,
     "scd2_any_order": q_scd2_any_order,
     "sales_summary": q_sales_summary,
     "customer_360_view": q_customer_360_view,
@@ -582,6 +627,7 @@ QUERIES: dict[str, Query] = {
     "layer_counts": q_layer_counts,
     "daily_refresh": q_daily_refresh,
     "daily_two_days": q_daily_two_days,
+    "dq_gate": q_dq_gate,
     "stream_pos_upsert": q_stream_pos_upsert,
     "stream_dedupe": q_stream_dedupe,
     "stream_sessions": q_stream_sessions,

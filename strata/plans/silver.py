@@ -18,6 +18,7 @@ from strata.functions.casts import norm_upper, to_decimal, to_int, to_ts
 from strata.functions.pii import hash_pii
 from strata.operators.dedupe import dedupe_latest
 from strata.operators.sessions import gap_sessions
+from strata.session import written
 
 # Valid code sets.
 VALID_PAYMENT_METHODS = ["CASH", "CARD", "DIGITAL", "VOUCHER"]
@@ -232,3 +233,60 @@ def sessionise(events: DataFrame, as_of, gap_seconds: int = SESSION_TIMEOUT_SECO
         F.concat(F.col("customer_id"), F.lit("-"),
                  F.date_format("session_start", "yyyyMMddHHmmssSSSSSS")),
     ).withColumn("_processed_at", _ts_lit(as_of)).select(*SILVER_CLICK_COLUMNS)
+
+
+# -------------------------------------------------------------- quarantine
+def _feed_rules(feed: str) -> tuple[str, list[tuple[str, Column]]]:
+    """(key, every rule of the feed as (reason, what breaks it))."""
+    def null(c: str) -> tuple[str, Column]:
+        return f"null_{c}", F.col(c).isNull()
+
+    def positive(c: str, value: Column) -> list[tuple[str, Column]]:
+        return [(f"bad_{c}", value.isNull()), (f"non_positive_{c}", F.coalesce(value <= 0, F.lit(False)))]
+
+    if feed == "pos_transactions":
+        return "transaction_id", [null("transaction_id"), null("store_id"), null("product_id"), *positive("quantity", to_int("quantity")), *positive("unit_price", to_decimal("unit_price", 12, 2))]
+    if feed == "inventory_movements":
+        kind = ~F.coalesce(norm_upper("movement_type").isin(*VALID_MOVEMENT_TYPES), F.lit(False))
+        return "movement_id", [null("movement_id"), null("warehouse_id"), null("product_id"), ("bad_movement_type", kind), *positive("quantity", to_int("quantity"))]
+    if feed == "customers":
+        return "customer_id", [null("customer_id")]
+    if feed == "clickstream":
+        return "event_id", [null("event_id")]
+    raise ValueError(f"no feed {feed!r}")
+
+
+def _winners(rows: DataFrame, feed: str) -> DataFrame:
+    """The copy of each key that silver takes."""
+    if feed == "pos_transactions":
+        return pos_deduped(rows)
+    key, _ = _feed_rules(feed)
+    b = rows.filter(F.col(key).isNotNull())
+    if feed == "inventory_movements":
+        good = F.col("product_id").isNotNull() & F.col("warehouse_id").isNotNull() & norm_upper("movement_type").isin(*VALID_MOVEMENT_TYPES) & (to_int("quantity") > 0)
+        return dedupe_latest(b, [key], _latest_first(b, to_ts("movement_date"), good))
+    time = {"customers": "signup_date", "clickstream": "timestamp"}[feed]
+    return dedupe_latest(b, [key], _latest_first(b, to_ts(time)))
+
+
+def judged(bronze: DataFrame, feed: str, as_of) -> DataFrame:
+    """Every bronze row of a feed as delivered, with ``reasons``: all rules that
+    it breaks (none: accepted), and ``duplicate`` if another copy of its key is
+    taken, whose key is ``winner``. So each row is accepted or has its reasons."""
+    key, rules = _feed_rules(feed)
+    rows = written(bronze.withColumn("_row", F.monotonically_increasing_id()), "judged-rows")
+    taken = _winners(rows, feed).select("_row", F.lit(True).alias("_taken"))
+    broken = F.array_compact(F.array(*[F.when(bad, F.lit(reason)) for reason, bad in rules]))
+    lost = F.col(key).isNotNull() & F.col("_taken").isNull()
+    return (
+        rows.join(taken, "_row", "left")
+        .withColumn("reasons", F.concat(broken, F.when(lost, F.array(F.lit("duplicate"))).otherwise(F.array().cast("array<string>"))))
+        .withColumn("winner", F.when(lost, F.col(key)))
+        .withColumn("_processed_at", _ts_lit(as_of))
+        .drop("_row", "_taken")
+    )
+
+
+def quarantine(bronze: DataFrame, feed: str, as_of) -> DataFrame:
+    """The rows of ``judged`` that silver does not take."""
+    return judged(bronze, feed, as_of).filter(F.size("reasons") > 0)
