@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 
 def total_order(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> list[Column]:
@@ -13,7 +14,9 @@ def total_order(df: DataFrame, keys: list[str], order: list[Column] | None = Non
     wins, the output is the same: the result never depends on partitioning or
     task timing."""
     order = list(order or [])
-    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
+    # a map has no order, its sorted entries have one
+    maps = {f.name for f in df.schema if isinstance(f.dataType, MapType)}
+    rest = [(F.array_sort(F.map_entries(c)) if c in maps else F.col(c)).asc_nulls_last() for c in df.columns if c not in keys]
     return order + rest
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from strata.plans import gold
 from strata.session import written
@@ -24,7 +25,9 @@ from strata.sources.partitioned import KeyedTable, PartitionedFolder, _hadoop, p
 BUCKET = "customer_bucket"
 #: What a state counts by, and what it adds up.
 BY = ["customer_id", "payment_method", "sale_date"]
-SUMS = {"sales": "long", "amounts": "long", "amount": "decimal(38,2)"}
+SUMS = {"sales": LongType(), "amounts": LongType(), "amount": DecimalType(38, 2)}
+_KEYS = {"customer_id": StringType(), "payment_method": StringType(), "sale_date": TimestampNTZType()}
+_STATE = StructType([StructField(n, t) for n, t in {**_KEYS, **SUMS, BUCKET: StringType()}.items()])
 
 
 def states(sales: DataFrame, sign: int) -> DataFrame:
@@ -78,7 +81,7 @@ class CustomerState:
         """The states as they add up now."""
         out = None
         for f in self._folders():
-            part = PartitionedFolder(self.spark, f, BUCKET).read(buckets).select(*BY, *SUMS)
+            part = PartitionedFolder(self.spark, f, BUCKET, _STATE).read(buckets).select(*BY, *SUMS)
             out = part if out is None else out.unionByName(part)
         return added(out)
 
@@ -111,11 +114,11 @@ class CustomerState:
         g = self._generation() + 1
         out = None
         for f in fold:
-            part = PartitionedFolder(self.spark, f, BUCKET).read().select(*BY, *SUMS)
+            part = PartitionedFolder(self.spark, f, BUCKET, _STATE).read().select(*BY, *SUMS)
             out = part if out is None else out.unionByName(part)
         # the last batch moves first: the new generation counts from its base on
         for f in mine:
-            self.spark.read.parquet(f).withColumn(BUCKET, F.col(BUCKET).cast("string")).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/states/{g:06d}-batch-{last}")
+            PartitionedFolder(self.spark, f, BUCKET, _STATE).read().write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/states/{g:06d}-batch-{last}")
         self._bucketed(added(out)).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/states/{g:06d}-base")
         for f in folders:
             fs, p = _hadoop(self.spark, f)

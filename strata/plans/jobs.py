@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata import schemas
 from strata.operators import quality
 from strata.plans import gold, silver
 from strata.sources import files
@@ -97,6 +98,12 @@ def daily_refresh(
 
     def write(layer, name, df):
         t = lh.table(spark, layer, name)
+        if f"{layer}_{name}" in schemas.SCHEMAS:
+            # nothing enters a layer but in its layout; what bronze has no place for stays in a column
+            if layer == "bronze":
+                df = schemas.conform_drift(df, f"{layer}_{name}")
+            elif not isinstance(t, SessionTable):
+                df = schemas.conform(df, f"{layer}_{name}")
         if isinstance(t, SnapshotTable):
             obs = Observation(f"{layer}_{name}")
             t.publish(df.observe(obs, F.count(F.lit(1)).alias("rows")), committed_at=as_of)
@@ -128,7 +135,7 @@ def daily_refresh(
     bronze_pos = land("pos", "pos_transactions", corrupt=True)
     bronze_inv = land("inventory", "inventory_movements", corrupt=True)
     bronze_cust = land("customers", "customers", corrupt=True)
-    clicks = land("clicks", "clickstream", files.read_json_feed) if "clicks" in landing else None
+    clicks = land("clicks", "clickstream", files.read_json_drift) if "clicks" in landing else None
     check("bronze_pos_transactions", bronze_pos)
 
     # silver
@@ -223,7 +230,7 @@ def hourly_incremental(spark: SparkSession, landing_pos: str, root: str, as_of,
     def load(raw: DataFrame, batch_id: int) -> None:
         good, bad = _landed(raw, report)
         batch, obs = files.stamp_ingestion(good, as_of), Observation("hourly")
-        cleaned = silver.clean_transactions(batch, as_of).observe(obs, F.count(F.lit(1)).alias("rows"))
+        cleaned = schemas.conform(silver.clean_transactions(batch, as_of), "silver_pos_transactions").observe(obs, F.count(F.lit(1)).alias("rows"))
         if with_360:
             cleaned = written(cleaned, "hourly-cleaned")  # read several times
             merge_sales(target, state, cleaned, as_of, f"hourly-{batch_id}", latest=silver.silver_pos_order())
@@ -261,5 +268,5 @@ def hourly_clicks(spark: SparkSession, landing: str, root: str, as_of, files_per
         report["batches"] += 1
 
     schema = files.raw_string_schema("bronze_clickstream")
-    _available_now(files.stream_feed(spark, landing, schema, "json", files_per_batch=files_per_batch), load, f"{base}/checkpoints/hourly_clicks")
+    _available_now(files.stream_json_drift(spark, landing, schema, files_per_batch), load, f"{base}/checkpoints/hourly_clicks")
     return report

@@ -600,6 +600,12 @@ UNION ALL SELECT 3, 'OPTIMIZE', CAST(count(*) AS BIGINT) FROM merged"""
     q["daily_two_days"] = q["scd2_merge"]
     q["fact_sales_asof_sliced"] = q["fact_sales_asof"]
     q["quarantine_reasons"] = _quarantine_reasons()
+    misfit = lambda c, t: f"CASE WHEN TRY_CAST({c} AS {t}) IS NULL THEN {c} END"
+    q["conform_drift"] = f"""WITH {RAW_POS}
+SELECT transaction_id, TRY_CAST(quantity AS INTEGER) AS quantity, TRY_CAST(unit_price AS DECIMAL(12,2)) AS unit_price, TRY_CAST(sale_date AS TIMESTAMP) AS sale_date,
+  CAST(NULL AS DECIMAL(14,2)) AS total_amount, CASE WHEN rest_quantity IS NULL THEN 0 ELSE 1 END + CASE WHEN rest_sale_date IS NULL THEN 0 ELSE 1 END + CASE WHEN rest_coupon IS NULL THEN 0 ELSE 1 END AS n_rest,
+  rest_quantity, rest_sale_date, rest_coupon
+FROM (SELECT *, {misfit('quantity', 'INTEGER')} AS rest_quantity, {misfit('sale_date', 'TIMESTAMP')} AS rest_sale_date, CASE WHEN store_id IS NULL THEN 'none' END AS rest_coupon FROM raw_pos)"""
     q["scd2_any_order"] = f"""WITH {RAW_CUSTOMERS},\n{ANY_ORDER}
 SELECT bk AS customer_bk, {', '.join(ATTRS)}, moment AS _valid_from, until AS _valid_to, until IS NULL AS _is_current FROM changes WHERE there"""
     q["late_sessions"] = q["sessionise"]

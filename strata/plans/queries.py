@@ -89,6 +89,16 @@ def q_conform_schema(spark, sf):
     return schemas.schema_violations(L.silver_pos(spark, sf), "silver_pos_transactions")
 
 
+def q_conform_drift(spark, sf):
+    """The raw POS feed, with a column more and the silver layout's own ones
+    missing, in that layout: what does not fit is kept beside it."""
+    raw = feeds.raw_pos(spark, sf).withColumn("coupon", F.when(F.col("store_id").isNull(), F.lit("none")))
+    out = schemas.conform_drift(raw, "silver_pos_transactions")
+    rest = F.col(schemas.REST)
+    return out.select("transaction_id", "quantity", "unit_price", "sale_date", "total_amount", F.size(rest).alias("n_rest"),
+                      *[rest[c].alias(f"rest_{c}") for c in ("quantity", "sale_date", "coupon")])
+
+
 def q_quarantine_rows(spark, sf):
     return silver.pos_quarantine(L.bronze_pos(spark, sf), L.AS_OF)
 
@@ -588,6 +598,7 @@ QUERIES: dict[str, Query] = {
     "rejects_by_reason": q_rejects_by_reason,
     "conform_schema": q_conform_schema,
     "conform_raw": q_conform_raw,
+    "conform_drift": q_conform_drift,
     "quarantine_rows": q_quarantine_rows,
     "quarantine_reasons": q_quarantine_reasons,
     "sessionise": q_sessionise,

@@ -18,6 +18,7 @@ from strata.functions.casts import norm_upper, to_decimal, to_int, to_ts
 from strata.functions.pii import hash_pii
 from strata.operators.dedupe import dedupe_latest
 from strata.operators.sessions import gap_sessions
+from strata.schemas import REST
 from strata.session import written
 
 # Valid code sets.
@@ -215,8 +216,9 @@ SILVER_CLICK_COLUMNS = [
 
 
 def parse_clicks(bronze: DataFrame) -> DataFrame:
-    """Bronze clickstream (text timestamp) -> typed events."""
-    return bronze.withColumn("event_timestamp", to_ts("timestamp")).drop("timestamp")
+    """Bronze clickstream (text timestamp) -> typed events. Fields that the feed
+    does not know stay in bronze."""
+    return bronze.withColumn("event_timestamp", to_ts("timestamp")).drop("timestamp", REST)
 
 
 def sessionise(events: DataFrame, as_of, gap_seconds: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:

@@ -11,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DecimalType,
     IntegerType,
     LongType,
+    MapType,
     StringType,
     StructField,
     StructType,
@@ -188,6 +190,45 @@ def conform(df: DataFrame, table_name: str, strict: bool = False) -> DataFrame:
     return out
 
 
+#: The column that keeps what a layout has no place for.
+REST = "_rest"
+
+
+def conform_drift(df: DataFrame, table_name: str) -> DataFrame:
+    """``df`` in the registered layout, whatever its columns are, without loss:
+    a column that is missing is NULL, and the map ``_rest`` (name -> text) holds
+    the values of columns that the layout does not know and values that do not
+    cast to their column's type (the column is NULL then). A ``_rest`` that the
+    input has already is kept; its entries give way to those of this call."""
+    schema = get_schema(table_name)
+    known = {f.name for f in schema}
+
+    def text(name: str):
+        kind = df.schema[name].dataType
+        plain = not isinstance(kind, (ArrayType, MapType, StructType))
+        return (F.col(name).cast("string") if plain else F.to_json(F.col(name))) if name != REST else F.col(name)
+
+    columns, rest = [], []
+    for f in schema:
+        if f.name not in df.columns:
+            columns.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif df.schema[f.name].dataType == f.dataType:
+            columns.append(F.col(f.name))
+        else:
+            value = F.col(f.name).try_cast(f.dataType)
+            columns.append(value.alias(f.name))
+            rest.append((f.name, F.when(value.isNull(), text(f.name))))
+    rest += [(c, text(c)) for c in df.columns if c not in known and c != REST]
+    entries = F.filter(F.array(*[F.struct(F.lit(n).alias("key"), v.alias("value")) for n, v in rest]) if rest else F.array().cast("array<struct<key:string,value:string>>"), lambda e: e["value"].isNotNull())
+    out = F.map_from_entries(entries)
+    if REST in df.columns:
+        new = F.array_compact(F.array(F.lit(""), *[F.when(v.isNotNull(), F.lit(n)) for n, v in rest]))
+        old = F.coalesce(F.col(REST), F.create_map().cast("map<string,string>"))
+        out = F.map_concat(F.map_filter(old, lambda k, _: ~F.array_contains(new, k)), out)
+    # apart from the casts: inside a lambda a name would mean the column of that name being made
+    return df.withColumn("_rest_made", out).select(*columns, F.col("_rest_made").alias(REST))
+
+
 def schema_violations(df: DataFrame, table_name: str) -> DataFrame:
     """One row per registry column: (table_name, column_name, data_type,
     nullable, null_count, cast_failures), computed in a single aggregation.

@@ -87,9 +87,8 @@ class PartitionedFolder:
     partitions at a time. Partitions are replaced one by one, so a reader may
     see some before others; a writer that stops is repeated as a whole."""
 
-    def __init__(self, spark: SparkSession, path: str, column: str = PART):
-        self.spark, self.path, self.column = spark, path.rstrip("/"), column
-        self._schema: StructType | None = None  # of the first read: later ones need no look into the files
+    def __init__(self, spark: SparkSession, path: str, column: str = PART, schema: StructType | None = None):
+        self.spark, self.path, self.column, self._schema = spark, path.rstrip("/"), column, schema
 
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
@@ -97,8 +96,9 @@ class PartitionedFolder:
     def read(self, parts: list[str] | None = None) -> DataFrame:
         """All rows, or those of ``parts`` alone (pruned when planned)."""
         if self._schema is None:
-            # inferred types would turn '01' into 1 and days into dates
-            kept = [f for f in self.spark.read.parquet(self.path).schema if f.name != self.column]
+            # stored by the first write: a folder without rows has no file to ask, and
+            # inferred types would turn a partition '01' into 1 and days into dates
+            kept = [f for f in self.spark.read.parquet(f"{self.path}__schema").schema if f.name != self.column]
             self._schema = StructType([*kept, StructField(self.column, StringType())])
         df = self.spark.read.schema(self._schema).parquet(self.path)
         return df if parts is None else df.filter(F.col(self.column).isin(parts))
@@ -107,6 +107,8 @@ class PartitionedFolder:
         """The rows of ``parts`` become ``rows`` (a table that does not read
         this folder); partitions left without rows are removed."""
         old = []
+        if not path_exists(self.spark, f"{self.path}__schema/_SUCCESS"):
+            rows.limit(0).write.mode("overwrite").parquet(f"{self.path}__schema")
         if self.exists() and parts:
             left = [r[0] for r in rows.select(self.column).distinct().collect()]  # a row a partition
             gone = sorted(set(parts) - set(left))

@@ -95,3 +95,13 @@ def test_null_keys_are_refused_and_an_empty_batch_changes_nothing(spark, tmp_pat
     assert rows(t) == [("a", "01", 1), ("b", None, 1)]
     with pytest.raises(ValueError, match="NULL"):
         t.merge(frame(spark, (None, "1", 1)))
+
+
+def test_a_table_that_begins_empty(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.merge(frame(spark, ("a", "1", 1)).filter("v > 5"))
+    assert t.exists() and rows(t) == []
+    t.merge(frame(spark, ("a", "1", 1)))
+    assert rows(t) == [("a", "1", 1)]
+    t.merge(frame(spark, ("a", "1", 1)).filter("v > 5"), deletes=frame(spark, ("a", None, 0)))
+    assert rows(t) == []
