@@ -7,18 +7,22 @@ starts in a document with a smaller id.
 Pass 1 counts, in count-min sketches of a partition each, the *anchors* of
 every document: of a window's 26 25-word grams the one with the least hash.
 Equal windows have equal anchors, and neighbouring windows mostly share
-theirs, so there are about 13 times fewer anchors than windows. The partition
-sketches are merged; a cell needs two bits only (seen, seen again), as the
-question is whether an anchor was counted twice. A sketch never counts too
-little, so a window whose anchor is estimated at one document stands in no
-second one.
+theirs, so there are about 13 times fewer anchors than windows. The sketch has
+about 12 cells an anchor at every size of the corpus, in slices of a fixed
+size; more text means more slices. A partition's sketch is sparse: the cells
+that its anchors touch, by slice, with the document that asks. The task of a
+slice adds up what all partitions counted there and tells the documents whose
+anchors it estimates at two or more. Nothing is broadcast or collected. A
+sketch never counts too little, so a window whose anchor is estimated at one
+document stands in no second one. An anchor that many documents of a
+partition's chunk hold is known there to be repeated: two of them count it in
+the slice, the others are told without asking.
 
 Pass 2 hashes (128 bits) only windows whose anchor is estimated repeated and
 groups them exactly. Before the shuffle, equal windows of a task's chunk are
 grouped there: only those of the least document go on, the others are already
 known to be repeated. So a passage that stands in a third of all documents
-sends one row a chunk. No window is lost; the sketch only saves work: if the
-corpus outgrows ``MOST_CELLS``, more windows reach the exact pass.
+sends one row a chunk. No window is lost; the sketch only saves work.
 
 Edge cases: null and empty texts have no words; documents with fewer than 50
 words have no window. Rows that repeat a doc_id are no smaller document for
@@ -41,9 +45,9 @@ WINDOW = 50
 GRAM = 25
 DEPTH = 2
 CELLS_AN_ANCHOR = 12
-MOST_CELLS = 1 << 29  # of both rows together; 2 bits each in a task, 1 bit broadcast
-CHUNK_BYTES = 1 << 12
+SLICE_BITS = 18  # a slice has 2**18 cells in each of its rows
 _CHUNK_WINDOWS = 400_000
+_CHUNK_ANCHORS = 500_000
 _MULT = np.uint64(0xD1342543DE82EF95)
 
 
@@ -88,10 +92,10 @@ class Windows:
         at = self.at[which]
         return self._hash(0, at, self.window), self._hash(1, at, self.window)
 
-    def anchors(self) -> np.ndarray:
-        """Anchors of all documents, each once a document."""
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """(anchor, row) of all documents, each anchor once a document."""
         if not len(self.at):
-            return self.anchor
+            return self.anchor, self.row
         new = np.ones(len(self.at), bool)
         new[1:] = (self.anchor[1:] != self.anchor[:-1]) | (self.row[1:] != self.row[:-1])
         a, r = self.anchor[new], self.row[new]
@@ -99,85 +103,110 @@ class Windows:
         a, r = a[order], r[order]
         keep = np.ones(len(a), bool)
         keep[1:] = (a[1:] != a[:-1]) | (r[1:] != r[:-1])
-        return a[keep]
+        return a[keep], r[keep]
 
 
-def cells(anchors: np.ndarray, depth: int, bits: int) -> np.ndarray:
-    """(depth, anchors) cell numbers in a row of 2**bits cells."""
-    return np.stack([mix64(anchors ^ np.uint64(d * 0x632BE59BD9B4E019 & (1 << 64) - 1)) >> np.uint64(64 - bits) for d in range(depth)]).astype(np.int64)
+def codes(anchors: np.ndarray) -> np.ndarray:
+    """Where an anchor is counted: 28 bits choose the slice, twice 18 its cells."""
+    return mix64(anchors ^ np.uint64(0x632BE59BD9B4E019))
 
 
-class Sketch:
-    """Two bits a cell: seen, and seen again."""
+def slice_of(code: np.ndarray, slices: int) -> np.ndarray:
+    return ((code >> np.uint64(2 * SLICE_BITS)) * np.uint64(slices) >> np.uint64(64 - 2 * SLICE_BITS)).astype(np.int32)
 
-    def __init__(self, depth: int, bits: int):
-        self.depth, self.bits = depth, bits
-        self.once = np.zeros((depth, 1 << (bits - 3)), np.uint8)
-        self.again = np.zeros_like(self.once)
 
-    def add(self, anchors: np.ndarray) -> None:
-        for d, c in enumerate(cells(anchors, self.depth, self.bits)):
-            c, n = np.unique(c, return_counts=True)
-            byte, bit = c >> 3, (1 << (c & 7)).astype(np.uint8)
-            more = ((self.once[d][byte] & bit) > 0) | (n > 1)
-            np.bitwise_or.at(self.again[d], byte[more], bit[more])
-            np.bitwise_or.at(self.once[d], byte, bit)
+def estimates(code: np.ndarray) -> np.ndarray:
+    """Count-min estimates for the anchors counted in one slice, at least the true counts."""
+    mask = np.uint64((1 << SLICE_BITS) - 1)
+    least = None
+    for d in range(DEPTH):
+        cell = (code >> np.uint64(d * SLICE_BITS) & mask).astype(np.int64)
+        n = np.bincount(cell, minlength=1 << SLICE_BITS)[cell]
+        least = n if least is None else np.minimum(least, n)
+    return least
 
 
-def repeated(again: np.ndarray, anchors: np.ndarray, bits: int) -> np.ndarray:
-    """Which anchors the merged sketch estimates at two documents or more."""
-    out = np.ones(len(anchors), bool)
-    for row, c in zip(again, cells(anchors, len(again), bits)):
-        out &= (row[c >> 3] >> (c & 7).astype(np.uint8) & 1) > 0
-    return out
+def slices_for(text_bytes_: int, window: int = WINDOW, gram: int = GRAM) -> int:
+    """Slices for about ``CELLS_AN_ANCHOR`` cells an anchor, whatever the size."""
+    anchors = text_bytes_ / 6.5 * 2 / (window - gram + 2)
+    return min(1 << (64 - 2 * SLICE_BITS), max(1, int(np.ceil(CELLS_AN_ANCHOR * anchors / (DEPTH << SLICE_BITS)))))
 
 
-def merged_sketch(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, depth: int = DEPTH, most_cells: int = MOST_CELLS) -> tuple[np.ndarray, int]:
-    """(bits of the cells seen again, cells of a row as a power of two)."""
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    anchors = size / 6.5 * 2 / (window - gram + 2)
-    want = min(most_cells, max(1 << 17, CELLS_AN_ANCHOR * anchors)) / depth
-    bits = int(np.ceil(np.log2(want)))
-    if (depth << bits) > most_cells:
-        bits -= 1
+_ASK = "slice int, code long, doc_id long, key long"
+
+
+def _asks(held: list[tuple[np.ndarray, ...]], slices: int) -> pa.RecordBatch:
+    """A chunk's part of the sketch, by slice. Of the documents that share an
+    anchor two ask; the others are known to repeat it (a slice below 0)."""
+    code, doc, key = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(code, kind="stable")
+    code, doc, key = code[order], doc[order], key[order]
+    more = np.zeros(len(code), bool)
+    more[2:] = code[2:] == code[:-2]
+    to = np.where(more, -1 - (key & 0x3FFFFFFF), slice_of(code, slices)).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(to), pa.array(code.view(np.int64)), pa.array(doc), pa.array(key)], names=["slice", "code", "doc_id", "key"])
+
+
+def repeated_anchors(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, slices: int | None = None) -> DataFrame:
+    """doc_id, key and code of the anchors estimated at two documents or more.
+    ``rows``: doc_id, text (binary), key. ``slices``: by the size of the texts."""
+    slices = slices or slices_for(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, window, gram)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = Sketch(depth, bits)
+        held: list[tuple[np.ndarray, ...]] = []
+        many = 0
         for b in pieces(batches):
-            sketch.add(Windows(b, window, gram).anchors())
-        for d in range(depth):
-            used = np.flatnonzero(sketch.once[d].reshape(-1, CHUNK_BYTES).any(axis=1))
-            for part in np.array_split(used, max(1, len(used) // 512)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(d * (sketch.once.shape[1] // CHUNK_BYTES) + part, pa.int64()), *(pa.array([x[i * CHUNK_BYTES : (i + 1) * CHUNK_BYTES].tobytes() for i in part.tolist()], pa.binary()) for x in (sketch.once[d], sketch.again[d]))],
-                    names=["chunk", "once", "again"],
-                )
+            anchor, row = Windows(b, window, gram).anchors()
+            if not len(anchor):
+                continue
+            held.append((codes(anchor), *(b.column(c).fill_null(0).to_numpy(zero_copy_only=False)[row] for c in ("doc_id", "key"))))
+            many += len(anchor)
+            if many >= _CHUNK_ANCHORS:
+                yield _asks(held, slices)
+                held, many = [], 0
+        if held:
+            yield _asks(held, slices)
+
+    def told(code: np.ndarray, doc: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(key), pa.array(code.view(np.int64))], names=["doc_id", "key", "code"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, once, again = None, None, None
+        open_: list[tuple[np.ndarray, ...]] = []  # what came of the open slice
+
+        def answer() -> pa.RecordBatch:
+            code, doc, key = (np.concatenate(x) for x in zip(*open_))
+            again = estimates(code) > 1
+            return told(code[again], doc[again], key[again])
+
+        last = None
         for b in batches:
-            for chunk, x, y in zip(*(b.column(c).to_pylist() for c in ("chunk", "once", "again"))):
-                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-                if chunk != last:
-                    if last is not None and again.any():
-                        yield _chunk(last, again)
-                    last, once, again = chunk, x, y
-                else:
-                    once, again = once | x, again | y | (once & x)
-        if last is not None and again.any():
-            yield _chunk(last, again)
-
-    parts = rows.mapInArrow(count, "chunk long, once binary, again binary")
-    done = parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(merge, "chunk long, again binary")
-    out = np.zeros((depth << (bits - 3)) // CHUNK_BYTES * CHUNK_BYTES, np.uint8)
-    got = done.toArrow()  # at most the bits of the sketch
-    for chunk, x in zip(got["chunk"].to_pylist(), got["again"].to_pylist()):
-        out[chunk * CHUNK_BYTES : (chunk + 1) * CHUNK_BYTES] = np.frombuffer(x, np.uint8)
-    return out.reshape(depth, -1), bits
-
-
-def _chunk(chunk: int, again: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([again.tobytes()], pa.binary())], names=["chunk", "again"])
+            s, code, doc, key = (b.column(c).to_numpy(zero_copy_only=False) for c in ("slice", "code", "doc_id", "key"))
+            code = code.view(np.uint64)
+            at = int(np.searchsorted(s, 0))
+            if at:
+                yield told(code[:at], doc[:at], key[:at])
+            cuts = [at, *(np.flatnonzero(s[at + 1 :] != s[at:-1]) + at + 1).tolist(), len(s)] if at < len(s) else []
+            for x, y in zip(cuts, cuts[1:]):
+                if s[x] != last and open_:
+                    yield answer()
+                    open_.clear()
+                last = s[x]
+                open_.append((code[x:y], doc[x:y], key[x:y]))
+        if open_:
+            yield answer()
+
+    asked = rows.mapInArrow(count, _ASK).repartition("slice").sortWithinPartitions("slice")
+    return asked.mapInArrow(merge, "doc_id long, key long, code long")
+
+
+def among(code: np.ndarray, row: np.ndarray, told: pa.Array) -> np.ndarray:
+    """Which (code, row) stand in the row's list; by 64 bits of hash, so at
+    worst a few more."""
+    many = told.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    own = np.repeat(np.arange(len(many)), many)
+    have = told.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    mixed = lambda c, r: c ^ mix64(r.astype(np.uint64) * _MULT)
+    return np.isin(mixed(code, row), mixed(have, own))
 
 
 _WINDOW_ROW = "h1 long, h2 long, doc_id long, key long, pos int, known binary"
@@ -221,16 +250,16 @@ def repeated_starts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if not 0 < gram <= window:
         raise ValueError("a gram is a part of a window")
     rows = text_bytes(df, id_col, text_col).withColumn("key", F.xxhash64("text"))
-    again, bits = merged_sketch(rows.select("doc_id", "text"), window, gram)
-    shared = df.sparkSession.sparkContext.broadcast(again)
+    told = repeated_anchors(rows, window, gram).groupBy("doc_id", "key").agg(F.collect_list("code").alias("codes"))
+    # the same exchange of the documents serves here and in ``removed``
+    open_ = rows.join(told, ["doc_id", "key"]).select("doc_id", "key", "text", "codes")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = shared.value
         held: list[tuple[np.ndarray, ...]] = []
         many = 0
         for b in pieces(batches):
             w = Windows(b, window, gram)
-            which = np.flatnonzero(repeated(sketch, w.anchor, bits))
+            which = np.flatnonzero(among(codes(w.anchor), w.row, b.column("codes")))
             if not len(which):
                 continue
             h1, h2 = (x.view(np.int64) for x in w.hashes(which))
@@ -278,7 +307,7 @@ def repeated_starts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if held:
             yield _starts(held)
 
-    found = rows.mapInArrow(candidates, _WINDOW_ROW).repartition("h1").sortWithinPartitions("h1", "h2", "doc_id")
+    found = open_.mapInArrow(candidates, _WINDOW_ROW).repartition("h1").sortWithinPartitions("h1", "h2", "doc_id")
     # a row a window; the grouping combines those of a document before its shuffle
     return found.mapInArrow(group, "doc_id long, key long, pos int").groupBy("doc_id", "key").agg(F.collect_list("pos").alias("starts"))
 

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import substring_dedup as s
 from strata.llm.queries import op6_substring_dedup
@@ -66,23 +67,34 @@ def test_kept_text(spark):
 
 def test_the_sketch_never_counts_too_little(spark, docs):
     """Also when it is far too small, it only lets more windows through."""
-    rows = s.text_bytes(docs, "doc_id", "text")
+    rows = s.text_bytes(docs, "doc_id", "text").withColumn("key", F.xxhash64("text"))
     batch = rows.toArrow().combine_chunks().to_batches()[0]
-    w = s.Windows(batch, 50, 25)
-    seen = {}
-    for a, r in zip(w.anchor.tolist(), w.row.tolist()):
-        seen.setdefault(a, set()).add(r)
-    shares = []
-    for cells in (1 << 17, 1 << 29):
-        again, bits = s.merged_sketch(rows, most_cells=cells)
-        got = s.repeated(again, w.anchor, bits)
-        twice = np.array([len(seen[a]) > 1 for a in w.anchor.tolist()])
-        assert got[twice].all()
-        shares.append(got[~twice].mean())
-    assert shares[1] < 0.2
-
-
-def test_a_tiny_sketch_changes_no_result(spark, docs, monkeypatch):
-    monkeypatch.setattr(s, "MOST_CELLS", 1 << 17)
-    monkeypatch.setattr(s.merged_sketch, "__defaults__", (50, 25, 2, 1 << 17))
+    anchor, row = s.Windows(batch, 50, 25).anchors()
+    ids, code = batch.column("doc_id").to_numpy()[row], s.codes(anchor).view(np.int64)
+    _, inverse, n = np.unique(anchor, return_inverse=True, return_counts=True)
+    everything = set(zip(ids.tolist(), code.tolist()))
+    twice = {x for x, k in zip(zip(ids.tolist(), code.tolist()), n[inverse].tolist()) if k > 1}
+    for slices in (1, 3, 16):
+        got = {(r["doc_id"], r["code"]) for r in s.repeated_anchors(rows, slices=slices).collect()}
+        assert twice <= got <= everything
+    assert len(got - twice) < 0.1 * len(everything - twice)
+
+
+@pytest.mark.parametrize("gigabytes", [1, 5, 16, 64])
+def test_the_sketch_grows_with_the_corpus(gigabytes):
+    """The share of unique anchors that pass does not rise with the size (by
+    one slice's load, as slices are alike)."""
+    slices = s.slices_for(gigabytes << 30)
+    anchors = (gigabytes << 30) / 6.5 * 2 / 27
+    r = np.random.default_rng(gigabytes)
+    code = s.codes(r.integers(0, 1 << 64, int(anchors / slices), dtype=np.uint64))
+    assert (s.estimates(code) > 1).mean() < 0.04
+    assert len(np.unique(s.slice_of(code, slices))) > min(slices, 1000) * 0.5
+
+
+@pytest.mark.parametrize("chunk", [3, 500_000])
+def test_a_full_sketch_or_a_tiny_chunk_changes_no_result(spark, docs, monkeypatch, chunk):
+    monkeypatch.setattr(s, "slices_for", lambda *_: 1)
+    monkeypatch.setattr(s, "estimates", lambda code: np.full(len(code), 2))
+    monkeypatch.setattr(s, "_CHUNK_ANCHORS", chunk)
     check(s.removed(docs), pairs_of(docs))
