@@ -244,15 +244,21 @@ def _packed(doc: np.ndarray, key: np.ndarray, pos: np.ndarray) -> tuple[np.ndarr
     return doc[at], key[at], [x.tobytes() for x in np.split(pos, at[1:])]
 
 
+def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, key (a hash of the text) and ``at``, the id or 0: joins on
+    columns without nulls filter nothing, so two joins share one exchange."""
+    return text_bytes(df, id_col, text_col).withColumns({"at": F.coalesce("doc_id", F.lit(0)), "key": F.xxhash64("text")})
+
+
 def repeated_starts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, key (a hash of the text) and ``starts``, the word numbers at which
     windows start that also start in a document with a smaller id."""
     if not 0 < gram <= window:
         raise ValueError("a gram is a part of a window")
-    rows = text_bytes(df, id_col, text_col).withColumn("key", F.xxhash64("text"))
+    rows = _rows(df, id_col, text_col)
     told = repeated_anchors(rows, window, gram).groupBy("doc_id", "key").agg(F.collect_list("code").alias("codes"))
     # the same exchange of the documents serves here and in ``removed``
-    open_ = rows.join(told, ["doc_id", "key"]).select("doc_id", "key", "text", "codes")
+    open_ = rows.join(told.withColumnRenamed("doc_id", "at"), ["at", "key"]).select("doc_id", "key", "text", "codes")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -322,8 +328,9 @@ def _starts(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
 def removed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, keep_text: bool = False) -> DataFrame:
     """One row a document: doc_id, n_words, n_removed, kept_sha256 (of the
     kept words joined by one space) and, if asked for, ``kept_text``."""
-    rows = text_bytes(df, id_col, text_col).withColumn("key", F.xxhash64("text"))
-    joined = rows.join(repeated_starts(df, id_col, text_col, window, gram), ["doc_id", "key"], "left").select("doc_id", "text", "starts")
+    starts = repeated_starts(df, id_col, text_col, window, gram).withColumnRenamed("doc_id", "at")
+    joined = _rows(df, id_col, text_col).join(starts, ["at", "key"], "left")
+    joined = joined.select("doc_id", "text", F.when(F.col("doc_id").isNotNull(), F.col("starts")).alias("starts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):

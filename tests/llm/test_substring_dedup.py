@@ -33,6 +33,10 @@ def test_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(None, long), (4, long), (4, long), (9, "x " + long)], "doc_id long, text string")
     rows = sorted(((r["doc_id"], r["n_removed"]) for r in s.removed(df).collect()), key=str)
     assert rows == sorted([(None, 0), (4, 0), (4, 0), (9, 60)], key=str)
+    # a null id is not taken for the id 0
+    df = spark.createDataFrame([(None, long), (0, long), (-3, "x " + long)], "doc_id long, text string")
+    rows = sorted(((r["doc_id"], r["n_removed"]) for r in s.removed(df).collect()), key=str)
+    assert rows == sorted([(None, 0), (0, 60), (-3, 0)], key=str)
 
 
 @pytest.mark.parametrize("chunk", [50, 400_000])
