@@ -6,9 +6,12 @@ end tag leaves open and ignores end tags without a start. The renderer emits
 all visible text: white space collapses as a browser shows it, blocks stand
 on lines of their own, paragraphs, headings, lists and tables are set off by
 a blank line, list items get their bullet or number and indent, and the cells
-of a table are aligned in columns.
+of a table are aligned in columns (wide characters count two columns), those
+that span rows or columns keep their place. A table whose padding would exceed
+16 times its text gets narrower columns, which long cells overflow, in the end
+none. Block or inline display is that of the tag or of an applied rule.
 
-Not visible: ``head``, scripts, styles, templates, ``noscript``, comments,
+Not visible (``visibility`` is inherited, what is visible again inside shows): ``head``, scripts, styles, templates, ``noscript``, comments,
 elements with ``hidden`` or ``display:none`` / ``visibility:hidden`` (in their
 style, or by a tag, class or id rule of a ``style`` element, the winning one by
 importance, specificity and order), closed ``details`` but for their summary,
@@ -21,8 +24,9 @@ under a condition (a width, ``@supports`` ...) never hide, but they show: what
 some screen shows is kept. Rules with other selectors are not applied.
 
 Edge cases: null or empty html gives the empty text; unclosed markup runs to
-the end of the page; elements nested deeper than 200 become siblings (their
-text stays). Repeated rows give repeated results; extra columns are not read.
+the end of the page; elements nested deeper than 200 are laid out as siblings,
+with the visibility of what they stand in; spans count up to column 65,536.
+Repeated rows give repeated results; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +34,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from unicodedata import combining, east_asian_width
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,7 +73,12 @@ KEEPS_P = frozenset(["table", "td", "th", "button", "object"]).union(*INTEGRATES
 BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 #: Formula elements that lay out their children above each other or in cells.
 STACKS = frozenset("mfrac mroot munder mover munderover mtable mtr mlabeledtr".split())
+#: Display values that set an element on lines of its own, and those that do not.
+ON_LINES = frozenset("block flex grid flow-root table list-item table-row table-caption table-row-group".split())
+IN_LINE = frozenset("inline inline-block inline-flex inline-grid inline-table table-cell".split())
 _DEPTH = 200
+_COLUMNS = 1 << 16
+_PADDING = 16
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
 #: What structures style text: comments and wrappers (skipped), strings, URLs and escapes (kept whole), braces and semicolons.
@@ -84,18 +95,19 @@ _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 class Node:
     #: ``space``: what the content is ("" HTML, "svg", "text" of a drawing, "math"); ``apart``: a placed piece of those; ``undrawn``: never shown there
-    __slots__ = ("tag", "attrs", "inside", "space", "apart", "undrawn")
+    #: ``up``: of elements below the depth limit, what they stand in; ``state``: (drawn, visible, display) once known
+    __slots__ = ("tag", "attrs", "inside", "space", "apart", "undrawn", "up", "state")
 
     def __init__(self, tag: str, attrs: dict[str, str] | None = None, outer: Node | None = None):
         self.tag, self.attrs, self.inside = tag, attrs or {}, []
-        self.space, self.apart, self.undrawn = "", False, False
+        self.space, self.apart, self.undrawn, self.up, self.state = "", False, False, None, None
         around = outer.space if outer else ""
         if tag in UNDRAWN:
             self.space = tag
         elif around:
             kind = "math" if around == "math" else "svg"
             a = self.attrs
-            self.undrawn = tag in UNDRAWN[kind] or a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse")
+            self.undrawn = tag in UNDRAWN[kind] or a.get("display") == "none"
             self.space = "" if tag in INTEGRATES[kind] else "text" if kind == "svg" and tag in ("text", "title", "desc", "style") else around
             self.apart = outer.tag in STACKS if kind == "math" else tag in ("text", "foreignobject") or tag == "tspan" and ("x" in a or "y" in a)
 
@@ -110,19 +122,39 @@ def _attrs(source: str) -> dict[str, str]:
 def parse(html: str) -> Node:
     root = Node("#root")
     open_ = [root]
+    places: dict[str, list[int]] = {}  # where the open elements of a tag stand
+
+    def cut(i: int) -> None:
+        while len(open_) > i:
+            places[open_.pop().tag].pop()
+
+    def last(names) -> int:
+        return max((places[x][-1] for x in names if places.get(x)), default=0)
 
     def close(names, limits) -> None:
-        for i in range(len(open_) - 1, 0, -1):
-            if open_[i].tag in limits:
-                break
-            if open_[i].tag in names:
-                del open_[i:]
-                # go on: an implied end may end several (td, tr, tbody)
-                return close(names, limits)
+        # an implied end may end several (td, tr, tbody)
+        while (i := last(names)) > last(limits - names):
+            cut(i)
+
+    def put(node: Node) -> None:
+        if len(open_) > _DEPTH:
+            node.up = open_[-1]
+            open_[_DEPTH - 1].inside.append(node)
+        else:
+            open_[-1].inside.append(node)
 
     def add(text: str) -> None:
         # a drawing shows no text but that of its text elements
-        if text and (open_[-1].space != "svg" or len(open_) >= _DEPTH):
+        if not text or open_[-1].space == "svg":
+            return
+        if len(open_) > _DEPTH:
+            floor, inner = open_[_DEPTH - 1].inside, open_[-1]
+            part = floor[-1] if floor else None
+            if part is not inner and not (isinstance(part, Node) and part.tag == "#part" and part.up is inner):
+                part = Node("#part")
+                put(part)
+            part.inside.append(text)
+        else:
             open_[-1].inside.append(text)
 
     at, n = 0, len(html)
@@ -139,31 +171,26 @@ def parse(html: str) -> Node:
         elif end is not None:
             tag = end.lower()
             if tag == "br":
-                open_[-1].inside.append(Node("br"))
+                put(Node("br"))
                 continue
-            limits = {"table"} if tag not in ("table", "html", "body", "div", "section", "article") else set()
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i].tag == tag:
-                    del open_[i:]
-                    break
-                if open_[i].tag in limits:
-                    break
-            else:
-                if tag == "p":  # one without a start makes an empty paragraph
-                    open_[-1].inside.append(Node("p"))
+            limit = last(["table"]) if tag not in ("table", "html", "body", "div", "section", "article") else 0
+            if (i := last([tag])) > limit:
+                cut(i)
+            elif tag == "p" and not limit:  # one without a start makes an empty paragraph
+                put(Node("p"))
         elif start is not None:
             tag = start.lower()
             while tag in BREAKS_OUT and open_[-1].space:
-                open_.pop()
+                cut(len(open_) - 1)
             if tag in ENDS_P:
                 close({"p"}, KEEPS_P)
             if tag in CLOSES:
                 close(*CLOSES[tag])
             elif tag not in UNSEEN and tag != "html" and open_[-1].tag == "head":
-                open_.pop()
+                cut(len(open_) - 1)
             around = open_[-1].space
             node = Node(tag, _attrs(attrs) if attrs and attrs.strip() else None, open_[-1])
-            open_[-1].inside.append(node)
+            put(node)
             if tag in RAW and not (around and (tag not in ("script", "style") or attrs.rstrip().endswith("/"))):
                 stop = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", re.I).search(html, at)
                 text = html[at : stop.start() if stop else n]
@@ -171,8 +198,8 @@ def parse(html: str) -> Node:
                 if text:
                     node.inside.append(unescape(text) if tag in ("title", "textarea") else text)
             elif tag not in VOID and not attrs.rstrip().endswith("/") or tag in BLOCK and tag not in VOID:
-                if len(open_) < _DEPTH:
-                    open_.append(node)
+                places.setdefault(tag, []).append(len(open_))
+                open_.append(node)
     return root
 
 
@@ -213,9 +240,9 @@ def _selectors(prelude: str) -> list[str]:
     return out
 
 
-def declared(css: str, media: str = "", own: list[str] | None = None) -> Iterator[tuple[list[str], str, bool, bool, bool]]:
-    """What style text declares for screens: (selectors, property, hides,
-    important, in a layer), blocks read with their nesting. ``own``: the
+def declared(css: str, media: str = "", own: list[str] | None = None) -> Iterator[tuple[list[str], str, str, bool, bool]]:
+    """What style text declares for screens: (selectors, property, value,
+    important, in a layer; the value of a declaration under conditions is ""), blocks read with their nesting. ``own``: the
     selectors of declarations outside blocks (a style attribute)."""
     if not _MAY_HIDE.search(css):
         return
@@ -224,14 +251,14 @@ def declared(css: str, media: str = "", own: list[str] | None = None) -> Iterato
     text: list[str] = []
     at = 0
 
-    def ended() -> Iterator[tuple[list[str], str, bool, bool, bool]]:
+    def ended() -> Iterator[tuple[list[str], str, str, bool, bool]]:
         selectors, holds, layer = blocks[-1]
         m = _DECLARED.match("".join(text)) if selectors and holds is not None else None
         text.clear()
         if m:
-            hides = (m[1].lower(), m[2].lower()) in _HIDES
-            if holds or not hides:
-                yield selectors, m[1].lower(), hides, bool(m[3]), layer
+            what, value = m[1].lower(), m[2].lower()
+            if holds or (what, value) not in _HIDES:
+                yield selectors, what, value if holds else "", bool(m[3]), layer
 
     for m in _CSS.finditer(css):
         text.append(css[at : m.start()])
@@ -262,34 +289,58 @@ def declared(css: str, media: str = "", own: list[str] | None = None) -> Iterato
 
 class Renderer:
     def __init__(self, root: Node):
-        #: selector -> (property, hides, its rank among declarations)
-        self.rules: dict[str, list[tuple[str, bool, tuple]]] = {}
+        #: selector -> (property, value, its rank among declarations)
+        self.rules: dict[str, list[tuple[str, str, tuple]]] = {}
+        self.visible = True  # of the element that is laid out
         todo, order = [root], 0
         while todo:
             node = todo.pop()
             if node.tag == "style" and node.attrs.get("type", "").strip().lower() in ("", "text/css"):
-                for selectors, what, hides, important, layer in declared("".join(x for x in node.inside if isinstance(x, str)), node.attrs.get("media", "")):
+                for selectors, what, value, important, layer in declared("".join(x for x in node.inside if isinstance(x, str)), node.attrs.get("media", "")):
                     order += 1
                     for x in selectors:
                         rank = important, layer == important, 0, ".#".find(x[0]), order
-                        self.rules.setdefault(x, []).append((what, hides, rank))
+                        self.rules.setdefault(x, []).append((what, value, rank))
             elif node.tag not in ("noscript", "template"):
                 todo += [y for y in reversed(node.inside) if isinstance(y, Node)]
 
-    def seen(self, node: Node) -> bool:
+    def style(self, node: Node) -> tuple[bool, bool, str]:
+        """(drawn, visible, display) of an element inside the one laid out."""
+        if node.state is None:
+            up, a = node.up, node.attrs
+            drawn, visible = (up.state or self.style(up))[:2] if up else (True, self.visible)
+            if up and up.tag == "details" and "open" not in up.attrs and node.tag != "summary":
+                drawn = False
+            if not drawn or node.tag in UNSEEN or node.undrawn or node.tag == "input":
+                node.state = False, visible, ""
+            elif not self.rules and "style" not in a and "hidden" not in a and "visibility" not in a:
+                node.state = True, visible, ""
+            else:
+                node.state = self._styled(node, visible)
+        return node.state
+
+    def _styled(self, node: Node, visible: bool) -> tuple[bool, bool, str]:
         a = node.attrs
-        if node.tag in UNSEEN or node.undrawn or "hidden" in a or node.tag == "input":
-            return False
-        if not self.rules and "style" not in a:
-            return True
-        best: dict[str, tuple[tuple, bool]] = {}
+        best: dict[str, tuple[tuple, str]] = {}
         found = [r for x in {node.tag, "#" + a.get("id", ""), *("." + c for c in a.get("class", "").split())} for r in self.rules.get(x, ())]
-        for _, what, hides, important, _ in declared(a["style"], own=["style"]) if "style" in a else ():
-            found.append((what, hides, (important, True, 1, 0, len(found))))
-        for what, hides, rank in found:
+        if node.space:  # an attribute of drawings is the weakest rule
+            found.append(("visibility", a.get("visibility", ""), (False, False, -1, 0, 0)))
+        for _, what, value, important, _ in declared(a["style"], own=["style"]) if "style" in a else ():
+            found.append((what, value, (important, True, 1, 0, len(found))))
+        for what, value, rank in found:
             if what not in best or rank > best[what][0]:
-                best[what] = rank, hides
-        return not any(hides for _, hides in best.values())
+                best[what] = rank, value
+        value = {what: x for what, (_, x) in best.items()}
+        own = value.get("visibility")
+        if own in ("hidden", "collapse"):
+            visible = False
+        elif own in ("visible", "initial") or own == "" and not node.space:
+            visible = True
+        drawn = "hidden" not in a and value.get("display") != "none" and value.get("content-visibility") != "hidden"
+        return drawn, visible, value.get("display", "")
+
+    def seen(self, node: Node) -> bool:
+        return self.style(node)[0]
 
     def lines(self, nodes: list, pre: bool = False) -> list[str]:
         """Nodes laid out as lines; an empty line separates spaced blocks."""
@@ -317,6 +368,8 @@ class Renderer:
         def inline(items: list) -> None:
             for x in items:
                 if isinstance(x, str):
+                    if not self.visible:
+                        continue
                     if pre:
                         *whole, rest = x.split("\n")
                         for w in whole:
@@ -330,11 +383,15 @@ class Renderer:
                         text = text[1:]
                     if text:
                         line.append(text)
-                elif x.tag == "br":
+                    continue
+                if x.tag == "br":
                     flush()
-                elif not self.seen(x):
                     continue
-                elif x.tag in BLOCK:
+                drawn, visible, display = self.style(x)
+                if not drawn:
+                    continue
+                around, self.visible = self.visible, visible
+                if display in ON_LINES or x.tag in BLOCK and display not in IN_LINE:
                     flush()
                     block = self.block(x, pre)
                     if x.tag in SPACED:
@@ -346,9 +403,10 @@ class Renderer:
                     apart(x)
                     inline(x.inside)
                     apart(x)
+                self.visible = around
 
         def apart(x: Node) -> None:
-            if x.apart and line and not line[-1].endswith(" "):
+            if (x.apart or x.tag in BLOCK) and line and not line[-1].endswith(" "):
                 line.append(" ")
 
         inline(nodes)
@@ -375,10 +433,10 @@ class Renderer:
 
     def list(self, node: Node, pre: bool) -> list[str]:
         out: list[str] = []
-        try:
-            number = int(node.attrs.get("start", "1"))
-        except ValueError:
-            number = 1
+        items = sum(isinstance(x, Node) and x.tag == "li" and self.seen(x) for x in node.inside)
+        step = -1 if node.tag == "ol" and "reversed" in node.attrs else 1
+        number = _int(node.attrs.get("start"), items if step < 0 else 1)
+        kind = node.attrs.get("type", "1").strip()
         self.nested += 1
         loose: list = []
 
@@ -391,9 +449,15 @@ class Renderer:
                 rest()
                 if not self.seen(x):
                     continue
-                mark = f"{number}. " if node.tag == "ol" else "- "
-                number += 1
+                if node.tag == "ol":
+                    number = _int(x.attrs.get("value"), number)
+                    mark = f"{ordinal(number, x.attrs.get('type', kind).strip())}. "
+                    number += step
+                else:
+                    mark = "- "
+                around, self.visible = self.visible, self.style(x)[1]
                 inner = self.lines(x.inside, pre)
+                self.visible = around
                 if inner:
                     out += [mark + inner[0], *((" " * len(mark) + y).rstrip() for y in inner[1:])]
             else:
@@ -405,56 +469,141 @@ class Renderer:
     def table(self, node: Node) -> list[str]:
         outer, self.nested = self.nested, 0
         above: list[str] = []
-        rows: list[list[list[str]]] = []
-        todo = [*reversed(node.inside)]
+        rows: list[tuple[int, list[tuple[list[str], int, int]]]] = []  # (row group, cells)
+        todo: list = [(x, self.visible, 0) for x in reversed(node.inside)]
         loose: list = []
+        around, groups = self.visible, 0
         while todo:
-            x = todo.pop()
+            x, self.visible, group = todo.pop()
             if isinstance(x, str):
-                loose.append(x)
-            elif x.tag == "tr":
-                if self.seen(x):
-                    rows.append(self.cells(x, above))
+                if self.visible:
+                    loose.append(x)
+                continue
+            if x.tag in ("tr", "tbody", "thead", "tfoot", "caption"):
+                drawn, self.visible, _ = self.style(x)
+                if not drawn:
+                    continue
+            if x.tag == "tr":
+                rows.append((group, self.cells(x.inside, above)))
             elif x.tag in ("tbody", "thead", "tfoot"):
-                if self.seen(x):
-                    todo += reversed(x.inside)
+                groups += 1
+                todo += [(y, self.visible, groups) for y in reversed(x.inside)]
             elif x.tag in ("td", "th"):
-                rows.append(self.cells(_row(x), above))
+                rows.append((group, self.cells([x], above)))
             elif x.tag == "caption":
-                if self.seen(x):
-                    above += self.lines(x.inside)
+                above += self.lines(x.inside)
             elif x.tag not in ("colgroup", "col"):
+                self.style(x)  # with the visibility that holds here
                 loose.append(x)
+        self.visible = around
         above = self.lines(loose) + above  # what is no cell stands before the table
         self.nested = outer
-        width = [0] * max((len(r) for r in rows), default=0)
-        for r in rows:
-            for i, cell in enumerate(r):
-                width[i] = max(width[i], *(len(y) for y in cell), 0) if cell else width[i]
-        out = above
-        for r in rows:
-            for k in range(max((len(c) for c in r), default=0)):
-                out.append("  ".join((c[k] if k < len(c) else "").ljust(width[i]) for i, c in enumerate(r)).rstrip())
-        return out
+        return above + aligned(placed(rows))
 
-    def cells(self, row: Node, above: list[str]) -> list[list[str]]:
-        out: list[list[str]] = []
-        for x in row.inside:
+    def cells(self, row: list, above: list[str]) -> list[tuple[list[str], int, int]]:
+        """(lines, columns, rows) of the cells."""
+        out: list[tuple[list[str], int, int]] = []
+        around = self.visible
+        for x in row:
             if isinstance(x, Node) and x.tag in ("td", "th"):
-                if not self.seen(x):
-                    continue
-                out.append(self.lines(x.inside))
-                span = x.attrs.get("colspan", "1")
-                out += [[] for _ in range(min(int(span), 100) - 1)] if span.isdecimal() else []
+                drawn, self.visible, _ = self.style(x)
+                if drawn:
+                    down = _int(x.attrs.get("rowspan"), 1)
+                    out.append((self.lines(x.inside), min(max(_int(x.attrs.get("colspan"), 1), 1), 1000), down if 0 < down <= 65534 else 65534 if down else 0))
+                self.visible = around
             elif isinstance(x, Node) or x.strip():
                 above += self.lines([x])
         return out
 
 
-def _row(cell: Node) -> Node:
-    row = Node("tr")
-    row.inside.append(cell)
-    return row
+def _int(text: str | None, other: int) -> int:
+    m = re.match(r"\s*([+-]?[0-9]{1,9})(?![0-9])", text or "")
+    return int(m[1]) if m else other
+
+
+def ordinal(n: int, kind: str) -> str:
+    """The number of a list item as ``type`` wants it (1, a, A, i, I)."""
+    if kind in ("a", "A") and n > 0:
+        out = ""
+        while n:
+            n, x = divmod(n - 1, 26)
+            out = chr(97 + x) + out
+        return out if kind == "a" else out.upper()
+    if kind in ("i", "I") and 0 < n < 4000:
+        out = ""
+        for value, sign in zip((1000, 900, 500, 400, 100, 90, 50, 40, 10, 9, 5, 4, 1), "m cm d cd c xc l xl x ix v iv i".split()):
+            out += sign * (n // value)
+            n %= value
+        return out if kind == "i" else out.upper()
+    return str(n)
+
+
+def placed(rows: list[tuple[int, list[tuple[list[str], int, int]]]]) -> list[list[tuple[int, list[str]]]]:
+    """(column, lines) of the cells of each row; cells from above that span
+    rows push the others on, within their row group."""
+    plain = all(down == 1 for _, row in rows for _, _, down in row)
+    until = np.zeros(0, np.int64)  # by column: the first row that is free again
+    out: list[list[tuple[int, list[str]]]] = []
+    group = None
+    for r, (g, row) in enumerate(rows):
+        if g != group:
+            until, group = until[:0], g
+        taken = np.flatnonzero(until > r).tolist() if not plain and len(until) else []
+        taken.append(-1)  # none left
+        k, col, here = 0, 0, []
+        for lines, wide, down in row:
+            while taken[k] == col:
+                k, col = k + 1, col + 1
+            here.append((col, lines))
+            end = min(col + wide, max(col + 1, _COLUMNS))
+            if not plain and down != 1 and end <= _COLUMNS:
+                if end > len(until):
+                    until = np.concatenate([until, np.zeros(end - len(until), np.int64)])
+                until[col:end] = r + down if down else len(rows)
+            col = end
+            while 0 <= taken[k] < col:
+                k += 1
+        out.append(here)
+    return out
+
+
+def width(text: str) -> int:
+    """Columns on a screen: wide characters take two, combining ones none."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if combining(c) else 2 if east_asian_width(c) in "WF" else 1 for c in text)
+
+
+def aligned(rows: list[list[tuple[int, list[str]]]]) -> list[str]:
+    """The rows as lines, cells in columns. Columns in which no cell begins are
+    left out."""
+    number = {c: i for i, c in enumerate(sorted({c for row in rows for c, _ in row}))}
+    cells = [[(number[c], lines, [width(y) for y in lines]) for c, lines in row if lines] for row in rows]
+    text = sum(sum(w) + 2 for row in cells for _, _, w in row)
+    for most in (None, 80, 40, 20, 10):
+        wide = [0] * len(number)
+        for row in cells:
+            for i, _, w in row:
+                wide[i] = max(wide[i], *(x for x in w if most is None or x <= most), 0)
+        start = [0]
+        for w in wide:
+            start.append(start[-1] + w + 2)
+        # at most: up to the last cell of each row, for each of its lines
+        if sum(max((start[i + 1] for i, _, _ in row), default=0) * max((len(y) for _, y, _ in row), default=0) for row in cells) <= _PADDING * text + 4096:
+            break
+    else:
+        start = []
+    out: list[str] = []
+    for row in cells:
+        for k in range(max((len(y) for _, y, _ in row), default=0)):
+            line, at = [], 0
+            for i, lines, w in row:
+                if k < len(lines):
+                    gap = max(start[i] - at if start else 0, 2 if at else 0)
+                    line.append(" " * gap + lines[k])
+                    at += gap + w[k]
+            out.append("".join(line).rstrip())
+    return out
 
 
 def render(html: str) -> str:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 from html.parser import HTMLParser
 
@@ -117,5 +118,81 @@ def test_text_of_drawings():
     assert h.render("<div>" * 150 + "<svg>" + "<g>" * 100 + "<text>deep") == "deep"
 
 
+def test_visibility_is_inherited_and_taken_back():
+    assert h.render("<div style='visibility:hidden'>a<p style='visibility:visible'>b<i>c</i></p>d<ul><li>e<li style='visibility:visible'>f</ul></div>g") == "bc\n\n- f\n\ng"
+    table = "<table style='visibility:hidden'><tr><td>a<td class=v>b<tr class=v><td>c<td>d</table>"
+    assert h.render("<style>.v{visibility:visible}</style>" + table) == "   b\nc  d"
+    assert h.render("<p style='visibility:hidden'>a<b style='visibility:inherit'>b</b><span style='display:none'><i style='visibility:visible'>c</i></span>") == ""
+    assert h.render("<svg><g visibility=hidden><text>a</text><text visibility=visible>b</text></g></svg>") == "b"
+
+
+def test_display_decides_on_lines():
+    assert h.render("<span style='display:block'>alpha</span><span style='display:block'>beta</span>") == "alpha\nbeta"
+    assert h.render("<style>.b{display:flex}li{display:inline}</style><b class=b>x</b><i>y</i><div style='display:inline'>z</div>") == "x\ny z"
+    assert h.render("<style>@media (min-width:9em){b{display:block}}</style>a<b>b</b>") == "ab"
+
+
+def test_nothing_is_lost_below_the_depth_limit():
+    for n in (150, 198, 199, 200, 201, 5000):
+        deep = "<div>" * n
+        assert h.render(deep + "a<div style='display:none'>no<p>no</p>no</div>b<b>c</b>d" + "</div>" * n + "<p>e").replace("\n", "") == "abcde", n
+        assert h.render("<p hidden>no</p><div style='visibility:hidden'>" + deep + "no<p style='visibility:visible'>yes</p>no" + "</div>" * n + "no</div>z").split() == ["yes", "z"], n
+    assert h.render("<div>" * 300 + "<details><summary>s</summary>no<b>no</b></details>t").split() == ["s", "t"]
+
+
+def test_hostile_nesting_takes_linear_time():
+    import time
+
+    at = time.time()
+    for html in ("<div>" * 100_000 + "x", "<p><button>" + "<div>" * 100_000 + "x", "<b>" * 50_000 + "x" + "</i></b>" * 50_000, "<table><tr><td>" * 30_000 + "x"):
+        assert h.render(html) == "x"
+    assert time.time() - at < 20
+
+
+def test_list_numbers():
+    assert h.render("<ol><li>a<li value=5>b<li>c</ol>") == "1. a\n5. b\n6. c"
+    assert h.render("<ol reversed><li>a<li>b<li hidden>x<li>c</ol>") == "3. a\n2. b\n1. c"
+    assert h.render("<ol type=a start=26><li>a<li>b</ol>") == "z. a\naa. b"
+    assert h.render("<ol type=I start=1994><li>a<li type=i value=4>b</ol>") == "MCMXCIV. a\niv. b"
+
+
+def test_cells_that_span_rows_keep_their_place():
+    html = "<table><tr><td rowspan=2>k<td>a<td>b<tr><td>cc<td>d<tr><td>e<td>f<td>g</table>"
+    assert h.render(html) == "k  a   b\n   cc  d\ne  f   g"
+    assert h.render("<table><tbody><tr><td rowspan=0>k<td>a<tr><td>b<tr><td>c<tbody><tr><td>d<td>e</table>") == "k  a\n   b\n   c\nd  e"
+    assert h.render("<table><tr><td colspan=300>a<td>b<tr><td colspan=300>cc<td>d</table>") == "a   b\ncc  d"
+    assert h.render("<table><tr><td>字<td>x<tr><td>abc<td>y</table>") == "字   x\nabc  y"
+
+
+def test_a_grid_of_spans_equals_a_plain_one():
+    """Places by filling a grid cell by cell."""
+    r = random.Random(5)
+    for _ in range(200):
+        rows = [(r.randint(0, 9) // 8, [(["x"], r.choice([1, 1, 2, 3]), r.choice([1, 1, 2, 3, 0])) for _ in range(r.randint(0, 4))]) for _ in range(6)]
+        rows.sort(key=lambda x: x[0])
+        filled, want = set(), []
+        for i, (g, row) in enumerate(rows):
+            col, here = 0, []
+            for lines, wide, down in row:
+                while (i, col) in filled:
+                    col += 1
+                here.append((col, lines))
+                for k in range(i, len(rows) if down == 0 else min(i + down, len(rows))):
+                    if rows[k][0] == g:
+                        filled |= {(k, c) for c in range(col, col + wide)}
+                col += wide
+            want.append(here)
+        assert h.placed(rows) == want
+
+
+def test_padding_is_bounded():
+    cell = "y" * 10_000
+    html = f"<table><tr><td>{cell}<td>z" + "<tr><td>a<td>b" * 2000 + "</table>"
+    got = h.render(html)
+    assert len(got) < 17 * len(html) and got.split() == [cell, "z"] + ["a", "b"] * 2000
+    wide = "<table><tr>" + "<td rowspan=60000>a" * 2000 + "<tr><td>b" * 2000 + "</table>"
+    assert len(h.render(wide)) < 17 * len(wide)
+
+
 def test_title():
     assert h.title("<title> a &amp;\n b </title>") == "a & b" and h.title("<p>") is None
