@@ -15,6 +15,7 @@ from strata.operators import quality
 from strata.operators.merge import merge_upsert
 from strata.operators.scd2 import scd2_initial, scd2_merge
 from strata.operators.sessions import sessions_summary
+from strata.operators.zorder import hilbert_layout
 from strata.plans import gold, layers as L, silver
 from strata.session import scratch_path, written
 from strata.sources import feeds, files
@@ -316,6 +317,15 @@ def q_zorder_layout(spark, sf):
     return t.read()
 
 
+def q_hilbert_layout(spark, sf):
+    """lineitem (whole rows) laid out along a Hilbert curve over ship date,
+    part and the joined text of instruction and mode; rows unchanged."""
+    t = feeds.table(spark, sf, "lineitem")
+    mode = F.concat_ws(" / ", "l_shipmode", "l_returnflag")
+    out = hilbert_layout(t.withColumn("_mode", mode), ["l_shipdate", "l_partkey", "_mode"], num_files=8)
+    return written(out, "hilbert").drop("_mode")
+
+
 def q_incremental_load(spark, sf):
     """Silver POS loaded in two runs over a bronze table that gets two
     deliveries (every raw row is in one): each run takes the rows that arrived
@@ -623,6 +633,7 @@ QUERIES: dict[str, Query] = {
     "upsert_orders_bucketed": q_upsert_orders_bucketed,
     "time_travel": q_time_travel,
     "zorder_layout": q_zorder_layout,
+    "hilbert_layout": q_hilbert_layout,
     "vacuum_history": q_vacuum_history,
     "incremental_load": q_incremental_load,
     "hourly_incremental": q_hourly_incremental,
