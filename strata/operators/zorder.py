@@ -122,7 +122,7 @@ def hilbert_value(cells: list[Column], bits: int) -> Column:
     return F.get(F.transform(F.array(x), placed), F.lit(0))
 
 
-def _layout(df: DataFrame, cols: list[str], num_files: int, bits: int | None, curve) -> DataFrame:
+def _layout(df: DataFrame, cols: list[str], num_files: int, bits: int | None, within: list[str], curve) -> DataFrame:
     if not cols:
         raise ValueError("a clustered layout needs at least one column")
     bits = bits or bits_for(num_files, len(cols))
@@ -130,15 +130,16 @@ def _layout(df: DataFrame, cols: list[str], num_files: int, bits: int | None, cu
     return (
         keyed.withColumn("_z", curve(buckets(keyed, cols, bits), bits))
         .withColumn("_h", F.xxhash64(*[F.col(c) for c in df.columns]))
-        .repartitionByRange(num_files, "_z", "_h")
-        .sortWithinPartitions("_z", *cols)
+        .repartitionByRange(num_files, *within, "_z", "_h")
+        .sortWithinPartitions(*within, "_z", *cols)
         .select(*df.columns)
     )
 
 
-def zorder_layout(df: DataFrame, cols: list[str], num_files: int, bits: int | None = None) -> DataFrame:
-    return _layout(df, cols, num_files, bits, z_value)
+def zorder_layout(df: DataFrame, cols: list[str], num_files: int, bits: int | None = None, within: list[str] = []) -> DataFrame:  # noqa: B006
+    return _layout(df, cols, num_files, bits, within, z_value)
 
 
-def hilbert_layout(df: DataFrame, cols: list[str], num_files: int, bits: int | None = None) -> DataFrame:
-    return _layout(df, cols, num_files, bits, hilbert_value)
+def hilbert_layout(df: DataFrame, cols: list[str], num_files: int, bits: int | None = None, within: list[str] = []) -> DataFrame:  # noqa: B006
+    """``within``: columns that come first in the order (of table partitions)."""
+    return _layout(df, cols, num_files, bits, within, hilbert_value)

@@ -597,6 +597,7 @@ UNION ALL SELECT * FROM orders_batch2"""
 SELECT 2 AS version, 'MERGE' AS operation, CAST(count(*) AS BIGINT) AS rows FROM merged
 UNION ALL SELECT 3, 'OPTIMIZE', CAST(count(*) AS BIGINT) FROM merged"""
     q["zorder_layout"] = q["hilbert_layout"] = "SELECT * FROM lineitem"
+    q["maintained_table"] = "SELECT * FROM orders"
     q["daily_two_days"] = q["scd2_merge"]
     q["fact_sales_asof_sliced"] = q["fact_sales_asof"]
     q["quarantine_reasons"] = _quarantine_reasons()

@@ -20,6 +20,7 @@ from strata.plans import gold, layers as L, silver
 from strata.session import scratch_path, written
 from strata.sources import feeds, files
 from strata.sources.incremental import high_water_mark, rows_after
+from strata.sources.partitioned import KeyedTable
 from strata.sources.snapshots import SnapshotTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -326,6 +327,17 @@ def q_hilbert_layout(spark, sf):
     return written(out, "hilbert").drop("_supplier")
 
 
+def q_maintained_table(spark, sf):
+    """orders (whole rows) merged in four batches into a keyed table by year,
+    then compacted along a Hilbert curve; rows unchanged, fewer files."""
+    orders = feeds.table(spark, sf, "orders")
+    t = KeyedTable(spark, scratch_path(spark, "maintained"), ["o_orderkey"], F.coalesce(F.date_format("o_orderdate", "yyyy"), F.lit("undated")))
+    for i in range(4):
+        t.merge(orders.filter(F.pmod(F.xxhash64("o_orderkey"), F.lit(4)) == i).repartition(8))
+    t.tidy(["o_orderdate", "o_custkey"], all_parts=True)
+    return t.read()
+
+
 def q_incremental_load(spark, sf):
     """Silver POS loaded in two runs over a bronze table that gets two
     deliveries (every raw row is in one): each run takes the rows that arrived
@@ -634,6 +646,7 @@ QUERIES: dict[str, Query] = {
     "time_travel": q_time_travel,
     "zorder_layout": q_zorder_layout,
     "hilbert_layout": q_hilbert_layout,
+    "maintained_table": q_maintained_table,
     "vacuum_history": q_vacuum_history,
     "incremental_load": q_incremental_load,
     "hourly_incremental": q_hourly_incremental,

@@ -22,6 +22,7 @@ travel and partitions are replaced one by one (not atomically as a set); use
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.merge import merge_upsert, prepare_source, validate_merge_key
+from strata.operators.zorder import hilbert_layout
 from strata.session import written
 
 
@@ -103,6 +105,14 @@ class PartitionedFolder:
         df = self.spark.read.schema(self._schema).parquet(self.path)
         return df if parts is None else df.filter(F.col(self.column).isin(parts))
 
+    def files(self) -> DataFrame:
+        """The partitions with the number and bytes of their files, from the
+        listing alone."""
+        found = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*.parquet").load(self.path)
+        name = F.regexp_extract("path", f"/{self.column}=([^/]*)/[^/]*$", 1)
+        name = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+        return found.groupBy(name.alias(self.column)).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
     def replace(self, parts: list[str], rows: DataFrame) -> None:
         """The rows of ``parts`` become ``rows`` (a table that does not read
         this folder); partitions left without rows are removed."""
@@ -143,6 +153,7 @@ class KeyedTable:
         self.spark, self.keys, self.part, self.buckets = spark, list(keys), part, buckets
         self.data = PartitionedFolder(spark, f"{path.rstrip('/')}/data")
         self.index = PartitionedFolder(spark, f"{path.rstrip('/')}/keys", BUCKET)
+        self._tidied = f"{path.rstrip('/')}/tidied"
 
     def exists(self) -> bool:
         return self.index.exists()
@@ -171,6 +182,7 @@ class KeyedTable:
         batch's row under that order, else the batch wins. Returns the rows of
         all these keys before and after (tables of their own)."""
         validate_merge_key(source, self.keys)
+        self._finish_tidy()
         src = written(source.withColumn(PART, self.part), "merge-batch")
         null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in self.keys])
         sizes = src.groupBy(PART).agg(F.count_if(null).alias("nulls")).collect()
@@ -200,3 +212,48 @@ class KeyedTable:
             places = self.index.read(buckets).join(keys, self.keys, "left_anti").unionByName(places)
         self.index.replace(buckets, written(places, "merge-index"))
         return old.drop(PART), new.drop(PART)
+
+    def tidy(self, cluster_by: list[str] | None = None, file_bytes: int = 128 << 20, all_parts: bool = False) -> list[dict]:
+        """Compacts partitions that have more than twice the files they need
+        (or all) to files of about ``file_bytes``, ordered by key or along a
+        Hilbert curve over ``cluster_by``. Rows and index stay as they are, the
+        other partitions keep their files. Returns a row a partition with the
+        files and bytes before.
+
+        The new files are first written aside (``path/tidied``). If the
+        replacing stops half way, the next merge or tidy does it again from
+        there before anything else."""
+        self._finish_tidy()
+        if not self.data.exists():
+            return []
+        need = F.ceil(F.col("bytes") / file_bytes)
+        found = self.data.files().withColumn("need", need)
+        found = [r.asDict() for r in (found if all_parts else found.filter("files > 2 * need")).orderBy(PART).collect()]
+        if not found:
+            return []
+        parts, n = [r[PART] for r in found], sum(r["need"] for r in found)
+        rows = self.data.read(parts)
+        if cluster_by:
+            rows = hilbert_layout(rows, cluster_by, n, within=[PART])
+        else:
+            rows = rows.repartitionByRange(n, PART, *self.keys).sortWithinPartitions(PART, *self.keys)
+        rows.write.partitionBy(PART).mode("overwrite").parquet(self._tidied)
+        self._finish_tidy()
+        return found
+
+    def _finish_tidy(self) -> None:
+        """Puts files written aside in place of their partitions, one by one,
+        by renaming; what is done already is found out by its absence."""
+        fs, aside = _hadoop(self.spark, self._tidied)
+        if not fs.exists(aside):
+            return
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        if fs.exists(hadoop.Path(aside, "_SUCCESS")):
+            _, data = _hadoop(self.spark, self.data.path)
+            for x in fs.listStatus(aside):  # a folder a partition
+                if x.isDirectory():
+                    to = hadoop.Path(data, x.getPath().getName())
+                    fs.delete(to, True)
+                    if not fs.rename(x.getPath(), to):
+                        raise OSError(f"could not move {x.getPath()} to {to}")
+        fs.delete(aside, True)

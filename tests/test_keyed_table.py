@@ -105,3 +105,58 @@ def test_a_table_that_begins_empty(spark, tmp_path):
     assert rows(t) == [("a", "1", 1)]
     t.merge(frame(spark, ("a", "1", 1)).filter("v > 5"), deletes=frame(spark, ("a", None, 0)))
     assert rows(t) == []
+
+
+def scattered(spark, path):
+    """Three partitions, one with an odd name; the first has many small files."""
+    t = table(spark, path)
+    t.merge(spark.range(300).select(F.format_string("k%03d", "id").alias("id"), F.when(F.col("id") < 200, "2024-01").when(F.col("id") < 250, "a b+c:d/e").otherwise("x").alias("d"), F.col("id").cast("int").alias("v")))
+    # files as small batches leave them
+    t.data.read(["2024-01"]).repartition(9).write.mode("append").partitionBy("table_part").parquet(str(path / "more"))
+    for name in os.listdir(path / "data" / "table_part=2024-01"):
+        os.remove(path / "data" / "table_part=2024-01" / name)
+    for name in os.listdir(path / "more" / "table_part=2024-01"):
+        os.rename(path / "more" / "table_part=2024-01" / name, path / "data" / "table_part=2024-01" / name)
+    return t
+
+
+@pytest.mark.parametrize("cluster_by", [None, ["v", "id"]])
+def test_tidy_compacts_where_files_are_many_and_keeps_rows(spark, tmp_path, cluster_by):
+    t = scattered(spark, tmp_path)
+    want, before = rows(t), data_files(tmp_path / "data")
+    assert {r["table_part"]: r["files"] for r in t.data.files().collect()} == {"2024-01": 9, "a b+c:d/e": 1, "x": 1}
+    done = t.tidy(cluster_by)
+    assert [(r["table_part"], r["files"], r["need"]) for r in done] == [("2024-01", 9, 1)]
+    after = data_files(tmp_path / "data")
+    assert rows(t) == want and len(after) == 3
+    assert {f for f in before if "2024-01" not in f} == {f for f in after if "2024-01" not in f}
+    assert t.tidy(cluster_by) == [] and not (tmp_path / "tidied").exists()
+    assert len(t.tidy(cluster_by, all_parts=True)) == 3 and rows(t) == want
+    t.merge(frame(spark, ("k000", "x", 7)))  # the index still finds the old place
+    assert rows(t) == sorted([r for r in want if r[0] != "k000"] + [("k000", "x", 7)])
+
+
+def test_a_stopped_tidy_is_finished_by_the_next_writer(spark, tmp_path, monkeypatch):
+    t = scattered(spark, tmp_path)
+    want, finish = rows(t), KeyedTable._finish_tidy
+    calls = []
+
+    def stop(self):
+        calls.append(1)
+        if len(calls) == 2:  # after the files were written aside
+            raise RuntimeError("lost")
+        finish(self)
+
+    monkeypatch.setattr(KeyedTable, "_finish_tidy", stop)
+    with pytest.raises(RuntimeError, match="lost"):
+        t.tidy()
+    # worse: the old files of the partition are gone already
+    for name in os.listdir(tmp_path / "data" / "table_part=2024-01"):
+        os.remove(tmp_path / "data" / "table_part=2024-01" / name)
+    t.merge(frame(spark, ("new", "x", 1)))
+    assert rows(t) == sorted([*want, ("new", "x", 1)]) and not (tmp_path / "tidied").exists()
+    # files aside without the mark of a whole write are not taken
+    t.data.read(["x"]).limit(1).write.partitionBy("table_part").parquet(str(tmp_path / "tidied"))
+    os.remove(tmp_path / "tidied" / "_SUCCESS")
+    t.merge(frame(spark, ("new", "x", 2)))
+    assert rows(t) == sorted([*want, ("new", "x", 2)])
