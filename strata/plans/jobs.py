@@ -19,12 +19,15 @@ from strata.sources import files
 from strata.plans.clicks import SessionTable
 from strata.plans.customer_state import CustomerState, merge_sales
 from strata.session import written
-from strata.sources.partitioned import KeyedTable
+from strata.sources.partitioned import PART, KeyedTable
 from strata.sources.snapshots import SnapshotTable
 
 #: Silver tables that are merged: key, and the time whose month is the partition.
 KEYED = {"pos_transactions": ("transaction_id", "sale_date"), "inventory_movements": ("movement_id", "movement_date"), "customers": ("customer_id", "signup_date")}
 
+#: What rows of a merged table are looked up by, besides its months: files are clustered by it.
+CLUSTERED = {"pos_transactions": ["sale_date", "product_id", "store_id"], "inventory_movements": ["movement_date", "product_id"], "customers": ["customer_id"]}
+
 #: The tables of a daily run without clicks, by the gate that lets them be written: none, bronze, silver.
 TABLES = {
     "bronze": ["pos_transactions", "inventory_movements", "customers"],
@@ -270,3 +273,23 @@ def hourly_clicks(spark: SparkSession, landing: str, root: str, as_of, files_per
     schema = files.raw_string_schema("bronze_clickstream")
     _available_now(files.stream_json_drift(spark, landing, schema, files_per_batch), load, f"{base}/checkpoints/hourly_clicks")
     return report
+
+
+def maintain_lake(spark: SparkSession, root: str, now, file_bytes: int = 128 << 20, retention_hours: int = 168) -> list[dict]:
+    """Upkeep between runs, safe to repeat: months of merged silver tables that
+    gathered many small files are compacted and clustered, versions of published
+    tables replaced more than ``retention_hours`` ago go. Returns a row for each
+    partition rewritten and each table that lost versions."""
+    lh = Lakehouse(root)
+    report = []
+    for name, columns in CLUSTERED.items():
+        t = lh.table(spark, "silver", name)
+        if t.exists():
+            report += [{"table": f"silver/{name}", "part": r[PART], "files": r["files"]} for r in t.tidy(columns, file_bytes)]
+    for layer in ("bronze", "gold"):
+        for name in TABLES[layer]:
+            t = lh.table(spark, layer, name)
+            gone = t.vacuum(retention_hours, now) if t.exists() else []
+            if gone:
+                report.append({"table": f"{layer}/{name}", "versions": gone})
+    return report
