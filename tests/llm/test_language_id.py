@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -64,3 +66,46 @@ def test_with_language_keeps_the_rows(docs):
     m = g.fit(docs)
     out = g.with_language(docs, m)
     assert out.count() == docs.count() and out.columns == [*docs.columns, "_lang"]
+
+
+def plain_grams(text):
+    chars = " "
+    for c in text.lower():
+        chars += c if c.isalpha() else "" if chars.endswith(" ") else " "
+    chars += "" if chars.endswith(" ") else " "
+    if chars == " ":
+        return []
+    out = []
+    for n in (1, 2, 3):
+        for i in range(len(chars) - n + 1):
+            h = 0
+            for k, c in enumerate(chars[i : i + n]):
+                x = (ord(c) + 1) * 0x9E3779B1 % 2**32
+                h = x if k == 0 else ((h ^ h >> 15) * 0x85EBCA6B + x) % 2**32
+            out.append((h ^ h >> 16) * 0xC2B2AE35 % 2**32 >> 17)
+    return out
+
+
+def test_query_equals_a_plain_naive_bayes(spark, docs):
+    rows = docs.collect()
+    counts, prior = {}, Counter()
+    for r in rows:
+        if r["lang"] is not None and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1:
+            prior[r["lang"]] += 1
+            counts.setdefault(r["lang"], Counter()).update(plain_grams(r["text"]))
+    total = {k: sum(c.values()) + 0.5 * g.BUCKETS for k, c in counts.items()}
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in op9_language_id(spark, SF).collect()}
+    assert len(found) == len(rows)
+    for r in rows[:: max(1, len(rows) // 300)]:  # plain Python is slow; the model is of all rows
+        seen = Counter(plain_grams(r["text"] or ""))
+        if not seen:
+            assert found[r["doc_id"]] == ("und", 0.0)
+            continue
+        log = {}
+        for k, c in counts.items():
+            log[k] = math.log((prior[k] + 1) / (sum(prior.values()) + len(prior)))
+            log[k] += sum(n * math.log((c[b] + 0.5) / total[k]) for b, n in seen.items())
+        best = max(log.values())
+        lang, score = found[r["doc_id"]]
+        assert best - log[lang] < 1e-2  # log probabilities are kept as 32-bit floats
+        assert abs(score - 1 / sum(math.exp(x - best) for x in log.values())) < 1e-2
