@@ -11,6 +11,8 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +44,38 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts the lineage, keeps
     column pruning and gives the planner the real size."""
     path = scratch_path(df.sparkSession, name)
+    for paths in _tidied.get():
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+_tidied: ContextVar[tuple[list[str], ...]] = ContextVar("tidied", default=())
+
+
+@contextmanager
+def tidied(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """The tables that ``written`` makes inside are removed at the end, also
+    after a failure, but for those that the frames put into the list read.
+    Nothing made inside may be read later by any other frame."""
+    kept: list[DataFrame] = []
+    paths: list[str] = []
+    token = _tidied.set((*_tidied.get(), paths))
+    try:
+        yield kept
+        files = [f for df in kept for f in df.inputFiles()]
+        used = {os.path.basename(os.path.dirname(f)) for f in files}
+    except BaseException:
+        used = set()
+        raise
+    finally:
+        _tidied.reset(token)
+        for path in paths:
+            if os.path.basename(path) not in used:
+                at = spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def text_bytes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text as binary) with fixed names, whatever else ``df`` carries."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))

@@ -27,11 +27,19 @@ component of the links.
 
 Sets may be large and are never moved except for classes that share a band.
 
+A document is a row: its node is a row number that is written with the
+features, and its text is found again by 128 bits of (id, text). So an id that
+repeats with another text is another document.
+
 Edge cases: null and empty texts, and texts without words, have the empty set
-and are linked with nothing. ``doc_id`` is expected to be unique; rows that
-repeat it with the same text get the same result. Documents with a null id
-take no part: their component is null, and they are kept. Extra columns are
-not read.
+and are linked with nothing; they are all kept. Rows that repeat an id with
+the same text get the same result; with different texts, each is judged by its
+own links, and ``component_id`` is the least id reachable from that row. A row
+with a null id takes part: its component is the least id reachable (null if
+there is none), and it is kept if that is null. ``deduplicated`` leaves one row
+of each group whatever its ids. Extra columns are not read by
+``near_duplicates`` and kept by ``deduplicated``. An id that is no number is
+an error.
 """
 
 from __future__ import annotations
@@ -43,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE_WORDS, mix64, pieces, raw, text_bytes, word_hashes, word_spans, written
+from strata.llm.common import SPACE_WORDS, mix64, pieces, raw, text_bytes, tidied, word_hashes, word_spans, written
 from strata.llm.components import components
 
 BANDS, ROWS = 48, 4
@@ -151,8 +159,20 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     return 100 * common >= threshold * (len(both) - common)
 
 
+def row_key(id_col: str, text_col: str) -> tuple:
+    """Two 64-bit hashes of (id, text)."""
+    both = F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary")
+    return F.xxhash64(*both), F.xxhash64(F.lit(1), *both)
+
+
+def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    key1, key2 = row_key(id_col, text_col)
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), key1.alias("key1"), key2.alias("key2"), F.col(text_col).cast("string").cast("binary").alias("text"))
+
+
 def features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, two sums that stand for the set, band keys, sketch."""
+    """node (a row number), doc_id, key1, key2, n_shingles, two sums that stand
+    for the set, band keys, sketch. The numbers are to be written at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
@@ -171,19 +191,20 @@ def features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 sketch[row] = s.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column("doc_id"), pa.array(n, pa.int64()), pa.array(sums[0]), pa.array(sums[1]),
+                    *(b.column(c) for c in ("node", "doc_id", "key1", "key2")), pa.array(n, pa.int64()), pa.array(sums[0]), pa.array(sums[1]),
                     pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(band_keys(mins).ravel(), pa.int64())),
                     pa.array(sketch, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "sum1", "sum2", "bands", "sketch"],
+                names=["node", "doc_id", "key1", "key2", "n_shingles", "sum1", "sum2", "bands", "sketch"],
             )
 
-    return text_bytes(df, id_col, text_col).mapInArrow(run, "doc_id long, n_shingles long, sum1 long, sum2 long, bands array<long>, sketch binary")
+    rows = _keyed(df, id_col, text_col).withColumn("node", F.monotonically_increasing_id())
+    return rows.mapInArrow(run, "node long, doc_id long, key1 long, key2 long, n_shingles long, sum1 long, sum2 long, bands array<long>, sketch binary")
 
 
 def _checked(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) whose full sets are linked."""
-    t = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
+    t = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = (None, None)
@@ -200,15 +221,15 @@ def _checked(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
 
 
 def _with_parity(rows: DataFrame) -> DataFrame:
-    """(doc_id, text) with the bitmap of the whole set."""
+    """(node, text) with the bitmap of the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
             sets, at = shingle_sets(*raw(b.column("text")))
             bitmaps = [parity(sets[x:y]) for x, y in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bitmaps, pa.binary())], names=["doc_id", "text", "parity"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bitmaps, pa.binary())], names=["node", "text", "parity"])
 
-    return rows.mapInArrow(run, "doc_id long, text binary, parity binary")
+    return rows.mapInArrow(run, "node long, text binary, parity binary")
 
 
 def _set(text: bytes) -> np.ndarray:
@@ -218,12 +239,12 @@ def _set(text: bytes) -> np.ndarray:
 
 def _across(rows: DataFrame, best_only: bool) -> DataFrame:
     """Pairs across components inside a bucket that both bitmaps let pass.
-    ``rows``: key, own_block, i, j (a pair of blocks), doc_id, component,
+    ``rows``: key, own_block, i, j (a pair of blocks), node, component,
     n_shingles, sketch, parity, dealt and sorted by (key, i, j)."""
 
     def pairs(group: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         t = pa.Table.from_batches(group)
-        ids, comp, n = (t.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
+        ids, comp, n = (t.column(c).to_numpy() for c in ("node", "component", "n_shingles"))
         bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(ids), BITS // 64)
         bitmaps = t.column("parity").to_pylist()
         size = np.array([8 * len(x) for x in bitmaps])
@@ -290,66 +311,97 @@ def _buckets_to_search(members: DataFrame, labels: DataFrame, bitmaps: DataFrame
     """The rows of buckets with several components, in pairs of blocks. The
     classes of the pivot's component need not meet each other: blocks of
     theirs meet the blocks of the others, and those meet among themselves."""
-    lab = labels.select(F.col("node").alias("doc_id"), "component")
-    own = F.coalesce("component", "doc_id")
-    rows = members.join(lab, "doc_id", "left").select("key", "doc_id", "pivot", own.alias("component"))
+    own = F.coalesce("component", "node")
+    rows = members.join(labels, "node", "left").select("key", "node", "pivot", own.alias("component"))
     rows = written(rows, "near-rows")
     per = rows.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
-        F.max(F.when(F.col("doc_id") == F.col("pivot"), F.col("component"))).alias("main"),
+        F.max(F.when(F.col("node") == F.col("pivot"), F.col("component"))).alias("main"),
     ).filter("low <> high").select("key", "main")
     per = written(per, "near-keys")
-    rows = written(rows.join(per, "key").select("key", "doc_id", "component", (F.col("component") == F.col("main")).alias("is_main")), "near-open")
+    rows = written(rows.join(per, "key").select("key", "node", "component", (F.col("component") == F.col("main")).alias("is_main")), "near-open")
     count = rows.groupBy("key").agg(F.sum(F.col("is_main").cast("long")).alias("n1"), F.sum((~F.col("is_main")).cast("long")).alias("n2"))
     count = written(count.select("key", F.ceil(F.col("n1") / BLOCK).alias("b1"), F.ceil(F.col("n2") / BLOCK).alias("b2")), "near-count")
     rows = rows.join(count, "key")
     # blocks 0 .. b1-1 are of the main component, b1 .. b1+b2-1 of the others
-    h = F.xxhash64("doc_id")
+    h = F.xxhash64("node")
     own_block = F.when(F.col("is_main"), F.pmod(h, F.col("b1"))).otherwise(F.col("b1") + F.pmod(h, F.greatest("b2", F.lit(1))))
     rows = rows.withColumn("own_block", own_block.cast("long"))
     others = F.sequence(F.col("b1"), F.col("b1") + F.col("b2") - 1)
     all_ = F.sequence(F.lit(0).cast("long"), F.col("b1") + F.col("b2") - 1)
     rows = rows.withColumn("with", F.explode(F.when(F.col("is_main"), others).otherwise(all_)))
-    rows = rows.select("key", "own_block", F.least("own_block", "with").alias("i"), F.greatest("own_block", "with").alias("j"), "doc_id", "component")
-    rows = rows.join(bitmaps, "doc_id")
+    rows = rows.select("key", "own_block", F.least("own_block", "with").alias("i"), F.greatest("own_block", "with").alias("j"), "node", "component")
+    rows = rows.join(bitmaps, "node")
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id, kept."""
+def _judged(df: DataFrame, id_col: str, text_col: str, threshold: int) -> DataFrame:
+    """One row a document: doc_id, key1, key2, n_shingles, the node that stands
+    for its group, component_id, kept. Reads two tables in the shared folder."""
     if threshold < THRESHOLD:
         raise ValueError(f"the bands are set for thresholds of {THRESHOLD} or more")
-    feats = written(features(df, id_col, text_col), "near-features")
-    some = feats.filter("n_shingles > 0 and doc_id is not null")
-    classes = written(some.groupBy("sum1", "sum2").agg(F.min("doc_id").alias("class")), "near-classes")
-    first = some.join(classes.select(F.col("class").alias("doc_id"), "sum1", "sum2"), ["doc_id", "sum1", "sum2"], "left_semi")
-    buckets = written(first.select("doc_id", F.explode("bands").alias("key")), "near-buckets")
-    pivots = written(buckets.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("most")).filter("pivot < most").select("key", "pivot"), "near-pivots")
-    members = written(buckets.join(pivots, "key"), "near-members")
-
-    near = members.select("doc_id").distinct()
-    texts = written(_with_parity(text_bytes(df, id_col, text_col).join(near, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-texts")
-    bitmaps = written(first.select("doc_id", "n_shingles", "sketch").join(texts.select("doc_id", "parity"), "doc_id"), "near-bitmaps")
-
-    star = members.filter("doc_id <> pivot").groupBy("doc_id", "pivot").agg(F.count(F.lit(1)).alias("n"))
-    star = star.groupBy("doc_id").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("pivot"))
-    tested = written(star.select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")), "near-star")
-    edges = written(_checked(tested, texts, threshold), "near-edges")
-    labels = written(components(edges), "near-labels")
-    for best_only in (True, False):
-        rows = _buckets_to_search(members, labels, bitmaps)
-        pairs = written(_across(rows, best_only).join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        if pairs.take(1):
-            found = written(_checked(pairs, texts, threshold), "near-edges")
-            tested, edges = tested.unionByName(pairs), edges.unionByName(found)
-            labels = written(components(edges), "near-labels")
-
-    lab = labels.select(F.col("node").alias("class"), "component")
-    of = written(classes.join(lab, "class", "left").select("sum1", "sum2", F.coalesce("component", "class").alias("component")), "near-of")
-    empty = F.col("n_shingles") == 0
-    return (
-        feats.select("doc_id", "n_shingles", "sum1", "sum2")
-        .join(of, ["sum1", "sum2"], "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNull(), None).when(empty, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    )
+    with tidied(df.sparkSession) as keep:
+        feats = written(features(df, id_col, text_col), "near-features")
+        some = feats.filter("n_shingles > 0")
+        classes = written(some.groupBy("sum1", "sum2").agg(F.min("node").alias("node"), F.min("doc_id").alias("least")), "near-classes")
+        first = some.join(classes.select("node"), "node", "left_semi")
+        buckets = written(first.select("node", F.explode("bands").alias("key")), "near-buckets")
+        pivots = written(buckets.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).filter("pivot < most").select("key", "pivot"), "near-pivots")
+        members = written(buckets.join(pivots, "key"), "near-members")
+
+        near = first.select("node", "key1", "key2").join(members.select("node").distinct(), "node", "left_semi")
+        found = _keyed(df, id_col, text_col).join(near, ["key1", "key2"]).dropDuplicates(["key1", "key2"])
+        texts = written(_with_parity(found.select("node", "text")), "near-texts")
+        bitmaps = written(first.select("node", "n_shingles", "sketch").join(texts.select("node", "parity"), "node"), "near-bitmaps")
+
+        star = members.filter("node <> pivot").groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("n"))
+        star = star.groupBy("node").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("pivot"))
+        tested = written(star.select(F.col("node").alias("a"), F.col("pivot").alias("b")), "near-star")
+        edges = written(_checked(tested, texts, threshold), "near-edges")
+        labels = written(components(edges), "near-labels")
+        for best_only in (True, False):
+            rows = _buckets_to_search(members, labels, bitmaps)
+            pairs = written(_across(rows, best_only).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+            if pairs.take(1):
+                new = written(_checked(pairs, texts, threshold), "near-edges")
+                tested, edges = tested.unionByName(pairs), edges.unionByName(new)
+                labels = written(components(edges), "near-labels")
+
+        low = labels.join(classes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("low"))
+        low = labels.join(written(low, "near-low"), "component")
+        of = classes.join(low, "node", "left")
+        of = written(of.select("sum1", "sum2", F.coalesce("component", "node").alias("group"), F.coalesce("low", "least").alias("component_id")), "near-of")
+        keep += [feats, of]
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    out = feats.select("doc_id", "key1", "key2", "n_shingles", "sum1", "sum2").join(of, ["sum1", "sum2"], "left")
+    return out.withColumn("component_id", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).drop("sum1", "sum2")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id, kept."""
+    return _judged(df, id_col, text_col, threshold).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``df`` (all columns), one of each group: one with the least
+    id (a null is the greatest). Where that id repeats in the group, the text
+    with the least hash stays, and of rows that repeat id and text any one."""
+    rows = written(_judged(df, id_col, text_col, threshold).filter("n_shingles > 0").select("group", "key1", "key2", "kept"), "near-judged")
+    kept = rows.filter("kept")
+    # groups of which several rows would stay: only where ids repeat or are null
+    several = kept.groupBy("group").agg(F.min("key1").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("group", "least")
+    several = written(several, "near-several")
+    key1, key2 = row_key(id_col, text_col)
+    out = df.withColumns({"_near_key1": key1, "_near_key2": key2})
+    name = lambda x: x.select(F.col("key1").alias("_near_key1"), F.col("key2").alias("_near_key2"))
+    on = ["_near_key1", "_near_key2"]
+    gone = rows.filter("not kept").select("key1", "key2")
+    if several.take(1):
+        open_ = written(kept.join(several, "group").select("key1", "key2", (F.col("key1") == F.col("least")).alias("stays")).distinct(), "near-open-rows")
+        gone = gone.unionByName(open_.filter("not stays").select("key1", "key2"))
+        once = name(open_.filter("stays"))
+        left = out.join(name(gone), on, "left_anti")
+        out = left.join(once, on, "left_anti").unionByName(left.join(once, on, "left_semi").dropDuplicates(on))
+    else:
+        out = out.join(name(gone), on, "left_anti")
+    return out.select(*df.columns)

@@ -7,8 +7,10 @@ import numpy as np
 import pytest
 
 from strata.llm import odd_sketch as o
+from strata.llm.common import tidied, written
 from strata.llm.components import components
 from strata.llm.queries import op3_odd_sketch
+from strata.session import shared_dir
 from tests.llm import brute
 from tests.llm.conftest import SF, pairs_of
 
@@ -27,10 +29,47 @@ def test_edges(edge_docs, no_docs):
     assert o.near_duplicates(no_docs).collect() == []
 
 
-def test_null_ids_are_kept_and_repeats_agree(spark):
-    df = spark.createDataFrame([(None, "a b c"), (3, "a b c"), (3, "a b c"), (2, "a b c"), (None, None)], "doc_id long, text string")
-    rows = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in o.near_duplicates(df).collect()), key=str)
-    assert rows == sorted([(None, None, True), (None, None, True), (2, 2, True), (3, 2, False), (3, 2, False)], key=str)
+def test_null_ids_take_part_and_repeats_agree(spark):
+    rows = [(None, "a b c"), (3, "a b c"), (3, "a b c"), (2, "a b c"), (None, None), (None, "d e f"), (None, "d e f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in o.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(None, 2, False), (None, None, True), (2, 2, True), (3, 2, False), (3, 2, False), (None, None, True), (None, None, True)], key=str)
+    assert sorted(map(tuple, o.deduplicated(df).collect()), key=str) == sorted([(2, "a b c"), (None, None), (None, "d e f")], key=str)
+
+
+def test_an_id_that_repeats_with_another_text(spark):
+    """Each text has its own links, and of each group one row stays."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a, 7), (2, a, 7), (2, b, 7), (3, b + " more", 7), (4, "", 7), (4, "", 7), (4, None, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key1 int")
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in o.near_duplicates(df).collect()}
+    assert got == {(1, 59, 1, True), (2, 59, 1, False), (2, 59, 2, True), (3, 60, 2, False), (4, 0, 4, True)}
+    assert sorted(map(tuple, o.deduplicated(df).collect()), key=str) == sorted([rows[0], rows[2], *rows[4:]], key=str)
+
+
+def test_one_row_of_a_group_whose_id_repeats(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    df = spark.createDataFrame([(1, a), (1, a + " x"), (1, a + " x y"), (1, a), (5, a)], "doc_id long, text string")
+    (row,) = o.deduplicated(df).collect()
+    assert row["doc_id"] == 1 and row["text"].startswith(a)
+
+
+def test_only_the_tables_that_the_result_reads_are_left(spark, docs):
+    import os
+
+    at = os.path.join(shared_dir(spark).removeprefix("file:"), "strata")
+    before = set(os.listdir(at)) if os.path.isdir(at) else set()
+    with tidied(spark) as keep:
+        found = o.near_duplicates(docs)
+        left = {x.rsplit("-", 1)[0] for x in set(os.listdir(at)) - before}
+        assert left == {"near-features", "near-of"}
+        keep.append(written(found, "near-found"))
+    assert {x.rsplit("-", 1)[0] for x in set(os.listdir(at)) - before} == {"near-found"}
+    assert keep[0].count() == docs.count()
+    with pytest.raises(ValueError), tidied(spark):
+        written(docs, "near-lost")
+        raise ValueError
+    assert not any(x.startswith("near-lost") for x in os.listdir(at))
 
 
 @pytest.mark.parametrize("seed", [1, 2])
