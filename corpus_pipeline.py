@@ -6,8 +6,10 @@ Parquet in the shared folder and reads it again for the next one, so a lost
 executor repeats one stage at most.
 
 Edge cases, for all stages: extra columns are dropped, an empty table gives
-an empty one, repeated rows are judged alike. A null or empty text has no
-letters and goes in the first stage; a null id is kept by every stage.
+an empty one, repeated rows are judged alike (near_dedup leaves one of them).
+A null or empty text has no letters and goes in the first stage; rows with a
+null id are documents like others. Tables that a stage leaves in the shared
+folder are removed once the next one's input is written.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import language_id, odd_sketch, piece_bpe, secret_scan, wu_manber
-from strata.llm.common import prepare, table, written
+from strata.llm.common import prepare, table, tidied, written
 from strata.llm.queries import PIECE_MODEL, vocabulary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -39,11 +41,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least id stays.
-    (Rows that repeat its id stay with it if their text is the same.)"""
+    """Of each group of near duplicates one row stays, that with the least id,
+    also where ids repeat or are null."""
     prepare(spark)
-    gone = odd_sketch.near_duplicates(docs).filter("not kept").select("doc_id")
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return odd_sketch.deduplicated(docs.select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,6 +77,10 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with tidied(spark) as result:
+        for name, stage in STAGES:
+            with tidied(spark) as kept:
+                docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+                kept.append(docs)
+        result.append(docs)
     return docs
