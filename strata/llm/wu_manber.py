@@ -7,9 +7,11 @@ occurrence; where it says 0, the bucket of the block (the patterns that end
 in it) is compared word by word with the text. Patterns of different lengths
 are searched apart, so a short item does not shorten the moves of the others.
 
-The patterns of at most ``block_bytes`` of benchmark text are broadcast at a
-time; a larger benchmark is searched in several such blocks, one after the
-other, and every block sees every document.
+At most ``block_bytes`` of benchmark text are broadcast at a time, as the
+words and the places where patterns begin; a larger benchmark is searched in
+several such blocks, one after the other, and every block sees every document.
+A worker process builds the tables once, as flat arrays: about 15 bytes for
+each byte of benchmark text.
 
 Edge cases: null and empty texts have no words; an item without words has no
 pattern; several rows with one item id are one item; a null item id is
@@ -20,6 +22,7 @@ columns are not read. With no benchmark rows nothing is hit.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,42 +38,70 @@ BLOCK_BYTES = 16 << 20
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def words(text: bytes) -> list[bytes]:
-    data = np.frombuffer(text, np.uint8)
-    starts, ends, _ = word_spans(data, np.array([0, len(data)]), WORDS)
-    low = text.translate(_LOWER)
-    return [low[a:b] for a, b in zip(starts, ends)]
-
-
-def patterns(items: list[tuple[str, bytes]], window: int = WINDOW) -> dict[bytes, list[str]]:
-    """Pattern (its words joined by a space) -> ids of the items that have it."""
-    out: dict[bytes, set[str]] = {}
-    for item, text in items:
-        w = words(text)
-        for i in range(max(1, len(w) - window + 1) if w else 0):
-            out.setdefault(b" ".join(w[i : i + window]), set()).add(item)
-    return {p: sorted(x) for p, x in out.items()}
+class Patterns(NamedTuple):
+    """Words of benchmark items, joined by a space, and the patterns in them."""
+
+    text: bytes
+    starts: np.ndarray  # of the words in the text
+    ends: np.ndarray
+    first: np.ndarray  # word with which each pattern begins
+    length: np.ndarray  # words of each pattern
+    row: np.ndarray  # item of each pattern
+    ids: list[str]  # items by row
+
+
+def patterns(items: list[tuple[str, bytes]], window: int = WINDOW) -> Patterns:
+    """All windows of ``window`` words, a shorter item as one pattern."""
+    off = np.zeros(len(items) + 1, np.int64)
+    off[1:] = np.cumsum([len(t) for _, t in items])
+    low = b"".join(t for _, t in items).translate(_LOWER)
+    starts, ends, at = word_spans(np.frombuffer(low, np.uint8), off, WORDS)
+    text = b" ".join([low[a:b] for a, b in zip(starts.tolist(), ends.tolist())])
+    size = ends - starts
+    to = np.cumsum(size + 1) - 1
+    n = np.diff(at)
+    length = np.minimum(n, window)
+    count = np.where(n > 0, n - length + 1, 0)
+    row = np.repeat(np.arange(len(items)), count)
+    first = at[:-1][row] + np.arange(len(row)) - (np.cumsum(count) - count)[row]
+    small = lambda x: x.astype(np.int32)
+    return Patterns(text, small(to - size), small(to), small(first), small(length[row]), small(row), [i for i, _ in items])
 
 
 class Searcher:
-    """Shift table and suffix buckets for patterns of ``m`` words."""
-
-    def __init__(self, m: int, found: dict[bytes, list[str]]):
-        self.m, self.block = m, min(2, m)
-        self.bits = np.uint64(64 - max(16, min(24, int(len(found) * m * 8).bit_length())))
-        self.items = list(found.values())
-        self.first: list[list[bytes]] = [p.split(b" ") for p in found]
-        flat = np.frombuffer(b" ".join(found), np.uint8)
-        starts, ends, _ = word_spans(flat, np.array([0, len(flat)]), flat_words)
-        h = word_hashes(flat, starts, ends).reshape(len(found), m)
-        default = m - self.block + 1
-        self.table = np.full(1 << (64 - int(self.bits)), min(default, 255), np.uint8)
+    """Shift table and suffix buckets for patterns of ``m`` words. A bucket is
+    a run of equal keys in a sorted array; equal patterns are one entry."""
+
+    def __init__(self, m: int, found: Patterns, h: np.ndarray):
+        self.m, self.block, self.found = m, min(2, m), found
+        which = found.length == m
+        first, row = found.first[which], found.row[which]
+        whole = np.zeros(len(first), np.uint64)
+        for j in range(m):
+            whole = blocks(whole, h[first + j])
+        key = self._block(h, first + m - 1)
+        order = np.lexsort((row, whole, key))
+        first, row, whole, key = first[order], row[order], whole[order], key[order]
+        new = np.ones(len(first), bool)
+        new[1:] = (key[1:] != key[:-1]) | (whole[1:] != whole[:-1])
+        for i in np.flatnonzero(~new).tolist():
+            new[i] = self._text(first[i]) != self._text(first[i - 1])
+        entry = np.flatnonzero(new)
+        self.first, self.key, self.row, self.at = first[entry], key[entry], row, np.append(entry, len(row))
+        self.bits = np.uint64(64 - max(16, min(24, int(len(entry) * m * 8).bit_length())))
+        self.table = np.full(1 << (64 - int(self.bits)), min(m - self.block + 1, 255), np.uint8)
         for j in range(self.block - 1, m):
-            at = blocks(h[:, j - 1] if self.block == 2 else None, h[:, j]) >> self.bits
-            np.minimum.at(self.table, at.astype(np.int64), min(m - 1 - j, 255))
-        self.buckets: dict[int, list[int]] = {}
-        for i, x in enumerate(blocks(h[:, -2] if self.block == 2 else None, h[:, -1]).tolist()):
-            self.buckets.setdefault(x, []).append(i)
+            np.minimum.at(self.table, (self._block(h, self.first + j) >> self.bits).astype(np.int64), np.uint8(min(m - 1 - j, 255)))
+
+    def _block(self, h: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return blocks(h[at - 1] if self.block == 2 else None, h[at])
+
+    def _text(self, first: int) -> bytes:
+        return self.found.text[self.found.starts[first] : self.found.ends[first + self.m - 1]]
+
+    def items(self, entry: int) -> list[str]:
+        """The items that have a pattern."""
+        return [self.found.ids[r] for r in self.row[self.at[entry] : self.at[entry + 1]].tolist()]
 
     def search(self, h: np.ndarray, first: np.ndarray, word) -> Iterator[tuple[int, int, int]]:
         """(row, word index of the end, pattern) of each occurrence; ``word(i)``
@@ -82,8 +113,13 @@ class Searcher:
             key[1:] = blocks(h[:-1], h[1:])
         else:
             key = blocks(None, h)
-        shift = self.table[(key >> self.bits).astype(np.int64)].tobytes()
-        m, buckets, patterns_ = self.m, self.buckets, self.first
+        shifts = self.table[(key >> self.bits).astype(np.int64)]
+        still = np.flatnonzero(shifts == 0)
+        low, high = (np.searchsorted(self.key, key[still], side) for side in ("left", "right"))
+        some = low < high
+        shifts[still[~some]] = 1  # no bucket has this block
+        bucket = dict(zip(still[some].tolist(), zip(low[some].tolist(), high[some].tolist())))
+        shift, m = shifts.tobytes(), self.m
         for row, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
             i = a + m - 1
             while i < b:
@@ -91,24 +127,32 @@ class Searcher:
                 if s:
                     i += s
                     continue
-                for p in buckets.get(int(key[i]), ()):
-                    if all(word(i - m + 1 + k) == x for k, x in enumerate(patterns_[p])):
+                text = b" ".join([word(j) for j in range(i - m + 1, i + 1)])
+                for p in range(*bucket[i]):
+                    if text == self._text(self.first[p]):
                         yield row, i, p
                 i += 1
 
 
-flat_words = ~byte_class((0x20, 0x20))
-
-
 def blocks(a: np.ndarray | None, b: np.ndarray) -> np.ndarray:
     return mix64(b if a is None else a * np.uint64(0xD1342543DE82EF95) + b)
 
 
-def searchers(found: dict[bytes, list[str]]) -> list[Searcher]:
-    by: dict[int, dict[bytes, list[str]]] = {}
-    for p, items in found.items():
-        by.setdefault(p.count(b" ") + 1, {})[p] = items
-    return [Searcher(m, x) for m, x in sorted(by.items())]
+def searchers(found: Patterns) -> list[Searcher]:
+    data = np.frombuffer(found.text, np.uint8)
+    h = word_hashes(data, found.starts.astype(np.int64), found.ends.astype(np.int64))
+    return [Searcher(m, found, h) for m in np.unique(found.length).tolist()]
+
+
+_built: dict = {}
+
+
+def _searchers(found) -> list[Searcher]:
+    """The tables of a broadcast; a worker process keeps those it used last."""
+    if _built.get("found") is not found:
+        _built.clear()
+        _built.update(searchers=searchers(found.value), found=found)
+    return _built["searchers"]
 
 
 def _blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
@@ -136,7 +180,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
 
 def _scan(found):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = searchers(found.value)
+        search = _searchers(found)
         for b in pieces(batches):
             data, off = raw(b.column("text"))
             starts, ends, first = word_spans(data, off, WORDS)
@@ -153,7 +197,7 @@ def _scan(found):
             for s in search:
                 for row, i, p in s.search(h, first, word):
                     hit[i - s.m + 1 : i + 1] = True
-                    items[row].update(s.items[p])
+                    items[row].update(s.items(p))
             hits = [np.flatnonzero(hit[x:y]).astype(np.int32).tobytes() for x, y in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("text"), pa.array(np.diff(first), pa.int64()), pa.array(hits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
@@ -169,7 +213,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
         found = docs.sparkSession.sparkContext.broadcast(patterns(items, window))
 
         def run(batches: Iterator[pa.RecordBatch], found=found) -> Iterator[pa.RecordBatch]:
-            search = searchers(found.value)
+            search = _searchers(found)
             for b in pieces(batches, text_col):
                 keep = np.ones(b.num_rows, bool)
                 for row, _, _ in _found(b.column(text_col), search):

@@ -52,3 +52,26 @@ def test_shifts_pass_over_no_occurrence():
     found = m.patterns([("1", b"a b c d e f g h i j"), ("2", b"c d e f g h i j k l")])
     s = m.searchers(found)[0]
     assert s.m == 10 and int(s.table.max()) == 9
+
+
+def test_tables_of_a_full_block_are_small_and_equal_patterns_are_one():
+    import tracemalloc
+
+    r = random.Random(8)
+    vocabulary = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 9))) for _ in range(20_000)]
+    items = [(str(i), " ".join(r.choices(vocabulary, k=2000)).encode()) for i in range(160)]
+    items += [("again", items[5][1]), ("short", b"Only three words"), ("none", b" .. ")]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    found = m.patterns(items)
+    driver = tracemalloc.get_traced_memory()[0]
+    tables = m.searchers(found)
+    now, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert [s.m for s in tables] == [3, 10]
+    assert driver < 8 * size and now < 16 * size + (1 << 25) and peak < 40 * size + (1 << 25)
+    s = tables[1]
+    assert len(s.first) == 160 * 1991 and len(s.row) == 161 * 1991
+    w = items[5][1].split()[7:17]
+    (p,) = [p for p in range(len(s.first)) if s._text(s.first[p]) == b" ".join(w)]
+    assert s.items(p) == ["5", "again"]
