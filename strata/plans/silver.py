@@ -69,6 +69,11 @@ def _pos_reject_reason(quantity: Column, unit_price: Column) -> Column:
     )
 
 
+def _with_total(typed: DataFrame) -> DataFrame:
+    total = (F.col("quantity").cast("decimal(12,2)") * F.col("unit_price")).try_cast("decimal(14,2)")
+    return typed.withColumn("total_amount", total)
+
+
 def pos_typed(deduped: DataFrame) -> DataFrame:
     """Casts and derived columns plus ``_reject_reason`` (NULL = accepted)."""
     q, p = to_int("quantity"), to_decimal("unit_price", 12, 2)
@@ -81,11 +86,8 @@ def pos_typed(deduped: DataFrame) -> DataFrame:
             "sale_date": to_ts("sale_date"),
             "payment_method": norm_upper("payment_method"),
         }
-    ).withColumn(
-        "total_amount",
-        (F.col("quantity").cast("decimal(12,2)") * F.col("unit_price")).try_cast("decimal(14,2)"),
     )
-    return t.withColumn("_reject_reason", _pos_reject_reason(F.col("quantity"), F.col("unit_price")))
+    return _with_total(t).withColumn("_reject_reason", _pos_reject_reason(F.col("quantity"), F.col("unit_price")))
 
 
 SILVER_POS_COLUMNS = [
@@ -101,12 +103,25 @@ def clean_transactions(bronze: DataFrame, as_of, strict: bool = False) -> DataFr
     suite reports them). ``strict`` also
     drops rows whose method is outside VALID_PAYMENT_METHODS or whose sale
     date is missing, as the registry's NOT NULL / the valid set demand."""
-    t = pos_typed(pos_deduped(bronze)).filter(F.col("_reject_reason").isNull())
+    t = _with_total(_pos_accepted(bronze))
     if strict:
         t = t.filter(F.col("payment_method").isin(*VALID_PAYMENT_METHODS) & F.col("sale_date").isNotNull())
     return t.withColumn("_processed_at", _ts_lit(as_of)).select(*SILVER_POS_COLUMNS)
 
 
+def _pos_accepted(bronze: DataFrame) -> DataFrame:
+    """The accepted winner of each id, typed. An accepted copy beats a rejected
+    one and silver is made of typed values alone, so rows are typed and judged
+    before the shuffle, which carries neither rejected rows nor raw text."""
+    b = bronze.filter(F.col("transaction_id").isNotNull())
+    t = b.select(
+        "transaction_id", "store_id", "product_id", "customer_id", to_int("quantity").alias("quantity"),
+        to_decimal("unit_price", 12, 2).alias("unit_price"), norm_upper("payment_method").alias("payment_method"),
+        to_ts("sale_date").alias("sale_date"), *[c for c in META[:1] if c in b.columns],
+    ).filter(_pos_reject_reason(F.col("quantity"), F.col("unit_price")).isNull())
+    return dedupe_latest(t, ["transaction_id"], _latest_first(t, F.col("sale_date")))
+
+
 def split_rejects(bronze: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
     """(silver rows, quarantined rows with ``reject_reason`` and raw values)."""
     t = pos_typed(pos_deduped(bronze))
@@ -127,7 +142,11 @@ def pos_quarantine(bronze: DataFrame, as_of) -> DataFrame:
     an id and ids whose best copy is rejected. (Copies that lose the dedupe
     are counted by ``pos_outcomes``; bronze keeps them.)"""
     reason = _pos_reject_reason(to_int("quantity"), to_decimal("unit_price", 12, 2))
-    bad = pos_deduped(bronze).withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
+    # an accepted copy beats all others: the whole rows shuffled are rejected ones
+    ids = bronze.filter(F.col("transaction_id").isNotNull())
+    accepted = ids.filter(reason.isNull()).select("transaction_id").distinct()
+    rejected = ids.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
+    bad = pos_deduped(rejected.join(accepted, "transaction_id", "left_anti").select(*bronze.columns)).withColumn("reject_reason", reason)
     none = bronze.filter(F.col("transaction_id").isNull()).withColumn("reject_reason", F.lit("null_transaction_id"))
     return bad.unionByName(none).withColumn("_processed_at", _ts_lit(as_of))
 
@@ -172,18 +191,18 @@ def clean_inventory(bronze: DataFrame, as_of) -> DataFrame:
         F.col("product_id").isNotNull() & F.col("warehouse_id").isNotNull()
         & norm_upper("movement_type").isin(*VALID_MOVEMENT_TYPES) & (to_int("quantity") > 0)
     )
-    d = dedupe_latest(b, ["movement_id"], _latest_first(b, to_ts("movement_date"), accepted))
+    # an accepted copy wins, so the others need no shuffle; nor do columns that silver lacks
+    used = ["movement_id", "warehouse_id", "product_id", "movement_type", "quantity", "movement_date", "_ingested_at"]
+    b = b.filter(accepted).select(*[c for c in b.columns if c in used])
+    d = dedupe_latest(b, ["movement_id"], _latest_first(b, to_ts("movement_date")))
     return (
-        d.filter(F.col("product_id").isNotNull() & F.col("warehouse_id").isNotNull())
-        .withColumns(
+        d.withColumns(
             {
                 "quantity": to_int("quantity"),
                 "movement_date": to_ts("movement_date"),
                 "movement_type": norm_upper("movement_type"),
             }
         )
-        .filter(F.col("movement_type").isin(*VALID_MOVEMENT_TYPES))
-        .filter(F.col("quantity") > 0)
         .withColumn("_processed_at", _ts_lit(as_of))
         .select(*SILVER_INV_COLUMNS)
     )
@@ -276,16 +295,17 @@ def judged(bronze: DataFrame, feed: str, as_of) -> DataFrame:
     it breaks (none: accepted), and ``duplicate`` if another copy of its key is
     taken, whose key is ``winner``. So each row is accepted or has its reasons."""
     key, rules = _feed_rules(feed)
-    rows = written(bronze.withColumn("_row", F.monotonically_increasing_id()), "judged-rows")
-    taken = _winners(rows, feed).select("_row", F.lit(True).alias("_taken"))
     broken = F.array_compact(F.array(*[F.when(bad, F.lit(reason)) for reason, bad in rules]))
+    # judged before they are dealt, so a reader of reasons alone has only these shuffled
+    rows = written(bronze.withColumns({"_row": F.monotonically_increasing_id(), "_broken": broken}), "judged-rows")
+    taken = _winners(rows.drop("_broken"), feed).select("_row", F.lit(True).alias("_taken"))
     lost = F.col(key).isNotNull() & F.col("_taken").isNull()
     return (
         rows.join(taken, "_row", "left")
-        .withColumn("reasons", F.concat(broken, F.when(lost, F.array(F.lit("duplicate"))).otherwise(F.array().cast("array<string>"))))
+        .withColumn("reasons", F.concat("_broken", F.when(lost, F.array(F.lit("duplicate"))).otherwise(F.array().cast("array<string>"))))
         .withColumn("winner", F.when(lost, F.col(key)))
         .withColumn("_processed_at", _ts_lit(as_of))
-        .drop("_row", "_taken")
+        .drop("_row", "_taken", "_broken")
     )
 
 

@@ -46,7 +46,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: a lineage
-    cut that keeps column pruning, filter pushdown and a known size."""
+    cut that keeps column pruning, filter pushdown and a known size. Such
+    tables are read a few times at most, so they are packed more tightly than
+    the session's default."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -108,7 +108,7 @@ class SnapshotTable:
         vdir = self._Path(self._vdir(v))
         if self._fs.exists(vdir):  # left over by a writer that never committed
             self._fs.delete(vdir, True)
-        df.write.mode("errorifexists").parquet(self._vdir(v))
+        df.write.mode("errorifexists").option("compression", "zstd").parquet(self._vdir(v))
         ts = _as_dt(committed_at) if committed_at is not None else _dt.datetime.now()
         rec = {**(info or {}), "version": v, "committed_at": ts.isoformat(), "operation": operation}
         tmp = self._p(f"_commits/.{v:08d}.json.tmp")
