@@ -30,18 +30,25 @@ _KEYS = {"customer_id": StringType(), "payment_method": StringType(), "sale_date
 _STATE = StructType([StructField(n, t) for n, t in {**_KEYS, **SUMS, BUCKET: StringType()}.items()])
 
 
-def states(sales: DataFrame, sign: int) -> DataFrame:
-    """The states of silver sales, counted ``sign`` times."""
-    g = sales.filter(F.col("customer_id").isNotNull()).groupBy(*BY).agg(
-        F.count(F.lit(1)).alias("sales"), F.count("total_amount").alias("amounts"), F.coalesce(F.sum("total_amount"), F.lit(0)).alias("amount"),
+def change(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The states that silver sales ``new`` add and ``old`` take away, in one
+    grouping; what is left of nothing goes."""
+    signed = [df.filter(F.col("customer_id").isNotNull()).select(*BY, "total_amount", F.lit(sign).cast("long").alias("_sign")) for df, sign in ((old, -1), (new, 1))]
+    amount = F.when(F.col("_sign") < 0, -F.col("total_amount")).otherwise(F.col("total_amount"))
+    g = signed[0].unionByName(signed[1]).groupBy(*BY).agg(
+        F.sum("_sign").alias("sales"), F.coalesce(F.sum(F.when(F.col("total_amount").isNotNull(), F.col("_sign"))), F.lit(0)).alias("amounts"),
+        F.coalesce(F.sum(amount), F.lit(0)).alias("amount"),
     )
-    return g.select(*BY, *[(F.col(c) * sign).cast(t).alias(c) for c, t in SUMS.items()])
+    return _some(g.select(*BY, *[F.col(c).cast(t).alias(c) for c, t in SUMS.items()]))
+
+
+def _some(states: DataFrame) -> DataFrame:
+    return states.filter("sales <> 0 or amounts <> 0 or amount <> 0")
 
 
 def added(parts: DataFrame) -> DataFrame:
     """States added up; what is left of nothing goes."""
-    g = parts.groupBy(*BY).agg(*[F.sum(c).cast(t).alias(c) for c, t in SUMS.items()])
-    return g.filter("sales <> 0 or amounts <> 0 or amount <> 0")
+    return _some(parts.groupBy(*BY).agg(*[F.sum(c).cast(t).alias(c) for c, t in SUMS.items()]))
 
 
 def customer_360(state: DataFrame, as_of) -> DataFrame:
@@ -77,19 +84,22 @@ class CustomerState:
         folders = self._folders()
         return int(folders[0].rsplit("/", 1)[1].split("-")[0]) if folders else 0
 
-    def read(self, buckets: list[str] | None = None) -> DataFrame:
-        """The states as they add up now."""
+    def _parts(self, buckets: list[str] | None = None) -> DataFrame:
+        """The states of all folders, not added up."""
         out = None
         for f in self._folders():
             part = PartitionedFolder(self.spark, f, BUCKET, _STATE).read(buckets).select(*BY, *SUMS)
             out = part if out is None else out.unionByName(part)
-        return added(out)
+        return out
+
+    def read(self, buckets: list[str] | None = None) -> DataFrame:
+        """The states as they add up now."""
+        return added(self._parts(buckets))
 
     def apply(self, old: DataFrame, new: DataFrame, batch: str) -> None:
         """Sales ``old`` become ``new``; ``batch`` names the change."""
-        change = added(states(old, -1).unionByName(states(new, 1)))
         path = f"{self.path}/states/{self._generation():06d}-batch-{batch}"
-        self._bucketed(change).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        self._bucketed(change(old, new)).hint("rebalance", BUCKET).write.option("compression", "zstd").mode("overwrite").partitionBy(BUCKET).parquet(path)
 
     def refresh(self, customers: DataFrame, as_of) -> None:
         """Builds the 360 rows of ``customers`` (column customer_id) anew."""
@@ -97,7 +107,9 @@ class CustomerState:
         buckets = sorted(r[0] for r in who.select(BUCKET).distinct().collect())  # a row a bucket
         if not buckets:
             return
-        rows = self._bucketed(customer_360(self.read(buckets).join(who.select("customer_id"), "customer_id", "left_semi"), as_of), "customer_bk")
+        # joined first: rows dealt by customer need not be dealt again to be added up
+        state = added(self._parts(buckets).join(who.select("customer_id"), "customer_id", "left_semi"))
+        rows = self._bucketed(customer_360(state, as_of), "customer_bk")
         if self.table.exists():
             kept = self.table.read(buckets).join(who.select(F.col("customer_id").alias("customer_bk")), "customer_bk", "left_anti")
             rows = kept.select(*rows.columns).unionByName(rows)
@@ -126,16 +138,16 @@ class CustomerState:
 
 
 def merge_sales(target: KeyedTable, state: CustomerState, sales: DataFrame, as_of, batch: str, latest=None, deletes: DataFrame | None = None) -> None:
-    """Merges sales into silver and brings the 360 table up to date. The rows
-    that the batch replaces are stored under its name before anything
+    """Merges sales (a table) into silver and brings the 360 table up to date.
+    The rows that the batch replaces are stored under its name before anything
     changes, so a batch that is repeated retracts the same rows."""
     spark, staged = target.spark, f"{state.path}/replaced/{batch}"
-    if not path_exists(spark, f"{staged}/_SUCCESS"):
-        keys = sales.select(*target.keys)
-        keys = keys if deletes is None else keys.union(deletes.select(*target.keys)).distinct()
-        old = target.lookup(written(keys, "360-keys")) if target.exists() else sales.limit(0)
-        old.write.mode("overwrite").parquet(staged)
+
+    def keep(old: DataFrame) -> None:
+        if not path_exists(spark, f"{staged}/_SUCCESS"):
+            old.write.mode("overwrite").option("compression", "zstd").parquet(staged)
+
+    _, new = target.merge(sales, latest=latest, deletes=deletes, stored=True, before=keep)
     old = spark.read.parquet(staged)
-    _, new = target.merge(sales, latest=latest, deletes=deletes)
     state.apply(old, new, batch)
     state.refresh(old.select("customer_id").union(new.select("customer_id")), as_of)
