@@ -46,8 +46,10 @@ def pos_upsert_stream(spark: SparkSession, landing: str, root: str, as_of=L.AS_O
 
 def stream_pos_upsert(spark: SparkSession, sf: str) -> DataFrame:
     land = scratch_path(spark, "stream_pos_landing")
-    files.write_csv_feed(feeds.raw_pos(spark, sf), land, files=4)
-    return pos_upsert_stream(spark, land, scratch_path(spark, "stream_pos_lake"), files_per_trigger=2).read()
+    files.write_csv_feed(feeds.raw_pos(spark, sf), land, compression="gzip")
+    landed = len(spark.read.text(land, recursiveFileLookup=True).inputFiles())  # a listing
+    half = max(1, -(-landed // 2))  # two micro-batches, however many files there are
+    return pos_upsert_stream(spark, land, scratch_path(spark, "stream_pos_lake"), files_per_trigger=half).read()
 
 
 SLICES = 4
@@ -139,7 +141,7 @@ def _late_arrivals(spark: SparkSession, sf: str, name: str):
     tenth = F.substring("event_id", 2, 20).cast("long") % 10 == 3
     none = slices[0].limit(0)
     for sl, before in zip([*slices, none], [none, *slices]):
-        sl.filter(~tenth).unionByName(before.filter(tenth)).coalesce(1).write.mode("append").parquet(land)
+        sl.filter(~tenth).unionByName(before.filter(tenth)).write.mode("append").parquet(land)
         out = click_stream(spark, spark.readStream.schema(sl.schema).parquet(land), root, L.AS_OF, by="yyyy-MM")
     return out
 
