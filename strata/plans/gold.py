@@ -1,8 +1,8 @@
 """Gold: star schema (dimensions with stable surrogate keys, facts), the
 customer-360 aggregate and the reporting views.
 
-Join rules: dimension lookups carry no hint (``lookup_join``; NULL keys are
-spread); aggregates are computed before joins to dimensions (pre-aggregate,
+Join rules: dimension lookups are left to Spark (``lookup_join``; NULL keys are
+spread), unless a side is larger than it looks; aggregates are computed before joins to dimensions (pre-aggregate,
 then enrich)."""
 
 from __future__ import annotations
@@ -81,10 +81,11 @@ def build_fact_sales(
     dim_store: DataFrame,
     as_of,
 ) -> DataFrame:
+    sale = ["transaction_id"]
     f = lookup_join(silver_pos, _current(dim_customer, "customer_sk", "customer_bk"),
-                    "customer_id", "customer_bk")
-    f = lookup_join(f, _current(dim_product, "product_sk", "product_bk"), "product_id", "product_bk")
-    f = lookup_join(f, _current(dim_store, "store_sk", "store_bk"), "store_id", "store_bk")
+                    "customer_id", "customer_bk", spread_by=sale)
+    f = lookup_join(f, _current(dim_product, "product_sk", "product_bk"), "product_id", "product_bk", spread_by=sale)
+    f = lookup_join(f, _current(dim_store, "store_sk", "store_bk"), "store_id", "store_bk", spread_by=sale)
     return f.withColumn("date_sk", date_sk(F.col("sale_date"))).withColumn(
         "_processed_at", _ts_lit(as_of)
     ).select(*FACT_SALES_COLUMNS)

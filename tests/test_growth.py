@@ -59,6 +59,22 @@ def test_small_dimensions_cost_the_sales_no_exchange(spark, sf):
     assert not _exchanges(fact) and _plan(fact).count("BroadcastHashJoin") == 3
 
 
+def test_a_dimension_that_only_looks_small_is_not_broadcast(spark):
+    """Packed files tell a tenth of what the rows take on the driver."""
+    from strata.operators.joins import lookup_join
+    from strata.session import written
+
+    ids = spark.range(400_000)
+    dim = written(ids.select(F.col("id").alias("sk"), F.concat(F.lit("P"), "id").alias("bk")), "dim")
+    assert dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 10 << 20
+    fact = written(spark.range(1000).select(F.concat(F.lit("P"), F.col("id") * 401).alias("bk_of")), "fact")
+    out = lookup_join(fact, dim, "bk_of", "bk")
+    assert "BroadcastHashJoin" not in _plan(out) and out.filter(F.col("sk") != F.substring("bk_of", 2, 9).cast("long")).count() == 0
+    assert (out.count(), out.filter("sk is null").count()) == (1000, 2)
+    few = lookup_join(fact, written(dim.limit(1000), "dim"), "bk_of", "bk")
+    assert "BroadcastHashJoin" in _plan(few)
+
+
 def test_files_of_a_layout_grow_with_the_table(spark, monkeypatch):
     monkeypatch.setattr(queries, "ROWS_PER_FILE", 100)
     assert queries._layout_files(spark.range(2_501)) == 26 and queries._layout_files(spark.range(5)) == 8
