@@ -11,15 +11,14 @@ Rows with a NULL id are dropped first, so the NULL key stays out of the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.casts import norm_upper, to_decimal, to_int, to_ts
 from strata.functions.pii import hash_pii
-from strata.operators.dedupe import dedupe_latest
+from strata.operators.dedupe import dedupe_latest, total_order
 from strata.operators.sessions import gap_sessions
 from strata.schemas import REST
-from strata.session import written
 
 # Valid code sets.
 VALID_PAYMENT_METHODS = ["CASH", "CARD", "DIGITAL", "VOUCHER"]
@@ -43,10 +42,14 @@ def _latest_first(df: DataFrame, event_time: Column, accepted: Column | None = N
 # --------------------------------------------------------------------- POS
 def pos_deduped(bronze: DataFrame) -> DataFrame:
     b = bronze.filter(F.col("transaction_id").isNotNull())
+    return dedupe_latest(b, ["transaction_id"], _pos_order(b))
+
+
+def _pos_order(b: DataFrame) -> list[Column]:
     order = _latest_first(b, to_ts("sale_date"), _pos_reject_reason(to_int("quantity"), to_decimal("unit_price", 12, 2)).isNull())
     typed = [F.col("store_id"), F.col("product_id"), F.col("customer_id"), to_int("quantity"),
              to_decimal("unit_price", 12, 2), norm_upper("payment_method")]
-    return dedupe_latest(b, ["transaction_id"], [*order, *[c.asc_nulls_last() for c in typed]])
+    return [*order, *[c.asc_nulls_last() for c in typed]]
 
 
 def silver_pos_order() -> list[Column]:
@@ -277,35 +280,59 @@ def _feed_rules(feed: str) -> tuple[str, list[tuple[str, Column]]]:
     raise ValueError(f"no feed {feed!r}")
 
 
-def _winners(rows: DataFrame, feed: str) -> DataFrame:
-    """The copy of each key that silver takes."""
+def _winner_order(rows: DataFrame, feed: str) -> list[Column]:
+    """The copy of a key that silver takes is the first one."""
     if feed == "pos_transactions":
-        return pos_deduped(rows)
-    key, _ = _feed_rules(feed)
-    b = rows.filter(F.col(key).isNotNull())
+        return _pos_order(rows)
     if feed == "inventory_movements":
         good = F.col("product_id").isNotNull() & F.col("warehouse_id").isNotNull() & norm_upper("movement_type").isin(*VALID_MOVEMENT_TYPES) & (to_int("quantity") > 0)
-        return dedupe_latest(b, [key], _latest_first(b, to_ts("movement_date"), good))
+        return _latest_first(rows, to_ts("movement_date"), good)
     time = {"customers": "signup_date", "clickstream": "timestamp"}[feed]
-    return dedupe_latest(b, [key], _latest_first(b, to_ts(time)))
+    return _latest_first(rows, to_ts(time))
+
+
+#: Copies of a key that one task ranks; a key with more is dealt over all tasks.
+HOT_COPIES = 100_000
+
+
+def _hot_keys(rows: DataFrame, key: str) -> list[str]:
+    """Keys with more than about ``HOT_COPIES`` copies, by a sketch of bounded
+    size; what it says decides how rows are dealt, not what they become."""
+    top = rows.filter(F.col(key).isNotNull()).select(F.expr(f"approx_top_k({key}, 1000, 10000)")).first()[0]
+    return [x["item"] for x in top or [] if x["count"] > HOT_COPIES]
 
 
 def judged(bronze: DataFrame, feed: str, as_of) -> DataFrame:
     """Every bronze row of a feed as delivered, with ``reasons``: all rules that
     it breaks (none: accepted), and ``duplicate`` if another copy of its key is
-    taken, whose key is ``winner``. So each row is accepted or has its reasons."""
+    taken, whose key is ``winner``. So each row is accepted or has its reasons.
+
+    Rows are dealt by key once and ranked there. Rows without a key and those
+    of hot keys are dealt over all tasks; the first of each task's copies of a
+    hot key are then ranked against each other."""
     key, rules = _feed_rules(feed)
     broken = F.array_compact(F.array(*[F.when(bad, F.lit(reason)) for reason, bad in rules]))
-    # judged before they are dealt, so a reader of reasons alone has only these shuffled
-    rows = written(bronze.withColumns({"_row": F.monotonically_increasing_id(), "_broken": broken}), "judged-rows")
-    taken = _winners(rows.drop("_broken"), feed).select("_row", F.lit(True).alias("_taken"))
-    lost = F.col(key).isNotNull() & F.col("_taken").isNull()
+    hot = _hot_keys(bronze, key)
+    spread = F.col(key).isNull() | F.col(key).isin(hot) if hot else F.col(key).isNull()
+    tasks = int(bronze.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = bronze.withColumn("_deal", F.when(spread, F.pmod(F.monotonically_increasing_id(), F.lit(tasks))).otherwise(F.lit(-1)))
+
+    def ranked(rows: DataFrame, rank: str) -> DataFrame:
+        # dealt first, so the values that rows are ordered by are made where they are used
+        by = Window.partitionBy(key, "_deal").orderBy(*total_order(bronze, [key], _winner_order(bronze, feed)))
+        return rows.repartition(key, "_deal").withColumn(rank, F.row_number().over(by))
+
+    rows = ranked(rows, "_rank")
+    taken = F.col("_rank") == 1
+    if hot:
+        rows = ranked(rows.withColumn("_deal", F.when(F.col(key).isin(hot) & taken, F.lit(-1)).otherwise(F.col("_deal"))), "_last")
+        taken = taken & (F.col("_last") == 1)
+    lost = F.col(key).isNotNull() & ~taken
     return (
-        rows.join(taken, "_row", "left")
-        .withColumn("reasons", F.concat("_broken", F.when(lost, F.array(F.lit("duplicate"))).otherwise(F.array().cast("array<string>"))))
+        rows.withColumn("reasons", F.concat(broken, F.when(lost, F.array(F.lit("duplicate"))).otherwise(F.array().cast("array<string>"))))
         .withColumn("winner", F.when(lost, F.col(key)))
         .withColumn("_processed_at", _ts_lit(as_of))
-        .drop("_row", "_taken", "_broken")
+        .drop(*[c for c in ("_deal", "_rank", "_last") if c in rows.columns])
     )
 
 

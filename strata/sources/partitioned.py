@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.dedupe import dedupe_latest
+from strata.operators.joins import bounded
 from strata.operators.merge import merge_upsert, prepare_source, validate_merge_key
 from strata.operators.zorder import hilbert_layout
 from strata.session import written
@@ -165,11 +166,11 @@ class KeyedTable:
     def _bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("string"))
 
-    def _places(self, keys: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
-        """Of ``keys``: the known ones with their partition, these partitions, and all index buckets."""
+    def _places(self, keys: DataFrame, rows: int | None = None) -> tuple[DataFrame, list[str], list[str]]:
+        """Of ``keys`` (so many ``rows``): the known ones with their partition, these partitions, and all index buckets."""
         keys = self._bucketed(keys.select(*self.keys))
         buckets = [r[0] for r in keys.select(BUCKET).distinct().collect()]
-        known = written(self.index.read(buckets).join(keys.drop(BUCKET), self.keys, "left_semi").drop(BUCKET), "merge-known")
+        known = written(self.index.read(buckets).join(bounded(keys.drop(BUCKET), rows), self.keys, "left_semi").drop(BUCKET), "merge-known")
         return known, [r[0] for r in known.select(PART).distinct().collect()], buckets
 
     def _moved(self, known: DataFrame, new: DataFrame) -> list[str]:
@@ -199,19 +200,20 @@ class KeyedTable:
         src = source.withColumn(PART, self.part)
         src = src if stored else written(src, "merge-batch")
         null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in self.keys])
-        sizes = src.groupBy(PART).agg(F.count_if(null).alias("nulls")).collect()
+        sizes = src.groupBy(PART).agg(F.count_if(null).alias("nulls"), F.count(F.lit(1)).alias("rows")).collect()
         if any(r["nulls"] for r in sizes):
             raise ValueError(f"NULL in the key {self.keys}")
-        keys = src.select(*self.keys)
+        keys, n = src.select(*self.keys), sum(r["rows"] for r in sizes)
         if deletes is not None:
             deletes = written(deletes.select(*self.keys).distinct(), "merge-deletes")
             keys = written(keys.union(deletes).distinct(), "merge-keys")
+            n = keys.count()
         known, new = None, src
         if self.exists():
-            known, parts, buckets = self._places(keys)
+            known, parts, buckets = self._places(keys, n)
             parts = sorted({r[PART] for r in sizes} | set(parts))
             target = self.data.read(parts).select(*src.columns) if self.data.exists() else src.limit(0)
-            marks = keys.distinct().withColumn("_batch", F.lit(True))
+            marks = bounded(keys.distinct().withColumn("_batch", F.lit(True)), n)
             target = written(target.join(marks, self.keys, "left"), "merge-target")  # the output path is also an input
             old = target.filter("_batch").select(*src.columns)
             kept = target.filter("_batch is null").select(*src.columns)
@@ -221,7 +223,7 @@ class KeyedTable:
             # also after a first merge that stopped before its index was written: all data is the batch's
             parts, buckets, old, kept = [r[PART] for r in sizes], [], src.limit(0), None
         if deletes is not None:
-            new = new.join(deletes, self.keys, "left_anti")
+            new = new.join(bounded(deletes), self.keys, "left_anti")
         if new is not src:
             new = written(new, "merge-new")
         if before is not None:
@@ -232,7 +234,7 @@ class KeyedTable:
             return old.drop(PART), new.drop(PART)  # every key is where the index has it
         if buckets:
             places = places.filter(F.col(BUCKET).isin(buckets))
-            places = self.index.read(buckets).join(keys, self.keys, "left_anti").unionByName(places)
+            places = self.index.read(buckets).join(bounded(keys, n), self.keys, "left_anti").unionByName(places)
             places = written(places, "merge-index")  # the output path is also an input
         self.index.replace(buckets, places)
         return old.drop(PART), new.drop(PART)

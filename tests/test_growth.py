@@ -125,3 +125,22 @@ def test_a_compressed_landing_holds_the_same_rows(spark, sf, tmp_path):
     files.write_csv_feed(raw, str(tmp_path / "land"), compression="gzip")
     back = files.read_csv_feed(spark, str(tmp_path / "land"), raw.schema)
     assert back.exceptAll(raw).count() == 0 and back.count() == raw.count()
+
+
+def test_a_feed_is_judged_in_one_exchange_and_hot_ids_over_all_tasks(spark, monkeypatch):
+    rows = [*COPIES, *[("hot", "S1", "P1", None, str(i % 7 - 1), "1.00", f"2024-01-{1 + i % 9:02d} 00:00:00", "card") for i in range(60)]]
+    bronze = _bronze(spark, *rows, *[(None, "S1", "P1", None, "1", "1.00", None, "card")] * 20)
+    reasons = lambda df: sorted((str(r["transaction_id"]), str(r["quantity"]), str(r["sale_date"]), ",".join(r["reasons"]), str(r["winner"])) for r in df.collect())
+    plain = silver.judged(bronze, "pos_transactions", L.AS_OF)
+    # one exchange of the rows, without the values that they are ordered by
+    assert len(_exchanges(plain)) == 1 and "Join" not in _plan(plain)
+    assert "_w0" not in _plan(plain).split("Exchange hashpartitioning", 1)[1]
+    # "hot": of the accepted copies of the last day the one with the smallest values is taken
+    taken = [r for r in reasons(plain) if r[0] == "hot" and not r[3]]
+    assert taken == [("hot", "1", "2024-01-09 00:00:00", "", "None")]
+    assert sum("duplicate" in r[3] for r in reasons(plain) if r[0] == "hot") == 59
+    assert [r[3] for r in reasons(plain) if r[0] == "None"] == ["null_transaction_id"] * 21
+    monkeypatch.setattr(silver, "HOT_COPIES", 10)
+    dealt = silver.judged(bronze.repartition(5), "pos_transactions", L.AS_OF)
+    assert silver._hot_keys(bronze, "transaction_id") == ["hot"] and len(_exchanges(dealt)) == 2
+    assert reasons(dealt) == reasons(plain)
