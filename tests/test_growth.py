@@ -144,3 +144,38 @@ def test_a_feed_is_judged_in_one_exchange_and_hot_ids_over_all_tasks(spark, monk
     dealt = silver.judged(bronze.repartition(5), "pos_transactions", L.AS_OF)
     assert silver._hot_keys(bronze, "transaction_id") == ["hot"] and len(_exchanges(dealt)) == 2
     assert reasons(dealt) == reasons(plain)
+
+
+def test_a_daily_run_leaves_its_tables_only(spark, tmp_path):
+    """Scratch tables go with the step that made them; lines that do not parse
+    are still found, and files without any are parsed once."""
+    import os
+
+    from strata.plans import jobs
+    from strata.session import _SHUFFLES, shared_dir
+
+    feed = {
+        "pos": "transaction_id,store_id,product_id,customer_id,quantity,unit_price,sale_date,payment_method\na,S1,P1,C1,2,1.00,2024-01-02 00:00:00,cash\nshort,S1\na,S1,P1,C1,2,1.00,2024-01-01 00:00:00,cash\n",
+        "inventory": "movement_id,warehouse_id,product_id,movement_type,quantity,movement_date\nM1,W1,P1,IN,3,2024-01-02 00:00:00\nM2,W1,P1,IN,3,2024-01-02 00:00:00,more\n",
+        "customers": "customer_id,name,email,phone,address,city,country,signup_date\nC1,n,e,p,a,c,k,2024-01-01 00:00:00\n",
+    }
+    for name, text in feed.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "d.csv").write_text(text)
+    clicks = '{"event_id": "E1", "customer_id": "C1", "timestamp": "2024-01-01 10:00:00.000000"}\nnothing\n'
+    (tmp_path / "clicks").mkdir()
+    (tmp_path / "clicks" / "d.json").write_text(clicks)
+    scratch = shared_dir(spark).removeprefix("file:") + "/strata"
+    os.makedirs(scratch, exist_ok=True)
+    before, setting = set(os.listdir(scratch)), spark.conf.get(_SHUFFLES, None)
+    root = str(tmp_path / "lake")
+    for day in ("2024-02-01 00:00:00", "2024-02-02 00:00:00"):
+        rep = jobs.daily_refresh(spark, {n: str(tmp_path / n) for n in (*feed, "clicks")}, root, day, gate=False)
+        assert set(os.listdir(scratch)) == before and spark.conf.get(_SHUFFLES, None) == setting
+        c = rep["counts"]
+        assert [c[f"quarantine.{n}_lines"] for n in ("pos_transactions", "inventory_movements", "customers", "clickstream")] == [1, 1, 0, 1]
+        assert (c["bronze.pos_transactions"], c["quarantine.pos_transactions"], c["silver.pos_transactions"], c["gold.fact_sales"]) == (2, 1, 1, 1)
+        assert (c["bronze.inventory_movements"], c["silver.clickstream"], c["silver.customers"]) == (1, 1, 1)
+    lake = jobs.Lakehouse(root)
+    lines = {n: [r["_corrupt_record"] for r in lake.table(spark, "quarantine", f"{n}_lines").read().collect()] for n in ("pos_transactions", "customers")}
+    assert lines == {"pos_transactions": ["short,S1"], "customers": []}
