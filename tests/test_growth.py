@@ -146,13 +146,13 @@ def test_a_feed_is_judged_in_one_exchange_and_hot_ids_over_all_tasks(spark, monk
     assert reasons(dealt) == reasons(plain)
 
 
-def test_a_daily_run_leaves_its_tables_only(spark, tmp_path):
+def test_a_daily_run_leaves_its_tables_only(spark, tmp_path, monkeypatch):
     """Scratch tables go with the step that made them; lines that do not parse
     are still found, and files without any are parsed once."""
     import os
 
+    from strata import session
     from strata.plans import jobs
-    from strata.session import _SHUFFLES, shared_dir
 
     feed = {
         "pos": "transaction_id,store_id,product_id,customer_id,quantity,unit_price,sale_date,payment_method\na,S1,P1,C1,2,1.00,2024-01-02 00:00:00,cash\nshort,S1\na,S1,P1,C1,2,1.00,2024-01-01 00:00:00,cash\n",
@@ -165,13 +165,14 @@ def test_a_daily_run_leaves_its_tables_only(spark, tmp_path):
     clicks = '{"event_id": "E1", "customer_id": "C1", "timestamp": "2024-01-01 10:00:00.000000"}\nnothing\n'
     (tmp_path / "clicks").mkdir()
     (tmp_path / "clicks" / "d.json").write_text(clicks)
-    scratch = shared_dir(spark).removeprefix("file:") + "/strata"
-    os.makedirs(scratch, exist_ok=True)
-    before, setting = set(os.listdir(scratch)), spark.conf.get(_SHUFFLES, None)
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path / "shared"))
+    made, setting = [], spark.conf.get(session._SHUFFLES, None)
+    path = session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda *a: made.append(path(*a)) or made[-1])
     root = str(tmp_path / "lake")
     for day in ("2024-02-01 00:00:00", "2024-02-02 00:00:00"):
         rep = jobs.daily_refresh(spark, {n: str(tmp_path / n) for n in (*feed, "clicks")}, root, day, gate=False)
-        assert set(os.listdir(scratch)) == before and spark.conf.get(_SHUFFLES, None) == setting
+        assert made and os.listdir(tmp_path / "shared" / "strata") == [] and spark.conf.get(session._SHUFFLES, None) == setting
         c = rep["counts"]
         assert [c[f"quarantine.{n}_lines"] for n in ("pos_transactions", "inventory_movements", "customers", "clickstream")] == [1, 1, 0, 1]
         assert (c["bronze.pos_transactions"], c["quarantine.pos_transactions"], c["silver.pos_transactions"], c["gold.fact_sales"]) == (2, 1, 1, 1)
